@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyframe.llm.common import read
+from tallyframe.llm.mixing import mixed
 from tallyframe.llm.near_dedup import near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
+from tallyframe.llm.secret_scan import secrets
+from tallyframe.llm.sharding import sharded
 from tallyframe.llm.token_counts import token_counts
 
 
@@ -27,12 +31,25 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), check=True)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(read(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(read(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_counts, op3_sentencepiece, op5_near_duplicates]
+    found = [op2_token_counts, op3_sentencepiece, op4_mixing, op5_near_duplicates, op6_sharding, op8_secret_scan]
     return {f.__name__: f for f in found}
 
 
