@@ -11,6 +11,7 @@ from tallyframe.llm.common import read
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.near_dedup import near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
+from tallyframe.llm.quality import quality_scores
 from tallyframe.llm.secret_scan import secrets
 from tallyframe.llm.sharding import sharded
 from tallyframe.llm.token_counts import token_counts
@@ -48,8 +49,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_counts, op3_sentencepiece, op4_mixing, op5_near_duplicates, op6_sharding, op8_secret_scan]
+    found = [op2_token_counts, op3_sentencepiece, op4_mixing, op5_near_duplicates, op6_sharding, op8_secret_scan, op10_quality]
     return {f.__name__: f for f in found}
 
 
