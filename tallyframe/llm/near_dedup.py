@@ -5,7 +5,7 @@ candidate edges. A document's word-shingle set is hashed once; the hash's top bi
 bin keeps its least hash; an empty bin borrows from a bin that its own random sequence of bins reaches.
 Documents that agree in all bins of a band share a bucket, and a bucket of n documents gives n - 1 edges
 to its smallest document, not n * n / 2. Edges are confirmed on the full sets. Documents of a bucket that
-are still apart then are compared by sketches, in blocks, and what may be a link is confirmed as well, so
+are still apart then are compared by sketches, in blocks, and where a link is possible by their full sets, so
 no link is lost because both of its ends hang on a third document that they don't link with.
 """
 
@@ -103,16 +103,9 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)
 
 
-def confirmed(documents: DataFrame, edges: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs (u, v) of ``edges`` with 100 * intersection >= similarity * union of their full sets.
-
-    Sets are built anew, only for documents in pairs. A hub's set goes to each task with up to BESIDE of
-    its partners, so a hub with very many partners is spread over tasks."""
-    spark = documents.sparkSession
-    counts = edges.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("__more"))
-    placed = edges.join(counts, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("__more") + 1).alias("part"))
-    needs = placed.select(F.col("v").alias("doc_id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("doc_id"), "u", "part", F.lit(0).alias("side")).distinct())
-    bits = spark.sparkContext.broadcast(id_bitmap(needs, "doc_id"))
+def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """doc_id, members (the sorted hashes of all shingles) of the documents named in ``needed``, and of a few others."""
+    bits = documents.sparkSession.sparkContext.broadcast(id_bitmap(needed, "doc_id"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +115,18 @@ def confirmed(documents: DataFrame, edges: DataFrame, words: int, similarity: in
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([sets[at[i] : at[i + 1]].tobytes() for i in range(len(at) - 1)], pa.binary())], names=["doc_id", "members"])
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").withColumn("spot", bitmap_spot(F.col("doc_id")))
-    sets = source.mapInArrow(sets_of, "doc_id long, members binary")
+    return source.mapInArrow(sets_of, "doc_id long, members binary")
+
+
+def confirmed(documents: DataFrame, edges: DataFrame, words: int, similarity: int) -> DataFrame:
+    """The pairs (u, v) of ``edges`` with 100 * intersection >= similarity * union of their full sets.
+
+    Sets are built anew, only for documents in pairs. A hub's set goes to each task with up to BESIDE of
+    its partners, so a hub with very many partners is spread over tasks."""
+    counts = edges.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("__more"))
+    placed = edges.join(counts, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("__more") + 1).alias("part"))
+    needs = placed.select(F.col("v").alias("doc_id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("doc_id"), "u", "part", F.lit(0).alias("side")).distinct())
+    sets = full_sets(documents, needs, words)
     beside = sets.join(needs, "doc_id").repartition("u", "part").sortWithinPartitions("u", "part", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,61 +178,134 @@ def plausible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     return both.select("u", "v", "su", "sv", "nu").mapInArrow(work, "u long, v long")
 
 
+class Forest:
+    """Union-find over the documents that one task compares."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        up = self.parent.setdefault(x, x)
+        while up != x:
+            self.parent[x] = self.parent[up]
+            x, up = up, self.parent[up]
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.parent[x] = y
+        return x != y
+
+
+def block_pairs(members: DataFrame, key: str) -> DataFrame:
+    """``members`` (with ``n``, the rows of their ``key``) once for each pair of blocks that their own is in.
+
+    Documents of a key are cut into blocks of about BLOCK, and tasks compare a pair of blocks (i, j), so a
+    large group is spread over tasks."""
+    more = (F.col("n") / BLOCK).cast("int")
+    cut = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), more + 1).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), more)))
+    cut = cut.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "n")
+    return cut.withColumnRenamed(key, "key").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def by_key(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """Gather the rows of each (key, i, j) and yield the pairs (u, v) that ``work(rows)`` finds."""
+    key, rows = None, []
+    for batch in batches:
+        found: list = []
+        for row in batch.to_pylist():
+            if (row["key"], row["i"], row["j"]) != key:
+                if rows:
+                    found += work(rows)
+                key, rows = (row["key"], row["i"], row["j"]), []
+            rows.append(row)
+        yield as_pairs(found)
+    yield as_pairs(work(rows) if rows else [])
+
+
+def as_pairs(found: list) -> pa.RecordBatch:
+    low, high = ([f(x) for x in found] for f in (min, max))
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["u", "v"])
+
+
 def remaining(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (u, v) of one bucket, in different components so far, whose sketches allow a link.
+    """Documents that may link with one of another component in their bucket, as a forest of pairs (u, v).
 
-    Buckets within one component are done. Others are cut into blocks of about BLOCK documents, and each
-    pair of blocks is compared in a task of its own, so a large bucket is spread over tasks; only
-    plausible pairs leave them."""
+    Buckets within one component are done. In others, documents are compared by sketches; every document
+    with a plausible partner in another component is in the forest, and trees hold all that hang together."""
     spread = F.coalesce(F.col("component"), F.col("doc_id"))
     inside = buckets.join(labels, "doc_id", "left").select("bucket", "doc_id", spread.alias("component"))
-    open_ = inside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 and a < b").select("bucket", (F.col("n") / BLOCK).cast("int").alias("more"))
+    open_ = inside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 and a < b").select("bucket", "n")
     member = inside.join(open_, "bucket").join(nodes.select("doc_id", "sketch", "n_shingles"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("more") + 1).cast("int")
-    member = member.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("more"))))
-    member = member.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "sketch", "n_shingles")
     s = similarity / 100
     strict, wide = s - 6 * (s * (1 - s) / BINS) ** 0.5, s - 9 * (s * (1 - s) / BINS) ** 0.5
 
-    def pairs_of(rows: list[dict], found: list) -> None:
+    def plausible_forest(rows: list[dict]) -> list:
         i, j = rows[0]["i"], rows[0]["j"]
         left = [r for r in rows if r["block"] == i]
         right = [r for r in rows if r["block"] == j] if i != j else left
         if not left or not right:
-            return
+            return []
         a, b = (np.frombuffer(b"".join(r["sketch"] for r in side), np.uint8).reshape(-1, BINS) for side in (left, right))
-        na, nb = (np.array([r["n_shingles"] for r in side]) for side in (left, right))
-        ca, cb = (np.array([r["component"] for r in side]) for side in (left, right))
-        ida, idb = (np.array([r["doc_id"] for r in side]) for side in (left, right))
-        for k in range(len(left)):
-            share = (b == a[k]).mean(axis=1)
-            low, high = np.minimum(nb, na[k]), np.maximum(nb, na[k])
+        nb, cb = (np.array([r[c] for r in right]) for c in ("n_shingles", "component"))
+        trees, found = Forest(), []
+        for row, own in zip(left, a, strict=True):
+            low, high = np.minimum(nb, row["n_shingles"]), np.maximum(nb, row["n_shingles"])
             least = np.where(low >= 4 * BINS, strict, np.where(low >= BINS // 2, wide, 0))
-            ok = (cb != ca[k]) & (share >= least) & (100 * low >= similarity * high)
-            if i == j:
-                ok &= idb > ida[k]
-            found.extend((min(int(ida[k]), int(x)), max(int(ida[k]), int(x))) for x in idb[ok])
+            ok = (cb != row["component"]) & ((b == own).mean(axis=1) >= least) & (100 * low >= similarity * high)
+            for k in np.flatnonzero(ok):
+                if trees.join(row["doc_id"], right[k]["doc_id"]):
+                    found.append((row["doc_id"], right[k]["doc_id"]))
+        return found
+
+    return block_pairs(member, "bucket").mapInArrow(lambda batches: by_key(batches, plausible_forest), "u long, v long").distinct()
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of each set of ``left`` with each of ``right``: a product of incidence
+    matrices, over the members that both sides have, some columns at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    values = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    for at in range(0, len(values), width):
+        part = values[at : at + width]
+        sides = []
+        for sets in (left, right):
+            table = np.zeros((len(sets), len(part)), np.float32)
+            for row, members in enumerate(sets):
+                members = members[members.searchsorted(part[0]) : members.searchsorted(part[-1], "right")]
+                spot = part.searchsorted(members)
+                table[row, spot[part[spot] == members]] = 1
+            sides.append(table)
+        out += sides[0] @ sides[1].T
+    return out
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-        for batch in batches:
-            found: list = []
-            for row in batch.to_pylist():
-                if (row["bucket"], row["i"], row["j"]) != key:
-                    if rows:
-                        pairs_of(rows, found)
-                    key, rows = (row["bucket"], row["i"], row["j"]), []
-                rows.append(row)
-            yield as_pairs(found)
-        found = []
-        if rows:
-            pairs_of(rows, found)
-        yield as_pairs(found)
 
-    def as_pairs(found: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["u", "v"])
+def settled_rest(documents: DataFrame, forest: DataFrame, labels: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Links (u, v) that join components, found among the documents of each tree by their full sets.
+
+    All pairs of a tree are compared, by blocks; a task gives only links that join what its own links
+    haven't joined, so what leaves it is bounded by the documents it has."""
+    groups = components(forest).withColumnRenamed("component", "group")
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
+    members = cut_lineage(groups.join(sizes, "group").join(labels, "doc_id", "left").select("doc_id", "group", "n", F.coalesce("component", "doc_id").alias("component")))
+    sets = full_sets(documents, members, words)
+
+    def links(rows: list[dict]) -> list:
+        i, j = rows[0]["i"], rows[0]["j"]
+        left = [r for r in rows if r["block"] == i]
+        right = [r for r in rows if r["block"] == j] if i != j else left
+        if not left or not right:
+            return []
+        a, b = ([np.frombuffer(r["members"], U64) for r in side] for side in (left, right))
+        both = common_counts(a, b).astype(np.int64)
+        total = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - both
+        trees, found = Forest(), []
+        for x, y in zip(*np.nonzero(100 * both >= similarity * total), strict=True):
+            if left[x]["component"] != right[y]["component"] and trees.join(left[x]["component"], right[y]["component"]):
+                found.append((left[x]["doc_id"], right[y]["doc_id"]))
+        return found
 
-    return member.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(work, "u long, v long").distinct()
+    return block_pairs(members.join(sets, "doc_id"), "group").mapInArrow(lambda batches: by_key(batches, links), "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -277,10 +354,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85)
     tried = cut_lineage(plausible(edges, nodes, similarity))
     links = cut_lineage(confirmed(documents, tried, words, similarity))
     labels = components(links)
-    rest = cut_lineage(remaining(stars.select("bucket", "doc_id"), labels, nodes, similarity).join(tried, ["u", "v"], "left_anti"))
+    rest = cut_lineage(remaining(stars.select("bucket", "doc_id"), labels, nodes, similarity))
     if not rest.isEmpty():
-        more = confirmed(documents, rest, words, similarity)
-        labels = components(links.union(more))
+        labels = components(links.union(settled_rest(documents, rest, labels, words, similarity)))
 
     named = nodes.join(labels, "doc_id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
     alone = base.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
