@@ -27,11 +27,12 @@ class PrefixTable:
 
     def __init__(self, tokens: Iterable, longest: int, rank: Callable, units: Callable[[Sequence], list], parts: dict | None = None):
         self.tokens, self.longest, self.rank, self.units, self.parts = tokens, longest, rank, units, parts
-        #: What tokens end in, themselves left out: a search backwards stops where no token goes on.
-        self.endings = {t[i:] for t in tokens for i in range(1, len(t))}
         self._stable: dict = {}
         self._beside: dict = {}
         self._edges: dict = {}
+        #: True for tokens that merging gives; False for what else tokens end in. A search backwards
+        #: stops where there is neither.
+        self.kinds = {t[i:]: False for t in tokens for i in range(1, len(t))} | {t: True for t in tokens if self.stable(t)}
 
     def edge(self, token, side: int) -> list:
         """The symbols at a token's left (0) or right (1) edge while it is merged, each with the rank
@@ -102,24 +103,27 @@ class PrefixTable:
         """For each prefix of the text: its number of tokens, and its last token (None for the empty one)."""
         n = len(text)
         counts, last = [0] * (n + 1), [None] * (n + 1)
-        tokens, endings, stable, known, beside, longest = self.tokens, self.endings, self.stable, self._beside, self.beside, self.longest
+        kinds, known, beside, longest = self.kinds, self._beside, self.beside, self.longest
         for end in range(1, n + 1):
-            for start in range(end - 1, max(-1, end - longest - 1), -1):
-                token = text[start:end]
-                if token in tokens or end - start == 1:
-                    if start:
-                        before = last[start]
-                        fits = known.get((before, token))
-                        if fits is None:
-                            fits = beside(before, token)
-                    else:
-                        fits = True
-                    if fits and stable(token):
-                        counts[end] = counts[start] + 1
-                        last[end] = token
-                        break
-                elif token not in endings:
+            # tokens that end here, shorter ones first; the single symbol always is one
+            starts = [end - 1]
+            for start in range(end - 2, max(-1, end - longest - 1), -1):
+                kind = kinds.get(text[start:end])
+                if kind is None:
                     break
+                if kind:
+                    starts.append(start)
+            for start in reversed(starts):
+                token = text[start:end]
+                if start:
+                    fits = known.get((last[start], token))
+                    if fits is None:
+                        fits = beside(last[start], token)
+                    if not fits:
+                        continue
+                counts[end] = counts[start] + 1
+                last[end] = token
+                break
         return counts, last
 
     def encode(self, text) -> list:

@@ -103,16 +103,40 @@ class PrefixCounter(dict):
                 yield part, bool(i % 2)
 
     def count(self, text: str) -> int:
-        if self.special is None or not self.special.search(text):
-            return self.count_plain(text)
-        return sum(1 if special else self.count_plain(part) for part, special in self.pieces(text))
+        return self.measure(text)[0]
 
-    def count_plain(self, text: str) -> int:
+    def measure(self, text: str, budget: int | None = None) -> tuple[int, int]:
+        """The number of tokens, and the characters of the longest prefix of at most ``budget`` of them."""
+        if self.special is not None and self.special.search(text):
+            n = sum(1 if special else self.measure(part)[0] for part, special in self.pieces(text))
+            return n, len(text) if budget is None or n <= budget else self.fitting(text, budget)
         if not text or self.wide.search(text):
-            return sum(map(self.__getitem__, self.words.findall(text)))
-        # pretokens begin at every single space, so the parts between spaces can be counted apart
-        first, *rest = text.split(" ")
-        return sum(map(self.__getitem__, self.words.findall(first))) + sum(map(self.chunks.__getitem__, rest))
+            words = self.words.findall(text)
+            each = list(map(self.__getitem__, words))
+        else:
+            # pretokens begin at every single space, so the parts between spaces can be counted apart
+            words = text.split(" ")
+            each = list(map(self.chunks.__getitem__, words))
+            each[0] = sum(map(self.__getitem__, self.words.findall(words[0])))
+            words = [words[0], *(" " + w for w in words[1:])] if budget is not None else words
+        n = sum(each)
+        if budget is None or n <= budget:
+            return n, len(text)
+        return n, self.cut(words, each, budget)
+
+    def cut(self, words: list[str], each: list[int], budget: int) -> int:
+        """``measure``'s prefix for a text over the budget, from the counts of its parts: it ends in the part
+        that goes over, and only the stretch around that is looked into."""
+        sums = np.cumsum(each)
+        over = int(sums.searchsorted(budget, "right"))
+        start = over
+        while start and self.blank.match(words[start - 1][-1:]):  # white space belongs to what follows it
+            start -= 1
+        end = over + 1
+        while end < len(words) and self.blank.match(words[end - 1][-1:]):
+            end += 1
+        inner = self.prefixes_of_plain("".join(words[start:end])) + (int(sums[start - 1]) if start else 0)
+        return sum(map(len, words[:start])) + int(np.flatnonzero(inner <= budget)[-1])
 
     def word_prefixes(self, text: str) -> list[int]:
         """Counts of all prefixes, by characters, of a text that is one pretoken."""
@@ -188,18 +212,6 @@ class PrefixCounter(dict):
         """Characters of the longest prefix of at most ``budget`` tokens."""
         return int(np.flatnonzero(self.prefixes(text) <= budget)[-1])
 
-    def fitting_from_start(self, text: str, budget: int) -> int:
-        """The same for a text with more tokens than the budget: every pretoken has a token at least, so
-        the answer lies in the first ``budget`` pretokens and the white space after them."""
-        if self.special is not None and self.special.search(text):
-            return self.fitting(text, budget)
-        at = n = 0
-        for n, w in enumerate(self.words.finditer(text), 1):
-            at = w.end()
-            if n > budget and not self.blank.fullmatch(w.group()):
-                break
-        return self.fitting(text[:at], budget)
-
 
 _counters: dict[str, PrefixCounter] = {}
 
@@ -228,10 +240,8 @@ def token_counts(documents: DataFrame, tokenizer: str, limit: int = 1024, prefix
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             sizes = np.array([len(t.encode()) for t in texts], np.int64)
-            tokens = np.array([count.count(t) for t in texts], np.int64)
-            over = tokens > limit
-            fits = np.array([count.fitting_from_start(t, limit) if o else len(t) for t, o in zip(texts, over, strict=True)], np.int64)
-            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(tokens), pa.array(over), pa.array(fits)]
+            tokens, fits = np.array([count.measure(t, limit) for t in texts], np.int64).reshape(-1, 2).T
+            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit), pa.array(fits)]
             if prefixes:
                 columns.append(pa.array([count.prefixes(t).astype(np.int32) for t in texts], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in schema.split(", ")])
