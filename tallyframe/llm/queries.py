@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import read
+from tallyframe.llm.fingerprints import fingerprints
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.near_dedup import near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
@@ -15,6 +16,11 @@ from tallyframe.llm.quality import quality_scores
 from tallyframe.llm.secret_scan import secrets
 from tallyframe.llm.sharding import sharded
 from tallyframe.llm.token_counts import token_counts
+from tallyframe.llm.url_filter import judged, rules_frame
+from tallyframe.llm.vector_search import top_products
+
+#: Rules of the URL query: host, path, verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +30,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -44,19 +54,109 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(read(spark, sf_dir, "documents"))
 
 
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(read(spark, sf_dir, "embeddings"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_token_counts, op3_sentencepiece, op4_mixing, op5_near_duplicates, op6_sharding, op8_secret_scan, op10_quality]
+    found = [
+        op1_url_filter,
+        op2_token_counts,
+        op3_sentencepiece,
+        op4_mixing,
+        op5_near_duplicates,
+        op6_sharding,
+        op7_vector_search,
+        op8_secret_scan,
+        op9_fingerprints,
+        op10_quality,
+    ]
     return {f.__name__: f for f in found}
 
 
+_OP1 = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fits AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST, length(rule_host) DESC) AS n
+  FROM split LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM fits WHERE n = 1
+"""
+
+_OP7 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, d.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+# The remainders by which the polynomial of CRC-32 (fixed value: 0xEDB88320) divides a byte, and a text's
+# checksum from them.
+_CRC_TABLE = """
+crc_steps AS (
+  WITH RECURSIVE s(b, k, c) AS (
+    SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+    UNION ALL
+    SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM s WHERE k < 8
+  )
+  SELECT list(c ORDER BY b) AS t FROM s WHERE k = 8
+)"""
+
+
+def _crc(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of a text's UTF-8 bytes; ``t`` is the table."""
+    data = f"list_transform(range(CAST(octet_length(encode({text})) AS BIGINT)), lambda i: CAST(('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}), lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295)"
+
+
+_OP6 = f"""
+WITH {_CRC_TABLE}, sized AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32,
+         md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents, crc_steps
+), ranked AS (
+  SELECT *, CAST(2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY source)) AS at FROM sized
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY at, h, doc_id NULLS FIRST, text_crc32, size, source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM ranked
+), cut AS (
+  SELECT *, n // 16 AS least, n % 16 AS longer FROM placed
+), sharded AS (
+  SELECT *, CASE WHEN place < longer * (least + 1) THEN place // (least + 1) ELSE longer + (place - longer * (least + 1)) // greatest(1, least) END AS shard FROM cut
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(place - shard * least - least(shard, longer) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM sharded
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries whose rows it can express. The others are tested against brute force, the
+    libraries they must equal, or held-out labels."""
+    return {"op1_url_filter": _OP1, "op6_sharding": _OP6, "op7_vector_search": _OP7}
