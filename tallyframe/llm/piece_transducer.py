@@ -20,6 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm.common import small_batches
 from tallyframe.llm.prefix_bpe import PrefixTable
@@ -171,7 +172,7 @@ def encode_pieces(documents: DataFrame, model: str, keep: tuple[str, ...] = ("do
     columns are not read, whatever their names; no rows give no rows. There is no shuffle."""
     small_batches(documents.sparkSession)
     source = documents.select(*keep, documents["text"].alias("__text"))
-    schema = source.drop("__text").schema.add("ids", "array<int>").add("n_ids", "long")
+    schema = source.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_ids", "long")
     if check:
         schema = schema.add("round_trip", "boolean")
 

@@ -132,7 +132,7 @@ crc_steps AS (
 
 def _crc(text: str) -> str:
     """DuckDB SQL for the CRC-32 of a text's UTF-8 bytes; ``t`` is the table."""
-    data = f"list_transform(range(CAST(octet_length(encode({text})) AS BIGINT)), lambda i: CAST(('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT))"
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST(('0x' || h) AS BIGINT))"
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}), lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295)"
 
 
@@ -142,16 +142,16 @@ WITH {_CRC_TABLE}, sized AS (
          md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
   FROM documents, crc_steps
 ), ranked AS (
-  SELECT *, CAST(2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY source)) AS at FROM sized
+  SELECT *, CAST(2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY source)) AS spread FROM sized
 ), placed AS (
-  SELECT *, row_number() OVER (ORDER BY at, h, doc_id NULLS FIRST, text_crc32, size, source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM ranked
+  SELECT *, row_number() OVER (ORDER BY spread, h, doc_id NULLS FIRST, text_crc32, size, source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM ranked
 ), cut AS (
-  SELECT *, n // 16 AS least, n % 16 AS longer FROM placed
+  SELECT *, n // 16 AS short, n % 16 AS longer FROM placed
 ), sharded AS (
-  SELECT *, CASE WHEN place < longer * (least + 1) THEN place // (least + 1) ELSE longer + (place - longer * (least + 1)) // greatest(1, least) END AS shard FROM cut
+  SELECT *, CASE WHEN place < longer * (short + 1) THEN place // (short + 1) ELSE longer + (place - longer * (short + 1)) // greatest(1, short) END AS shard FROM cut
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
-       CAST(place - shard * least - least(shard, longer) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+       CAST(place - shard * short - least(shard, longer) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
 FROM sharded
 """
 
