@@ -270,7 +270,7 @@ def safe_filename_component(x: ColumnLike) -> Column:
 
 def has_duplicate_flag(types: ColumnLike, flag: str) -> Column:
     """FN27: whether a comma-separated list has the token."""
-    return F.array_contains(F.transform(F.split(_c(types), ","), F.trim), flag)
+    return F.array_contains(F.transform(F.split(_c(types), ","), lambda x: F.trim(x)), flag)
 
 
 def json_payload_hash(text: ColumnLike) -> Column:

@@ -56,15 +56,16 @@ def parse_voter(df: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
     Blank cells are null. A sex or a history code outside its set rejects, a blank sex too; a bad date is
     null and sets a flag (1: birth, 2: registration). Reasons are field:kind, never values."""
     day = F.lit(today).cast("date")
-    cells = {c: S.clean_cell(c) for c in ("SEX", "DOB", "EDR", *HISTORY)}
-    out = df.withColumns(cells).withColumn("vuid", S.zfill(F.trim("VUID"), 10))
     codes = lambda c: GENERAL_CODES if c.startswith("GEN") else PRIMARY_CODES
-    problems = [F.when(~F.rlike("vuid", F.lit("^[0-9]{10}$")), "vuid:digits"), F.when(F.col("SEX").isNull(), "sex:blank").when(~F.col("SEX").isin(*SEXES), "sex:code")]
-    problems += [F.when(~F.col(c).isin(*codes(c)), f"{c.lower()}:code") for c in HISTORY]
-    dates = {"dob": S.ymd("DOB", 1880, day), "edr": S.ymd("EDR", 1900, day)}
-    out = out.withColumn("errors", F.array_compact(F.array(*problems)))
-    flags = S.pack_bits(F.col("DOB").isNotNull() & dates["dob"].isNull(), F.col("EDR").isNotNull() & dates["edr"].isNull())
-    voters = out.where(F.size("errors") == 0).select("vuid", F.col("SEX").alias("sex"), dates["dob"].alias("dob"), dates["edr"].alias("edr"), flags.alias("flags"), *[F.col(c).alias(c.lower()) for c in HISTORY])
+    # The tests are on raw cells, apart from the cleaned ones that are selected: where a filter holds the
+    # expressions of many aliases, the optimizer's constraints double with each.
+    raw = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    problems = [F.when(~F.rlike(raw("VUID"), F.lit("^[0-9]{1,10}$")), "vuid:digits"), F.when(raw("SEX") == "", "sex:blank").when(~raw("SEX").isin(*SEXES), "sex:code")]
+    problems += [F.when(~raw(c).isin("", *codes(c)), f"{c.lower()}:code") for c in HISTORY]
+    out = df.withColumn("vuid", S.zfill(F.trim("VUID"), 10)).withColumn("errors", F.array_compact(F.array(*problems)))
+    dates = {"dob": S.ymd(F.trim("DOB"), 1880, day), "edr": S.ymd(F.trim("EDR"), 1900, day)}
+    flags = S.pack_bits((raw("DOB") != "") & dates["dob"].isNull(), (raw("EDR") != "") & dates["edr"].isNull())
+    voters = out.where(F.size("errors") == 0).select("vuid", S.clean_cell("SEX").alias("sex"), dates["dob"].alias("dob"), dates["edr"].alias("edr"), flags.alias("flags"), *[S.clean_cell(c).alias(c.lower()) for c in HISTORY])
     return voters, out.where(F.size("errors") > 0).select("vuid", F.array_join("errors", ",").alias("reason"))
 
 
