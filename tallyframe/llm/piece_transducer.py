@@ -13,6 +13,8 @@ weight is left for each input, and it is the library's encoding.
 
 from __future__ import annotations
 
+import codecs
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +59,28 @@ def message_fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class SpacedWords(dict):
+    """Maps a word without its space mark to the id bytes of it with the mark."""
+
+    def __init__(self, words: PieceTransducer):
+        super().__init__()
+        self.of = words
+
+    def __missing__(self, word: str) -> bytes:
+        if word[-1:] in self.of.loose and word[-2:-1].isalpha():
+            return self[word[:-1]] + self.of[word[-1]]
+        cut = self.of.barrier.split(word, maxsplit=1) if self.of.barrier else [word]
+        if len(cut) > 1:
+            at = len(cut[0])
+            return self[cut[0]] + self.of[word[at : at + 1]] + self.of.rest(word[at + 1 :])
+        out = self.of.path(SPACE + word)
+        if len(word) <= LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = out
+        return out
+
+
 class PieceTransducer(dict):
     """Maps a word (from one space mark to the next) to the bytes of its piece ids, four to an id."""
 
@@ -79,6 +103,10 @@ class PieceTransducer(dict):
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Marks that no piece has right after a letter, so that words can be cut before them.
         self.loose = {c for c in CLOSING if not any(x == c and y.isalpha() for p in self.ids for y, x in zip(p, p[1:], strict=False))}
+        #: Control characters that no piece has: nothing is merged over them.
+        alone = [c for c in map(chr, range(32)) if not any(c in p for p in self.ids)]
+        self.barrier = re.compile("[" + "".join(map(re.escape, alone)) + "]") if alone else None
+        self.spaced = SpacedWords(self)
         rank = {p: -model.get_score(i) for p, i in self.ids.items()}
         self.table = PrefixTable(self.ids, max(map(len, self.ids)), lambda a, b: rank.get(a + b), list)
         #: What each id decodes to: bytes, with nothing for control pieces.
@@ -88,6 +116,7 @@ class PieceTransducer(dict):
         for b, i in self.bytes.items():
             self.outputs[i] = bytes([b])
         self.outputs[model.unk_id()] = " ⁇ ".encode()
+        self.output_array = np.array(self.outputs, object)
         self.fallback = set(self.bytes.values())
 
     def normalised(self, text: str) -> str:
@@ -100,10 +129,21 @@ class PieceTransducer(dict):
         i = self.ids.get(piece)
         return [i] if i is not None else [self.bytes[b] for b in piece.encode()]
 
+    def path(self, word: str) -> bytes:
+        """The ids of a word's shortest path, as int32 bytes."""
+        return np.array([i for piece in self.table.encode(word) for i in self.arcs(piece)], np.int32).tobytes()
+
+    def rest(self, word: str) -> bytes:
+        return self[word] if word else b""
+
     def __missing__(self, word: str) -> bytes:
+        cut = self.barrier.split(word, maxsplit=1) if self.barrier and len(word) > 1 else [word]
+        if len(cut) > 1:
+            at = len(cut[0])
+            return self.rest(cut[0]) + self[word[at : at + 1]] + self.rest(word[at + 1 :])
         if word[-1:] in self.loose and word[-2:-1].isalpha():
             return self[word[:-1]] + self[word[-1]]
-        out = np.array([i for piece in self.table.encode(word) for i in self.arcs(piece)], np.int32).tobytes()
+        out = self.path(word)
         if len(word) <= LONG:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -111,12 +151,12 @@ class PieceTransducer(dict):
         return out
 
     def encode(self, text: str) -> bytes:
-        """The ids of the shortest path, as int32 bytes."""
+        """The ids of a text, as int32 bytes."""
         text = self.normalised(text)
         if not self.by_word or SPACE * 2 in text or text.endswith(SPACE):
             return b"".join(map(self.__getitem__, self.words(text)))
         first, *rest = text.split(SPACE)
-        return (self[first] if first else b"") + b"".join([self[SPACE + w] for w in rest])
+        return self.rest(first) + b"".join(map(self.spaced.__getitem__, rest))
 
     def words(self, text: str) -> Iterator[str]:
         """Parts that no piece crosses: space marks and what follows them up to the next one."""
@@ -135,7 +175,7 @@ class PieceTransducer(dict):
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 give one U+FFFD each."""
-        raw = b"".join(map(self.outputs.__getitem__, ids.tolist()))
+        raw = b"".join(self.output_array[ids].tolist())
         if self.add_space and raw[:1] == b" " and len(ids) and int(ids[0]) not in self.fallback:
             raw = raw[1:]
         try:
@@ -148,8 +188,6 @@ def _bytewise(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
-import codecs  # noqa: E402
-
 codecs.register_error("bytewise", _bytewise)
 
 _transducers: dict[str, PieceTransducer] = {}
