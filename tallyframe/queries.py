@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from tallyframe.plans.series import day_series
 from tallyframe.sources import adapters as T
 from tallyframe.sources import readers as I
 from tallyframe.sources import sinks as K
+from tallyframe.streaming.ingest import first_appearances, streaming_day_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1118,6 +1121,41 @@ def fn29_day_digest(spark, sf_dir):
     return T.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(S.day_digest(S.canonical_line(["o_orderkey", "o_orderstatus"])).alias("digest"))
 
 
+# ---------------------------------------------------------------- streams
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = T.table(spark, sf_dir, "events").schema
+    # a pattern, as a stream's path must be one or a folder, and the table may be a file
+    return T.keyed(T.roster(spark, sf_dir, spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")))
+
+
+def _collected_stream(stream: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over what is there; each batch's output is a folder that a rerun of it overwrites."""
+    spark = stream.sparkSession
+    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4()}"
+    write = lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query(f" SELECT ev_date, {COUNTS} FROM roster WHERE method IS NOT NULL GROUP BY ev_date", ("roster",))
+def str01_streaming_day_series(spark, sf_dir):
+    """The last batch of a complete-mode stream is the whole series."""
+    out = _collected_stream(streaming_day_series(_event_stream(spark, sf_dir)), "complete")
+    last = out.agg(F.max("batch").alias("batch"))
+    return out.join(F.broadcast(last), "batch").drop("batch")
+
+
+@query(" SELECT id_voter, CAST(min(day) AS INTEGER) AS day, arg_min(row_key, day * 1000000000 + row_key) AS row_hash FROM roster GROUP BY id_voter", ("roster",))
+def str03_first_appearances(spark, sf_dir):
+    """State per voter; later batches give a voter again where its first appearance falls."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out = _collected_stream(first_appearances(_event_stream(spark, sf_dir)), "update")
+    best = out.groupBy("id_voter").agg(F.min(F.struct("day", "row_hash")).alias("x"))
+    return best.select("id_voter", "x.day", "x.row_hash")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_series_with_unique_voters(spark, sf_dir)
 

@@ -15,9 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as appearances: id_voter, ev_date, row_key, voting_method, county, precinct, voter_name."""
-    events = table(spark, sf_dir, "events")
+def roster(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Events (a stream of them, if given) as appearances: id_voter, ev_date, row_key, voting_method, county,
+    precinct, voter_name."""
+    events = table(spark, sf_dir, "events") if events is None else events
     nation = table(spark, sf_dir, "nation").select((F.col("n_nationkey").cast("long")).alias("__n"), F.col("n_name").alias("county"))
     method = F.lit("PROVISIONAL")
     for kind, text in METHODS.items():

@@ -59,28 +59,26 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-class FirstAppearance(StatefulProcessor):
-    """STR03: keeps a voter's least (day, row_hash, occ) and gives it whenever it falls."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "day int, row_hash long, occ int")
+def first_appearances(stream: DataFrame) -> DataFrame:
+    """STR03: a stream of first appearances per voter, each replacing the one before. State is a voter's
+    least (day, row_hash, occ). There is no watermark: the horizon is the whole election."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
+    class FirstAppearance(StatefulProcessor):  # local, so that it reaches the state's worker by value
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.first = handle.getValueState("first", "day int, row_hash long, occ int")
 
-        best = self.first.get() if self.first.exists() else None
-        least = min((t for batch in rows for t in batch[["day", "row_hash", "occ"]].itertuples(index=False, name=None)), default=None)
-        if least is not None and (best is None or least < tuple(best)):
-            self.first.update(least)
-            yield pd.DataFrame([(key[0], *least)], columns=["id_voter", "day", "row_hash", "occ"])
+        def handleInputRows(self, key, rows, timerValues) -> Iterator:
+            import pandas as pd
 
-    def close(self) -> None:
-        pass
+            best = self.first.get() if self.first.exists() else None
+            least = min((tuple(map(int, t)) for batch in rows for t in batch[["day", "row_hash", "occ"]].itertuples(index=False, name=None)), default=None)
+            if least is not None and (best is None or least < tuple(best)):
+                self.first.update(least)
+                yield pd.DataFrame([(key[0], *least)], columns=["id_voter", "day", "row_hash", "occ"])
 
+        def close(self) -> None:
+            pass
 
-def first_appearances(stream: DataFrame) -> DataFrame:
-    """STR03: a stream of first appearances per voter, each replacing the one before. There is no watermark:
-    the horizon is the whole election."""
     return stream.select("id_voter", "day", "row_hash", "occ").groupBy("id_voter").transformWithStateInPandas(statefulProcessor=FirstAppearance(), outputStructType="id_voter string, day int, row_hash long, occ int", outputMode="Update", timeMode="None")
 
 
