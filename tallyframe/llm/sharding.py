@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import cut_lineage
 
 #: Rows of a bucket, about.
-BUCKET = 20_000
+BUCKET = 2_000
 
 
 def ranked(rows: DataFrame, group: list[str], bucket: Column, order: list, name: str) -> DataFrame:
@@ -68,8 +68,9 @@ def sharded(documents: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
 def write_shards(documents: DataFrame, path: str, shards: int = 16, seed: int = 7) -> None:
     """Write whole rows as Parquet, a folder ``shard=k`` each, in slot order. Rows that share a doc_id go
     to the slots that it has in order of their texts' crc."""
-    key = Window.partitionBy("doc_id").orderBy(F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
-    own = sharded(documents, shards, seed).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("text_crc32", "shard", "slot"))).alias("__slots")).withColumnRenamed("doc_id", "__id")
-    rows = documents.withColumn("__at", F.row_number().over(key)).join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    whole = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__key")
+    key = Window.partitionBy("__key").orderBy(F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    own = sharded(documents, shards, seed).groupBy(whole("doc_id")).agg(F.sort_array(F.collect_list(F.struct("text_crc32", "shard", "slot"))).alias("__slots"))
+    rows = documents.withColumn("__key", whole("doc_id")).withColumn("__at", F.row_number().over(key)).join(own, "__key")
     rows = rows.select(*documents.columns, F.element_at("__slots", F.col("__at"))["shard"].alias("shard"), F.element_at("__slots", F.col("__at"))["slot"].alias("__slot"))
     rows.repartition("shard").sortWithinPartitions("shard", "__slot").drop("__slot").write.partitionBy("shard").parquet(path)
