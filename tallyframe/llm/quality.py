@@ -117,9 +117,11 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
     small_batches(documents.sparkSession)
     labels = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("__id"), "quality")
     labels = labels.where(~held_out(F.col("__id"))).groupBy("__id").agg(F.min("quality").alias("label"), F.max("quality").alias("__most")).where("label = __most").drop("__most")
-    share = min(1.0, max_rows / max(1, labels.count()))
+    total_labels = max(1, labels.count())
+    share = min(1.0, max_rows / total_labels)
+    parts = -(-min(total_labels, max_rows) // PART)
     place = F.shiftrightunsigned(F.xxhash64(F.lit(29), "__id"), 11) / F.lit(float(1 << 53))
-    chosen = labels.where(place < share).withColumn("part", F.floor(place / share * max(1, max_rows // PART)).cast("int"))
+    chosen = labels.where(place < share).withColumn("part", F.floor(place / share * parts).cast("int"))
     # at most about max_rows ids: bounded whatever the input
     source = documents.select(F.col("doc_id").cast("long").alias("__id"), "text").join(F.broadcast(chosen), "__id").select("part", "label", "text")
 
