@@ -365,6 +365,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85)
 
 
 def without_near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
-    """The rows of one document of each group, whole. Rows that repeat a doc_id all stay or all go."""
-    gone = cut_lineage(near_duplicates(documents, words, similarity).where("not kept").select("doc_id").distinct())
+    """The rows of one document of each group, whole. Rows that repeat a doc_id all stay if one of them does."""
+    kept = near_duplicates(documents, words, similarity).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    gone = cut_lineage(kept.where("not kept and doc_id is not null").select("doc_id"))
     return matched(documents, gone, "doc_id", "left_anti")

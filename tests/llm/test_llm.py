@@ -233,7 +233,10 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id or -1, r.kept) for r in ND.near_duplicates(odd).collect())
     assert len(got) == len(ODD)
     assert [g for g in got if g[0] == -1] == [(-1, 0, -1, True), (-1, 1, -1, True)]
-    assert ND.without_near_duplicates(odd).columns == odd.columns
+    single = ND.without_near_duplicates(odd)
+    assert single.columns == odd.columns and single.count() == len(ODD)
+    copies = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (2, "another text"), (3, "A b c")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in ND.without_near_duplicates(copies).collect()) == [1, 2, 2]
     assert ND.near_duplicates(odd.limit(0)).count() == 0
 
 
