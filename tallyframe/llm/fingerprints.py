@@ -157,7 +157,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     small_batches(spark)
     null = -(1 << 63)
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     edges = ranges(rows.select("id"), parts)
     place = F.array_size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("id"))) if edges else F.lit(0)
     rows = rows.withColumn("part", place)
