@@ -50,11 +50,12 @@ def match_summary(enriched: DataFrame) -> DataFrame:
     return out.withColumn("unmatched", F.col("total") - F.col("matched")).withColumn("match_rate", F.when(F.col("total") > 0, F.col("matched") / F.col("total")).otherwise(0.0))
 
 
-def parse_voter(df: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
+def parse_voter(df: DataFrame, today: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """PRJ03: (voters, rejects) from the register's 21 text columns.
 
     Blank cells are null. A sex or a history code outside its set rejects, a blank sex too; a bad date is
-    null and sets a flag (1: birth, 2: registration). Reasons are field:kind, never values."""
+    null and sets a flag (1: birth, 2: registration). Reasons are field:kind, never values. ``keep``: other
+    columns that voters keep."""
     day = F.lit(today).cast("date")
     codes = lambda c: GENERAL_CODES if c.startswith("GEN") else PRIMARY_CODES
     # The tests are on raw cells, apart from the cleaned ones that are selected: where a filter holds the
@@ -65,7 +66,7 @@ def parse_voter(df: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
     out = df.withColumn("vuid", S.zfill(F.trim("VUID"), 10)).withColumn("errors", F.array_compact(F.array(*problems)))
     dates = {"dob": S.ymd(F.trim("DOB"), 1880, day), "edr": S.ymd(F.trim("EDR"), 1900, day)}
     flags = S.pack_bits((raw("DOB") != "") & dates["dob"].isNull(), (raw("EDR") != "") & dates["edr"].isNull())
-    voters = out.where(F.size("errors") == 0).select("vuid", S.clean_cell("SEX").alias("sex"), dates["dob"].alias("dob"), dates["edr"].alias("edr"), flags.alias("flags"), *[S.clean_cell(c).alias(c.lower()) for c in HISTORY])
+    voters = out.where(F.size("errors") == 0).select("vuid", *keep, S.clean_cell("SEX").alias("sex"), dates["dob"].alias("dob"), dates["edr"].alias("edr"), flags.alias("flags"), *[S.clean_cell(c).alias(c.lower()) for c in HISTORY])
     return voters, out.where(F.size("errors") > 0).select("vuid", F.array_join("errors", ",").alias("reason"))
 
 

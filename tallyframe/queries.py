@@ -1054,11 +1054,8 @@ def _scores_sql() -> str:
 
 @query(_scores_sql(), ("register",))
 def fn11_voter_scores(spark, sf_dir):
-    register = T.register(spark, sf_dir)
-    voters, _ = R.parse_voter(register, "2026-11-03")
-    # repeats in the register have equal histories; pos tells them apart
-    pos = register.where("SEX in ('F', 'M', 'U')").select(F.lpad("VUID", 10, "0").alias("vuid"), "pos")
-    dated = voters.dropDuplicates(["vuid"]).join(pos, "vuid").withColumn("pri26_day", F.when(F.col("pos") % 4 != 0, (F.col("pos") % 11 + 1).cast("int")))
+    voters, _ = R.parse_voter(T.register(spark, sf_dir), "2026-11-03", keep=("pos",))
+    dated = voters.withColumn("pri26_day", F.when(F.col("pos") % 4 != 0, (F.col("pos") % 11 + 1).cast("int")))
     names = "n_voted n_early n_absentee n_election_day n_gen_pres n_gen_mid n_gen_off n_primary_r n_primary_d primary_pattern general_pattern typical_mode early_or_absentee_share earliness_n typical_earliness"
     return R.voter_scores(dated).select("vuid", "pos", *names.split())
 
