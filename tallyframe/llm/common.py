@@ -47,6 +47,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """About n distinct rows of these columns, or all if there are fewer, chosen by their hash: reruns agree,
+    and what tasks send is n rows in all, not each."""
+    share = min(1.0, n / max(1, df.count()))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(17), *columns), 11) / F.lit(float(1 << 53))
+    return df.select(*columns).where(place < share).distinct()
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of a batch of about ``limit`` bytes of text (one row at least), each with the bytes of
     its texts, end to end, and the n + 1 offsets of the rows in them. A null text is an empty one."""

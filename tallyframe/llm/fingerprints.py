@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, mix, powers, prefix_hash, small_batches
+from tallyframe.llm.common import U64, hash_sample, mix, powers, prefix_hash, small_batches
 
 #: Bytes of a window, and windows on each side among which a feature is the rarest.
 WINDOW, REACH = 64, 16
@@ -133,11 +133,21 @@ def as_text(bits: np.ndarray) -> str:
     return ".".join(base64.b64encode(row.tobytes()).decode() for row in np.packbits(bits, axis=1))
 
 
-def ranges(ids: DataFrame, parts: int) -> list[int]:
-    """At most ``parts`` - 1 ids that cut all into about equal ranges, from a bounded sample by hash."""
-    sample = ids.orderBy(F.xxhash64("id")).limit(32 * parts).collect()
-    values = sorted(r.id for r in sample)
-    return sorted({values[i * len(values) // parts] for i in range(1, parts)}) if values else []
+def ranges(ids: DataFrame, parts: int) -> np.ndarray:
+    """At most ``parts`` - 1 ids that cut all into about equal ranges, from a sample of 8 a range."""
+    values = np.array(sorted(r.id for r in hash_sample(ids, 8 * parts, "id").collect()), np.int64)
+    return np.unique(values[[i * len(values) // parts for i in range(1, parts)]]) if len(values) else values
+
+
+def range_of(column: Column, edges: np.ndarray) -> Column:
+    """How many of the ascending edges are no larger than a value: first among every 64th, then in between."""
+    if not len(edges):
+        return F.lit(0)
+    below = lambda xs: F.array_size(F.filter(xs, lambda e: e <= column))
+    if len(edges) <= 64:
+        return below(F.lit(edges))
+    block = below(F.lit(edges[::64])) - 1
+    return F.when(block < 0, 0).otherwise(block * 64 + below(F.slice(F.lit(edges), F.greatest(block, F.lit(0)) * 64 + 1, F.lit(64))))
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -159,13 +169,14 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     edges = ranges(rows.select("id"), parts)
-    place = F.array_size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("id"))) if edges else F.lit(0)
-    rows = rows.withColumn("part", place)
+    rows = rows.withColumn("part", range_of(F.col("id"), edges).cast("int"))
     # the least id of each range that has rows: at most ``parts`` of them
     heads = sorted((r.part, r.id) for r in rows.groupBy("part").agg(F.min("id").alias("id")).collect())
     before = {id_: heads[i - 1][0] for i, (_, id_) in enumerate(heads)}
-    ids, tos = (F.array(*map(F.lit, x)) for x in (before.keys(), before.values())) if before else (F.array().cast("array<long>"), F.array().cast("array<int>"))
-    extra = F.try_element_at(F.map_from_arrays(ids, tos), F.col("id"))
+    # one row per range: as many as tasks, so that it may be broadcast
+    neighbours = spark.createDataFrame(list(before.items()), "id long, before int")
+    rows = rows.join(F.broadcast(neighbours), "id", "left")
+    extra = F.col("before")
     twice = F.array_compact(F.array(F.struct("part", F.lit(0).alias("late")), F.when(extra.isNotNull(), F.struct(extra.alias("part"), F.lit(1).alias("late")))))
     dealt = rows.withColumn("to", F.explode(twice)).select("to.part", "to.late", "id", "text")
     dealt = dealt.repartition("part").sortWithinPartitions("part", "late", "id", "text")

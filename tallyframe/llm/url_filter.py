@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import small_batches
+from tallyframe.llm.common import hash_sample, small_batches
 
 #: Sampled keys per range.
-SAMPLE = 32
+SAMPLE = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -92,8 +92,8 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     urls = urls.select("page_id", F.coalesce("h", F.lit("")).alias("host"), F.coalesce("p", F.lit("")).alias("path"), "salt")
     urls = urls.withColumn("key", F.concat(reversed_host(F.col("host")), F.lit(".")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    sample = sorted((r.key, r.salt) for r in urls.select("key", "salt").orderBy("salt").limit(SAMPLE * parts).collect())
-    # salts of the sample are its least ones; places among equal keys are dealt evenly over all salts
+    sample = sorted((r.key, r.salt) for r in hash_sample(urls, SAMPLE * parts, "key", "salt").collect())
+    # places among equal keys are dealt evenly over all salts
     edges: list[tuple[str, int]] = []
     for i in range(1, parts):
         at = i * len(sample) // parts

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut_lineage, small_batches
+from tallyframe.llm.common import cut_lineage, hash_sample, small_batches
 
 #: Vectors that the centres are chosen from, centres at most, and vectors of a block, about.
 SAMPLE, CENTRES, BLOCK = 2048, 256, 4096
@@ -166,7 +166,7 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     first = Window.partitionBy("v").orderBy("vec_id")
     # k + 1 ids of equal vectors are enough: any more would rank behind them
     ids = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    sample = unpack([bytes(r.v) for r in rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).collect()])
+    sample = unpack([bytes(r.v) for r in sorted(hash_sample(rows, SAMPLE, "vec_id", "v").collect())])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     centres = spark.sparkContext.broadcast(sample[farthest_first(sample, min(CENTRES, max(1, total // BLOCK)))])

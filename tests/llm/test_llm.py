@@ -424,3 +424,10 @@ def test_pipeline_stages(spark):
     assert mix.columns == documents.columns
     out = stages["pieces"](spark, mix, base)
     assert out.count() == mix.count() and out.where("not round_trip").isEmpty()
+
+
+def test_range_of_equals_searchsorted(spark):
+    for n in (0, 5, 64, 65, 300):
+        edges = np.unique(np.random.default_rng(n).integers(-1000, 1000, n))
+        rows = spark.range(-1100, 1100).select("id", FP.range_of(F.col("id"), edges).alias("at")).collect()
+        assert [r["at"] for r in rows] == edges.searchsorted([r["id"] for r in rows], "right").tolist()
