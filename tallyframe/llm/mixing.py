@@ -138,10 +138,11 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     """The rows that the mix takes, whole, each as often as it is taken.
 
     Rows that share a doc_id get its decisions in order of source and size."""
-    taken = mixed(documents, weights, share, most, seed).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("__taken"))
-    taken = taken.withColumnRenamed("doc_id", "__id")
-    key = Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_first(), words_of(F.col("text")))
-    numbered = documents.withColumn("__at", F.row_number().over(key))
-    out = numbered.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    whole = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__key")
+    taken = mixed(documents, weights, share, most, seed).groupBy(whole("doc_id")).agg(F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("__taken"))
+    # the window and the join share one key, so texts are shuffled once
+    key = Window.partitionBy("__key").orderBy(F.col("source").asc_nulls_first(), words_of(F.col("text")))
+    numbered = documents.withColumn("__key", whole("doc_id")).withColumn("__at", F.row_number().over(key))
+    out = numbered.join(taken, "__key")
     copies = F.element_at("__taken", F.col("__at"))["copies"]
     return out.where(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*documents.columns)
