@@ -69,10 +69,9 @@ class SpacedWords(dict):
     def __missing__(self, word: str) -> bytes:
         if word[-1:] in self.of.loose and word[-2:-1].isalpha():
             return self[word[:-1]] + self.of[word[-1]]
-        cut = self.of.barrier.split(word, maxsplit=1) if self.of.barrier else [word]
+        cut = self.of.barrier.split(word) if self.of.barrier else [word]
         if len(cut) > 1:
-            at = len(cut[0])
-            return self[cut[0]] + self.of[word[at : at + 1]] + self.of.rest(word[at + 1 :])
+            return self[cut[0]] + b"".join(map(self.of.rest, cut[1:]))
         out = self.of.path(SPACE + word)
         if len(word) <= LONG:
             if len(self) >= REMEMBERED:
@@ -103,9 +102,10 @@ class PieceTransducer(dict):
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Marks that no piece has right after a letter, so that words can be cut before them.
         self.loose = {c for c in CLOSING if not any(x == c and y.isalpha() for p in self.ids for y, x in zip(p, p[1:], strict=False))}
-        #: Control characters that no piece has: nothing is merged over them.
+        #: Control characters that no piece has: nothing is merged over them. A split keeps them, each between
+        #: the parts beside it.
         alone = [c for c in map(chr, range(32)) if not any(c in p for p in self.ids)]
-        self.barrier = re.compile("[" + "".join(map(re.escape, alone)) + "]") if alone else None
+        self.barrier = re.compile("([" + "".join(map(re.escape, alone)) + "])") if alone else None
         self.spaced = SpacedWords(self)
         rank = {p: -model.get_score(i) for p, i in self.ids.items()}
         self.table = PrefixTable(self.ids, max(map(len, self.ids)), lambda a, b: rank.get(a + b), list)
@@ -137,10 +137,9 @@ class PieceTransducer(dict):
         return self[word] if word else b""
 
     def __missing__(self, word: str) -> bytes:
-        cut = self.barrier.split(word, maxsplit=1) if self.barrier and len(word) > 1 else [word]
+        cut = self.barrier.split(word) if self.barrier and len(word) > 1 else [word]
         if len(cut) > 1:
-            at = len(cut[0])
-            return self.rest(cut[0]) + self[word[at : at + 1]] + self.rest(word[at + 1 :])
+            return b"".join(map(self.rest, cut))
         if word[-1:] in self.loose and word[-2:-1].isalpha():
             return self[word[:-1]] + self[word[-1]]
         out = self.path(word)

@@ -116,6 +116,15 @@ def test_pieces_equal_the_library(docs, odd):
     assert PT.encode_pieces(docs.limit(0), PIECES).count() == 0
 
 
+def test_pieces_of_long_texts_without_spaces():
+    import sentencepiece
+
+    library, machine = sentencepiece.SentencePieceProcessor(model_file=PIECES), PT.PieceTransducer(PIECES)
+    for text in ("word\n" * 100_000, "\n" * 100_000, "a first\tone" + "\n日本,\t12.\n\n" * 15_000 + " end"):
+        ids = np.frombuffer(machine.encode(text), np.int32)
+        assert ids.tolist() == library.encode(text) and machine.decode(ids) == text
+
+
 def test_pieces_decode_as_the_library(spark):
     import sentencepiece
 
