@@ -4,6 +4,9 @@ Method: improbable-feature digest. Every window of 64 bytes is ranked by the ent
 far from what running text has are rare, and windows that are rarest in their neighbourhood are chosen as
 features. They go into a chain of Bloom filters of 2048 bits, a new one for every 128 features, and two
 digests are compared by the bits that their filters share beyond chance, from 0 to 1.
+
+A short text has few such windows or none, so it has chains of shorter windows besides (``SIZES``); only
+chains of one window size are compared.
 """
 
 from __future__ import annotations
@@ -26,31 +29,35 @@ BITS, HASHES, FEATURES = 2048, 5, 128
 #: Entropy of a window of running text in bits, about; the farther from it, the rarer. Windows below
 #: LEAST bits say nothing and are chosen only where there are no others.
 TYPICAL, LEAST = 4.0, 1.0
+#: Window, reach, typical entropy, and bytes below which a text has features of this size. An edited text has
+#: 0.5 to 2.5 times the bytes for a kept half of one-byte characters; the bounds overlap by more than that,
+#: so that the two have a size in common which is short beside what they share.
+SIZES = ((WINDOW, REACH, TYPICAL, 1 << 62), (16, 4, 3.3, 1024), (4, 1, 1.8, 256), (2, 0, 1.0, 64), (1, 0, 0.0, 8))
 #: Bytes of texts that are worked on at once.
 SLICE = 1 << 18
 
 _LOG = np.zeros(WINDOW + 2)
 _LOG[1:] = np.arange(1, WINDOW + 2) * np.log2(np.arange(1, WINDOW + 2))
-#: Steps of entropy * WINDOW when a byte's count in the window rises to k, in units of 1 / 4096 bit.
+#: Steps of entropy * window when a byte's count in the window rises to k, in units of 1 / 4096 bit.
 _STEP = np.diff(np.round(_LOG * 4096)).astype(np.int32)
 
 
-def entropies(data: np.ndarray) -> np.ndarray:
+def entropies(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Entropy of each window's bytes, in bits. Counts of a window's first and last byte in it say by how
     much the sum changes from one window to the next."""
-    n = len(data) - WINDOW + 1
-    ahead = np.zeros(len(data), np.uint8)  # equal bytes among the WINDOW - 1 after each
+    n = len(data) - window + 1
+    ahead = np.zeros(len(data), np.uint8)  # equal bytes among the window - 1 after each
     behind = np.zeros(len(data), np.uint8)
-    for d in range(1, WINDOW):
+    for d in range(1, window):
         same = (data[:-d] == data[d:]).view(np.uint8)
         ahead[:-d] += same
         behind[d:] += same
-    first = np.bincount(data[:WINDOW], minlength=256)
+    first = np.bincount(data[:window], minlength=256)
     total = np.empty(n, np.int64)
     total[0] = int(np.round(_LOG[first] * 4096).sum())
-    total[1:] = _STEP[behind[WINDOW:]] - _STEP[ahead[: n - 1]]
-    # behind counts within WINDOW - 1 bytes, so the byte that has just left isn't among them
-    return np.log2(WINDOW) - np.cumsum(total) / (4096 * WINDOW)
+    total[1:] = _STEP[behind[window:]] - _STEP[ahead[: n - 1]]
+    # behind counts within window - 1 bytes, so the byte that has just left isn't among them
+    return np.log2(window) - np.cumsum(total) / (4096 * window)
 
 
 def least_within(x: np.ndarray, reach: int) -> np.ndarray:
@@ -66,44 +73,48 @@ def least_within(x: np.ndarray, reach: int) -> np.ndarray:
     return (np.minimum(padded[: len(padded) - rest], padded[rest:]) if rest else padded)[: len(x)]
 
 
-def features(texts: list[bytes]) -> list[np.ndarray]:
-    """Hashes of the features of each text, in order. A text shorter than a window is one feature; the
-    empty text has none."""
-    long = [i for i, t in enumerate(texts) if len(t) >= WINDOW]
-    out: list[np.ndarray] = [np.empty(0, U64)] * len(texts)
-    for i, t in enumerate(texts):
-        if 0 < len(t) < WINDOW:
-            data = np.frombuffer(t, np.uint8)
-            out[i] = mix(prefix_hash(data)[-1:] + U64(len(t)))
-    if not long:
-        return out
-    data = np.frombuffer(b"".join(texts[i] for i in long), np.uint8)
-    sizes = np.array([len(texts[i]) for i in long])
+def features(texts: list[bytes]) -> list[dict[int, np.ndarray]]:
+    """Hashes of the features of each text, in order, by their size. The empty text has none."""
+    out: list[dict[int, np.ndarray]] = [{} for _ in texts]
+    for window, reach, typical, below in SIZES:
+        own = [i for i, t in enumerate(texts) if window <= len(t) < below]
+        for i, found in zip(own, features_of([texts[i] for i in own], window, reach, typical), strict=True):
+            out[i][window] = found
+    return out
+
+
+def features_of(texts: list[bytes], window: int, reach: int, typical: float) -> list[np.ndarray]:
+    """Hashes of the features of one size of each text; none is shorter than a window."""
+    if not texts:
+        return []
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
     sums = prefix_hash(data)
-    n = len(data) - WINDOW + 1
-    hashes = mix((sums[WINDOW:] - sums[:n]) * powers(n)[1])
-    entropy = entropies(data)
-    rarity = np.abs(entropy - TYPICAL) * 4096
+    n = len(data) - window + 1
+    hashes = mix((sums[window:] - sums[:n]) * powers(n)[1])
+    entropy = entropies(data, window)
+    rarity = np.abs(entropy - typical) * 4096
     # the rarest first; equals in an order that their bytes decide
     rank = np.where(entropy < LEAST, 1 << 20, (1 << 19) - np.minimum(rarity, (1 << 19) - 1).astype(np.int64))
     key = rank << 32 | (hashes >> U64(32)).astype(np.int64)
     valid = np.ones(n, bool)
     for end in ends[:-1]:
-        valid[end - WINDOW + 1 : end] = False
+        valid[end - window + 1 : end] = False
     key[~valid] = np.iinfo(np.int64).max
-    # texts are apart by WINDOW - 1 > REACH invalid windows, so neighbourhoods don't mix
-    chosen = np.flatnonzero(valid & (key == least_within(key, REACH)))
+    # texts are apart by window - 1 >= reach invalid windows, so neighbourhoods don't mix
+    chosen = np.flatnonzero(valid & (key == least_within(key, reach)))
     cuts = chosen.searchsorted(np.concatenate([[0], ends]))
-    for k, i in enumerate(long):
-        found = hashes[chosen[cuts[k] : cuts[k + 1]]]
+    out = []
+    for at, to in zip(cuts, cuts[1:], strict=False):
+        found = hashes[chosen[at:to]]
         _, first = np.unique(found, return_index=True)
-        out[i] = found[np.sort(first)]
+        out.append(found[np.sort(first)])
     return out
 
 
-def digest(found: np.ndarray) -> np.ndarray:
-    """The filters of a text's features: one row of bits each."""
+def filters(found: np.ndarray) -> np.ndarray:
+    """The filters of features of one size: one row of bits each."""
     n = -(-len(found) // FEATURES)
     bits = np.zeros((n, BITS), np.uint8)
     if n:
@@ -113,11 +124,15 @@ def digest(found: np.ndarray) -> np.ndarray:
     return bits
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """How alike two digests are: each filter of the shorter chain is held against all of the longer one,
-    and the best shares of common bits beyond chance are averaged, weighted by the filter's bits."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
+def digest(found: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The chain of filters of a text's features of each size."""
+    return {window: filters(x) for window, x in found.items()}
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> tuple[float, int]:
+    """How alike two chains are, and the bits that this rests on: each filter of the shorter chain is held
+    against all of the longer one, and the best shares of common bits beyond chance are averaged, weighted by
+    the filter's bits."""
     if len(a) > len(b):
         a, b = b, a
     own, other = a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64)
@@ -125,12 +140,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     chance = own[:, None] * other[None, :] / BITS
     most = np.minimum(own[:, None], other[None, :])
     share = np.clip((common - chance) / np.maximum(1e-9, most - chance), 0, 1)
-    return float((share.max(axis=1) * own).sum() / own.sum())
+    return float((share.max(axis=1) * own).sum() / own.sum()), int(own.sum())
+
+
+def likeness(a: dict[int, np.ndarray], b: dict[int, np.ndarray]) -> float:
+    """How alike two digests are: the mean over the window sizes that both have, weighted by bits. Digests
+    without a common size are unlike."""
+    if not a or not b:
+        return float(len(a) == len(b))
+    parts = [shared(a[window], b[window]) for window in sorted(a.keys() & b.keys())]
+    return sum(x * n for x, n in parts) / max(1, sum(n for _, n in parts))
 
 
-def as_text(bits: np.ndarray) -> str:
-    """A digest as text: its filters in base64, joined by points."""
-    return ".".join(base64.b64encode(row.tobytes()).decode() for row in np.packbits(bits, axis=1))
+def as_text(bits: dict[int, np.ndarray]) -> str:
+    """A digest as text: its filters in base64, joined by points; chains of windows other than the longest
+    begin with their size and a colon, and follow it after a comma."""
+    chain = lambda x: ".".join(base64.b64encode(row.tobytes()).decode() for row in np.packbits(x, axis=1))
+    return ",".join((f"{window}:" if window != WINDOW else "") + chain(x) for window, x in bits.items())
 
 
 def ranges(ids: DataFrame, parts: int) -> np.ndarray:

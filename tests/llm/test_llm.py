@@ -381,6 +381,21 @@ def test_likeness_orders_texts():
     assert FP.likeness(one, one) == 1 and FP.likeness(one, other) < 0.1 and 0.25 < FP.likeness(one, mixed) < 0.75
 
 
+def test_likeness_of_short_texts(spark):
+    """Half of each text is kept: it is more like its edited text than like the next, whatever its length."""
+    rnd = random.Random(4)
+    made = ["".join(rnd.choice("abcdefghijklmnopqrst uvwxyz") for _ in range(n)) for n in range(4, 130) for _ in range(3)]
+    made += ["".join(rnd.choice("一二三四五六七八九十") for _ in range(n)) for n in range(2, 40)]
+    rnd.shuffle(made)
+    frame = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    rows = [r for r in FP.fingerprints(frame).collect() if r.doc_id < len(made) - 1]
+    assert all(r.near_edited > 0 for r in rows)
+    assert sum(r.near_edited > r.near_next for r in rows) >= 0.97 * len(rows)
+    a = b"one short text of under 64 bytes"
+    one, other = (FP.digest(f) for f in FP.features([a, a.replace(b"short", b"shost")]))
+    assert FP.likeness(one, one) == 1 and FP.likeness(one, other) > 0.4
+
+
 # 10
 
 
