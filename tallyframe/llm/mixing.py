@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tallyframe.llm.common import cut_lineage
 
 #: Documents settled in one row: blocks have about so many, whatever a source's size.
 BLOCK = 128
+#: Rows of one doc_id, source and size that are numbered in one task, about; copies of a row in one list.
+SALTED = 1 << 15
 #: Fixed value: a word is a run of characters other than these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -135,14 +138,43 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: flo
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11) -> DataFrame:
-    """The rows that the mix takes, whole, each as often as it is taken.
+    """The rows that the mix takes, whole, each as often as it is taken. Reruns agree.
 
-    Rows that share a doc_id get its decisions in order of source and size."""
+    Rows that share doc_id, source and words are told apart by a hash of all their columns (of types that
+    can be hashed, so no maps), and get its decisions in order of salt and hash; equal rows are one row
+    with a count, and are taken as often as all of them together."""
     whole = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__key")
-    taken = mixed(documents, weights, share, most, seed).groupBy(whole("doc_id")).agg(F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("__taken"))
-    # the window and the join share one key, so texts are shuffled once
-    key = Window.partitionBy("__key").orderBy(F.col("source").asc_nulls_first(), words_of(F.col("text")))
-    numbered = documents.withColumn("__key", whole("doc_id")).withColumn("__at", F.row_number().over(key))
-    out = numbered.join(taken, "__key")
-    copies = F.element_at("__taken", F.col("__at"))["copies"]
-    return out.where(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*documents.columns)
+    hashed = F.xxhash64(*documents.columns, *[F.col(c).isNull() for c in documents.columns])
+    named = [whole("doc_id"), F.col("source").alias("__source"), words_of(F.col("text")).alias("__size"), hashed.alias("__hash")]
+    rows = cut_lineage(documents.select(*named).groupBy("__key", "__source", "__size", "__hash").agg(F.count("*").alias("__n")))
+    # salts grow with the rows, so that no group's part for one task does
+    salts = (rows.agg(F.sum("__n")).first()[0] or 0) // SALTED + 1
+    rows = rows.withColumn("__salt", F.pmod("__hash", F.lit(salts)))
+    # of rows alike, some are taken once more than the others: how many is all that their decisions say
+    group = ["__key", "__source", "__size"]
+    decided = mixed(documents, weights, share, most, seed).groupBy(whole("doc_id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+    decided = decided.agg(F.min("copies").alias("__low"), (F.sum("copies") - F.count("*") * F.min("copies")).alias("__more"))
+    parts = rows.groupBy(*group, "__salt").agg(F.sum("__n").alias("__n"))
+    parts = same(parts, decided, group).withColumn("__more", portion(Window.partitionBy(*group).orderBy("__salt")))
+    own = same(rows, parts.drop("__n"), [*group, "__salt"]).withColumn("__more", portion(Window.partitionBy(*group, "__salt").orderBy("__hash")))
+    taken = cut_lineage(own.select("__key", "__hash", "__n", (F.col("__low") * F.col("__n") + F.col("__more")).alias("__copies")).where("__copies > 0"))
+
+    single = documents if taken.where("__n > 1").isEmpty() else documents.distinct()
+    # many copies of one row are several lists of them
+    pieces = taken.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / SALTED))))
+    pieces = pieces.select("__key", "__hash", F.least(F.lit(SALTED), F.col("__copies") - F.col("__piece") * SALTED).alias("__copies"))
+    out = single.withColumn("__key", whole("doc_id")).withColumn("__hash", hashed).join(pieces, ["__key", "__hash"])
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*documents.columns)
+
+
+def same(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Inner join on columns of which nulls are equal."""
+    other = right.withColumnsRenamed({c: f"{c}_other" for c in columns})
+    on = [left[c].eqNullSafe(other[f"{c}_other"]) for c in columns]
+    return left.join(other, on).drop(*[f"{c}_other" for c in columns])
+
+
+def portion(order: WindowSpec) -> Column:
+    """What each row takes of ``__more``, at most its ``__n``, when rows are served in this order."""
+    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return F.greatest(F.lit(0).cast("long"), F.least(F.col("__n"), F.col("__more") - before))

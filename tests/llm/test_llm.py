@@ -182,6 +182,28 @@ def test_mixing_settles_over_many_blocks(spark):
     assert all(abs(r.taken - r.target) <= 17 for r in sums)
 
 
+def test_mix_of_a_hot_id(spark, monkeypatch):
+    """Null and repeated ids: each group's decisions are met, no row is lost, and order doesn't matter."""
+    monkeypatch.setattr(M, "SALTED", 100)
+    made = [(None, f"t{i} b", "x", i % 2) for i in range(1500)] + [(7, f"u{i}" + " v" * (i % 3), None, 0) for i in range(600)] + [(None, "same text", "x", 0)] * 400 + [(i, f"own {i}", "yz"[i % 2], 1) for i in range(900)] + [(None, None, "x", None), (None, "x", None, None)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, source string, extra int")
+    want = {}
+    for r in M.mixed(frame).collect():
+        want[r.doc_id, r.source, r["size"]] = want.get((r.doc_id, r.source, r["size"]), 0) + r.copies
+    mixed = M.mix(frame)
+    assert mixed.columns == frame.columns
+    assert "collect_list" not in mixed._jdf.queryExecution().toString()
+    rows, got, each = mixed.collect(), {}, {}
+    for r in rows:
+        key = (r.doc_id, r.source, len(WORD.findall(r.text or "")))
+        got[key] = got.get(key, 0) + 1
+        each[tuple(r)] = each.get(tuple(r), 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert all(n <= 2 * made.count(k) for k, n in each.items())
+    again = M.mix(frame.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
 # 5
 
 
