@@ -10,12 +10,11 @@ all that the stage before kept.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm.common import read
+from tallyframe.llm.common import checkpoint_folder, read
 from tallyframe.llm.mixing import mix
 from tallyframe.llm.near_dedup import without_near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
@@ -52,8 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``. What each keeps is written as Parquet in the shared folder of
-    ``spark.checkpoint.dir`` (a temporary one only where that is unset) and read as the next one's input."""
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/pipeline-{uuid.uuid4()}"
+    ``spark.checkpoint.dir`` and read as the next one's input."""
+    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

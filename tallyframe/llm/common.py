@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tallyframe.workers import ship_package
 
-#: Rows that Spark may put into one Arrow batch for the operators here; texts can be long.
-ARROW_ROWS = 512
 #: Bytes of text that a task works on at once.
 SLICE_BYTES = 1 << 20
 #: Bits of an id bitmap: 8 MiB whatever the input, so that it may be broadcast.
@@ -23,24 +20,41 @@ BITMAP_BITS = 1 << 26
 U64 = np.uint64
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the folder of ``spark.checkpoint.dir``.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all machines of a cluster share; it has to be set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
 
-    Only where that setting is absent and no folder was set (tests, notebooks) a temporary one is made."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the context's checkpoint folder, or that of ``spark.checkpoint.dir``."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Send this package to the workers and lower the rows of an Arrow batch: 10,000 texts of 1 MB would
-    not fit a worker."""
+def with_package(spark: SparkSession) -> None:
+    """Send this package to workers that don't have it."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+
+
+def quoted(name: str) -> str:
+    """A column's name for Spark, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole(df: DataFrame) -> Column:
+    """A row as one struct: names beside it can't clash with the row's own."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of types that can be hashed (no maps). Nulls count, each in its place."""
+    named = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.xxhash64(*named, *[c.isNull() for c in named])
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,6 +86,12 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         at = to
 
 
+def texts_of(data: np.ndarray, offsets: np.ndarray) -> list[str]:
+    """The texts of a part that ``text_slices`` gives."""
+    raw = data.tobytes()
+    return [raw[i:j].decode() for i, j in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply), for whole arrays."""
     x = x ^ (x >> U64(30))
@@ -130,14 +150,13 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     return hashes, start, end, np.searchsorted(start, offsets)
 
 
-def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """Bits of the hashes of a column's values, as 8 MiB of bytes for any number of ids.
+def id_bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Bits of a column's hashes (64-bit numbers), as 8 MiB of bytes for any number of them.
 
-    It lets through all the ids and, once there are many, some others: a filter in front of an exact
+    It lets through all of them and, once there are many, some others: a filter in front of an exact
     join, which thereby shuffles fewer rows. Only these 2,048 blocks come to the driver."""
-    spot = bitmap_spot(F.col(column)).alias("spot")
     blocks = (
-        ids.select(spot)
+        hashes.select((F.pmod(column, F.lit(BITMAP_BITS)) + 1).alias("spot"))
         .groupBy(F.bitmap_bucket_number("spot").alias("block"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
         .collect()
@@ -150,33 +169,27 @@ def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def bitmap_spot(column: Column) -> Column:
-    """Where a value stands in ``id_bitmap``, from 1 as the bitmap functions count."""
-    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
-
-
-def in_bitmap(bits: np.ndarray, spots: np.ndarray) -> np.ndarray:
-    at = spots.astype(np.int64) - 1
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.astype(np.int64) % BITMAP_BITS
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def matched(df: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
-    """``left_semi`` or ``left_anti`` join of wide rows with ids that shuffles few of the wide rows.
+def matched_rows(df: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of wide rows with ``rows`` (row: their ``row_hash``) that shuffles few
+    of the wide rows.
 
-    Rows whose id is not in the bitmap of ``ids`` surely have no match and stay where they are; the
-    others go through an exact join. Null ids match nothing."""
+    Rows whose hash is not in the bitmap of ``rows`` surely have no match and stay where they are; the others
+    go through an exact join."""
     spark = df.sparkSession
-    small_batches(spark)
-    bits = spark.sparkContext.broadcast(id_bitmap(ids, column))
+    with_package(spark)
+    bits = spark.sparkContext.broadcast(id_bitmap(rows, "row"))
 
     @F.pandas_udf("boolean")
-    def maybe(spots):
+    def maybe(hashes):
         import pandas as pd
 
-        return pd.Series(in_bitmap(bits.value, spots.fillna(1).to_numpy()))
+        return pd.Series(in_bitmap(bits.value, hashes.to_numpy()))
 
-    flagged = df.withColumn("__maybe", maybe(bitmap_spot(F.col(column))))
-    exact = flagged.where("__maybe").drop("__maybe").join(ids.select(column).distinct(), column, how).select(*df.columns)
-    if how == "left_semi":
-        return exact
-    return exact.unionByName(flagged.where("not __maybe").drop("__maybe"))
+    flagged = df.select(row_hash(df).alias("row"), whole(df).alias("whole")).withColumn("maybe", maybe("row"))
+    out = flagged.where("maybe").join(rows.select("row").distinct(), "row", how).select("whole.*")
+    return out if how == "left_semi" else out.unionByName(flagged.where("not maybe").select("whole.*"))

@@ -1,8 +1,9 @@
 """Document fingerprints (operator 9).
 
-Method: improbable-feature digest. Every window of 64 bytes is ranked by the entropy of its bytes: values
-far from what running text has are rare, and windows that are rarest in their neighbourhood are chosen as
-features. They go into a chain of Bloom filters of 2048 bits, a new one for every 128 features, and two
+Method: improbable-feature digest. Every window of 64 bytes is ranked by how improbable the entropy of its
+bytes is. Entropies of running text have one peak and fall off alike on both sides of it, so the rank is the
+distance from the peak (``TYPICAL``); nearly constant windows (below ``LEAST`` bits) come last, since they are
+padding and say nothing. Windows that are rarest in their neighbourhood are chosen as features. They go into a chain of Bloom filters of 2048 bits, a new one for every 128 features, and two
 digests are compared by the bits that their filters share beyond chance, from 0 to 1.
 
 A short text has few such windows or none, so it has chains of shorter windows besides (``SIZES``); only
@@ -13,14 +14,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, hash_sample, mix, powers, prefix_hash, small_batches
+from tallyframe.llm.common import U64, hash_sample, mix, powers, prefix_hash, with_package
 
 #: Bytes of a window, and windows on each side among which a feature is the rarest.
 WINDOW, REACH = 64, 16
@@ -159,61 +161,56 @@ def as_text(bits: dict[int, np.ndarray]) -> str:
     return ",".join((f"{window}:" if window != WINDOW else "") + chain(x) for window, x in bits.items())
 
 
-def ranges(ids: DataFrame, parts: int) -> np.ndarray:
-    """At most ``parts`` - 1 ids that cut all into about equal ranges, from a sample of 8 a range."""
-    values = np.array(sorted(r.id for r in hash_sample(ids, 8 * parts, "id").collect()), np.int64)
-    return np.unique(values[[i * len(values) // parts for i in range(1, parts)]]) if len(values) else values
-
-
-def range_of(column: Column, edges: np.ndarray) -> Column:
-    """How many of the ascending edges are no larger than a value: first among every 64th, then in between."""
-    if not len(edges):
-        return F.lit(0)
-    below = lambda xs: F.array_size(F.filter(xs, lambda e: e <= column))
-    if len(edges) <= 64:
-        return below(F.lit(edges))
-    block = below(F.lit(edges[::64])) - 1
-    return F.when(block < 0, 0).otherwise(block * 64 + below(F.slice(F.lit(edges), F.greatest(block, F.lit(0)) * 64 + 1, F.lit(64))))
+def ranges(rows: DataFrame, parts: int) -> list[tuple[int, int, int]]:
+    """At most ``parts`` - 1 keys (id, hash, row) that cut all rows into about equal ranges, from a sample of 8 a range."""
+    values = sorted(tuple(r) for r in hash_sample(rows, 8 * parts, "id", "hash", "row").collect())
+    return sorted({values[i * len(values) // parts] for i in range(1, parts)}) if values else []
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each row.
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as many
-    (or all) of the next document's, by ascending doc_id and, of equal ids, by text; after the last comes
-    the first. near_edited and near_next: likeness to the edited text and to the next document.
+    (or all) of the next document's, by ascending doc_id and, of equal ids, by a hash of the text; after the
+    last comes the first. near_edited and near_next: likeness to the edited text and to the next document.
 
     A null or empty text has an empty digest, which is like another empty one (1) and unlike others (0). A
     null doc_id comes before all others. Repeated rows follow each other. A single row is its own next.
     Other columns are not read, whatever their names; no rows give no rows.
 
-    Whole texts are dealt out once, by ranges of doc_id; only the first document of each range goes to two
-    tasks, since the range before needs it as its next."""
+    Whole texts are dealt out once, by ranges of (doc_id, hash of the text, row's number), so that an id of very
+    many rows is cut into several ranges; only the first document of each range goes to two tasks, since the range
+    before needs it as its next. Equal rows are interchangeable, so numbers of rows decide no result."""
     spark = documents.sparkSession
-    small_batches(spark)
+    with_package(spark)
     null = -(1 << 63)
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    edges = ranges(rows.select("id"), parts)
-    rows = rows.withColumn("part", range_of(F.col("id"), edges).cast("int"))
-    # the least id of each range that has rows: at most ``parts`` of them
-    heads = sorted((r.part, r.id) for r in rows.groupBy("part").agg(F.min("id").alias("id")).collect())
-    before = {id_: heads[i - 1][0] for i, (_, id_) in enumerate(heads)}
+    rows = rows.select("id", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"), "text")
+    edges = ranges(rows.select("id", "hash", "row"), 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+    @F.pandas_udf("int")
+    def range_of(ids, hashes, numbers):
+        import pandas as pd
+
+        return pd.Series([bisect_right(edges, x) for x in zip(ids, hashes, numbers, strict=True)], dtype="int32")
+
+    rows = rows.withColumn("part", range_of("id", "hash", "row"))
+    # the least key of each range that has rows: at most as many as there are ranges
+    least = F.min(F.struct("id", "hash", "row")).alias("least")
+    heads = sorted((r.part, *r.least) for r in rows.drop("text").groupBy("part").agg(least).collect())
     # one row per range: as many as tasks, so that it may be broadcast
-    neighbours = spark.createDataFrame(list(before.items()), "id long, before int")
-    rows = rows.join(F.broadcast(neighbours), "id", "left")
+    neighbours = spark.createDataFrame([(*key, heads[i - 1][0]) for i, (_, *key) in enumerate(heads)], "id long, hash long, row long, before int")
+    rows = rows.join(F.broadcast(neighbours), ["id", "hash", "row"], "left")
     extra = F.col("before")
     twice = F.array_compact(F.array(F.struct("part", F.lit(0).alias("late")), F.when(extra.isNotNull(), F.struct(extra.alias("part"), F.lit(1).alias("late")))))
-    dealt = rows.withColumn("to", F.explode(twice)).select("to.part", "to.late", "id", "text")
-    dealt = dealt.repartition("part").sortWithinPartitions("part", "late", "id", "text")
+    dealt = rows.withColumn("to", F.explode(twice)).select("to.part", "to.late", "id", "hash", "text")
+    dealt = dealt.repartition("part").sortWithinPartitions("part", "late", "id", "hash", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, int, str, int]] = []  # rows of one range whose last one still needs its next
         size = 0
         for batch in batches:
             for part, late, id_, text in zip(*(batch.column(c).to_pylist() for c in ("part", "late", "id", "text")), strict=True):
-                if waiting and waiting[-1][3] and late and waiting[-1][0] == part:
-                    continue  # rows that repeat the next range's first id
                 if waiting and waiting[-1][0] != part:
                     yield from compared(waiting)
                     waiting, size = [], 0

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tallyframe.llm.common import cut_lineage
+from tallyframe.llm.common import cut_lineage, row_hash, whole
 
 #: Documents settled in one row: blocks have about so many, whatever a source's size.
 BLOCK = 128
 #: Rows of one doc_id, source and size that are numbered in one task, about; copies of a row in one list.
 SALTED = 1 << 15
+#: Sources at most: the windows over them hold a row for each.
+SOURCES = 1 << 20
 #: Fixed value: a word is a run of characters other than these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -34,7 +36,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     Sources by code point, nulls last, weigh ``weights``, repeating, and share ``share`` times all words;
     a target stops at ``most`` times its source's words, and the excess is shared by weight again. That
     is one water level: in order of cap / weight, the first source that the level of the rest doesn't
-    reach sets it for all after it. One row per source, so its windows may be global."""
+    reach sets it for all after it. One row per source, of which there may be SOURCES, so its windows may be
+    global."""
     everything = Window.partitionBy()
     ranked = sizes.withColumn("sid", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("sid") % len(weights) + 1).cast("int"))
@@ -112,6 +115,9 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: flo
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words_of(F.col("text")).alias("size"))
     counted = cut_lineage(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")))
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_rows"))
+    sizes = cut_lineage(sizes)
+    if sizes.count() > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
     targets = cut_lineage(source_targets(sizes, weights, share, most))
     t = targets.withColumnRenamed("source", "__source")
     single = counted.withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
@@ -142,29 +148,30 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 
     Rows that share doc_id, source and words are told apart by a hash of all their columns (of types that
     can be hashed, so no maps), and get its decisions in order of salt and hash; equal rows are one row
-    with a count, and are taken as often as all of them together."""
-    whole = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__key")
-    hashed = F.xxhash64(*documents.columns, *[F.col(c).isNull() for c in documents.columns])
-    named = [whole("doc_id"), F.col("source").alias("__source"), words_of(F.col("text")).alias("__size"), hashed.alias("__hash")]
-    rows = cut_lineage(documents.select(*named).groupBy("__key", "__source", "__size", "__hash").agg(F.count("*").alias("__n")))
+    with a count, and are taken as often as all of them together. Nulls in doc_id and source are values like
+    others; rows with an empty or null text have no words and are copied by chance; columns may have any
+    names; no rows give no rows."""
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("key")
+    named = [key("doc_id"), "source", words_of(F.col("text")).alias("size"), row_hash(documents).alias("hash")]
+    rows = cut_lineage(documents.select(*named).groupBy("key", "source", "size", "hash").agg(F.count("*").alias("n")))
     # salts grow with the rows, so that no group's part for one task does
-    salts = (rows.agg(F.sum("__n")).first()[0] or 0) // SALTED + 1
-    rows = rows.withColumn("__salt", F.pmod("__hash", F.lit(salts)))
+    salts = (rows.agg(F.sum("n")).first()[0] or 0) // SALTED + 1
+    rows = rows.withColumn("salt", F.pmod("hash", F.lit(salts)))
     # of rows alike, some are taken once more than the others: how many is all that their decisions say
-    group = ["__key", "__source", "__size"]
-    decided = mixed(documents, weights, share, most, seed).groupBy(whole("doc_id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-    decided = decided.agg(F.min("copies").alias("__low"), (F.sum("copies") - F.count("*") * F.min("copies")).alias("__more"))
-    parts = rows.groupBy(*group, "__salt").agg(F.sum("__n").alias("__n"))
-    parts = same(parts, decided, group).withColumn("__more", portion(Window.partitionBy(*group).orderBy("__salt")))
-    own = same(rows, parts.drop("__n"), [*group, "__salt"]).withColumn("__more", portion(Window.partitionBy(*group, "__salt").orderBy("__hash")))
-    taken = cut_lineage(own.select("__key", "__hash", "__n", (F.col("__low") * F.col("__n") + F.col("__more")).alias("__copies")).where("__copies > 0"))
-
-    single = documents if taken.where("__n > 1").isEmpty() else documents.distinct()
+    group = ["key", "source", "size"]
+    decided = mixed(documents, weights, share, most, seed).groupBy(key("doc_id"), "source", "size")
+    decided = decided.agg(F.min("copies").alias("low"), (F.sum("copies") - F.count("*") * F.min("copies")).alias("more"))
+    parts = rows.groupBy(*group, "salt").agg(F.sum("n").alias("n"))
+    parts = same(parts, decided, group).withColumn("more", portion(Window.partitionBy(*group).orderBy("salt")))
+    own = same(rows, parts.drop("n"), [*group, "salt"]).withColumn("more", portion(Window.partitionBy(*group, "salt").orderBy("hash")))
+    taken = cut_lineage(own.select("key", "hash", "n", (F.col("low") * F.col("n") + F.col("more")).alias("copies")).where("copies > 0"))
+
+    single = documents if taken.where("n > 1").isEmpty() else documents.distinct()
     # many copies of one row are several lists of them
-    pieces = taken.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / SALTED))))
-    pieces = pieces.select("__key", "__hash", F.least(F.lit(SALTED), F.col("__copies") - F.col("__piece") * SALTED).alias("__copies"))
-    out = single.withColumn("__key", whole("doc_id")).withColumn("__hash", hashed).join(pieces, ["__key", "__hash"])
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*documents.columns)
+    pieces = taken.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / SALTED))))
+    pieces = pieces.select("key", "hash", F.least(F.lit(SALTED), F.col("copies") - F.col("piece") * SALTED).alias("copies"))
+    out = single.select(key("doc_id"), row_hash(single).alias("hash"), whole(single).alias("row")).join(pieces, ["key", "hash"])
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def same(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -175,6 +182,6 @@ def same(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def portion(order: WindowSpec) -> Column:
-    """What each row takes of ``__more``, at most its ``__n``, when rows are served in this order."""
-    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return F.greatest(F.lit(0).cast("long"), F.least(F.col("__n"), F.col("__more") - before))
+    """What each row takes of ``more``, at most its ``n``, when rows are served in this order."""
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), F.col("more") - before))

@@ -4,9 +4,10 @@ Method: MinHash by one-permutation hashing with optimal densification, banded bu
 candidate edges. A document's word-shingle set is hashed once; the hash's top bits choose a bin and each
 bin keeps its least hash; an empty bin borrows from a bin that its own random sequence of bins reaches.
 Documents that agree in all bins of a band share a bucket, and a bucket of n documents gives n - 1 edges
-to its smallest document, not n * n / 2. Edges are confirmed on the full sets. Documents of a bucket that
-are still apart then are compared by sketches, in blocks, and where a link is possible by their full sets, so
-no link is lost because both of its ends hang on a third document that they don't link with.
+to its smallest member, not n * n / 2. Edges are confirmed on the full sets.
+
+Two documents of a bucket may be linked though neither is with the bucket's centre. Buckets that hold more
+than one component after the stars are settled by ``rare_links``, which never forms all pairs of a bucket.
 """
 
 from __future__ import annotations
@@ -15,16 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, bitmap_spot, cut_lineage, id_bitmap, in_bitmap, matched, mix, small_batches, text_slices, word_hashes
+from tallyframe.llm.common import U64, cut_lineage, id_bitmap, in_bitmap, matched_rows, mix, row_hash, text_slices, with_package, word_hashes
 
-#: Bins of a signature, and its bands: 25 of 5 bins. A pair of similarity 0.85 misses all of them with
-#: probability 4e-7, one of 0.8 with 5e-5.
-BINS, BANDS, ROWS = 128, 25, 5
-#: Documents beside one hub in a task, and documents to a block of a large bucket.
-BESIDE, BLOCK = 64, 256
+#: Bins of a signature, and its bands: 40 of 5 bins. A pair of similarity 0.85 misses all of them with
+#: probability 7e-11, one of 0.8 with 1e-7.
+BINS, BANDS, ROWS = 256, 40, 5
+#: Partners of one centre that are compared in a task.
+BESIDE = 64
+#: A shingle is rare if at most so many of the sets at hand have it; the number grows fourfold from round to round.
+RARE = 8
+#: Keys with more than this part of all rows are joined by broadcast: there are fewer than so many.
+HOT = 4096
 
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64) * U64(0xA0761D6478BD642F)) | U64(1)
 
@@ -53,12 +58,19 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     return (np.concatenate(out) if out else np.empty(0, U64)), np.concatenate([[0], np.cumsum(sizes)])
 
 
+def set_ids(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit number per set, from the sum of its members' hashes."""
+    sums = np.zeros(len(sets) + 1, U64)
+    np.cumsum(mix(sets ^ U64(0x5851F42D4C957F2D)), out=sums[1:])
+    return mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(U64)).view(np.int64)
+
+
 def signatures(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One row of BINS values per set; rows of empty sets are zero."""
     n = len(offsets) - 1
     out = np.zeros((n, BINS), U64)
     row = np.repeat(np.arange(n), np.diff(offsets))
-    cell = row * BINS + (sets >> U64(57)).astype(np.int64)
+    cell = row * BINS + (sets >> U64(64 - BINS.bit_length() + 1)).astype(np.int64)
     first = np.flatnonzero(np.diff(cell, prepend=-1))  # sets are sorted, so each bin's least comes first
     out.ravel()[cell[first]] = sets[first]
     filled = np.zeros((n, BINS), bool)
@@ -77,258 +89,255 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(documents: DataFrame, words: int) -> DataFrame:
-    """Per document: doc_id, n_shingles, a 128-bit digest of the set, band keys and one byte per bin."""
-    small_batches(documents.sparkSession)
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
+def sketch(members: np.ndarray) -> bytes:
+    """One byte per bin, not densified: 0 for an empty bin, else 1 to 255 from its least member. There are as
+    many bins as members, or up to twice as many."""
+    width = max(6, int(len(members) - 1).bit_length())
+    cell = (members >> U64(64 - width)).astype(np.int64)
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    out = np.zeros(1 << width, np.uint8)
+    out[cell[first]] = (members[first] % U64(255)).astype(np.uint8) + 1
+    return out.tobytes()
+
+
+def bins_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Bins in which two sketches differ. Each has a member that just one of the sets has."""
+    while len(a) > len(b):
+        a = np.where(a[::2] > 0, a[::2], a[1::2])  # the least of two neighbouring bins is that of the first, if it has one
+    while len(b) > len(a):
+        b = np.where(b[::2] > 0, b[::2], b[1::2])
+    return int((a != b).sum())
+
+
+def sketches(documents: DataFrame, words: int, row: Column | None = None) -> DataFrame:
+    """Per document: doc_id, row (as given), n_shingles, the id of its set, band keys and a sketch."""
+    with_package(documents.sparkSession)
+    schema = "doc_id long, row long, n_shingles long, id long, bands array<long>, sketch binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch):
                 sets, at = shingle_sets(data, offsets, words)
                 size = np.diff(at)
-                sums = [np.zeros(len(sets) + 1, U64) for _ in range(2)]
-                np.cumsum(mix(sets), out=sums[0][1:])
-                np.cumsum(mix(sets ^ U64(0x5851F42D4C957F2D)), out=sums[1][1:])
-                digests = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
                 table = signatures(sets, at)
                 keys = (table[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS) * _MULTIPLIERS[:ROWS]).sum(axis=2, dtype=U64)
                 keys = mix(keys + np.arange(BANDS, dtype=U64)).view(np.int64)
                 starts = (np.cumsum(size > 0) - (size > 0)) * BANDS
                 bands = pa.ListArray.from_arrays(pa.array(np.append(starts, (size > 0).sum() * BANDS).astype(np.int32)), pa.array(keys[size > 0].ravel()))
-                bits = (table & U64(255)).astype(np.uint8)
-                sketch = pa.array([row.tobytes() for row in bits], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size), *map(pa.array, digests), bands, sketch], names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"])
+                small = pa.array([sketch(sets[i:j]) if i < j else None for i, j in zip(at, at[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(size), pa.array(set_ids(sets, at)), bands, small], names=["doc_id", "row", "n_shingles", "id", "bands", "sketch"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)
+    named = [F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("long") if row is None else row).alias("row"), "text"]
+    return documents.select(*named).mapInArrow(work, schema)
 
 
 def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """doc_id, members (the sorted hashes of all shingles) of the documents named in ``needed``, and of a few others."""
-    bits = documents.sparkSession.sparkContext.broadcast(id_bitmap(needed, "doc_id"))
+    """id, n, members (the sorted hashes of all shingles) of each set named in ``needed``, once."""
+    bits = documents.sparkSession.sparkContext.broadcast(id_bitmap(needed, "id"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(bits.value, batch.column("spot").to_numpy(zero_copy_only=False))))
-            for part, data, offsets in text_slices(batch):
+            for _, data, offsets in text_slices(batch):
                 sets, at = shingle_sets(data, offsets, words)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([sets[at[i] : at[i + 1]].tobytes() for i in range(len(at) - 1)], pa.binary())], names=["doc_id", "members"])
-
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").withColumn("spot", bitmap_spot(F.col("doc_id")))
-    return source.mapInArrow(sets_of, "doc_id long, members binary")
-
-
-def confirmed(documents: DataFrame, edges: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs (u, v) of ``edges`` with 100 * intersection >= similarity * union of their full sets.
-
-    Sets are built anew, only for documents in pairs. A hub's set goes to each task with up to BESIDE of
-    its partners, so a hub with very many partners is spread over tasks."""
-    counts = edges.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("__more"))
-    placed = edges.join(counts, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("__more") + 1).alias("part"))
-    needs = placed.select(F.col("v").alias("doc_id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("doc_id"), "u", "part", F.lit(0).alias("side")).distinct())
-    sets = full_sets(documents, needs, words)
-    beside = sets.join(needs, "doc_id").repartition("u", "part").sortWithinPartitions("u", "part", "side")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hubs = None, []
-        for batch in batches:
-            us, parts, sides, docs, members = (batch.column(c).to_pylist() for c in ("u", "part", "side", "doc_id", "members"))
-            found = []
-            for u, part, side, doc, raw in zip(us, parts, sides, docs, members, strict=True):
-                if (u, part) != key:
-                    key, hubs = (u, part), []
-                own = np.frombuffer(raw, U64)
-                if side == 0:
-                    hubs.append(own)
-                    continue
-                for hub in hubs:  # one, unless rows with the hub's id differ in text
-                    few, many = (own, hub) if len(own) < len(hub) else (hub, own)
-                    if 100 * len(few) < similarity * len(many):
-                        continue
-                    at = np.minimum(many.searchsorted(few), len(many) - 1)
-                    both = int((many[at] == few).sum())
-                    if 100 * both >= similarity * (len(few) + len(many) - both):
-                        found.append((u, doc))
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["u", "v"])
-
-    return beside.select("u", "part", "side", "doc_id", "members").mapInArrow(compare, "u long, v long").distinct()
-
-
-def plausible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (u, v) whose sketches don't rule a link out.
-
-    Large sets are ruled out where the share of equal bins is 6 standard deviations below the
-    similarity; sets of fewer than 4 * BINS shingles, whose sketches vary more, at a wider distance."""
-    s = similarity / 100
-    strict, wide = s - 6 * (s * (1 - s) / BINS) ** 0.5, s - 9 * (s * (1 - s) / BINS) ** 0.5
-    left = nodes.select(F.col("doc_id").alias("u"), F.col("sketch").alias("su"), F.col("n_shingles").alias("nu"))
-    right = nodes.select(F.col("doc_id").alias("v"), F.col("sketch").alias("sv"), F.col("n_shingles").alias("nv"))
+                ids = set_ids(sets, at)
+                some = np.flatnonzero((np.diff(at) > 0) & in_bitmap(bits.value, ids))
+                some = some[np.unique(ids[some], return_index=True)[1]]  # copies once
+                members = pa.array([sets[at[i] : at[i + 1]].view(np.int64) for i in some], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), members], names=["id", "members"])
+
+    every = documents.select("text").mapInArrow(sets_of, "id long, members array<long>")
+    one = every.groupBy("id").agg(F.first("members").alias("members"))
+    return one.join(needed.select("id").distinct(), "id", "left_semi").select("id", F.array_size("members").cast("long").alias("n"), "members")
+
+
+def joined(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of rows with ``values`` (one row per key, with ``rows_of``, how many rows have it; ``total``:
+    all rows). Keys that have more than 1 / HOT of all rows are fewer than HOT, and are joined by broadcast; so no
+    task gets the rows of a hot key."""
+    hot = F.col("rows_of") * HOT > total
+    often = F.broadcast(values.where(hot).drop("rows_of"))
+    others = rows.join(often.select(key), key, "left_anti").join(values.where(~hot).drop("rows_of"), key)
+    return rows.join(often, key).unionByName(others)
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (u, v) but for those that can't be linked: by their sizes, or because their sketches show more
+    members that just one of them has than a link allows. No linked pair is left out."""
+    left = nodes.select(F.col("id").alias("u"), F.col("sketch").alias("su"), F.col("n_shingles").alias("nu"))
+    right = nodes.select(F.col("id").alias("v"), F.col("sketch").alias("sv"), F.col("n_shingles").alias("nv"))
     both = pairs.join(left, "u").join(right, "v").where(100 * F.least("nu", "nv") >= similarity * F.greatest("nu", "nv"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("su", "sv"))
-            n = batch.column("nu").to_numpy()
-            keep = (a == b).mean(axis=1) >= np.where(n >= 4 * BINS, strict, np.where(n >= BINS // 2, wide, 0))
+            apart = [bins_apart(np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)) for a, b in zip(batch.column("su"), batch.column("sv"), strict=True)]
+            total = batch.column("nu").to_numpy() + batch.column("nv").to_numpy()
+            keep = (100 + similarity) * (total - np.array(apart, np.int64)) >= 2 * similarity * total
             yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    return both.select("u", "v", "su", "sv", "nu").mapInArrow(work, "u long, v long")
-
-
-class Forest:
-    """Union-find over the documents that one task compares."""
-
-    def __init__(self):
-        self.parent: dict = {}
-
-    def root(self, x):
-        up = self.parent.setdefault(x, x)
-        while up != x:
-            self.parent[x] = self.parent[up]
-            x, up = up, self.parent[up]
-        return x
+    return both.select("u", "v", "su", "sv", "nu", "nv").mapInArrow(work, "u long, v long")
 
-    def join(self, x, y) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.parent[x] = y
-        return x != y
 
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (u, v) whose sets (id, n, members) have (100 + similarity) * both >= similarity * (n of u + n of v),
+    with ``both``, the members in common. With n members each this says that intersection over union reaches it.
 
-def block_pairs(members: DataFrame, key: str) -> DataFrame:
-    """``members`` (with ``n``, the rows of their ``key``) once for each pair of blocks that their own is in.
+    A centre's set goes to each task with up to BESIDE of its partners, so a centre with very many of them is
+    spread over tasks; a task holds one centre at a time."""
+    counts = pairs.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("more"), F.count("*").alias("rows_of"))
+    placed = joined(pairs, counts, "u", pairs.count()).select("u", "v", F.pmod(F.xxhash64("v"), F.col("more") + 1).alias("part"))
+    ends = placed.select(F.col("v").alias("id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("id"), "u", "part", F.lit(0).alias("side")).distinct())
+    beside = sets.join(ends, "id").repartition("u", "part").sortWithinPartitions("u", "part", "side")
 
-    Documents of a key are cut into blocks of about BLOCK, and tasks compare a pair of blocks (i, j), so a
-    large group is spread over tasks."""
-    more = (F.col("n") / BLOCK).cast("int")
-    cut = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), more + 1).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), more)))
-    cut = cut.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "n")
-    return cut.withColumnRenamed(key, "key").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-
-def by_key(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-    """Gather the rows of each (key, i, j) and yield the pairs (u, v) that ``work(rows)`` finds."""
-    key, rows = None, []
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, centre, n_centre = None, None, 0
+        for batch in batches:
+            us, parts, sides, ids, ns = (batch.column(c).to_pylist() for c in ("u", "part", "side", "id", "n"))
+            members = batch.column("members")
+            found = []
+            for i, (u, part, side, own_id, n) in enumerate(zip(us, parts, sides, ids, ns, strict=True)):
+                own = members[i].values.to_numpy().view(U64)
+                if side == 0:
+                    key, centre, n_centre = (u, part), own.copy(), n
+                    continue
+                assert key == (u, part)
+                few, many = (own, centre) if len(own) < len(centre) else (centre, own)
+                at = np.minimum(many.searchsorted(few), len(many) - 1)
+                both = int((many[at] == few).sum())
+                if (100 + similarity) * both >= similarity * (n + n_centre):
+                    found.append((u, own_id, both))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["u", "v", "both"])
+
+    return beside.select("u", "part", "side", "id", "n", "members").mapInArrow(compare, "u long, v long, both long")
+
+
+def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) of sets (id, n, members) that join whatever all their links join, without all pairs.
+
+    Shingles are ordered by how many sets have them. A link needs a share of the larger set in common, so two
+    linked sets have a shingle in common among the first few of both (a prefix filter). If it is rare, few sets
+    have it, and their pairs are compared. If not, they have no rare shingle in common, and only their other
+    shingles count: sets with the same ones are one from there on, and the next round is about those. Its pairs
+    stand for all sets behind them: of each, the smallest is linked first, and any other one to the partner that
+    takes the largest sets. A page template, however many pages have it, is one set after one round."""
+    spark = sets.sparkSession
+    level, limit = sets, RARE
+    behind = sets.select(F.col("id").alias("node"), F.col("n").alias("n_node"), "id")
+    links = spark.createDataFrame([], "u long, v long")
+    room = lambda both: F.floor((100 + similarity) * both / similarity)  # noqa: E731  # most members of two linked sets
+    first = True
+    while True:
+        elements = level.select("id", F.explode("members").alias("x"))
+        counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one")))
+        total = counts.agg(F.sum("df")).first()[0] or 0
+        # fewer than 16 * HOT shingles; without them no shingle's rows are many
+        hot = F.broadcast(counts.where((F.col("df") > limit) & (F.col("df") * 16 * HOT > total)).select("x"))
+        shared = elements.join(hot, "x", "left_anti").join(counts.where((F.col("df") > 1) & (F.col("df") <= limit)).select("x", "df"), "x")
+        rare = shared.select("id", "x", "df").union(counts.where("df = 1").select(F.col("one").alias("id"), "x", "df"))
+        listed = rare.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
+        split = cut_lineage(level.join(listed, "id", "left").mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, keys array<long>, rest_id long, rest array<long>"))
+
+        keyed = split.select("id", "n", F.explode("keys").alias("key"))
+        other = keyed.select("key", F.col("id").alias("v"), F.col("n").alias("nv"))
+        met = keyed.join(other, "key").where("id < v and 100 * least(n, nv) >= %d * greatest(n, nv)" % similarity)
+        pairs = cut_lineage(met.select(F.col("id").alias("u"), "v").distinct())
+        found = cut_lineage(confirmed(pairs, level, similarity))
+        links = links.union(found.select("u", "v"))
+        if not first:
+            reach = found.join(level.select(F.col("id").alias("v"), F.col("n").alias("nv")), "v").select(F.col("u").alias("id"), "v", (room(F.col("both")) - F.col("nv")).alias("most"))
+            back = found.join(level.select(F.col("id").alias("u"), F.col("n").alias("nu")), "u").select(F.col("v").alias("id"), F.col("u").alias("v"), (room(F.col("both")) - F.col("nu")).alias("most"))
+            best = reach.union(back).groupBy("id").agg(F.max(F.struct("most", "v")).alias("best"))
+            links = links.union(behind.join(best, "id").where("n_node <= best.most and node != best.v").select(F.col("node").alias("u"), F.col("best.v").alias("v")))
+        first = False
+
+        left = split.where("rest is not null")
+        if left.isEmpty():
+            return cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"))
+        level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members"))
+        into = left.select("id", "rest_id").join(level.select("rest_id", F.col("id").alias("to"), F.col("n").alias("n_to"), F.array_size("members").alias("size")), "rest_id")
+        behind = cut_lineage(behind.join(into, "id").select("node", "n_node", F.col("to").alias("id"), "n_to", "size"))
+        links = links.union(behind.where((F.col("node") != F.col("id")) & (F.col("n_node") + F.col("n_to") <= room(F.col("size")))).select(F.col("node").alias("u"), F.col("id").alias("v")))
+        behind = behind.select("node", "n_node", "id")
+        level = level.select("id", "n", "members")
+        limit *= 4
+
+
+def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
+    """Of each set: the rare shingles among its first ones, and its other shingles where a link could rest on those."""
     for batch in batches:
-        found: list = []
-        for row in batch.to_pylist():
-            if (row["key"], row["i"], row["j"]) != key:
-                if rows:
-                    found += work(rows)
-                key, rows = (row["key"], row["i"], row["j"]), []
-            rows.append(row)
-        yield as_pairs(found)
-    yield as_pairs(work(rows) if rows else [])
-
-
-def as_pairs(found: list) -> pa.RecordBatch:
-    low, high = ([f(x) for x in found] for f in (min, max))
-    return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["u", "v"])
-
-
-def remaining(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """Documents that may link with one of another component in their bucket, as a forest of pairs (u, v).
-
-    Buckets within one component are done. In others, documents are compared by sketches; every document
-    with a plausible partner in another component is in the forest, and trees hold all that hang together."""
-    spread = F.coalesce(F.col("component"), F.col("doc_id"))
-    inside = buckets.join(labels, "doc_id", "left").select("bucket", "doc_id", spread.alias("component"))
-    open_ = inside.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 and a < b").select("bucket", "n")
-    member = inside.join(open_, "bucket").join(nodes.select("doc_id", "sketch", "n_shingles"), "doc_id")
-    s = similarity / 100
-    strict, wide = s - 6 * (s * (1 - s) / BINS) ** 0.5, s - 9 * (s * (1 - s) / BINS) ** 0.5
-
-    def plausible_forest(rows: list[dict]) -> list:
-        i, j = rows[0]["i"], rows[0]["j"]
-        left = [r for r in rows if r["block"] == i]
-        right = [r for r in rows if r["block"] == j] if i != j else left
-        if not left or not right:
-            return []
-        a, b = (np.frombuffer(b"".join(r["sketch"] for r in side), np.uint8).reshape(-1, BINS) for side in (left, right))
-        nb, cb = (np.array([r[c] for r in right]) for c in ("n_shingles", "component"))
-        trees, found = Forest(), []
-        for row, own in zip(left, a, strict=True):
-            low, high = np.minimum(nb, row["n_shingles"]), np.maximum(nb, row["n_shingles"])
-            least = np.where(low >= 4 * BINS, strict, np.where(low >= BINS // 2, wide, 0))
-            ok = (cb != row["component"]) & ((b == own).mean(axis=1) >= least) & (100 * low >= similarity * high)
-            for k in np.flatnonzero(ok):
-                if trees.join(row["doc_id"], right[k]["doc_id"]):
-                    found.append((row["doc_id"], right[k]["doc_id"]))
-        return found
-
-    return block_pairs(member, "bucket").mapInArrow(lambda batches: by_key(batches, plausible_forest), "u long, v long").distinct()
-
-
-def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
-    """Sizes of the intersections of each set of ``left`` with each of ``right``: a product of incidence
-    matrices, over the members that both sides have, some columns at a time."""
-    out = np.zeros((len(left), len(right)), np.float32)
-    values = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
-    for at in range(0, len(values), width):
-        part = values[at : at + width]
-        sides = []
-        for sets in (left, right):
-            table = np.zeros((len(sets), len(part)), np.float32)
-            for row, members in enumerate(sets):
-                members = members[members.searchsorted(part[0]) : members.searchsorted(part[-1], "right")]
-                spot = part.searchsorted(members)
-                table[row, spot[part[spot] == members]] = 1
-            sides.append(table)
-        out += sides[0] @ sides[1].T
-    return out
-
-
-def settled_rest(documents: DataFrame, forest: DataFrame, labels: DataFrame, words: int, similarity: int) -> DataFrame:
-    """Links (u, v) that join components, found among the documents of each tree by their full sets.
-
-    All pairs of a tree are compared, by blocks; a task gives only links that join what its own links
-    haven't joined, so what leaves it is bounded by the documents it has."""
-    groups = components(forest).withColumnRenamed("component", "group")
-    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
-    members = cut_lineage(groups.join(sizes, "group").join(labels, "doc_id", "left").select("doc_id", "group", "n", F.coalesce("component", "doc_id").alias("component")))
-    sets = full_sets(documents, members, words)
-
-    def links(rows: list[dict]) -> list:
-        i, j = rows[0]["i"], rows[0]["j"]
-        left = [r for r in rows if r["block"] == i]
-        right = [r for r in rows if r["block"] == j] if i != j else left
-        if not left or not right:
-            return []
-        a, b = ([np.frombuffer(r["members"], U64) for r in side] for side in (left, right))
-        both = common_counts(a, b).astype(np.int64)
-        total = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - both
-        trees, found = Forest(), []
-        for x, y in zip(*np.nonzero(100 * both >= similarity * total), strict=True):
-            if left[x]["component"] != right[y]["component"] and trees.join(left[x]["component"], right[y]["component"]):
-                found.append((left[x]["doc_id"], right[y]["doc_id"]))
-        return found
-
-    return block_pairs(members.join(sets, "doc_id"), "group").mapInArrow(lambda batches: by_key(batches, links), "u long, v long").distinct()
+        out: list[tuple] = []
+        for own_id, n, members, rare in zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), batch.column("members"), batch.column("rare"), strict=True):
+            own = members.values.to_numpy()
+            few, df = (rare.values.field("x").to_numpy(), rare.values.field("df").to_numpy()) if rare.is_valid else (np.empty(0, np.int64),) * 2
+            need = -(-similarity * n // 100)  # members that any partner has in common with it, at least
+            if len(own) < need:
+                continue
+            prefix = len(own) - need + 1
+            keys = few[:prefix][df[:prefix] > 1]
+            rest = None
+            if len(own) - len(few) >= need:
+                rest = own[~np.isin(own, few)]
+            if len(keys) or rest is not None:
+                rest_id = None if rest is None else int(set_ids(rest.view(U64), np.array([0, len(rest)]))[0])
+                out.append((own_id, n, keys, rest_id, rest))
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([row[k] for row in out], t) for k, t in enumerate(types)], names=["id", "n", "keys", "rest_id", "rest"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """doc_id, component (its smallest doc_id) of every document in an edge (u, v).
+    """id, component (its smallest id) of every id in an edge (u, v).
 
     Alternating large-star and small-star steps; each sends every neighbour to the least one, found by a
     grouped minimum, so no neighbourhood is gathered. Lineage is cut after each round."""
     pairs = cut_lineage(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
     before = None
+    total = pairs.count()
     while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v != m").select(F.col("m").alias("u"), "v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        joined = large.join(least, "v")
-        small = joined.where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v")).union(least.select(F.col("m").alias("u"), "v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("rows_of"))
+        large = cut_lineage(joined(both, least, "u", 2 * total).where("v > u and v != m").select(F.col("m").alias("u"), "v").distinct())
+        least = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("rows_of"))
+        small = joined(large, least, "v", large.count()).where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v")).union(least.select(F.col("m").alias("u"), "v"))
         pairs = cut_lineage(small.distinct())
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
-    own = pairs.select(F.col("u").alias("doc_id"), F.col("u").alias("component")).distinct()
-    return pairs.select(F.col("v").alias("doc_id"), F.col("u").alias("component")).union(own)
+        before, total = state, state[0]
+    own = pairs.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
+    return pairs.select(F.col("v").alias("id"), F.col("u").alias("component")).union(own)
+
+
+def classes(documents: DataFrame, words: int, similarity: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row, n_shingles, id) and set ids with their component (id, component, rows_of): see ``near_duplicates``."""
+    base = cut_lineage(sketches(documents, words, row))
+    of_sets = base.where("n_shingles > 0").groupBy("id")
+    nodes = cut_lineage(of_sets.agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count("*").alias("rows_of")))
+
+    band = nodes.select("id", F.explode("bands").alias("bucket"))
+    centres = band.groupBy("bucket").agg(F.min("id").alias("u"), F.count("*").alias("rows_of")).where("rows_of > 1")
+    stars = cut_lineage(joined(band, centres, "bucket", nodes.count() * BANDS))
+    edges = stars.where("u != id").select("u", F.col("id").alias("v")).distinct()
+    tried = cut_lineage(possible(edges, nodes, similarity))
+    wanted = tried.select(F.col("u").alias("id")).union(tried.select(F.col("v").alias("id")))
+    links = cut_lineage(confirmed(tried, full_sets(documents, wanted, words), similarity).select("u", "v"))
+    labels = components(links)
+
+    inside = stars.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    unsettled = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows_of")).where("rows_of > 2 and a < b").select("bucket", "rows_of")
+    rest = cut_lineage(joined(inside, unsettled, "bucket", nodes.count() * BANDS).select("id").distinct())
+    if not rest.isEmpty():
+        labels = components(links.union(rare_links(cut_lineage(full_sets(documents, rest, words)), similarity)))
+    named = nodes.select("id", "rows_of").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "rows_of")
+    return base.select("doc_id", "row", "n_shingles", "id"), cut_lineage(named)
+
+
+def spread(rows: DataFrame, named: DataFrame, least: Column) -> DataFrame:
+    """``rows`` of ``classes`` that have shingles, with ``first``: the least value of ``least`` in each one's component."""
+    own = rows.where("n_shingles > 0").groupBy("id").agg(F.min(least).alias("first")).join(named, "id")
+    counted = own.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("rows_of"))
+    total = named.agg(F.count("*"), F.sum("rows_of")).first()
+    of_sets = cut_lineage(joined(own.select("id", "component", F.col("rows_of").alias("copies")), counted, "component", total[0]))
+    return joined(rows.where("n_shingles > 0"), of_sets.select("id", "first", F.col("copies").alias("rows_of")), "id", total[1] or 0)
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85) -> DataFrame:
@@ -336,36 +345,34 @@ def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85)
 
     Two documents are linked where 100 * intersection >= similarity * union of their distinct shingles of
     ``words`` lower-cased words (A-Z), confirmed on the full sets; component_id is the smallest doc_id
-    reached over links and kept says that this is the row's own. Equal sets are joined by a digest first,
-    so a group of copies counts once in everything after.
-
-    An empty or null text has no shingles and links with nothing. A null doc_id is kept, with a null
-    component_id, and links with nothing. Repeated rows give repeated rows with the same values. Other
-    columns are not read, whatever their names; no rows give no rows."""
-    base = cut_lineage(sketches(documents, words))
-    sets = base.where("n_shingles > 0 and doc_id is not null")
-    groups = sets.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
-    nodes = cut_lineage(groups.select("d1", "d2", "n_shingles", "first.doc_id", "first.bands", "first.sketch"))
-
-    band = nodes.select("doc_id", F.explode("bands").alias("bucket"))
-    hubs = band.groupBy("bucket").agg(F.min("doc_id").alias("u"), F.count("*").alias("n")).where("n > 1").select("bucket", "u")
-    stars = cut_lineage(band.join(hubs, "bucket"))
-    edges = stars.where("u != doc_id").select("u", F.col("doc_id").alias("v")).distinct()
-    tried = cut_lineage(plausible(edges, nodes, similarity))
-    links = cut_lineage(confirmed(documents, tried, words, similarity))
-    labels = components(links)
-    rest = cut_lineage(remaining(stars.select("bucket", "doc_id"), labels, nodes, similarity))
-    if not rest.isEmpty():
-        labels = components(links.union(settled_rest(documents, rest, labels, words, similarity)))
+    reached over links and kept says that this is the row's own. Equal sets are one from the start, so a
+    group of copies counts once in everything after.
 
-    named = nodes.join(labels, "doc_id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
-    alone = base.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    linked = sets.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    An empty or null text has no shingles and links with nothing. Rows with a null doc_id link like others and
+    get the smallest doc_id of their group; where a group has null ids only, component_id is null and all its
+    rows are kept. Rows that repeat a doc_id are linked each by its own text. Repeated rows give repeated rows
+    with the same values. Other columns are not read, whatever their names; no rows give no rows. Sets
+    count as equal where a 64-bit hash of them is."""
+    rows, named = classes(documents, words, similarity)
+    linked = spread(rows, named, F.col("doc_id")).select("doc_id", "n_shingles", F.col("first").alias("component_id"))
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def without_near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
-    """The rows of one document of each group, whole. Rows that repeat a doc_id all stay if one of them does."""
-    kept = near_duplicates(documents, words, similarity).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = cut_lineage(kept.where("not kept and doc_id is not null").select("doc_id"))
-    return matched(documents, gone, "doc_id", "left_anti")
+    """One row, whole, of each group of near copies: the one of the smallest doc_id (nulls last) and, of those, of
+    the least hash of all its columns (of types that can be hashed, so no maps).
+
+    Null and repeated doc_ids make no difference to what is a copy: of several equal rows one stays. Rows with an
+    empty or null text, or without words, link with nothing and all stay. No rows give no rows; columns may have any names."""
+    rows, named = classes(documents, words, similarity, row_hash(documents))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    chosen = spread(rows, named, order)
+    stays = chosen.groupBy("row", order.eqNullSafe(F.col("first")).alias("stays")).agg(F.count("*").alias("n"))
+    stays = cut_lineage(stays)
+    gone = stays.where("not stays").select("row")
+    out = matched_rows(documents, gone, "left_anti")
+    again = stays.where("stays and n > 1")
+    if again.isEmpty():
+        return out
+    return matched_rows(out, again, "left_anti").unionByName(matched_rows(out, again, "left_semi").distinct())

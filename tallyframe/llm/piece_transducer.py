@@ -1,20 +1,21 @@
 """SentencePiece encoding and decoding (operator 3).
 
 Method: a weighted finite-state transducer. Normaliser, pieces and byte fallback are compiled from the
-model file into arcs; composed with an input they give a lattice whose states are a position and the
-last piece, and the encoding is the lattice's shortest path in the tropical semiring (weights add along
-a path, the least total wins).
-
-Weights: the model is of the kind that merges pairs, for which sums of piece scores don't give the
-library's result. So an arc weighs 0 where its piece stays as it is beside the path's last piece under
-the merges' order, and infinity otherwise (``prefix_bpe`` says why pairs suffice). One path of finite
-weight is left for each input, and it is the library's encoding.
+model file into arcs; composed with an input they give a lattice of states, each a place in the input and
+what the path's last piece matters for, and the encoding is the lattice's shortest path in the tropical
+semiring (weights add along a path, the least total wins).
+
+Weights: of a unigram model, an arc's weight is minus its piece's score. Of a model that merges pairs, sums
+of scores don't give the library's result; there a state has the last piece too, and an arc weighs 0 where
+its piece stays as it is beside that one under the merges' order, and infinity otherwise (``prefix_bpe``
+says why pairs suffice). One path of finite weight is left for each input, and it is the library's encoding.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import small_batches
+from tallyframe.llm.common import quoted, text_slices, texts_of, with_package
 from tallyframe.llm.prefix_bpe import PrefixTable
 
 SPACE = "▁"
@@ -59,6 +60,25 @@ def message_fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class Arcs:
+    """Arcs over symbols, as a tree from state 0; a state at the end of a piece has its output and weight."""
+
+    def __init__(self):
+        self.next: list[dict[str, int]] = [{}]
+        self.out: list[tuple | None] = [None]
+
+    def add(self, symbols: str, output: str, weight: float) -> None:
+        at = 0
+        for c in symbols:
+            to = self.next[at].get(c)
+            if to is None:
+                to = self.next[at][c] = len(self.next)
+                self.next.append({})
+                self.out.append(None)
+            at = to
+        self.out[at] = (output, weight)
+
+
 class SpacedWords(dict):
     """Maps a word without its space mark to the id bytes of it with the mark."""
 
@@ -86,20 +106,40 @@ class PieceTransducer(dict):
     def __init__(self, path: str):
         super().__init__()
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        parts = dict(message_fields(model.serialized_model_proto()))
-        trainer, normaliser = dict(message_fields(parts[2])), dict(message_fields(parts[3]))
-        # Fixed values of the model format: field 3 of the trainer is the kind (2: merged pairs); of the
-        # normaliser 2 is its character map, 3 adds a space in front, 4 removes spaces, 5 marks spaces.
-        self.add_space = bool(normaliser.get(3, 1))
-        if trainer.get(3, 1) != 2 or normaliser.get(2) or normaliser.get(4, 1) or not normaliser.get(5, 1):
-            raise ValueError(f"{path}: only merged pairs with the identity normaliser are supported")
-        n = model.get_piece_size()
-        names = [model.id_to_piece(i) for i in range(n)]
-        self.bytes = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
-        if len(self.bytes) != 256 or any(map(model.is_unused, range(n))):
-            raise ValueError(f"{path}: a model with byte fallback and without unused pieces is needed")
-        self.ids = {names[i]: i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
-        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        fields = list(message_fields(model.serialized_model_proto()))
+        trainer, rules = (dict(message_fields(dict(fields).get(k, b""))) for k in (2, 3))
+        pieces = [{3: 1} | dict(message_fields(raw)) for k, raw in fields if k == 1]
+        # Fixed values of the model format: field 3 of the trainer is the kind (1 unigram, 2 merged pairs); of the
+        # normaliser 2 is its character map, 3 adds a space in front, 4 removes spaces, 5 marks spaces; of a
+        # piece 1 is its name, 2 its score, 3 its kind (1 normal, 2 unknown, 3 control, 4 given by users, 5
+        # unused, 6 byte).
+        self.merges = trainer.get(3, 1) == 2
+        if trainer.get(3, 1) not in (1, 2) or rules.get(2) or rules.get(4, 1) or not rules.get(5, 1):
+            raise ValueError(f"{path}: only unigram and merged-pair models with the identity normaliser are supported")
+        if any(x[3] in (4, 5) for x in pieces) or sum(x[3] == 6 for x in pieces) != 256:
+            raise ValueError(f"{path}: a model with byte fallback and without unused or given pieces is needed")
+        names = [x[1].decode() for x in pieces]
+        self.bytes = {int(names[i][3:5], 16): i for i, x in enumerate(pieces) if x[3] == 6}
+        self.ids = {names[i]: i for i, x in enumerate(pieces) if x[3] == 1}
+        score = {p: struct.unpack("<f", pieces[i].get(2, bytes(4)))[0] for p, i in self.ids.items()}
+
+        # the normaliser: an arc from nothing to a space mark in front, and arcs from symbol to symbol
+        self.front = SPACE if rules.get(3, 1) else ""
+        self.symbols = {" ": SPACE}
+        # the pieces: for merged pairs those that merging gives, at no weight
+        self.arcs = Arcs()
+        if self.merges:
+            self.table = PrefixTable(self.ids, max(map(len, self.ids)), lambda a, b: -score[a + b] if a + b in score else None, list)
+            for p in self.ids:
+                if self.table.stable(p):
+                    self.arcs.add(p, p, 0.0)
+        else:
+            for p in self.ids:
+                self.arcs.add(p, p, -score[p])
+        # byte fallback: an arc for a symbol that no piece is. Fixed value: what it weighs beyond the rarest piece.
+        self.unknown = 0.0 if self.merges else np.float32(-min(score.values())) + np.float32(10)
+
+        self.by_word = self.merges and not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         #: Marks that no piece has right after a letter, so that words can be cut before them.
         self.loose = {c for c in CLOSING if not any(x == c and y.isalpha() for p in self.ids for y, x in zip(p, p[1:], strict=False))}
         #: Control characters that no piece has: nothing is merged over them. A split keeps them, each between
@@ -107,10 +147,8 @@ class PieceTransducer(dict):
         alone = [c for c in map(chr, range(32)) if not any(c in p for p in self.ids)]
         self.barrier = re.compile("([" + "".join(map(re.escape, alone)) + "])") if alone else None
         self.spaced = SpacedWords(self)
-        rank = {p: -model.get_score(i) for p, i in self.ids.items()}
-        self.table = PrefixTable(self.ids, max(map(len, self.ids)), lambda a, b: rank.get(a + b), list)
         #: What each id decodes to: bytes, with nothing for control pieces.
-        self.outputs = [b""] * n
+        self.outputs = [b""] * len(pieces)
         for p, i in self.ids.items():
             self.outputs[i] = p.replace(SPACE, " ").encode()
         for b, i in self.bytes.items():
@@ -120,27 +158,91 @@ class PieceTransducer(dict):
         self.fallback = set(self.bytes.values())
 
     def normalised(self, text: str) -> str:
-        if not text:
-            return ""
-        return (SPACE if self.add_space else "") + text.replace(" ", SPACE)
-
-    def arcs(self, piece: str) -> list[int]:
+        for symbol, other in self.symbols.items():
+            text = text.replace(symbol, other)
+        return self.front + text if text else ""
+
+    def arcs_from(self, word: str, at: int) -> list[tuple[int, str, float]]:
+        """Arcs of the composition with a word that start at a place: where they end, piece, weight; the
+        shortest first."""
+        found = []
+        after, out = self.arcs.next, self.arcs.out
+        state, end, n = 0, at, len(word)
+        while end < n:
+            state = after[state].get(word[end])
+            if state is None:
+                break
+            end += 1
+            arc = out[state]
+            if arc is not None:
+                found.append((end, *arc))
+        if not found or found[0][0] > at + 1:
+            found.insert(0, (at + 1, word[at], self.unknown))
+        return found
+
+    def shortest(self, word: str) -> list[str]:
+        """The pieces of the shortest path.
+
+        Finite weights of merged pairs are all 0, so states are taken in any order: the last one found first.
+        Merging gives each prefix one encoding, so a place has one state of finite weight."""
+        if not self.merges:
+            return self.shortest_by_places(word)
+        n, fits, beside = len(word), self.table.known, self.table.beside
+        waiting: list[tuple] = [(0, None, None)]  # place, last piece, path before it
+        taken = set()
+        while waiting:
+            state = waiting.pop()
+            at, last, _ = state
+            if at == n:
+                break
+            if at in taken:
+                continue
+            taken.add(at)
+            for end, piece, _ in self.arcs_from(word, at):
+                if last is not None:
+                    zero = fits.get((last, piece))
+                    if not (beside(last, piece) if zero is None else zero):
+                        continue  # infinite
+                waiting.append((end, piece, state))
+        path: list[str] = []
+        while state[1] is not None:
+            path.append(state[1])
+            state = state[2]
+        return path[::-1]
+
+    def shortest_by_places(self, word: str) -> list[str]:
+        """The shortest path where weights are sums of scores: states are places, relaxed from left to right. Sums are
+        in single precision and over whole texts, as the library adds them up."""
+        sums, by = [np.float32(0)] + [None] * len(word), [None] * (len(word) + 1)
+        for at in range(len(word)):
+            for end, piece, weight in self.arcs_from(word, at):
+                total = np.float32(sums[at] + np.float32(weight))
+                if by[end] is None or total < sums[end]:
+                    sums[end], by[end] = total, (at, piece)
+        path: list[str] = []
+        at = len(word)
+        while at:
+            at, piece = by[at]
+            path.append(piece)
+        return path[::-1]
+
+    def ids_of(self, piece: str) -> list[int]:
         """The output of an arc: the piece's id, or those of its bytes."""
         i = self.ids.get(piece)
         return [i] if i is not None else [self.bytes[b] for b in piece.encode()]
 
     def path(self, word: str) -> bytes:
         """The ids of a word's shortest path, as int32 bytes."""
-        return np.array([i for piece in self.table.encode(word) for i in self.arcs(piece)], np.int32).tobytes()
+        return np.array([i for piece in self.shortest(word) for i in self.ids_of(piece)], np.int32).tobytes()
 
     def rest(self, word: str) -> bytes:
         return self[word] if word else b""
 
     def __missing__(self, word: str) -> bytes:
-        cut = self.barrier.split(word) if self.barrier and len(word) > 1 else [word]
+        cut = self.barrier.split(word) if self.by_word and self.barrier and len(word) > 1 else [word]
         if len(cut) > 1:
             return b"".join(map(self.rest, cut))
-        if word[-1:] in self.loose and word[-2:-1].isalpha():
+        if self.by_word and word[-1:] in self.loose and word[-2:-1].isalpha():
             return self[word[:-1]] + self[word[-1]]
         out = self.path(word)
         if len(word) <= LONG:
@@ -160,7 +262,8 @@ class PieceTransducer(dict):
     def words(self, text: str) -> Iterator[str]:
         """Parts that no piece crosses: space marks and what follows them up to the next one."""
         if not self.by_word:
-            yield text
+            if text:
+                yield text
             return
         at = 0
         while at < len(text):
@@ -175,7 +278,7 @@ class PieceTransducer(dict):
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 give one U+FFFD each."""
         raw = b"".join(self.output_array[ids].tolist())
-        if self.add_space and raw[:1] == b" " and len(ids) and int(ids[0]) not in self.fallback:
+        if self.front and raw[:1] == b" " and len(ids) and int(ids[0]) not in self.fallback:
             raw = raw[1:]
         try:
             return raw.decode()
@@ -207,41 +310,52 @@ def encode_pieces(documents: DataFrame, model: str, keep: tuple[str, ...] = ("do
 
     A null or empty text has no ids; nulls in kept columns stay; repeated rows give repeated rows; other
     columns are not read, whatever their names; no rows give no rows. There is no shuffle."""
-    small_batches(documents.sparkSession)
-    source = documents.select(*keep, documents["text"].alias("__text"))
-    schema = source.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType())).add("n_ids", "long")
+    with_package(documents.sparkSession)
+    # the kept columns as one struct, so that their names can't clash with those here
+    kept = F.struct(*[F.col(quoted(c)) for c in keep])
+    source = documents.select(kept.alias("kept"), "text")
+    schema = T.StructType([source.schema["kept"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
     if check:
         schema = schema.add("round_trip", "boolean")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(model)
         for batch in batches:
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
-            paths = [machine.encode(t) for t in texts]
-            sizes = np.array([len(p) // 4 for p in paths], np.int64)
-            values = np.frombuffer(b"".join(paths), np.int32)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
-            columns = [batch.column(c) for c in range(batch.num_columns - 1)] + [ids, pa.array(sizes)]
-            if check:
-                columns.append(pa.array([machine.decode(values[ends[i] : ends[i + 1]]) == t for i, t in enumerate(texts)], pa.bool_()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            for part, data, offsets in text_slices(batch):
+                texts = texts_of(data, offsets)
+                paths = [machine.encode(t) for t in texts]
+                sizes = np.array([len(p) // 4 for p in paths], np.int64)
+                values = np.frombuffer(b"".join(paths), np.int32)
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                columns = [part.column("kept"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)), pa.array(sizes)]
+                if check:
+                    columns.append(pa.array([machine.decode(values[ends[i] : ends[i + 1]]) == t for i, t in enumerate(texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(work, schema)
+    out = source.mapInArrow(work, schema)
+    return out.select("kept.*", *schema.names[1:])
 
 
 def decode_pieces(encoded: DataFrame, model: str, column: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and the text of the ids in ``column``: the transducer read backwards.
 
-    Null ids give the empty text, null elements are skipped; ids outside the model are an error."""
-    small_batches(encoded.sparkSession)
-    source = encoded.select(*keep, F.coalesce(F.array_compact(column), F.array().cast("array<int>")).alias("__ids"))
-    schema = source.drop("__ids").schema.add("text", "string")
+    Null and empty ids give the empty text, null elements are skipped; ids outside the model are an error.
+    Nulls in kept columns stay; repeated rows give repeated rows; other columns are not read, whatever their
+    names; no rows give no rows. There is no shuffle."""
+    with_package(encoded.sparkSession)
+    kept = F.struct(*[F.col(quoted(c)) for c in keep])
+    source = encoded.select(kept.alias("kept"), F.coalesce(F.array_compact(F.col(quoted(column))), F.array().cast("array<int>")).alias("ids"))
+    schema = T.StructType([source.schema["kept"], T.StructField("text", T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(model)
         for batch in batches:
-            texts = [machine.decode(np.array(x, np.int32)) for x in batch.column("__ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(batch.num_columns - 1)] + [pa.array(texts, pa.string())], names=schema.names)
-
-    return source.mapInArrow(work, schema)
+            texts = []
+            for x in batch.column("ids"):
+                ids = x.values.to_numpy()
+                if len(ids) and not 0 <= ids.min() <= ids.max() < len(machine.outputs):
+                    raise ValueError(f"ids outside the model's {len(machine.outputs)} pieces")
+                texts.append(machine.decode(ids))
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], names=schema.names)
+
+    return source.mapInArrow(work, schema).select("kept.*", "text")

@@ -28,13 +28,12 @@ class PrefixTable:
     def __init__(self, tokens: Iterable, longest: int, rank: Callable, units: Callable[[Sequence], list], parts: dict | None = None):
         self.tokens, self.longest, self.rank, self.units, self.parts = tokens, longest, rank, units, parts
         self._stable: dict = {}
-        self._beside: dict = {}
+        #: Pairs of neighbours that ``beside`` has judged.
+        self.known: dict = {}
         self._edges: dict = {}
         #: True for tokens that merging gives; False for what else tokens end in. A search backwards
         #: stops where there is neither.
         self.kinds = {t[i:]: False for t in tokens for i in range(1, len(t))} | {t: True for t in tokens if self.stable(t)}
-        #: The same for what tokens begin with, for searches forwards.
-        self.heads = {t[:i]: False for t in tokens for i in range(1, len(t))} | {t: True for t, good in self.kinds.items() if good}
 
     def edge(self, token, side: int) -> list:
         """The symbols at a token's left (0) or right (1) edge while it is merged, each with the rank
@@ -90,22 +89,22 @@ class PrefixTable:
 
     def beside(self, left, right) -> bool:
         key = (left, right)
-        out = self._beside.get(key)
+        out = self.known.get(key)
         if out is None:
-            if len(self._beside) > REMEMBERED:
-                self._beside.clear()
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
             if self.parts is None:
                 out = self.merged(self.units(left) + self.units(right)) == [left, right]
             else:
                 out = self.rank(left, right) is None and self.apart(left, right)
-            self._beside[key] = out
+            self.known[key] = out
         return out
 
     def solve(self, text) -> tuple[list[int], list]:
         """For each prefix of the text: its number of tokens, and its last token (None for the empty one)."""
         n = len(text)
         counts, last = [0] * (n + 1), [None] * (n + 1)
-        kinds, known, beside, longest = self.kinds, self._beside, self.beside, self.longest
+        kinds, known, beside, longest = self.kinds, self.known, self.beside, self.longest
         for end in range(1, n + 1):
             # tokens that end here, shorter ones first; the single symbol always is one
             starts = [end - 1]
@@ -127,44 +126,3 @@ class PrefixTable:
                 last[end] = token
                 break
         return counts, last
-
-    def encode(self, text) -> list:
-        """The tokens of a text: the one path from its start to its end on which every token fits beside
-        the one before. Longer tokens are tried first; a place that no path leads on from is left for good,
-        since only one token can precede it on a path."""
-        n = len(text)
-        out: list = []
-        open_: list[list[int]] = []  # ends of the tokens left to try at each place of the path
-        dead = set()
-        at, heads, known = 0, self.heads, self._beside
-        ends = None
-        while at < n:
-            if ends is None:
-                ends = [at + 1]
-                for end in range(at + 2, min(n, at + self.longest) + 1):
-                    kind = heads.get(text[at:end])
-                    if kind is None:
-                        break
-                    if kind:
-                        ends.append(end)
-            before = out[-1] if out else None
-            while ends:
-                end = ends.pop()
-                token = text[at:end]
-                if end in dead:
-                    continue
-                if before is not None:
-                    fits = known.get((before, token))
-                    if fits is None:
-                        fits = self.beside(before, token)
-                    if not fits:
-                        continue
-                open_.append(ends)
-                out.append(token)
-                at, ends = end, None
-                break
-            else:
-                dead.add(at)
-                at -= len(out.pop())
-                ends = open_.pop()
-        return out

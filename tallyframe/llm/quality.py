@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, cut_lineage, mix, small_batches, text_slices, word_hashes
+from tallyframe.llm.common import U64, cut_lineage, mix, with_package, text_slices, word_hashes
 
 #: Buckets of hashed n-grams (2 ** BITS). Weights of so many are all that goes to the driver and back.
 BITS = 16
@@ -87,15 +87,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def descent(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Weights (and a bias, last) of a hinge-loss model by dual coordinate descent. Rows are bucket numbers;
-    values are log-count ratios, scaled to rows of length 1, and 1 for the bias."""
+def solved(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, seed: int = 0, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (and a bias, last) of a hinge-loss model by dual coordinate descent, and the rows' dual variables.
+    Rows are bucket numbers; values are log-count ratios, scaled to rows of length 1, and 1 for the bias."""
     weights = np.zeros(len(ratio) + 1)
     scaled = [ratio[r] / max(1e-9, np.sqrt((ratio[r] ** 2).sum())) for r in rows]
     square = np.array([(v**2).sum() + 1 for v in scaled])
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(seed)
-    for _ in range(PASSES):
+    for _ in range(passes):
         for i in order.permutation(len(rows)):
             gradient = labels[i] * (weights[rows[i]] @ scaled[i] + weights[-1]) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), COST)
@@ -104,26 +104,38 @@ def descent(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, seed:
                 weights[rows[i]] += step * scaled[i]
                 weights[-1] += step
                 alpha[i] = new
+    return weights, alpha
+
+
+def descent(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """The weights of ``solved``, drawn towards their mean size."""
+    weights, _ = solved(rows, labels, ratio)
     size = np.abs(weights[:-1]).mean()
     weights[:-1] = OWN * weights[:-1] + (1 - OWN) * size
     return weights
 
 
+def learnt_rows(documents: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
+    """part, label, text of at most about ``max_rows`` labelled documents: see ``fitted``."""
+    labels = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("id"), "quality")
+    labels = labels.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most").drop("most")
+    total = max(1, labels.count())
+    share = min(1.0, max_rows / total)
+    parts = -(-min(total, max_rows) // PART)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(29), "id"), 11) / F.lit(float(1 << 53))
+    chosen = labels.where(place < share).withColumn("part", F.floor(place / share * parts).cast("int"))
+    # at most about max_rows ids: bounded whatever the input
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return texts.groupBy("id", "part", "label").agg(least).select("part", "label", F.col("least.text").alias("text"))
+
+
 def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Log-count ratios per bucket, and weights with the bias last, learnt from labels (doc_id, quality).
 
     Labels other than 0 and 1, contradicting labels of one id, ids without a text and held-out ids are left
-    out. With no label left all weights are 0; with one class, the bias decides."""
-    small_batches(documents.sparkSession)
-    labels = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("__id"), "quality")
-    labels = labels.where(~held_out(F.col("__id"))).groupBy("__id").agg(F.min("quality").alias("label"), F.max("quality").alias("__most")).where("label = __most").drop("__most")
-    total_labels = max(1, labels.count())
-    share = min(1.0, max_rows / total_labels)
-    parts = -(-min(total_labels, max_rows) // PART)
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(29), "__id"), 11) / F.lit(float(1 << 53))
-    chosen = labels.where(place < share).withColumn("part", F.floor(place / share * parts).cast("int"))
-    # at most about max_rows ids: bounded whatever the input
-    source = documents.select(F.col("doc_id").cast("long").alias("__id"), "text").join(F.broadcast(chosen), "__id").select("part", "label", "text")
+    out; of rows that repeat a labelled id, the text of the least hash is learnt from. With no label left all weights are 0; with one class, the bias decides."""
+    with_package(documents.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +145,7 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((found & ((1 << BITS) - 1)).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("part"), part.column("label"), lists], names=["part", "label", "grams"])
 
-    rows = cut_lineage(source.mapInArrow(work, "part int, label int, grams array<int>"))
+    rows = cut_lineage(learnt_rows(documents, labels, max_rows).mapInArrow(work, "part int, label int, grams array<int>"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << BITS), np.int64)
@@ -196,7 +208,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_
 
 
 def accepted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The documents, whole, that the classifier doesn't reject. Texts are scored where they stand."""
+    """The documents, whole, that the classifier doesn't reject. Texts are scored where they stand.
+
+    A null or empty text has the score of the bias; null ids are no reason to go; repeated rows stay or go
+    together; columns may have any names; no rows give no rows."""
     shared = shared_model(documents, labels, max_rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

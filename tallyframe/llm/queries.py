@@ -138,11 +138,12 @@ def _crc(text: str) -> str:
 
 _OP6 = f"""
 WITH {_CRC_TABLE}, sized AS (
-  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32,
-         md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32
   FROM documents, crc_steps
+), hashed AS (
+  SELECT *, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(text_crc32 AS VARCHAR)) AS h FROM sized
 ), ranked AS (
-  SELECT *, CAST(2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY source)) AS spread FROM sized
+  SELECT *, CAST(2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY source)) AS spread FROM hashed
 ), placed AS (
   SELECT *, row_number() OVER (ORDER BY spread, h, doc_id NULLS FIRST, text_crc32, size, source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM ranked
 ), cut AS (

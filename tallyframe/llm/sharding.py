@@ -13,27 +13,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut_lineage
+from tallyframe.llm.common import cut_lineage, row_hash, whole
 
-#: Rows of a bucket, about.
-BUCKET = 2_000
+#: Rows of a bucket, about, and buckets at most: a window ranks all buckets of a group.
+BUCKET, BUCKETS = 2_000, 1 << 20
+#: Elements of a list from which rows are made, and rows of a shard's file.
+LIST, FILE = 1 << 16, 1 << 20
 
 
 def ranked(rows: DataFrame, group: list[str], bucket: Column, order: list, name: str) -> DataFrame:
-    """``rows`` with ``name``: the rank from 1 within ``group`` by ``order``, and ``name``_of, the group's rows.
+    """``rows``, each standing for ``n`` rows, with ``name``: the ranks before its own within ``group`` by
+    ``order``, and ``name``_of, the group's rows.
 
     ``bucket`` must not fall as ``order`` rises. Groups may hold nulls."""
-    rows = rows.withColumn("__bucket", bucket)
-    counts = rows.groupBy(*group, "__bucket").agg(F.count("*").alias("__n"))
+    rows = rows.withColumn("bucket", bucket)
+    counts = rows.groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
     over = Window.partitionBy(*group)
-    before = over.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*[F.col(c).alias(f"__{c}") for c in group], F.col("__bucket").alias("__b"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"), F.sum("__n").over(over).alias(f"{name}_of"))
-    same = F.col("__bucket") == F.col("__b")
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*[F.col(c).alias(f"{c}_of") for c in group], F.col("bucket").alias("b"), before(over.orderBy("bucket")).alias("earlier"), F.sum("n").over(over).alias(f"{name}_of"))
+    same = F.col("bucket") == F.col("b")
     for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_of"))
     joined = rows.join(counts, same)
-    inside = F.row_number().over(Window.partitionBy(*group, "__bucket").orderBy(*order))
-    return joined.withColumn(name, F.col("__first") + inside).drop("__bucket", "__b", "__first", *[f"__{c}" for c in group])
+    inside = before(Window.partitionBy(*group, "bucket").orderBy(*order))
+    return joined.withColumn(name, F.col("earlier") + inside).drop("bucket", "b", "earlier", *[f"{c}_of" for c in group])
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Each row ``n`` times, with ``name``: 1 to n. Lists of LIST elements make them."""
+    lists = rows.withColumn("list", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / LIST))))
+    element = F.explode(F.sequence(F.col("list") * LIST + 1, F.least(F.col("n"), (F.col("list") + 1) * LIST)))
+    return lists.withColumn(name, element).drop("list", "n")
+
+
+def sized(documents: DataFrame) -> list[Column]:
+    text = F.coalesce("text", F.lit(""))
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")]
 
 
 def sharded(documents: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
@@ -42,22 +57,21 @@ def sharded(documents: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
     The law is ``rows``: shards differ by one row at most, the first ones being longer. size: UTF-8 bytes
     of the text plus 1 (null: 1, and its crc is that of the empty text). slot counts a shard's rows from 0.
 
-    A null source is a source of its own; a null doc_id is hashed as an empty one; rows that repeat
-    differ in nothing, so which of them comes first makes no difference; other columns are not read,
+    A null source is a source of its own; a null doc_id is hashed as an empty one; rows that repeat id, source
+    and text are ranked as one row with a count, and differ in nothing; other columns are not read,
     whatever their names; no rows give no rows."""
-    text = F.coalesce("text", F.lit(""))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = cut_lineage(rows.withColumn("h", shuffled))
-    total = rows.count()
-    buckets = max(1, -(-total // BUCKET))
+    rows = documents.select(*sized(documents))
+    shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_crc32").cast("string")))
+    rows = cut_lineage(rows.groupBy("doc_id", "source", "size", "text_crc32").agg(F.count("*").alias("n")).withColumn("h", shuffled))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, min(BUCKETS, -(-total // BUCKET)))
     ties = ["h", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
     by_hash = F.shiftright(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * buckets, 32)
-    rows = ranked(rows, ["source"], by_hash, ties, "rank")
-    rows = rows.withColumn("at", (2 * F.col("rank") - 1) / (2 * F.col("rank_of")))
+    rows = numbered(ranked(rows, ["source"], by_hash, ties, "rank"), "copy")
+    rows = rows.withColumn("at", (2 * (F.col("rank") + F.col("copy")) - 1) / (2 * F.col("rank_of"))).withColumn("n", F.lit(1).cast("long"))
     rows = ranked(rows, [], F.floor(F.col("at") * buckets), ["at", *ties, F.col("source").asc_nulls_first()], "place")
     least, longer = divmod(total, shards)
-    place = F.col("place") - 1
+    place = F.col("place")
     edge = longer * (least + 1)
     in_long, in_short = F.floor(place / (least + 1)), longer + F.floor((place - edge) / max(1, least))
     rows = rows.withColumn("shard", F.when(place < edge, in_long).otherwise(in_short).cast("int"))
@@ -66,11 +80,23 @@ def sharded(documents: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, path: str, shards: int = 16, seed: int = 7) -> None:
-    """Write whole rows as Parquet, a folder ``shard=k`` each, in slot order. Rows that share a doc_id go
-    to the slots that it has in order of their texts' crc."""
-    whole = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("__key")
-    key = Window.partitionBy("__key").orderBy(F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
-    own = sharded(documents, shards, seed).groupBy(whole("doc_id")).agg(F.sort_array(F.collect_list(F.struct("text_crc32", "shard", "slot"))).alias("__slots"))
-    rows = documents.withColumn("__key", whole("doc_id")).withColumn("__at", F.row_number().over(key)).join(own, "__key")
-    rows = rows.select(*documents.columns, F.element_at("__slots", F.col("__at"))["shard"].alias("shard"), F.element_at("__slots", F.col("__at"))["slot"].alias("__slot"))
-    rows.repartition("shard").sortWithinPartitions("shard", "__slot").drop("__slot").write.partitionBy("shard").parquet(path)
+    """Write whole rows as Parquet: a folder ``shard=k`` each, and in it one ``file=f`` for each FILE slots, in slot order.
+
+    Rows that share doc_id, source, size and crc get their slots in order of a hash of all their columns (of types that
+    can be hashed, so no maps); equal rows are one row with a count. Null ids and sources, empty and null texts are
+    rows like others; no rows give no files but the folder. ``documents`` must not have columns ``shard`` or ``file``."""
+    keys = ["doc_id", "source", "size", "text_crc32"]
+    number = Window.partitionBy(*keys).orderBy("hash")
+    counted = cut_lineage(documents.select(*sized(documents), row_hash(documents).alias("hash")).groupBy(*keys, "hash").agg(F.count("*").alias("n")))
+    before = F.coalesce(F.sum("n").over(number.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = numbered(counted.withColumn("before", before), "copy").withColumn("at", F.col("before") + F.col("copy")).drop("before", "copy")
+    slots = sharded(documents, shards, seed).select(*keys, "shard", "slot")
+    slots = slots.withColumn("slot_at", F.row_number().over(Window.partitionBy(*keys).orderBy("shard", "slot"))).withColumnsRenamed({c: f"slot_{c}" for c in keys})
+    meet = F.col("at") == F.col("slot_at")
+    for c in keys:
+        meet = meet & F.col(c).eqNullSafe(F.col(f"slot_{c}"))
+    placed = own.join(slots, meet).select("hash", "shard", "slot", F.floor(F.col("slot") / FILE).alias("file"))
+    single = documents if counted.where("n > 1").isEmpty() else documents.distinct()
+    rows = single.select(row_hash(single).alias("hash"), whole(single).alias("row")).join(placed, "hash")
+    rows = rows.repartition("shard", "file").sortWithinPartitions("shard", "file", "slot").select("row.*", "shard", "file")
+    rows.write.partitionBy("shard", "file").parquet(path)

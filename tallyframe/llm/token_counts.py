@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import small_batches, text_slices
+from tallyframe.llm.common import text_slices, texts_of, with_package
 from tallyframe.llm.prefix_bpe import PrefixTable
 
 # The pattern by which byte-level BPE cuts text before merging, and its parts.
@@ -232,18 +232,18 @@ def token_counts(documents: DataFrame, tokenizer: str, limit: int = 1024, prefix
 
     A null text is an empty one (0 tokens); a null doc_id stays null; repeated rows give repeated rows;
     other columns are not read, whatever their names; no rows give no rows. There is no shuffle."""
-    small_batches(documents.sparkSession)
+    with_package(documents.sparkSession)
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long" + (", prefix_tokens array<int>" if prefixes else "")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(t.encode()) for t in texts], np.int64)
-            tokens, fits = np.array([count.measure(t, limit) for t in texts], np.int64).reshape(-1, 2).T
-            columns = [batch.column("doc_id"), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit), pa.array(fits)]
-            if prefixes:
-                columns.append(pa.array([count.prefixes(t).astype(np.int32) for t in texts], pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in schema.split(", ")])
+            for part, data, offsets in text_slices(batch):
+                texts = texts_of(data, offsets)
+                tokens, fits = np.array([count.measure(t, limit) for t in texts], np.int64).reshape(-1, 2).T
+                columns = [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(tokens), pa.array(tokens > limit), pa.array(fits)]
+                if prefixes:
+                    columns.append(pa.array([count.prefixes(t).astype(np.int32) for t in texts], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.split(" ")[0] for f in schema.split(", ")])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)

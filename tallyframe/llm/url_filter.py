@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import hash_sample, small_batches
+from tallyframe.llm.common import hash_sample, with_package
 
 #: Sampled keys per range.
 SAMPLE = 16
@@ -86,7 +86,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     A null url, or one without ``://``, has an empty host and path. Null page_ids stay; repeated rows give
     repeated rows; other columns are not read, whatever their names; no rows give no rows."""
     spark = pages.sparkSession
-    small_batches(spark)
+    with_package(spark)
     host, path = host_and_path(F.col("url"))
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("h"), path.alias("p"), F.xxhash64("page_id", "url").alias("salt"))
     urls = urls.select("page_id", F.coalesce("h", F.lit("")).alias("host"), F.coalesce("p", F.lit("")).alias("path"), "salt")

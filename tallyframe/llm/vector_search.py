@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import cut_lineage, hash_sample, small_batches
+from tallyframe.llm.common import cut_lineage, hash_sample, with_package
 
 #: Vectors that the centres are chosen from, centres at most, and vectors of a block, about.
 SAMPLE, CENTRES, BLOCK = 2048, 256, 4096
@@ -160,7 +160,7 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     vectors count as filled up with zeros; rows that repeat vec_id and vector count once, and scores
     beyond 64 bits as the largest number. Other columns are not read, whatever their names."""
     spark = vectors.sparkSession
-    small_batches(spark)
+    with_package(spark)
     rows = cut_lineage(parsed(vectors).distinct())
     total = rows.count()
     first = Window.partitionBy("v").orderBy("vec_id")
