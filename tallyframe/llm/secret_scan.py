@@ -194,11 +194,11 @@ def redacted(documents: DataFrame, mask: str = "[SECRET]", scope: int = SCOPE) -
     overlapping spans by one) and n_chars as it is then, if there is such a column.
 
     Texts without secrets, null and empty texts stay as they are, n_chars too of a null text; null ids stay;
-    repeated rows give repeated rows; columns may have any names; no rows give no rows. There is no shuffle."""
-    text = F.col("row.text")
-    found = with_spans(documents.select(whole(documents).alias("row"), "text"), scope)
-    row = F.col("row").withField("text", F.col("masked"))
+    repeated rows give repeated rows; columns may have any names; no rows give no rows. There is no shuffle.
+    Write the result before filtering by its text: a filter would be planned with all of the scan inside it."""
+    found = masked(with_spans(documents.select(whole(documents).alias("row"), "text"), scope), mask)
+    row, text = F.col("row"), F.col("masked")
+    changed = {"text": text}
     if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        row = row.withField("n_chars", F.when(text.isNull(), F.col("row.n_chars")).otherwise(F.length("masked").cast(kind)))
-    return masked(found, mask).select(row.alias("row")).select("row.*")
+        changed["n_chars"] = F.when(text.isNull(), row["n_chars"]).otherwise(F.length(text).cast(documents.schema["n_chars"].dataType))
+    return found.select(*[changed.get(c, row.getField(c)).alias(c) for c in documents.columns])

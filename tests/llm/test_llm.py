@@ -476,7 +476,7 @@ def test_redaction_leaves_no_secret(spark, odd):
     assert masked.columns == odd.columns
     same = [c for c in odd.columns if c not in ("text", "n_chars")]
     tell = lambda frame: sorted(str([r[c] for c in same]) for r in frame.collect())
-    assert tell(masked) == tell(odd) and masked.where("text like '%abcdef1%'").isEmpty()
+    assert tell(masked) == tell(odd) and not any("abcdef1" in (r.text or "") for r in masked.collect())
     assert SS.redacted(odd.limit(0)).count() == 0
 
 
