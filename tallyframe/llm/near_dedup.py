@@ -236,10 +236,13 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
         listed = rare.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
         split = cut_lineage(level.join(listed, "id", "left").mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, keys array<long>, rest_id long, rest array<long>"))
 
-        keyed = split.select("id", "n", F.explode("keys").alias("key"))
-        other = keyed.select("key", F.col("id").alias("v"), F.col("n").alias("nv"))
-        met = keyed.join(other, "key").where("id < v and 100 * least(n, nv) >= %d * greatest(n, nv)" % similarity)
-        pairs = cut_lineage(met.select(F.col("id").alias("u"), "v").distinct())
+        # a rare shingle's sets are ``limit`` at most; shingles of the same sets give their pairs once
+        keyed = split.select(F.struct("id", "n").alias("set"), F.explode("keys").alias("key"))
+        lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
+        ends = lists.select("sets", F.posexplode("sets").alias("at", "a"))
+        ends = ends.select("a", F.explode(F.slice("sets", F.col("at") + 2, limit)).alias("b"))
+        met = ends.where(100 * F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n"))
+        pairs = cut_lineage(met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct())
         found = cut_lineage(confirmed(pairs, level, similarity))
         links = links.union(found.select("u", "v"))
         if not first:
