@@ -14,13 +14,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm.common import checkpoint_folder, read
+from tallyframe.llm.common import read
 from tallyframe.llm.mixing import mix
 from tallyframe.llm.near_dedup import without_near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
 from tallyframe.llm.quality import accepted
 from tallyframe.llm.queries import tokenizer_path
 from tallyframe.llm.secret_scan import redacted
+from tallyframe.workers import shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``. What each keeps is written as Parquet in the shared folder of
     ``spark.checkpoint.dir`` and read as the next one's input."""
-    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4()}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -10,29 +10,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.workers import ship_package
+from tallyframe.workers import shared_folder, ship_package
 
-#: Bytes of text that a task works on at once.
-SLICE_BYTES = 1 << 20
+#: Bytes of text and rows that a task works on at once.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
 #: Bits of an id bitmap: 8 MiB whatever the input, so that it may be broadcast.
 BITMAP_BITS = 1 << 26
 
 U64 = np.uint64
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all machines of a cluster share; it has to be set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` in the context's checkpoint folder, or that of ``spark.checkpoint.dir``."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -70,14 +62,14 @@ def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of a batch of about ``limit`` bytes of text (one row at least), each with the bytes of
-    its texts, end to end, and the n + 1 offsets of the rows in them. A null text is an empty one."""
+    """Parts of a batch of about ``limit`` bytes of text (one row at least) and SLICE_ROWS rows at most, each with the
+    bytes of its texts, end to end, and the n + 1 offsets of the rows in them. A null text is an empty one."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
+        to = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, base + limit, "right"))))
         part = batch.slice(at, to - at)
         texts = pc.fill_null(part.column(column).cast(pa.large_binary()), b"")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
