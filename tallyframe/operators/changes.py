@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,19 +11,25 @@ from tallyframe.functions.scalars import zfill
 from tallyframe.operators.roster import last_row
 
 
-def diff_rosters(old: DataFrame, new: DataFrame) -> DataFrame:
-    """JON14, SET02: change_kind (added, removed), id_voter, county, voting_method.
+def diff_rosters(old: DataFrame, new: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """JON14, SET02: change_kind (added, removed), ``by``, id_voter, county, voting_method.
+
+    Of a voter's rows in a file the last (``pos``) counts; a blank id and that of zeros only are skipped.
+    Counties and methods are trimmed and upper-cased, a null one is empty. ``by``: columns (the day, say) that
+    tell apart several files on each side."""
+    key = [*by, "id_voter"]
+    tidy = lambda c: F.upper(F.trim(F.coalesce(F.col(c), F.lit("")))).alias(c)
 
-    Of a voter's rows in a file the last (``pos``) counts; the id of zeros only is skipped."""
-    def voters(df: DataFrame) -> DataFrame:
-        padded = df.withColumn("id_voter", zfill(F.trim("id_voter"), 10)).where("id_voter != '0000000000'")
-        return last_row(padded.select("id_voter", "county", "voting_method", "pos"), ["id_voter"], ["pos"]).drop("pos")
+    def voters(df: DataFrame, side: str) -> DataFrame:
+        padded = df.withColumn("id_voter", zfill(F.trim("id_voter"), 10)).where("id_voter not in ('', '0000000000')")
+        rows = last_row(padded.select(*key, tidy("county"), tidy("voting_method"), "pos"), key, ["pos"])
+        # a struct is null only where the voter isn't in the file, whatever its cells hold
+        return rows.select(*key, F.struct("county", "voting_method").alias(side))
 
-    a, b = voters(old), voters(new)
-    both = a.join(b.select("id_voter", F.struct("county", "voting_method").alias("b")), "id_voter", "full_outer").withColumn("a", F.when(F.col("voting_method").isNotNull() | F.col("county").isNotNull(), F.struct("county", "voting_method")))
+    both = voters(old, "a").join(voters(new, "b"), key, "full_outer")
     changed = both.where(F.col("a").isNull() | F.col("b").isNull())
     kept = F.coalesce("a", "b")
-    return changed.select(F.when(F.col("a").isNull(), "added").otherwise("removed").alias("change_kind"), "id_voter", kept["county"].alias("county"), kept["voting_method"].alias("voting_method"))
+    return changed.select(F.when(F.col("a").isNull(), "added").otherwise("removed").alias("change_kind"), *key, kept["county"].alias("county"), kept["voting_method"].alias("voting_method"))
 
 
 def compare_snapshots(prior: DataFrame, current: DataFrame) -> DataFrame:

@@ -44,22 +44,32 @@ def repeat_excess(rows: DataFrame) -> DataFrame:
 
 def repeat_voters(rows: DataFrame, removals: DataFrame) -> DataFrame:
     """AGG09: per voter who is counted more than once or was removed: n_counted, n_removed, first_day,
-    counted_days, appearances in order, removed_days and flags.
+    counted_days, removed_days and flags.
 
     flags: 1 several rows on one day, 2 several days, 4 several methods, 8 removed. ``removals``: id_voter,
-    ev_date of removals from the change log. A voter's appearances are few, so their list is bounded."""
-    row = F.struct(*APPEARANCE, "ev_date", normalize_method("voting_method").alias("method"), F.upper(F.trim("county")).alias("county"))
-    seen = rows.groupBy("id_voter").agg(F.sort_array(F.collect_list(row)).alias("a"))
+    ev_date of removals from the change log. Only sets of days are gathered, which are as many as an election
+    has; ``repeat_appearances`` gives the appearances themselves, as rows."""
+    method = F.coalesce(normalize_method("voting_method"), F.lit(""))
+    seen = rows.groupBy("id_voter").agg(F.count("*").alias("n_counted"), F.array_sort(F.collect_set("ev_date")).alias("days"), (F.min(method) != F.max(method)).alias("methods"))
     gone = removals.groupBy("id_voter").agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_set("ev_date")).alias("removed_days"))
-    both = seen.join(gone, "id_voter", "full_outer")
-    none = F.coalesce("a", F.array().cast(seen.schema["a"].dataType))
-    out = both.withColumn("a", none).withColumn("n_counted", F.size("a")).withColumn("n_removed", F.coalesce("n_removed", F.lit(0))).where("n_counted > 1 or n_removed > 0")
-    days = F.array_distinct(F.transform("a", lambda x: x["ev_date"]))
-    out = out.withColumn("counted_days", days).withColumn("first_day", F.get("counted_days", F.lit(0)))
-    methods = F.size(F.array_distinct(F.transform("a", lambda x: F.coalesce(x["method"], F.lit("")))))
-    flags = pack_bits(F.size("counted_days") < F.col("n_counted"), F.size("counted_days") > 1, methods > 1, F.col("n_removed") > 0)
-    appearances = F.transform("a", lambda x: F.struct(x["ev_date"].alias("day"), x["method"].alias("method"), x["county"].alias("county")))
-    return out.select("id_voter", "n_counted", "n_removed", "first_day", "counted_days", appearances.alias("appearances"), F.coalesce("removed_days", F.array().cast("array<date>")).alias("removed_days"), flags.alias("flags"))
+    both = seen.where("n_counted > 1").join(gone, "id_voter", "full_outer")
+    # a removed voter's single appearance counts too
+    single = seen.where("n_counted = 1").join(gone, "id_voter", "left_semi").withColumnsRenamed({c: f"one_{c}" for c in ("n_counted", "days", "methods")})
+    both = both.join(single, "id_voter", "left")
+    none = F.array().cast("array<date>")
+    n, days = F.coalesce("n_counted", "one_n_counted", F.lit(0)).cast("int"), F.coalesce("days", "one_days", none)
+    removed = F.coalesce("n_removed", F.lit(0))
+    flags = pack_bits(F.size(days) < n, F.size(days) > 1, F.coalesce("methods", F.lit(False)), removed > 0)
+    return both.select("id_voter", n.alias("n_counted"), removed.alias("n_removed"), F.get(days, F.lit(0)).alias("first_day"), days.alias("counted_days"), F.coalesce("removed_days", none).alias("removed_days"), flags.alias("flags"))
+
+
+def repeat_appearances(rows: DataFrame, removals: DataFrame) -> DataFrame:
+    """AGG09: id_voter, place (from 1), ev_date, method, county: the appearances, in order, of voters who appear
+    more than once or were removed."""
+    several = rows.groupBy("id_voter").agg(F.count("*").alias("n")).where("n > 1").select("id_voter")
+    wanted = several.union(removals.select("id_voter")).distinct()
+    place = F.row_number().over(Window.partitionBy("id_voter").orderBy(*APPEARANCE))
+    return rows.join(wanted, "id_voter", "left_semi").select("id_voter", place.alias("place"), "ev_date", normalize_method("voting_method").alias("method"), F.upper(F.trim("county")).alias("county"))
 
 
 def repeat_summary(rows: DataFrame, removals: DataFrame) -> DataFrame:

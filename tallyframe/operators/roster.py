@@ -98,19 +98,25 @@ def flag_duplicates(df: DataFrame, pos: Sequence[str] = ("pos",)) -> DataFrame:
     """WIN05: duplicate_flag, duplicate_type and also_found_on of each appearance.
 
     A voter with several dates, methods, counties, names or precincts has the flags of that, in this order;
-    also_found_on names every other appearance's county and date once, in order of ``pos``. One window
-    gathers a voter's appearances, which are few; nothing else is shuffled."""
-    seen = Window.partitionBy("id_voter")
+    also_found_on names every other appearance's county and date once, in order of ``pos``. What is gathered per
+    voter is its distinct counties and dates, each with its first two positions, not its rows."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     kinds = {"multiple_dates": "report_date", "conflicting_method": "voting_method", "multiple_counties": "county", "name_mismatch": "voter_name", "precinct_mismatch": "precinct"}
-    flags = F.array_compact(F.array(*[F.when(F.min(blank(c)).over(seen) != F.max(blank(c)).over(seen), k) for k, c in kinds.items()]))
-    row = F.struct(*pos, appearance_token("county", "report_date").alias("token"))
-    out = df.withColumn("__all", F.sort_array(F.collect_list(row).over(seen))).withColumn("__own", row).withColumn("__flags", flags)
-    at = F.array_position("__all", F.col("__own"))
-    others = F.filter("__all", lambda x, i: i + 1 != at)
-    tokens = F.array_distinct(F.transform(others, lambda x: x["token"]))
-    out = out.withColumn("duplicate_flag", F.size("__flags") > 0).withColumn("duplicate_type", F.array_join("__flags", ",")).withColumn("also_found_on", F.array_join(tokens, "; "))
-    return out.drop("__all", "__own", "__flags")
+    flags = F.array_compact(F.array(*[F.when(F.min(blank(c)) != F.max(blank(c)), k) for k, c in kinds.items()]))
+    found = df.groupBy("id_voter").agg(flags.alias("__flags"))
+    row, token = F.struct(*pos), appearance_token("county", "report_date")
+    nth = F.row_number().over(Window.partitionBy("id_voter", "token").orderBy("at"))
+    firsts = df.select("id_voter", token.alias("token"), row.alias("at")).withColumn("nth", nth).where("nth <= 2")
+    tokens = firsts.groupBy("id_voter", "token").agg(F.min("at").alias("first"), F.max(F.when(F.col("nth") == 2, F.col("at"))).alias("second"))
+    tokens = tokens.groupBy("id_voter").agg(F.collect_list(F.struct("token", "first", "second")).alias("__tokens"))
+    out = df.join(found.join(tokens, "id_voter"), "id_voter", "left").withColumn("__own", F.struct(token.alias("token"), row.alias("at")))
+    own = F.col("__own")
+    others = F.filter("__tokens", lambda x: (x["token"] != own["token"]) | x["second"].isNotNull())
+    # a row's own token stands where another row has it first
+    placed = F.transform(others, lambda x: F.struct(F.when((x["token"] == own["token"]) & (x["first"] == own["at"]), x["second"]).otherwise(x["first"]).alias("at"), x["token"].alias("token")))
+    listed = F.transform(F.sort_array(placed), lambda x: x["token"])
+    out = out.withColumn("duplicate_flag", F.coalesce(F.size("__flags") > 0, F.lit(False))).withColumn("duplicate_type", F.coalesce(F.array_join("__flags", ","), F.lit(""))).withColumn("also_found_on", F.coalesce(F.array_join(listed, "; "), F.lit("")))
+    return out.drop("__tokens", "__own", "__flags").select(*df.columns, "duplicate_flag", "duplicate_type", "also_found_on")
 
 
 def multi_place_flags(df: DataFrame) -> DataFrame:

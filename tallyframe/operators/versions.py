@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.scalars import day_digest
+
 KEY = ("day", "row_hash", "occ")
 
 
@@ -33,8 +35,8 @@ def load_day_version(stored: DataFrame, new: DataFrame, version: int, key: Seque
     """VER01, VER03: all rows of a day after loading ``new`` as version + 1.
 
     Rows whose key stays are untouched; new keys are added at version + 1 (a key that was removed before gets
-    a row of its own again, so readers of old versions see what they saw); keys that are gone are closed
-    there. Same keys on both sides give the rows as they are."""
+    a row of its own again, so readers of old versions see what they saw, and a key may have several rows, one
+    of them live); keys that are gone are closed there. Same keys on both sides give the rows as they are."""
     live = live_rows(stored)
     closed = stored.where("removed_in is not null")
     kept = live.join(new.select(*key, F.lit(True).alias("__here")), list(key), "left")
@@ -82,9 +84,9 @@ def with_defaults(df: DataFrame, columns: dict[str, tuple[str, object]]) -> Data
 
 
 def build_signature(versions: DataFrame, columns: Sequence[str], extra: str = "") -> DataFrame:
-    """AGG24: one sha256 over the manifest's sorted rows and other inputs; an equal one skips a build."""
-    lines = F.sort_array(F.collect_list(F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))))
-    return versions.agg(F.sha2(F.concat_ws("\n", lines, F.lit(extra)), 256).alias("signature"))
+    """AGG24: one sha256 over the manifest's rows, in any order, and other inputs; an equal one skips a build."""
+    lines = F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+    return versions.agg(F.sha2(F.concat_ws("\n", day_digest(lines), F.lit(extra)), 256).alias("signature"))
 
 
 def diff_upsert(stored: DataFrame, new: DataFrame, key: Sequence[str], value_hash: str) -> tuple[DataFrame, DataFrame]:

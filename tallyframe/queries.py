@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -22,7 +21,8 @@ from tallyframe.plans.series import day_series
 from tallyframe.sources import adapters as T
 from tallyframe.sources import readers as I
 from tallyframe.sources import sinks as K
-from tallyframe.streaming.ingest import first_appearances, streaming_day_series
+from tallyframe.streaming.ingest import current_days, day_changes, day_files, first_appearances, ingest_days, streaming_day_series
+from tallyframe.workers import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def query(sql: str | None = None, views: tuple[str, ...] = ()):
     return add
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder for files that a query writes and reads back."""
+    return f"{shared_folder(spark)}/files-{uuid.uuid4()}"
+
+
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.keyed(T.roster(spark, sf_dir))
 
@@ -78,16 +83,100 @@ def win01_running_totals_big(spark, sf_dir):
 # ---------------------------------------------------------------- sources
 
 
-@query(None)
+def _roster_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = O.flag_duplicates(T.clean_roster(spark, sf_dir))
+    return rows.withColumn("election_id", F.lit("e1"))
+
+
+ROSTER_FILE = """, v AS (SELECT id_voter, count(DISTINCT report_date) > 1 OR count(DISTINCT voting_method) > 1 OR count(DISTINCT county) > 1 OR count(DISTINCT voter_name) > 1 OR count(DISTINCT precinct) > 1 AS flagged FROM clean GROUP BY id_voter)"""
+
+
+@query(f"{ROSTER_FILE} SELECT c.id_voter, voting_method, precinct, county, 'e1' AS election_id, report_date, voter_name, flagged AS duplicate_flag FROM clean c JOIN v ON c.id_voter = v.id_voter", ("roster", "clean"))
 def src01_roster_csv(spark, sf_dir):
-    """Reads nothing from disk but the tables: the roster's rows as CSV text, parsed as the reader does."""
-    rows = T.clean_roster(spark, sf_dir).select("id_voter", "voting_method", "precinct", "county", F.col("report_date").cast("string").alias("report_date"))
-    line = rows.select(F.to_csv(F.struct(*rows.columns)).alias("line"))
-    parsed = line.select(F.from_csv("line", "id_voter string, voting_method string, precinct string, county string, report_date string").alias("r")).select("r.*")
-    return parsed.select(S.zfill("id_voter", 10).alias("id_voter"), "voting_method", "precinct", "county", F.to_date("report_date").alias("report_date"))
+    """SRC01 and SNK01: the roster with its duplicate flags, written as CSV and read back."""
+    folder = _folder(spark)
+    K.write_roster_csv(_roster_file(spark, sf_dir), folder)
+    return I.read_roster_csv(spark, folder).drop("duplicate_type", "also_found_on")
+
+
+@query(" SELECT county, voter_name, id_voter, voting_method, precinct FROM roster", ("roster",))
+def src02_day_roster(spark, sf_dir):
+    """A statewide file whose header is untidy, written as CSV and read back."""
+    folder, r = _folder(spark), T.roster(spark, sf_dir)
+    named = r.select(F.col("county").alias(" County_Name"), F.col("voter_name").alias("voter_name "), F.col("id_voter").alias("ID_VOTER"), F.col("voting_method").alias("Voting_Method"), F.col("precinct").alias("PRECINCT"))
+    named.write.option("header", True).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return I.read_day_roster(spark, folder)
+
+
+def _turnout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = T.turnout(spark, sf_dir)
+    return t.select("election_id", F.lit("2024-01-30").cast("date").alias("report_date"), "county", F.when(F.col("county_id") != "3", F.col("county_id")).alias("county_id"), "registered_voters", F.lit(7).cast("long").alias("in_person_votes_on_date"), "total_in_person_votes", "total_mail_votes", (F.col("registered_voters") % 20 != 0).alias("roster_available"), F.lit("s, t").alias("source"))
+
+
+TURNOUT_ROWS = " SELECT election_id, DATE '2024-01-30' AS report_date, county, CASE WHEN county_id <> '3' THEN county_id END AS county_id, registered_voters, CAST(7 AS BIGINT) AS in_person_votes_on_date, total_in_person_votes, total_mail_votes, registered_voters % 20 <> 0 AS roster_available, 's, t' AS source FROM turnout"
+
+
+@query(TURNOUT_ROWS, ("roster", "clean", "turnout"))
+def src03_turnout_csv(spark, sf_dir):
+    """SRC03 and SNK03: published counts, written as CSV and read back."""
+    folder = _folder(spark)
+    K.write_turnout_csv(_turnout_rows(spark, sf_dir), folder)
+    return I.read_turnout_csv(spark, folder)
+
+
+@query(f", t AS ({TURNOUT_ROWS}) SELECT * FROM t UNION ALL SELECT * REPLACE ('all' AS source) FROM t", ("roster", "clean", "turnout"))
+def src04_stored_turnout(spark, sf_dir):
+    """Files of two days and one without a day; one day and the one without are asked for."""
+    folder, rows = _folder(spark), _turnout_rows(spark, sf_dir)
+    for name, source in (("2024-01-30", "s, t"), ("2024-01-31", "other"), ("all", "all")):
+        K.write_turnout_csv(rows.withColumn("source", F.lit(source)), f"{folder}/turnout_{name}.csv")
+    return I.load_stored_turnout(spark, folder, ["2024-01-30"])
+
 
+@query(" SELECT upper(county) AS county, voter_name, id_voter, voting_method, precinct FROM roster WHERE row_key % 40 <> 0", ("roster",))
+def src11_unzip_rosters(spark, sf_dir):
+    """The roster as ZIP archives, one per part of it, made by tasks and read back; rows of a blank county go."""
+    folder, r = _folder(spark), T.roster(spark, sf_dir)
+    county = F.when(F.col("row_key") % 40 == 0, " ").otherwise(F.concat(F.lit(" "), F.lower("county")))
+    lines = r.select(F.to_csv(F.struct(county.alias("county"), "voter_name", "id_voter", "voting_method", "precinct"), {"quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}).alias("line"))
 
-ORACLES["src01_roster_csv"] = T.with_views("roster", "clean") + " SELECT id_voter, voting_method, precinct, county, report_date FROM clean"
+    def zipped(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("day.csv", "\n".join(["COUNTY,VOTER_NAME,ID_VOTER,VOTING_METHOD,PRECINCT", *batch["line"]]))
+                archive.writestr("readme.txt", "no roster")
+            yield pd.DataFrame({"content": [packed.getvalue()]})
+
+    archives = lines.mapInPandas(zipped, "content binary").withColumn("path", F.concat(F.lit(f"{folder}/"), F.uuid(), F.lit(".zip")))
+    archives.write.parquet(f"{folder}/archives")
+    return I.unzip_archives(spark, spark.read.parquet(f"{folder}/archives")).drop("path")
+
+
+@query(" SELECT county, ev_date, voter_name, id_voter, CASE method WHEN 'mail_in' THEN 'MAIL-IN' ELSE 'IN-PERSON' END AS voting_method, precinct FROM roster WHERE id_voter <> '0000000003'", ("roster",))
+def src12_county_rosters(spark, sf_dir):
+    """Files per county and day, whose folders name both; a blank id is dropped."""
+    folder, r = _folder(spark), T.roster(spark, sf_dir)
+    ids = F.when(F.col("id_voter") == "0000000003", " ").otherwise(F.regexp_replace("id_voter", "^0+", ""))
+    method = F.when(F.upper("voting_method").like("%MAIL%"), "by mail").otherwise("in person")
+    rows = r.select("county", "ev_date", F.col("voter_name").alias("VOTER_NAME"), ids.alias("ID_VOTER"), method.alias("VOTING_METHOD"), F.col("precinct").alias("PRECINCT"))
+    rows.where("ID_VOTER != ''").unionByName(rows.where("ID_VOTER = ''").withColumn("ID_VOTER", F.lit("0"))).repartition("county", "ev_date").write.partitionBy("county", "ev_date").option("header", True).csv(folder)
+    county = F.regexp_replace(F.regexp_extract("__path", "county=([^/]+)/", 1), "%20", " ")
+    day = F.to_date(F.regexp_extract("__path", "ev_date=([0-9-]+)/", 1))
+    return I.read_county_rosters(spark, [folder], county, day)
+
+
+@query(" SELECT VUID, SEX, DOB FROM register WHERE lpad(VUID, 10, '0') IN (SELECT id_voter FROM roster)", ("roster", "register"))
+def src13_read_register(spark, sf_dir):
+    """The register as a wide CSV, of which the targets' rows and three columns are read back."""
+    folder = _folder(spark)
+    T.register(spark, sf_dir).drop("pos").write.option("header", True).csv(folder)
+    return I.read_register(spark, folder, ["VUID", "SEX", "DOB"], T.roster(spark, sf_dir)).withColumn("SEX", F.coalesce("SEX", F.lit("")))
 
 
 @query(
@@ -399,10 +488,12 @@ def top01_largest_gaps(spark, sf_dir):
     return Q.largest_gaps(_gaps(spark, sf_dir)).select("county", "gap_total")
 
 
-@query(" SELECT county, county_id FROM turnout WHERE upper(county) NOT IN (SELECT upper(county) FROM clean WHERE row_key % 3 = 0 AND id_voter < '0000000009')", _GAP_VIEWS)
+@query(", t AS (SELECT lower(county) AS county, county_id FROM turnout UNION ALL SELECT s_name, CAST(s_suppkey AS VARCHAR) FROM supplier) SELECT county, county_id FROM t WHERE upper(county) NOT IN (SELECT upper(county) FROM clean)", _GAP_VIEWS)
 def jon04_missing_counties(spark, sf_dir):
-    rows = T.clean_roster(spark, sf_dir).where("row_key % 3 = 0 and id_voter < '0000000009'")
-    return Q.missing_counties(rows, T.turnout(spark, sf_dir)).select("county", "county_id")
+    """Published counts that also name areas which no roster row has: suppliers stand for those."""
+    areas = T.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("county"), F.col("s_suppkey").cast("string").alias("county_id"))
+    published = T.turnout(spark, sf_dir).select(F.lower("county").alias("county"), "county_id").union(areas)
+    return Q.missing_counties(T.clean_roster(spark, sf_dir), published).select("county", "county_id")
 
 
 @query(", n AS (SELECT upper(county) AS k, count(*) AS n FROM clean GROUP BY 1) SELECT county, n, registered_voters, n - registered_voters AS excess FROM turnout JOIN n ON k = upper(county) WHERE registered_voters > 0 AND n > registered_voters", _GAP_VIEWS)
@@ -442,41 +533,45 @@ def jon07_current_election(spark, sf_dir):
     return R.with_current_election(T.table(spark, sf_dir, "customer").select("c_custkey"), R.calendar_frame(spark))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = T.table(spark, sf_dir, "part")
+def _county_and_code() -> tuple:
+    """Parts as precincts: 900 to a county, numbered in it, so that codes of four digits stay unique."""
     k = F.col("p_partkey")
-    code = F.when(k % 6 == 0, F.lpad(k.cast("string"), 4, "0")).when(k % 6 == 1, k.cast("string")).when(k % 6 == 2, F.concat(k.cast("string"), F.lit("a"))).when(k % 6 == 3, F.lit(" ")).when(k % 6 == 4, F.concat(F.lit(" "), k.cast("string"), F.lit(" "))).otherwise("zzz")
-    fips = F.when(k % 50 != 7, F.lpad((k % 3).cast("string"), 3, "0"))
-    return p.select(fips.alias("county_fips"), code.alias("precinct"), F.lit(2).cast("long").alias("n"), k.alias("k"))
+    return F.lpad(F.floor(k / 900).cast("string"), 5, "0"), (k % 900).cast("string")
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, (fips, c) = F.col("p_partkey"), _county_and_code()
+    code = F.when(k % 50 == 7, k.cast("string")).when(k % 6 == 0, F.lpad(c, 4, "0")).when(k % 6 == 1, c).when(k % 6 == 2, F.concat(c, F.lit("a"))).when(k % 6 == 3, F.lit(" ")).when(k % 6 == 4, F.concat(F.lit(" "), c, F.lit(" "))).otherwise("zzz")
+    return T.table(spark, sf_dir, "part").select(F.when(k % 50 != 7, fips).alias("county_fips"), code.alias("precinct"), F.lit(2).cast("long").alias("n"), k.alias("k"))
 
 
 def _precincts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = T.table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    prec = F.when(k % 6 == 2, F.upper(F.lpad(F.concat(k.cast("string"), F.lit("a")), 4, "0"))).otherwise(F.lpad(k.cast("string"), 4, "0"))
-    return p.select(F.concat(F.lit("P"), k.cast("string")).alias("pctkey"), F.lpad((k % 3).cast("string"), 3, "0").alias("county_fips"), prec.alias("prec"), (k % 5).cast("string").alias("cd"), F.lit("9").alias("sd"), F.when(k % 7 != 0, "4").alias("hd"), (k % 9 == 0).alias("split_cd"), F.lit(False).alias("split_sd"), (k % 8 == 0).alias("split_hd"))
+    k, (fips, c) = F.col("p_partkey"), _county_and_code()
+    prec = F.when(k % 6 == 2, F.upper(F.lpad(F.concat(c, F.lit("a")), 4, "0"))).otherwise(F.lpad(c, 4, "0"))
+    return T.table(spark, sf_dir, "part").select(F.concat(F.lit("P"), k.cast("string")).alias("pctkey"), fips.alias("county_fips"), prec.alias("prec"), (k % 5).cast("string").alias("cd"), F.lit("9").alias("sd"), F.when(k % 7 != 0, "4").alias("hd"), (k % 9 == 0).alias("split_cd"), F.lit(False).alias("split_sd"), (k % 8 == 0).alias("split_hd"))
 
 
-GEO = """WITH pairs AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 50 <> 7 THEN lpad(CAST(p_partkey % 3 AS VARCHAR), 3, '0') END AS county_fips,
-  CASE p_partkey % 6 WHEN 0 THEN lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(4, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') WHEN 1 THEN CAST(p_partkey AS VARCHAR) WHEN 2 THEN CAST(p_partkey AS VARCHAR) || 'a' WHEN 3 THEN ' ' WHEN 4 THEN ' ' || CAST(p_partkey AS VARCHAR) || ' ' ELSE 'zzz' END AS precinct FROM part),
+GEO = """WITH coded AS (SELECT p_partkey AS k, lpad(CAST(p_partkey // 900 AS VARCHAR), 5, '0') AS fips, CAST(p_partkey % 900 AS VARCHAR) AS c FROM part),
+pairs AS (SELECT k, CASE WHEN k % 50 <> 7 THEN fips END AS county_fips,
+  CASE WHEN k % 50 = 7 THEN CAST(k AS VARCHAR) ELSE CASE k % 6 WHEN 0 THEN lpad(c, 4, '0') WHEN 1 THEN c WHEN 2 THEN c || 'a' WHEN 3 THEN ' ' WHEN 4 THEN ' ' || c || ' ' ELSE 'zzz' END END AS precinct FROM coded),
 resolved AS (SELECT *, CASE WHEN county_fips IS NULL OR k % 6 IN (3, 5) THEN NULL ELSE 'P' || CAST(k AS VARCHAR) END AS pctkey,
-  CASE WHEN county_fips IS NULL OR k % 6 IN (3, 5) THEN 'unmatched' WHEN k % 6 = 0 OR (k % 6 = 1 AND k > 999) THEN 'exact' WHEN k % 6 = 2 THEN 'alnum_zfill4' ELSE 'zfill4' END AS rule FROM pairs)"""
+  CASE WHEN county_fips IS NULL OR k % 6 IN (3, 5) THEN 'unmatched' WHEN k % 6 = 0 THEN 'exact' WHEN k % 6 = 2 THEN 'alnum_zfill4' ELSE 'zfill4' END AS rule FROM pairs)"""
 
 
-@query(f"{GEO} SELECT k, pctkey, rule FROM resolved WHERE k < 1000")
+@query(f"{GEO} SELECT k, pctkey, rule FROM resolved")
 def jon08_resolve_alias(spark, sf_dir):
-    return G.resolve_alias(_pairs(spark, sf_dir).where("k < 1000"), _precincts(spark, sf_dir)).select("k", "pctkey", "rule")
+    return G.resolve_alias(_pairs(spark, sf_dir), _precincts(spark, sf_dir)).select("k", "pctkey", "rule")
 
 
 @query(
-    f"""{GEO} SELECT rule, count(*) AS pairs, CAST(count(*) * 2 AS BIGINT) AS rows, count(pctkey) AS matched_pairs, count(pctkey) * 2 AS matched_rows, count(pctkey) / count(*) AS share FROM resolved WHERE k < 1000 GROUP BY rule
-    UNION ALL SELECT 'all', count(*), count(*) * 2, count(pctkey), count(pctkey) * 2, count(pctkey) / count(*) FROM resolved WHERE k < 1000"""
+    f"""{GEO} SELECT rule, count(*) AS pairs, CAST(count(*) * 2 AS BIGINT) AS rows, count(pctkey) AS matched_pairs, count(pctkey) * 2 AS matched_rows, count(pctkey) / count(*) AS share FROM resolved GROUP BY rule
+    UNION ALL SELECT 'all', count(*), count(*) * 2, count(pctkey), count(pctkey) * 2, count(pctkey) / count(*) FROM resolved"""
 )
 def agg17_alias_coverage(spark, sf_dir):
-    return G.alias_coverage(G.resolve_alias(_pairs(spark, sf_dir).where("k < 1000"), _precincts(spark, sf_dir)))
+    return G.alias_coverage(G.resolve_alias(_pairs(spark, sf_dir), _precincts(spark, sf_dir)))
 
 
-SOLE = """, prec AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS pctkey, lpad(CAST(p_partkey % 3 AS VARCHAR), 3, '0') AS county_fips, CAST(p_partkey % 5 AS VARCHAR) AS cd, '9' AS sd, CASE WHEN p_partkey % 7 <> 0 THEN '4' END AS hd,
+SOLE = """, prec AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS pctkey, lpad(CAST(p_partkey // 900 AS VARCHAR), 5, '0') AS county_fips, CAST(p_partkey % 5 AS VARCHAR) AS cd, '9' AS sd, CASE WHEN p_partkey % 7 <> 0 THEN '4' END AS hd,
   p_partkey % 9 = 0 AS split_cd, FALSE AS split_sd, p_partkey % 8 = 0 AS split_hd FROM part),
 sole AS (SELECT county_fips, CASE WHEN count(DISTINCT coalesce(cd, '~')) = 1 AND NOT bool_or(split_cd) THEN max(cd) END AS sole_cd, CASE WHEN count(DISTINCT coalesce(sd, '~')) = 1 AND NOT bool_or(split_sd) THEN max(sd) END AS sole_sd,
   CASE WHEN count(DISTINCT coalesce(hd, '~')) = 1 AND NOT bool_or(split_hd) THEN max(hd) END AS sole_hd FROM prec GROUP BY county_fips)"""
@@ -487,7 +582,7 @@ def agg19_county_sole_districts(spark, sf_dir):
     return G.county_sole_districts(_precincts(spark, sf_dir))
 
 
-PLACED = """, first_rows AS (SELECT lpad(CAST(k AS VARCHAR), 10, '0') AS id_voter, county_fips, precinct, k FROM pairs WHERE k < 1000),
+PLACED = """, first_rows AS (SELECT lpad(CAST(k AS VARCHAR), 10, '0') AS id_voter, county_fips, precinct, k FROM pairs),
 placed AS (SELECT id_voter, f.county_fips, r.pctkey, CASE WHEN r.pctkey IS NOT NULL THEN 'matched' WHEN f.k % 4 <> 0 THEN 'unmatched_alias' ELSE 'no_alias' END AS alias_state,
   CASE WHEN r.pctkey IS NOT NULL THEN p.cd ELSE s.sole_cd END AS cd, CASE WHEN r.pctkey IS NOT NULL THEN p.sd ELSE s.sole_sd END AS sd, CASE WHEN r.pctkey IS NOT NULL THEN p.hd ELSE s.sole_hd END AS hd,
   CASE WHEN r.pctkey IS NOT NULL THEN CAST(split_cd AS INTEGER) + 2 * CAST(split_sd AS INTEGER) + 4 * CAST(split_hd AS INTEGER) END AS split_flag
@@ -495,8 +590,9 @@ placed AS (SELECT id_voter, f.county_fips, r.pctkey, CASE WHEN r.pctkey IS NOT N
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _pairs(spark, sf_dir).where("k < 1000").withColumn("precinct", F.when(F.col("k") % 6 == 3, F.concat(F.lit(" "), F.repeat(F.lit(" "), F.col("k").cast("int") % 97))).when(F.col("k") % 6 == 5, F.concat(F.lit("zzz"), F.col("k").cast("string"))).otherwise(F.col("precinct")))
+    pairs = _pairs(spark, sf_dir).withColumn("precinct", F.when(F.col("k") % 6 == 3, F.concat(F.lit(" "), F.repeat(F.lit(" "), F.col("k").cast("int") % 97))).when(F.col("k") % 6 == 5, F.concat(F.lit("zzz"), F.col("k").cast("string"))).otherwise(F.col("precinct")))
     pairs = pairs.withColumn("precinct", F.when(F.col("k") % 6 == 3, F.concat(F.lit("?"), F.col("k").cast("string"))).otherwise(F.col("precinct")))
+    pairs = pairs.withColumn("precinct", F.when(F.col("county_fips").isNull(), F.concat(F.lit("-"), F.col("k").cast("string"))).otherwise(F.col("precinct")))
     resolved = G.resolve_alias(pairs.where("k % 4 != 0"), _precincts(spark, sf_dir))
     first = pairs.select(F.lpad(F.col("k").cast("string"), 10, "0").alias("id_voter"), "county_fips", "precinct")
     return G.place_voters(first, resolved, _precincts(spark, sf_dir))
@@ -560,13 +656,21 @@ def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.table(spark, sf_dir, "part").select(F.lit("precinct").alias("kind"), F.concat(F.lit("P"), k.cast("string")).alias("code"), lat.alias("lat"), lon.alias("lon"), (lat - 1).alias("south"), (lon - 1).alias("west"), (lat + 1).alias("north"), F.when(k % 3 != 0, lon + 1).alias("east"))
 
 
-@query(f"{GEO} SELECT CAST(r.k AS VARCHAR) AS county, precinct, pctkey, CAST(k % 10 + 0.5 AS DOUBLE) AS lat, CAST(k % 7 + 0.25 AS DOUBLE) AS lon, k % 3 <> 0 AS has_box FROM resolved r WHERE pctkey IS NOT NULL AND k < 1000")
+@query(f"{GEO} SELECT CAST(r.k AS VARCHAR) AS county, precinct, pctkey, CAST(k % 10 + 0.5 AS DOUBLE) AS lat, CAST(k % 7 + 0.25 AS DOUBLE) AS lon, k % 3 <> 0 AS has_box FROM resolved r WHERE pctkey IS NOT NULL")
 def jon11_precinct_points(spark, sf_dir):
-    resolved = G.resolve_alias(_pairs(spark, sf_dir).where("k < 1000"), _precincts(spark, sf_dir)).withColumn("county", F.col("k").cast("string"))
+    resolved = G.resolve_alias(_pairs(spark, sf_dir), _precincts(spark, sf_dir)).withColumn("county", F.col("k").cast("string"))
     found, _ = G.precinct_points(resolved, _areas(spark, sf_dir))
     return found.select("county", "precinct", "pctkey", "lat", "lon", F.col("box").isNotNull().alias("has_box"))
 
 
+@query(f"{GEO} SELECT CAST(k AS VARCHAR) AS county, precinct, pctkey FROM resolved WHERE pctkey IS NOT NULL ORDER BY 1, 2 LIMIT 100")
+def top05_first_points(spark, sf_dir):
+    """The first rows of the points in their output order, which is stable: by county, then precinct."""
+    resolved = G.resolve_alias(_pairs(spark, sf_dir), _precincts(spark, sf_dir)).withColumn("county", F.col("k").cast("string"))
+    found, _ = G.precinct_points(resolved, _areas(spark, sf_dir))
+    return found.select("county", "precinct", "pctkey").limit(100)
+
+
 @query(
     """WITH a AS (SELECT CAST(c_nationkey AS VARCHAR) AS county, CAST(c_custkey % 40 AS VARCHAR) AS house, min(c_custkey % 80) AS lo, max(c_custkey % 80) AS hi FROM customer GROUP BY ALL)
     SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS id_voter, county, CAST(lo AS DOUBLE) AS lat, CAST(1 AS DOUBLE) AS lon FROM customer JOIN a ON county = CAST(c_nationkey AS VARCHAR) AND house = CAST(c_custkey % 40 AS VARCHAR) WHERE lo = hi"""
@@ -642,13 +746,20 @@ def jon13_choose_published(spark, sf_dir):
     return V.choose_published(pointers, files)
 
 
-@query(
-    """, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_voter ORDER BY pos DESC) AS n FROM snap_prior WHERE precinct <> '3' AND id_voter > '0000000003') WHERE n = 1), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_voter ORDER BY pos DESC) AS n FROM snap_current WHERE id_voter < '0000000090' AND id_voter <> '0000000000') WHERE n = 1)
-    SELECT 'removed' AS change_kind, id_voter, county, voting_method FROM a WHERE id_voter NOT IN (SELECT id_voter FROM b) UNION ALL SELECT 'added', id_voter, county, voting_method FROM b WHERE id_voter NOT IN (SELECT id_voter FROM a)""",
-    ("roster", "snap"),
-)
+UNTIDY = """, untidy AS (SELECT 'a' AS side, id_voter, county, voting_method, pos FROM snap_prior UNION ALL SELECT 'b', id_voter, county, voting_method, pos FROM snap_current),
+last AS (SELECT side, id_voter, CASE WHEN CAST(id_voter AS BIGINT) % 34 <> 3 THEN upper(trim(arg_max(county, pos))) ELSE '' END AS county, CASE WHEN CAST(id_voter AS BIGINT) % 34 <> 3 THEN upper(trim(arg_max(voting_method, pos))) ELSE '' END AS voting_method
+  FROM untidy WHERE id_voter <> '0000000000' GROUP BY side, id_voter)"""
+
+
+def _untidy(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
+    """A snapshot with cells that have spaces and other cases, and voters without county and method."""
+    rows, none = T.snapshot(spark, sf_dir, current), F.col("id_voter").cast("long") % 34 == 3
+    return rows.withColumn("county", F.when(~none, F.concat(F.lit(" "), F.lower("county")))).withColumn("voting_method", F.when(~none, F.col("voting_method")))
+
+
+@query(f"{UNTIDY} SELECT CASE side WHEN 'a' THEN 'removed' ELSE 'added' END AS change_kind, id_voter, county, voting_method FROM last l WHERE NOT EXISTS (SELECT 1 FROM last o WHERE o.id_voter = l.id_voter AND o.side <> l.side)", ("roster", "snap"))
 def jon14_diff_rosters(spark, sf_dir):
-    return C.diff_rosters(T.snapshot(spark, sf_dir, False).where("precinct != '3' and id_voter > '0000000003'"), T.snapshot(spark, sf_dir, True).where("id_voter < '0000000090'"))
+    return C.diff_rosters(_untidy(spark, sf_dir, False), _untidy(spark, sf_dir, True))
 
 
 COMPARED = """, p AS (SELECT id_voter, arg_min(county, pos) AS county, arg_min(voting_method, pos) AS method, list_sort(list(DISTINCT county)) AS counties, list_sort(list(DISTINCT voting_method)) AS methods FROM snap_prior GROUP BY 1),
@@ -690,14 +801,17 @@ def jon16_dated_first_vote(spark, sf_dir):
     return R.dated_first_vote(rows.withColumn("key", key).withColumn("early_day", F.dayofmonth("ev_date")), rows)
 
 
-@query("SELECT unnest([51031, 58314, 53815]) AS id, unnest(['GEN25', 'RO26', 'GEN26']) AS key, unnest(['early_days', 'missing', 'election_date']) AS warning")
+@query("SELECT CAST(o_orderkey AS INTEGER) AS id, 'E' || CAST(o_orderkey AS VARCHAR) AS key, CASE o_orderkey % 7 WHEN 0 THEN 'missing' WHEN 1 THEN 'election_date' WHEN 2 THEN 'early_days' ELSE 'first_early_date' END AS warning FROM orders WHERE o_orderkey % 7 < 4")
 def jon22_check_calendar(spark, sf_dir):
-    """The listing comes from the orders table: each order is one early day of one listed election."""
-    o = T.table(spark, sf_dir, "orders")
-    cal = R.calendar_frame(spark).select("key", "election_date", "early_days", "first_early_date", F.explode("ids").alias("id")).where("id != 58314")
-    days = o.select((F.col("o_orderkey") % 12).cast("int").alias("n")).distinct()
-    listed = cal.join(F.broadcast(days), F.col("n") < F.col("early_days")).select("id", F.when(F.col("id") == 53815, F.date_add("election_date", 1)).otherwise(F.col("election_date")).alias("election_date"), F.date_add("first_early_date", F.col("n")).alias("early_date"))
-    return R.check_calendar(R.calendar_frame(spark), listed.where("id != 51031 or early_date > '2025-10-22'"))
+    """Orders as elections, and a listing of their early days that misses, moves or lengthens some."""
+    o = T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("int").alias("id"), F.to_date("o_orderdate").alias("d"))
+    early = (F.col("id") % 4 + 1).cast("int")
+    calendar = o.select(F.concat(F.lit("E"), F.col("id").cast("string")).alias("key"), F.col("d").alias("election_date"), early.alias("early_days"), F.date_add("d", -10).alias("first_early_date"), F.array("id").alias("ids"))
+    kind = F.col("id") % 7
+    days = F.sequence(F.lit(0), early - 1 + F.when(kind == 2, 1).otherwise(0))
+    shown = o.where(kind != 0).withColumn("n", F.explode(days))
+    listed = shown.select("id", F.date_add("d", F.when(kind == 1, 1).otherwise(0)).alias("election_date"), F.date_add("d", F.col("n") - 10 + F.when(kind == 3, 1).otherwise(0)).alias("early_date"))
+    return R.check_calendar(calendar, listed)
 
 
 # ---------------------------------------------------------------- aggregates
@@ -754,16 +868,16 @@ def agg06_first_seen_counts_big(spark, sf_dir):
 
 @query(
     f""", {FIRST}, days AS (SELECT ev_date, {COUNTS} FROM roster WHERE method IS NOT NULL GROUP BY ev_date),
-    new AS (SELECT ev_date, count(*) AS new_voters, count(*) FILTER (WHERE method = 'in_person') AS new_in_person, count(*) FILTER (WHERE method = 'mail_in') AS new_mail_in FROM first WHERE method IS NOT NULL AND ev_date <= DATE '2024-01-04' GROUP BY ev_date)
+    new AS (SELECT ev_date, count(*) AS new_voters, count(*) FILTER (WHERE method = 'in_person') AS new_in_person, count(*) FILTER (WHERE method = 'mail_in') AS new_mail_in FROM first WHERE method IS NOT NULL GROUP BY ev_date)
     SELECT d.ev_date, in_person, mail_in, total, new_voters, new_in_person, new_mail_in, CASE WHEN new_voters IS NOT NULL THEN greatest(total - new_voters, 0) END AS restated_rows,
       CASE WHEN bool_or(new_voters IS NULL) OVER w THEN NULL ELSE CAST(sum(new_voters) OVER w AS BIGINT) END AS cumulative_unique_voters
     FROM days d LEFT JOIN new n ON d.ev_date = n.ev_date WINDOW w AS (ORDER BY d.ev_date ROWS UNBOUNDED PRECEDING)""",
     ("roster",),
 )
 def agg07_distinct_annotations(spark, sf_dir):
-    """First-seen counts that stop after a few days: later days are unknown, and so are later running counts."""
+    """Days on which nobody appears first have no counts: they are unknown, and so are running counts after them."""
     rows = _keyed(spark, sf_dir)
-    return D.distinct_annotations(A.by_day_series(rows), D.first_seen_counts(rows).where("ev_date <= '2024-01-04'"))
+    return D.distinct_annotations(A.by_day_series(rows), D.first_seen_counts(rows))
 
 
 @query(
@@ -782,20 +896,26 @@ REMOVALS = "gone AS (SELECT CASE WHEN row_key % 2 = 0 THEN '9' || substr(id_vote
 
 
 @query(
-    f""", {REMOVALS}, few AS (SELECT *, 'u' || id_voter || CAST(row_key % 300 AS VARCHAR) AS v FROM roster WHERE row_key % 3 = 0), s AS (SELECT v AS id_voter, count(*) AS n, list(ev_date ORDER BY day, row_key) AS d, list(coalesce(method, '') ORDER BY day, row_key) AS m, list(upper(county) ORDER BY day, row_key) AS c FROM few GROUP BY v),
-    g AS (SELECT 'u' || id_voter || '0' AS id_voter, count(*) AS n_removed, array_to_string(list_sort(list(DISTINCT CAST(ev_date AS VARCHAR))), ',') AS removed_days FROM gone GROUP BY 1),
-    b AS (SELECT coalesce(s.id_voter, g.id_voter) AS id_voter, CAST(coalesce(n, 0) AS INTEGER) AS n_counted, coalesce(n_removed, 0) AS n_removed, d, m, c, coalesce(removed_days, '') AS removed_days FROM s FULL JOIN g ON s.id_voter = g.id_voter WHERE coalesce(n, 0) > 1 OR coalesce(n_removed, 0) > 0)
-    SELECT id_voter, n_counted, n_removed, d[1] AS first_day, coalesce(array_to_string(list_sort(list_distinct(list_transform(d, lambda x: CAST(x AS VARCHAR)))), ','), '') AS counted_days, removed_days,
-      CAST(CASE WHEN len(list_distinct(d)) < n_counted THEN 1 ELSE 0 END + CASE WHEN len(list_distinct(d)) > 1 THEN 2 ELSE 0 END + CASE WHEN len(list_distinct(m)) > 1 THEN 4 ELSE 0 END + CASE WHEN n_removed > 0 THEN 8 ELSE 0 END AS INTEGER) AS flags,
-      coalesce(array_to_string(c, ','), '') AS counties FROM b""",
+    f""", {REMOVALS}, s AS (SELECT id_voter, count(*) AS n, list_sort(list(DISTINCT CAST(ev_date AS VARCHAR))) AS d, count(DISTINCT coalesce(method, '')) AS m FROM roster GROUP BY 1),
+    g AS (SELECT id_voter, count(*) AS n_removed, list_sort(list(DISTINCT CAST(ev_date AS VARCHAR))) AS r FROM gone GROUP BY 1),
+    b AS (SELECT coalesce(s.id_voter, g.id_voter) AS id_voter, CAST(coalesce(n, 0) AS INTEGER) AS n_counted, coalesce(n_removed, 0) AS n_removed, coalesce(d, []) AS d, coalesce(m, 0) AS m, coalesce(r, []) AS r FROM s FULL JOIN g ON s.id_voter = g.id_voter WHERE coalesce(n, 0) > 1 OR coalesce(n_removed, 0) > 0)
+    SELECT id_voter, n_counted, n_removed, CAST(d[1] AS DATE) AS first_day, array_to_string(d, ',') AS counted_days, array_to_string(r, ',') AS removed_days,
+      CAST(CASE WHEN len(d) < n_counted THEN 1 ELSE 0 END + CASE WHEN len(d) > 1 THEN 2 ELSE 0 END + CASE WHEN m > 1 THEN 4 ELSE 0 END + CASE WHEN n_removed > 0 THEN 8 ELSE 0 END AS INTEGER) AS flags FROM b""",
     ("roster",),
 )
 def agg09_repeat_voters(spark, sf_dir):
-    rows = _keyed(spark, sf_dir).where("row_key % 3 = 0").withColumn("id_voter", F.concat(F.lit("u"), F.col("id_voter"), (F.col("row_key") % 300).cast("string")))
-    removals = _removals(spark, sf_dir).withColumn("id_voter", F.concat(F.lit("u"), F.col("id_voter"), F.lit("0")))
     days = lambda c: F.array_join(F.transform(c, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")
-    out = D.repeat_voters(rows, removals)
-    return out.select("id_voter", "n_counted", "n_removed", "first_day", days("counted_days").alias("counted_days"), days("removed_days").alias("removed_days"), "flags", F.array_join(F.transform("appearances", lambda a: a["county"]), ",").alias("counties"))
+    out = D.repeat_voters(_keyed(spark, sf_dir), _removals(spark, sf_dir))
+    return out.select("id_voter", "n_counted", "n_removed", "first_day", days("counted_days").alias("counted_days"), days("removed_days").alias("removed_days"), "flags")
+
+
+@query(
+    f""", {REMOVALS}, v AS (SELECT id_voter FROM roster GROUP BY 1 HAVING count(*) > 1 UNION SELECT id_voter FROM gone)
+    SELECT id_voter, row_number() OVER (PARTITION BY id_voter ORDER BY day, row_key) AS place, ev_date, method, upper(county) AS county FROM roster WHERE id_voter IN (SELECT id_voter FROM v)""",
+    ("roster",),
+)
+def agg09_repeat_appearances(spark, sf_dir):
+    return D.repeat_appearances(_keyed(spark, sf_dir), _removals(spark, sf_dir)).withColumn("place", F.col("place").cast("long"))
 
 
 @query(
@@ -808,13 +928,13 @@ def agg10_repeat_summary(spark, sf_dir):
 
 
 @query(
-    """, e AS (SELECT upper(county) AS county, count(*) AS n FROM roster GROUP BY 1), k AS (SELECT count(DISTINCT ev_date) AS k FROM roster), d AS (SELECT upper(county) AS county, count(*) AS rows FROM roster WHERE ev_date = DATE '2024-01-05' AND id_voter > '0000000030' GROUP BY 1),
+    """, e AS (SELECT upper(county) AS county, count(*) AS n FROM roster GROUP BY 1), k AS (SELECT count(DISTINCT ev_date) AS k FROM roster), d AS (SELECT upper(county) AS county, count(*) AS rows FROM roster WHERE ev_date = DATE '2024-01-05' GROUP BY 1),
     b AS (SELECT e.county, coalesce(d.rows, 0) AS rows, CAST(round_even(n / k, 0) AS BIGINT) AS baseline FROM e CROSS JOIN k LEFT JOIN d ON d.county = e.county) SELECT * FROM b WHERE baseline >= 5 AND rows < 0.9 * baseline""",
     ("roster",),
 )
 def agg20_low_coverage(spark, sf_dir):
     rows = T.roster(spark, sf_dir)
-    return A.low_coverage(rows.where("ev_date = '2024-01-05' and id_voter > '0000000030'"), rows, share=0.9, least=5)
+    return A.low_coverage(rows.where("ev_date = '2024-01-05'"), rows, share=0.9, least=5)
 
 
 @query(" SELECT 'method' AS dimension, trim(voting_method) AS value, count(*) AS n FROM roster GROUP BY 2 UNION ALL SELECT 'county', trim(county), count(*) FROM roster GROUP BY 2 UNION ALL SELECT 'rows', 'all', count(*) FROM roster", ("roster",))
@@ -849,7 +969,10 @@ def agg23_election_summary(spark, sf_dir):
     return A.election_summary(T.roster(spark, sf_dir).withColumnRenamed("precinct", "election_id"))
 
 
-@query("""WITH l AS (SELECT '["' || CAST(o_orderkey AS VARCHAR) || '","' || o_orderstatus || '"]' AS line FROM orders) SELECT sha256(string_agg(line, chr(10) ORDER BY line) || chr(10) || 'v1') AS signature FROM l""")
+_DIGEST = "sha256(CAST(count(*) AS VARCHAR) || ':' || " + " || ':' || ".join(f"CAST(sum(CAST(('0x' || substr(h, {1 + 15 * k}, 15)) AS BIGINT)) AS VARCHAR)" for k in range(4)) + ")"
+
+
+@query(f"""WITH l AS (SELECT sha256('["' || CAST(o_orderkey AS VARCHAR) || '","' || o_orderstatus || '"]') AS h FROM orders), d AS (SELECT {_DIGEST} AS digest FROM l) SELECT sha256(digest || chr(10) || 'v1') AS signature FROM d""")
 def agg24_build_signature(spark, sf_dir):
     return V.build_signature(T.table(spark, sf_dir, "orders"), ["o_orderkey", "o_orderstatus"], "v1")
 
@@ -869,14 +992,14 @@ def win04_occurrence_number(spark, sf_dir):
 
 
 @query(
-    """, few AS (SELECT *, id_voter || CAST(row_key % 97 AS VARCHAR) AS v, county || '|' || CAST(report_date AS VARCHAR) AS token FROM clean), g AS (SELECT v, list(token ORDER BY pos) AS tokens, list(pos ORDER BY pos) AS ps, count(DISTINCT report_date) AS d, count(DISTINCT voting_method) AS m, count(DISTINCT county) AS c, count(DISTINCT voter_name) AS w, count(DISTINCT precinct) AS p FROM few GROUP BY v)
-    SELECT f.v AS id_voter, f.pos, d > 1 OR m > 1 OR c > 1 OR w > 1 OR p > 1 AS duplicate_flag, concat_ws(',', CASE WHEN d > 1 THEN 'multiple_dates' END, CASE WHEN m > 1 THEN 'conflicting_method' END, CASE WHEN c > 1 THEN 'multiple_counties' END, CASE WHEN w > 1 THEN 'name_mismatch' END, CASE WHEN p > 1 THEN 'precinct_mismatch' END) AS duplicate_type,
-      len(list_distinct(list_filter(tokens, lambda t, i: ps[i] <> f.pos))) AS n_other FROM few f JOIN g ON f.v = g.v""",
+    """, g AS (SELECT id_voter, count(DISTINCT report_date) AS d, count(DISTINCT voting_method) AS m, count(DISTINCT county) AS c, count(DISTINCT voter_name) AS w, count(DISTINCT precinct) AS p FROM clean GROUP BY 1),
+    t AS (SELECT id_voter, county, report_date, count(*) AS rows FROM clean GROUP BY ALL), k AS (SELECT id_voter, count(*) AS tokens FROM t GROUP BY 1)
+    SELECT f.id_voter, f.pos, d > 1 OR m > 1 OR c > 1 OR w > 1 OR p > 1 AS duplicate_flag, concat_ws(',', CASE WHEN d > 1 THEN 'multiple_dates' END, CASE WHEN m > 1 THEN 'conflicting_method' END, CASE WHEN c > 1 THEN 'multiple_counties' END, CASE WHEN w > 1 THEN 'name_mismatch' END, CASE WHEN p > 1 THEN 'precinct_mismatch' END) AS duplicate_type,
+      tokens - CASE WHEN t.rows = 1 THEN 1 ELSE 0 END AS n_other FROM clean f JOIN g ON f.id_voter = g.id_voter JOIN k ON f.id_voter = k.id_voter JOIN t ON f.id_voter = t.id_voter AND f.county = t.county AND f.report_date = t.report_date""",
     ("roster", "clean"),
 )
 def win05_flag_duplicates(spark, sf_dir):
-    rows = T.clean_roster(spark, sf_dir).withColumn("id_voter", F.concat("id_voter", (F.col("row_key") % 97).cast("string")))
-    out = O.flag_duplicates(rows)
+    out = O.flag_duplicates(T.clean_roster(spark, sf_dir))
     n = F.when(F.col("also_found_on") == "", 0).otherwise(F.size(F.split("also_found_on", "; ")))
     return out.select("id_voter", "pos", "duplicate_flag", "duplicate_type", n.cast("long").alias("n_other"))
 
@@ -987,11 +1110,20 @@ def ver04_recovered(spark, sf_dir):
     return V.recovered(V.load_day_version(_stored(spark, sf_dir), _new_file(spark, sf_dir), 1), 1)
 
 
-@query(f"{LOADED} SELECT count(*) AS visible, TRUE AS ok FROM file")
+@query(f"{LOADED} SELECT count(*) AS visible, TRUE AS ok FROM file UNION ALL SELECT count(*), FALSE FROM file WHERE day % 100 <> 0")
 def ver05_publish_check(spark, sf_dir):
+    """Of a file with three rejects: a whole load may be published, one that lost rows may not."""
     new = _new_file(spark, sf_dir)
-    rows = V.load_day_version(_stored(spark, sf_dir), new, 1)
-    return V.publish_check(rows, 2, 3, new.count() + 3)
+    rows, lines = V.load_day_version(_stored(spark, sf_dir), new, 1), new.count() + 3
+    return V.publish_check(rows, 2, 3, lines).union(V.publish_check(rows.where("day % 100 != 0"), 2, 3, lines))
+
+
+@query(f"{LOADED} SELECT day, row_hash, occ, added_in, CAST(CASE WHEN removed_in IS NULL AND added_in = 2 THEN 3 ELSE removed_in END AS INTEGER) AS removed_in FROM loaded UNION ALL SELECT day, row_hash, occ, 3, NULL FROM loaded WHERE removed_in = 2")
+def ver03_revived_keys(spark, sf_dir):
+    """The first file comes back as the third: keys that were closed get rows of their own again."""
+    stored = _stored(spark, sf_dir)
+    second = V.load_day_version(stored, _new_file(spark, sf_dir), 1)
+    return V.load_day_version(second, stored.select("day", "row_hash", "occ"), 2)
 
 
 @query(f"{VERSIONED} SELECT * FROM versioned WHERE removed_in IS NULL OR removed_in > 3")
@@ -999,13 +1131,9 @@ def ver06_collected(spark, sf_dir):
     return V.collected(_versioned(spark, sf_dir), 3)
 
 
-@query(
-    """, a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_voter ORDER BY pos DESC) AS n FROM snap_prior WHERE precinct <> '3' AND id_voter > '0000000003') WHERE n = 1), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_voter ORDER BY pos DESC) AS n FROM snap_current WHERE id_voter < '0000000090' AND id_voter <> '0000000000') WHERE n = 1)
-    SELECT 'e1' AS election_id, DATE '2024-01-07' AS ev_date, change_kind, id_voter FROM (SELECT 'removed' AS change_kind, id_voter FROM a WHERE id_voter NOT IN (SELECT id_voter FROM b) UNION ALL SELECT 'added', id_voter FROM b WHERE id_voter NOT IN (SELECT id_voter FROM a))""",
-    ("roster", "snap"),
-)
+@query(f"{UNTIDY} SELECT 'e1' AS election_id, DATE '2024-01-07' AS ev_date, CASE side WHEN 'a' THEN 'removed' ELSE 'added' END AS change_kind, id_voter FROM last l WHERE NOT EXISTS (SELECT 1 FROM last o WHERE o.id_voter = l.id_voter AND o.side <> l.side)", ("roster", "snap"))
 def ver07_change_log(spark, sf_dir):
-    old, new = T.snapshot(spark, sf_dir, False).where("precinct != '3' and id_voter > '0000000003'"), T.snapshot(spark, sf_dir, True).where("id_voter < '0000000090'")
+    old, new = T.snapshot(spark, sf_dir, False), T.snapshot(spark, sf_dir, True)
     return C.change_log(old, new, "e1", "2024-01-07", "s1", "s2", "2024-01-08 00:00:00").select("election_id", "ev_date", "change_kind", "id_voter")
 
 
@@ -1026,6 +1154,63 @@ def snk06_diff_upsert(spark, sf_dir):
     return write.select("k", F.lit("write").alias("action")).union(delete.select("k", F.lit("delete")))
 
 
+@query(f"{MATCH} SELECT id_voter, county, precinct, voting_method, CASE WHEN in_register THEN 'true' ELSE 'false' END AS in_voterfile, coalesce(cd, '') AS cd, coalesce(vf_county, '') AS vf_county, coalesce(age_bracket, '') AS age_bracket FROM enriched", ("roster", "clean", "register"))
+def snk02_enriched_csv(spark, sf_dir):
+    """The enriched roster as CSV, read back as texts; nulls are empty."""
+    folder = _folder(spark)
+    K.write_enriched_csv(_enriched(spark, sf_dir), folder)
+    columns = ["id_voter", "county", "precinct", "voting_method", "in_voterfile", "cd", "vf_county", "age_bracket"]
+    return I.text_csv(spark, folder).na.fill("").select(*columns)
+
+
+@query(f"{GAPS} SELECT county, CAST(gap_total AS BIGINT) AS gap_total FROM gaps UNION ALL SELECT NULL, CAST(sum(gap_total) AS BIGINT) FROM gaps", _GAP_VIEWS)
+def snk04_gap_report(spark, sf_dir):
+    """Counties from the CSV, and the statewide row from the JSON."""
+    folder, gaps = _folder(spark), _gaps(spark, sf_dir)
+    K.write_gap_report(gaps, Q.gap_summary(gaps, T.clean_roster(spark, sf_dir)), folder)
+    counties = I.text_csv(spark, f"{folder}/counties").select("county", F.col("gap_total").cast("long").alias("gap_total"))
+    state = spark.read.json(f"{folder}/summary").select(F.lit(None).cast("string").alias("county"), F.col("gap_total").cast("long").alias("gap_total"))
+    return counties.union(state)
+
+
+@query(" SELECT 'rows' AS part, count(*) AS n FROM clean UNION ALL SELECT 'voters', count(*) FROM (SELECT id_voter FROM clean GROUP BY 1 HAVING count(*) > 1)", ("roster", "clean"))
+def snk05_report(spark, sf_dir):
+    """The audit's findings and a summary as JSON, read back."""
+    folder, rows = _folder(spark), T.clean_roster(spark, sf_dir)
+    K.write_report(Q.audit_findings(rows, T.turnout(spark, sf_dir)), rows.agg(F.count("*").alias("n")), folder)
+    repeats = spark.read.json(f"{folder}/findings").where("finding_type = 'duplicate_vuid'").select(F.lit("voters").alias("part"), F.col("affected").alias("n"))
+    return spark.read.json(f"{folder}/summary").select(F.lit("rows").alias("part"), "n").union(repeats)
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS h FROM part WHERE p_partkey % 7 <> 0")
+def snk07_publish(spark, sf_dir):
+    """A published version, and a second one by upsert; the manifest's last row names what is read."""
+    folder, p = _folder(spark), T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
+    K.publish(p.where("k % 5 != 0").withColumn("h", F.lit(0)), folder, 1, "s1")
+    K.apply_upsert(spark, folder, p.where("k % 7 != 0").withColumn("h", F.when(F.col("k") % 3 == 0, 1).otherwise(0)), ["k"], "h", 2)
+    return K.read_published(spark, folder)
+
+
+@query(" SELECT ev_date, sha, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT ev_date, 'a' AS sha FROM roster UNION ALL SELECT ev_date, 'b' FROM roster WHERE day(ev_date) % 2 = 0) GROUP BY ALL", ("roster",))
+def snk08_snapshot_versions(spark, sf_dir):
+    """All days are kept, then those of another digest only; the files' rows are counted."""
+    folder = _folder(spark)
+    rows = T.roster(spark, sf_dir).select("id_voter", "ev_date", F.lit("a").alias("sha256"))
+    first = K.snapshot_versions(rows, None, folder)
+    again = rows.withColumn("sha256", F.when(F.dayofmonth("ev_date") % 2 == 0, "b").otherwise("a"))
+    K.snapshot_versions(again, first, folder)
+    return spark.read.parquet(folder).groupBy(F.col("ev_date").cast("date").alias("ev_date"), F.col("sha256").alias("sha")).agg(F.count("*").alias("n_rows"))
+
+
+@query(" SELECT ev_date, id_voter, county FROM roster", ("roster",))
+def snk09_export_days(spark, sf_dir):
+    """All days as one CSV, the day first."""
+    folder = _folder(spark)
+    K.export_days(T.roster(spark, sf_dir).select("id_voter", "county", "ev_date"), folder)
+    out = I.text_csv(spark, folder)
+    return I.require_columns(out, ["EV_DATE", "id_voter", "county"]).select(F.col("EV_DATE").cast("date").alias("ev_date"), "id_voter", "county")
+
+
 @query(
     """, v AS (SELECT precinct AS election_id, id_voter, count(*) AS n FROM roster GROUP BY ALL) SELECT election_id, CAST(sum(n) AS BIGINT) AS total_records, count(*) AS unique_voters, count(*) FILTER (WHERE n > 1) AS duplicate_voters, 'election ' || election_id AS election_name FROM v GROUP BY election_id""",
     ("roster",),
@@ -1113,7 +1298,7 @@ def fn28_json_payload_hash(spark, sf_dir):
     return T.table(spark, sf_dir, "events").select("event_id", S.json_payload_hash("props").alias("hash"))
 
 
-@query("WITH l AS (SELECT o_custkey, sha256(CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus) AS h FROM orders) SELECT o_custkey, sha256(string_agg(h, ',' ORDER BY h)) AS digest FROM l GROUP BY 1")
+@query(f"WITH l AS (SELECT o_custkey, sha256(CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus) AS h FROM orders) SELECT o_custkey, {_DIGEST} AS digest FROM l GROUP BY 1")
 def fn29_day_digest(spark, sf_dir):
     return T.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(S.day_digest(S.canonical_line(["o_orderkey", "o_orderstatus"])).alias("digest"))
 
@@ -1130,7 +1315,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _collected_stream(stream: DataFrame, mode: str) -> DataFrame:
     """Run a stream over what is there; each batch's output is a folder that a rerun of it overwrites."""
     spark = stream.sparkSession
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4()}"
+    folder = _folder(spark)
     write = lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
     stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out")
@@ -1147,12 +1332,43 @@ def str01_streaming_day_series(spark, sf_dir):
 @query(" SELECT id_voter, CAST(min(day) AS INTEGER) AS day, arg_min(row_key, day * 1000000000 + row_key) AS row_hash FROM roster GROUP BY id_voter", ("roster",))
 def str03_first_appearances(spark, sf_dir):
     """State per voter; later batches give a voter again where its first appearance falls."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out = _collected_stream(first_appearances(_event_stream(spark, sf_dir)), "update")
+    # the state store has to be chosen before the stream starts; the session's choice comes back after it
+    key, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, store)
+    try:
+        out = _collected_stream(first_appearances(_event_stream(spark, sf_dir)), "update")
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     best = out.groupBy("id_voter").agg(F.min(F.struct("day", "row_hash")).alias("x"))
     return best.select("id_voter", "x.day", "x.row_hash")
 
 
+REPUBLISHED = """, odd AS (SELECT * FROM roster WHERE day(ev_date) % 2 = 1), second AS (SELECT ev_date, id_voter FROM roster WHERE day(ev_date) % 2 = 0 UNION ALL SELECT ev_date, id_voter FROM odd WHERE CAST(id_voter AS BIGINT) % 11 <> 4 UNION ALL SELECT ev_date, '8' || substr(id_voter, 2) FROM odd WHERE row_key % 10 = 0)"""
+
+
+@query(
+    f"""{REPUBLISHED} SELECT ev_date, 'rows' AS kind, count(*) AS n FROM second GROUP BY 1 UNION ALL SELECT ev_date, 'removed', count(DISTINCT id_voter) FROM odd WHERE CAST(id_voter AS BIGINT) % 11 = 4 GROUP BY 1
+    UNION ALL SELECT ev_date, 'added', count(DISTINCT id_voter) FROM odd WHERE row_key % 10 = 0 GROUP BY 1""",
+    ("roster",),
+)
+def str05_republished_days(spark, sf_dir):
+    """Day files as CSV, ingested; then files of all days again, of which the odd ones have changed: only those get
+    new versions, and the change log says who came and went."""
+    folder = _folder(spark)
+    rows = T.roster(spark, sf_dir).select("id_voter", "ev_date", "county", "voting_method", "precinct", F.col("row_key").alias("pos"))
+    odd = F.dayofmonth("ev_date") % 2 == 1
+    changed = rows.where(~odd | (F.col("id_voter").cast("long") % 11 != 4))
+    new = rows.where(odd & (F.col("pos") % 10 == 0)).withColumn("id_voter", F.concat(F.lit("8"), F.substring("id_voter", 2, 9)))
+    for k, batch in enumerate((rows, changed.union(new))):
+        batch.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/in/load={k}")
+        stream = day_files(spark, f"{folder}/in/load=*", rows.schema, 1 << 20, "csv")
+        ingest_days(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+    days = current_days(spark, f"{folder}/out").groupBy("ev_date").agg(F.count("*").alias("n")).select("ev_date", F.lit("rows").alias("kind"), "n")
+    log = day_changes(spark, f"{folder}/out").groupBy("ev_date", F.col("change_kind").alias("kind")).agg(F.count("*").alias("n"))
+    return days.union(log)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_series_with_unique_voters(spark, sf_dir)
 

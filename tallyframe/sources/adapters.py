@@ -51,13 +51,16 @@ def roster_big(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
-    """Two files of one day: each misses some rows, and the current one has others' methods and counties."""
-    rows = roster(spark, sf_dir).where(F.col("ev_date") < F.lit("2024-01-08").cast("date")).withColumn("pos", F.col("row_key"))
+    """Two files of all rows: each misses some voters and some rows, and the current one has other methods and
+    counties of some voters."""
+    rows = roster(spark, sf_dir).withColumn("pos", F.col("row_key"))
+    voter = F.col("id_voter").cast("long")
     if not current:
-        return rows.where(F.col("row_key") % 17 != 0)
-    moved = F.col("row_key") % 23 == 0
-    rows = rows.where(F.col("row_key") % 19 != 0)
-    return rows.withColumn("voting_method", F.when(moved, "MAIL-IN").otherwise(F.col("voting_method"))).withColumn("county", F.when(F.col("row_key") % 29 == 0, "NOWHERE").otherwise(F.col("county")))
+        return rows.where((F.col("row_key") % 17 != 0) & (voter % 17 != 3))
+    rows = rows.where((F.col("row_key") % 19 != 0) & (voter % 19 != 5))
+    method = F.when((F.col("row_key") % 23 == 0) | (voter % 7 == 2), "MAIL-IN").otherwise(F.col("voting_method"))
+    county = F.when((F.col("row_key") % 29 == 0) & (voter % 3 == 1), "NOWHERE").otherwise(F.col("county"))
+    return rows.withColumn("voting_method", method).withColumn("county", county)
 
 
 def turnout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +113,11 @@ SQL = {
          CASE l_returnflag WHEN 'N' THEN 'in_person' WHEN 'A' THEN 'mail_in' END AS method, n_name AS county, CAST(l_partkey % 50 AS VARCHAR) AS precinct
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
     "snap": """snap_prior AS (
-  SELECT *, row_key AS pos FROM roster WHERE ev_date < DATE '2024-01-08' AND row_key % 17 <> 0
+  SELECT *, row_key AS pos FROM roster WHERE row_key % 17 <> 0 AND CAST(id_voter AS BIGINT) % 17 <> 3
 ), snap_current AS (
-  SELECT id_voter, CASE WHEN row_key % 23 = 0 THEN 'MAIL-IN' ELSE voting_method END AS voting_method, CASE WHEN row_key % 29 = 0 THEN 'NOWHERE' ELSE county END AS county, row_key AS pos
-  FROM roster WHERE ev_date < DATE '2024-01-08' AND row_key % 19 <> 0)""",
+  SELECT id_voter, CASE WHEN row_key % 23 = 0 OR CAST(id_voter AS BIGINT) % 7 = 2 THEN 'MAIL-IN' ELSE voting_method END AS voting_method,
+         CASE WHEN row_key % 29 = 0 AND CAST(id_voter AS BIGINT) % 3 = 1 THEN 'NOWHERE' ELSE county END AS county, row_key AS pos
+  FROM roster WHERE row_key % 19 <> 0 AND CAST(id_voter AS BIGINT) % 19 <> 5)""",
     "turnout": """turnout AS (
   SELECT n_name AS county, CAST(n_nationkey AS VARCHAR) AS county_id, CAST(n_nationkey AS BIGINT) * 10 AS registered_voters,
          coalesce(n, 5) + CAST(n_nationkey AS BIGINT) % 3 - 1 AS total_in_person_votes, coalesce(mail, 0) AS total_mail_votes, 'e1' AS election_id

@@ -67,7 +67,7 @@ def read_turnout_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 def load_stored_turnout(spark: SparkSession, folder: str, dates: Sequence[str] = ()) -> DataFrame:
     """SRC04: turnout files of a folder; with ``dates`` those whose name has one of them, or no date."""
-    out = read_turnout_csv(spark, f"{folder}/turnout_*.csv").withColumn("__day", F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})[^/]*$", 1))
+    out = read_turnout_csv(spark, f"{folder}/turnout_*.csv").withColumn("__day", F.regexp_extract(F.input_file_name(), r"/turnout_[^/]*?(\d{4}-\d{2}-\d{2})", 1))
     return (out.where(F.col("__day").isin("", *dates)) if dates else out).drop("__day")
 
 
@@ -135,7 +135,13 @@ def county_results(df: DataFrame, column: str = "payload") -> DataFrame:
 
 
 def unzip_rosters(spark: SparkSession, folder: str, max_bytes: int = 1 << 30) -> DataFrame:
-    """SRC11: path, county, voter_name, id_voter, voting_method, precinct of the CSVs inside ZIP files.
+    """SRC11: path, county, voter_name, id_voter, voting_method, precinct of the CSVs inside ZIP files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
+    return unzip_archives(spark, files, max_bytes)
+
+
+def unzip_archives(spark: SparkSession, files: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """SRC11, for archives that are rows (path, content) already.
 
     Counties are trimmed and upper-cased, rows without one dropped; members beyond ``max_bytes`` are an
     error. Archives can't be split, so each is one row of a task, read line by line."""
@@ -170,7 +176,6 @@ def unzip_rosters(spark: SparkSession, folder: str, max_bytes: int = 1 << 30) ->
                                     part = []
                             yield pd.DataFrame(part, columns=["path", "county", "voter_name", "id_voter", "voting_method", "precinct"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
     return files.mapInPandas(rows, "path string, county string, voter_name string, id_voter string, voting_method string, precinct string")
 
 

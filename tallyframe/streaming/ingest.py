@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -14,49 +15,72 @@ from tallyframe.operators.aggregates import by_day_series
 from tallyframe.operators.changes import diff_rosters
 
 
-def day_files(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
-    """STR01, STR04: day snapshots as a stream of Parquet files; files are split and decoded by Spark."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+def day_files(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1, kind: str = "parquet") -> DataFrame:
+    """STR01, STR04: day snapshots as a stream of Parquet or CSV files (``kind``; a CSV has a header); Spark splits
+    and decodes them, so no file is held whole."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return (reader.option("header", True).option("escape", '"') if kind == "csv" else reader).format(kind).load(folder)
+
+
+MANIFEST = "ev_date date, sha256 string, n_rows long, batch long"
 
 
 def ingest_days(stream: DataFrame, path: str, checkpoint: str, content: tuple[str, ...] = ("id_voter", "county", "voting_method", "precinct")) -> StreamingQuery:
     """STR01, STR02, STR05: load each batch's days once.
 
-    A day whose digest is stored is skipped; a changed day gets a new version directory and rows in the
-    change log; a batch that runs again finds its digests stored and writes nothing new. The manifest's row
-    comes last."""
+    A day whose digest is stored is skipped; a changed day gets a new version, a partition of its digest, and
+    rows in the change log. All days of a batch are written by one job, their changes by another; the
+    manifest's rows come last, and readers go by them. A batch that runs again sees the manifest as it was before
+    it, and overwrites what it wrote."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        known = _read(spark, f"{path}/manifest", MANIFEST).where(F.col("batch") < batch_id)
+        latest = known.groupBy("ev_date").agg(F.max_by("sha256", "batch").alias("old_sha256"))
         digests = batch.groupBy("ev_date").agg(day_digest(canonical_line(content)).alias("sha256"), F.count("*").alias("n_rows"))
-        known = _read(spark, f"{path}/manifest", "ev_date date, sha256 string, n_rows long, batch_id long")
-        latest = known.groupBy("ev_date").agg(F.max_by("sha256", "batch_id").alias("old_sha256"))
-        todo = digests.join(latest, "ev_date", "left").where("old_sha256 is null or old_sha256 != sha256")
-        # one row per day of the batch
-        for day in todo.orderBy("ev_date").collect():
-            rows = batch.where(F.col("ev_date") == F.lit(day.ev_date))
-            rows.write.mode("overwrite").parquet(f"{path}/days/{day.ev_date}/{day.sha256}")
-            if day.old_sha256:
-                old = spark.read.parquet(f"{path}/days/{day.ev_date}/{day.old_sha256}")
-                changes = diff_rosters(old, rows).select(F.lit(day.ev_date).alias("ev_date"), F.lit(day.old_sha256).alias("old_sha256"), F.lit(day.sha256).alias("new_sha256"), "change_kind", "id_voter", "county", "voting_method")
-                changes.write.mode("overwrite").parquet(f"{path}/changes/{day.ev_date}-{day.sha256}")
-            spark.createDataFrame([(day.ev_date, day.sha256, day.n_rows, batch_id)], "ev_date date, sha256 string, n_rows long, batch_id long").write.mode("append").parquet(f"{path}/manifest")
+        changed = digests.join(latest, "ev_date", "left").where("old_sha256 is null or old_sha256 != sha256")
+        # one row per day of the batch, kept so that all writes agree
+        changed.write.mode("overwrite").parquet(f"{path}/staged/batch={batch_id}")
+        todo = spark.read.schema(changed.schema).parquet(f"{path}/staged/batch={batch_id}")
+        if todo.isEmpty():
+            return
+        rows = batch.join(todo.select("ev_date", "sha256"), "ev_date")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ev_date", "sha256").parquet(f"{path}/days")
+        replaced = todo.where("old_sha256 is not null").select("ev_date", "old_sha256", F.col("sha256").alias("new_sha256"))
+        days = _typed_days(spark, path)
+        old = days.join(replaced.select("ev_date", F.col("old_sha256").alias("sha256")), ["ev_date", "sha256"])
+        new = days.join(replaced.select("ev_date", F.col("new_sha256").alias("sha256")), ["ev_date", "sha256"])
+        changes = diff_rosters(old, new, by=("ev_date",)).join(replaced, "ev_date")
+        changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        todo.select("ev_date", "sha256", "n_rows").write.mode("overwrite").parquet(f"{path}/manifest/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _typed_days(spark: SparkSession, path: str) -> DataFrame:
+    days = spark.read.parquet(f"{path}/days")
+    return days.withColumn("ev_date", F.col("ev_date").cast("date")).withColumn("sha256", F.col("sha256").cast("string"))
+
+
 def current_days(spark: SparkSession, path: str) -> DataFrame:
     """The rows that the manifest's latest row of each day names."""
-    latest = _read(spark, f"{path}/manifest", "ev_date date, sha256 string, n_rows long, batch_id long").groupBy("ev_date").agg(F.max_by("sha256", "batch_id").alias("sha256"))
-    places = [f"{path}/days/{r.ev_date}/{r.sha256}" for r in latest.collect()]
-    return spark.read.parquet(*places)
+    latest = _read(spark, f"{path}/manifest", MANIFEST).groupBy("ev_date").agg(F.max_by("sha256", "batch").alias("sha256"))
+    return _typed_days(spark, path).join(latest, ["ev_date", "sha256"], "left_semi")
+
+
+def day_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The change log of all batches."""
+    return _read(spark, f"{path}/changes", "change_kind string, ev_date date, id_voter string, county string, voting_method string, old_sha256 string, new_sha256 string, batch long")
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+    """A folder's rows; none where it doesn't exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def first_appearances(stream: DataFrame) -> DataFrame:

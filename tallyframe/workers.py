@@ -9,6 +9,20 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all machines share. Only where it is unset and Spark runs
+    on this machine alone (tests, notebooks) a temporary one serves; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if getattr(context, "_tallyframe_folder", None) is None:
+        context._tallyframe_folder = tempfile.mkdtemp(prefix="spark-")
+    return context._tallyframe_folder
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once for a context, through Spark's own file server."""
     context = spark.sparkContext
