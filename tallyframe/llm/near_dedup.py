@@ -26,6 +26,8 @@ from tallyframe.llm.common import U64, cut_lineage, id_bitmap, in_bitmap, matche
 BINS, BANDS, ROWS = 256, 40, 5
 #: Partners of one centre that are compared in a task.
 BESIDE = 64
+#: Rounds of stars with other centres in the buckets that the first ones leave open, at most; they save pairs later.
+ROUNDS = 3
 #: A shingle is rare if at most so many of the sets at hand have it; the number grows fourfold from round to round.
 RARE = 8
 #: Keys with more than this part of all rows are joined by broadcast: there are fewer than so many.
@@ -211,9 +213,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (u, v) of sets (id, n, members) that join whatever all their links join, without all pairs.
+    """Links (u, v) of sets (id, n, members, component) that, with the links within components, join whatever all
+    links join, without all pairs.
 
-    Shingles are ordered by how many sets have them. A link needs a share of the larger set in common, so two
+    Only links between components matter, so a shingle that one component's sets have alone counts for nothing.
+    The others are ordered by how many sets have them. A link needs a share of the larger set in common, so two
     linked sets have a shingle in common among the first few of both (a prefix filter). If it is rare, few sets
     have it, and their pairs are compared. If not, they have no rare shingle in common, and only their other
     shingles count: sets with the same ones are one from there on, and the next round is about those. Its pairs
@@ -226,23 +230,27 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
     room = lambda both: F.floor((100 + similarity) * both / similarity)  # noqa: E731  # most members of two linked sets
     first = True
     while True:
-        elements = level.select("id", F.explode("members").alias("x"))
-        counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one")))
+        elements = level.select("id", "component", F.explode("members").alias("x"))
+        alone = (F.min("component") == F.max("component")).alias("alone")
+        counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
         total = counts.agg(F.sum("df")).first()[0] or 0
-        # fewer than 16 * HOT shingles; without them no shingle's rows are many
-        hot = F.broadcast(counts.where((F.col("df") > limit) & (F.col("df") * 16 * HOT > total)).select("x"))
-        shared = elements.join(hot, "x", "left_anti").join(counts.where((F.col("df") > 1) & (F.col("df") <= limit)).select("x", "df"), "x")
-        rare = shared.select("id", "x", "df").union(counts.where("df = 1").select(F.col("one").alias("id"), "x", "df"))
-        listed = rare.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
-        split = cut_lineage(level.join(listed, "id", "left").mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, keys array<long>, rest_id long, rest array<long>"))
+        # the most frequent shingles, fewer than 16 * HOT; without them no shingle's rows are many
+        often = F.col("df") * 16 * HOT > total
+        hot = F.broadcast(counts.where(often).select("x", "alone"))
+        several = counts.where((F.col("df") > 1) & (F.col("alone") | (F.col("df") <= limit)))
+        rank = F.when(F.col("alone"), 0).otherwise(F.col("df")).alias("df")
+        listed = elements.join(hot.select("x"), "x", "left_anti").join(several.where(~often), "x").select("id", "x", rank)
+        listed = listed.union(elements.join(hot.where("alone"), "x").select("id", "x", F.lit(0).cast("long")))
+        listed = listed.union(elements.join(hot.select("x"), "x", "left_semi").join(F.broadcast(several.where(often & ~F.col("alone"))), "x").select("id", "x", "df"))
+        listed = listed.union(counts.where("df = 1").select(F.col("one").alias("id"), "x", F.lit(0).cast("long")))
+        listed = listed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
+        source = level.join(listed, "id", "left").select("id", "n", "component", "members", "rare")
+        split = cut_lineage(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
 
         # a rare shingle's sets are ``limit`` at most; shingles of the same sets give their pairs once
-        keyed = split.select(F.struct("id", "n").alias("set"), F.explode("keys").alias("key"))
+        keyed = split.select(F.struct("id", "n", "m", "component").alias("set"), F.explode("keys").alias("key"))
         lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
-        ends = lists.select("sets", F.posexplode("sets").alias("at", "a"))
-        ends = ends.select("a", F.explode(F.slice("sets", F.col("at") + 2, limit)).alias("b"))
-        met = ends.where(100 * F.least("a.n", "b.n") >= similarity * F.greatest("a.n", "b.n"))
-        pairs = cut_lineage(met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct())
+        pairs = cut_lineage(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
         found = cut_lineage(confirmed(pairs, level, similarity))
         links = links.union(found.select("u", "v"))
         if not first:
@@ -255,13 +263,15 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
         left = split.where("rest is not null")
         if left.isEmpty():
             return cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-        groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"))
-        level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members"))
+        groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"), F.min("component").alias("a"), F.max("component").alias("b"))
+        # a group of several components is one of its own: all that its sets are linked with matters
+        own = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("rest_id"))
+        level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members", own.alias("component")))
         into = left.select("id", "rest_id").join(level.select("rest_id", F.col("id").alias("to"), F.col("n").alias("n_to"), F.array_size("members").alias("size")), "rest_id")
         behind = cut_lineage(behind.join(into, "id").select("node", "n_node", F.col("to").alias("id"), "n_to", "size"))
         links = links.union(behind.where((F.col("node") != F.col("id")) & (F.col("n_node") + F.col("n_to") <= room(F.col("size")))).select(F.col("node").alias("u"), F.col("id").alias("v")))
         behind = behind.select("node", "n_node", "id")
-        level = level.select("id", "n", "members")
+        level = level.select("id", "n", "members", "component")
         limit *= 4
 
 
@@ -269,22 +279,35 @@ def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.Re
     """Of each set: the rare shingles among its first ones, and its other shingles where a link could rest on those."""
     for batch in batches:
         out: list[tuple] = []
-        for own_id, n, members, rare in zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), batch.column("members"), batch.column("rare"), strict=True):
+        for own_id, n, component, members, rare in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "component")), batch.column("members"), batch.column("rare"), strict=True):
             own = members.values.to_numpy()
             few, df = (rare.values.field("x").to_numpy(), rare.values.field("df").to_numpy()) if rare.is_valid else (np.empty(0, np.int64),) * 2
             need = -(-similarity * n // 100)  # members that any partner has in common with it, at least
             if len(own) < need:
                 continue
             prefix = len(own) - need + 1
-            keys = few[:prefix][df[:prefix] > 1]
+            keys = few[:prefix][df[:prefix] > 0]
             rest = None
             if len(own) - len(few) >= need:
                 rest = own[~np.isin(own, few)]
             if len(keys) or rest is not None:
                 rest_id = None if rest is None else int(set_ids(rest.view(U64), np.array([0, len(rest)]))[0])
-                out.append((own_id, n, keys, rest_id, rest))
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array([row[k] for row in out], t) for k, t in enumerate(types)], names=["id", "n", "keys", "rest_id", "rest"])
+                out.append((own_id, n, len(own), component, keys, rest_id, rest))
+        types = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([row[k] for row in out], t) for k, t in enumerate(types)], names=["id", "n", "m", "component", "keys", "rest_id", "rest"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of each list's sets, of different components, that may be linked if the smaller one's members are all in
+    the other."""
+    for batch in batches:
+        for sets in batch.column("sets"):
+            ids, n, m, component = (sets.values.field(c).to_numpy() for c in ("id", "n", "m", "component"))
+            for i in range(len(ids) - 1):
+                fits = (component[i + 1 :] != component[i]) & ((100 + similarity) * np.minimum(m[i + 1 :], m[i]) >= similarity * (n[i + 1 :] + n[i]))
+                other = ids[i + 1 :][fits]
+                if len(other):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), ids[i])), pa.array(other)], names=["u", "v"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -325,15 +348,36 @@ def classes(documents: DataFrame, words: int, similarity: int, row: Column | Non
     links = cut_lineage(confirmed(tried, full_sets(documents, wanted, words), similarity).select("u", "v"))
     labels = components(links)
 
-    inside = stars.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    unsettled = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows_of")).where("rows_of > 2 and a < b").select("bucket", "rows_of")
-    rest = cut_lineage(joined(inside, unsettled, "bucket", nodes.count() * BANDS).select("id").distinct())
+    total = nodes.count() * BANDS
+    rest = unsettled(stars.select("bucket", "id"), labels, total)
     if not rest.isEmpty():
-        labels = components(links.union(rare_links(cut_lineage(full_sets(documents, rest, words)), similarity)))
+        sets = cut_lineage(full_sets(documents, rest, words))
+        for _ in range(ROUNDS):
+            # of each open bucket the member that has most company is the centre: it is the most central one
+            company = rest.groupBy("id").agg(F.sum("rows_of").alias("company"), F.count("*").alias("rows_of"))
+            weighed = cut_lineage(joined(rest.drop("rows_of"), company, "id", total))
+            centres = weighed.groupBy("bucket").agg(F.max(F.struct("company", "id", "component")).alias("centre"), F.count("*").alias("rows_of"))
+            edges = joined(weighed, centres, "bucket", total).where("component != centre.component").select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
+            found = cut_lineage(confirmed(cut_lineage(possible(edges, nodes, similarity)), sets, similarity).select("u", "v"))
+            if found.isEmpty():
+                break
+            links = links.union(found)
+            labels = components(links)
+            rest = unsettled(rest.select("bucket", "id"), labels, total)
+        left = rest.select("id", "component").distinct()
+        labels = components(links.union(rare_links(cut_lineage(sets.join(left, "id")), similarity)))
     named = nodes.select("id", "rows_of").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "rows_of")
     return base.select("doc_id", "row", "n_shingles", "id"), cut_lineage(named)
 
 
+def unsettled(members: DataFrame, labels: DataFrame, total: int) -> DataFrame:
+    """bucket, id, component, rows_of of the members (bucket, id) of buckets with several components. A bucket of two
+    is settled: one is its centre."""
+    inside = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows_of")).where("rows_of > 2 and a < b")
+    return cut_lineage(joined(inside, open_.select("bucket", "rows_of", F.col("rows_of").alias("size")), "bucket", total).withColumnRenamed("size", "rows_of"))
+
+
 def spread(rows: DataFrame, named: DataFrame, least: Column) -> DataFrame:
     """``rows`` of ``classes`` that have shingles, with ``first``: the least value of ``least`` in each one's component."""
     own = rows.where("n_shingles > 0").groupBy("id").agg(F.min(least).alias("first")).join(named, "id")
