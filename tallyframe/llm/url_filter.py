@@ -44,10 +44,10 @@ def rules_frame(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> D
 
 
 class ActiveRules:
-    """The stack of the sweep: hosts whose intervals hold the present key, each with its paths."""
+    """The stack of the sweep: hosts whose intervals hold the present key, each with its paths and their lengths."""
 
     def __init__(self):
-        self.stack: list[tuple[str, str, dict[str, str]]] = []
+        self.stack: list[tuple[str, str, dict[str, str], list[int]]] = []
 
     def leave(self, key: str) -> None:
         while self.stack and self.stack[-1][0] <= key:
@@ -55,18 +55,20 @@ class ActiveRules:
 
     def enter(self, end: str, host: str, path: str, verdict: str) -> None:
         if not self.stack or self.stack[-1][0] != end:
-            self.stack.append((end, host, {}))
-        paths = self.stack[-1][2]
+            self.stack.append((end, host, {}, []))
+        paths, lengths = self.stack[-1][2:]
+        at = bisect_left(lengths, len(path))
+        if lengths[at : at + 1] != [len(path)]:
+            lengths.insert(at, len(path))
         paths[path] = "block" if "block" in (verdict, paths.get(path)) else verdict
 
     def longest(self, path: str) -> tuple[str, str] | None:
         """Rule and verdict of the longest one that fits; of equally long ones that of the longer host."""
         best = None
-        for _, host, paths in reversed(self.stack):
+        for _, host, paths, lengths in reversed(self.stack):
             if best is not None and len(host) + len(path) <= len(best[0]):
                 continue
-            lengths = sorted({len(p) for p in paths if len(p) <= len(path)}, reverse=True)
-            for n in lengths:
+            for n in reversed(lengths[: bisect_right(lengths, len(path))]):
                 verdict = paths.get(path[:n])
                 if verdict is not None:
                     if best is None or len(host) + n > len(best[0]):

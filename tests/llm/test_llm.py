@@ -29,7 +29,7 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Nulls, empty and blank texts, repeats of rows and ids, odd characters, a very long text.
-ODD = [(None, None, None), (1, None, "x"), (2, "", None), (3, " \n\t", "y"), (4, "a b", "x"), (4, "a b", "x"), (4, "other text here", "x"), (5, "é😀 \x00 日本 <|endoftext|> token=abcdef1", "z"), (None, "no id", "x"), (6, "word and " * 30_000, "y")]
+ODD = [(None, None, None), (1, None, "x"), (2, "", None), (3, " \n\t", "y"), (4, "a b", "x"), (4, "a b", "x"), (4, "other text here", "x"), (5, "é😀 \x00 日本 <|endoftext|> token=abcdef1", "z"), (None, "no id", "x"), (6, "word and " * 30_000, "y"), (7, "ab1é" * 20_000, "y"), (8, "x" * 20_000, "z"), (9, "日本語" * 8_000 + "\n" * 10_000, "z")]
 
 
 @pytest.fixture(scope="module")
@@ -101,6 +101,13 @@ def test_token_counts_equal_the_library(spark, docs, odd):
         want = sorted(((r.doc_id or -1), len((r.text or "").encode()), n := len(library.encode(r.text or "", add_special_tokens=False).ids), n > 1024) for r in frame.collect())
         assert got == want
     assert TC.token_counts(docs.limit(0), BPE).count() == 0
+    # every prefix's count, on Spark
+    texts = ["", None, "a few words, 12 of them", "é😀 <|endoftext|> x", "ab1é" * 20]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for r in TC.token_counts(few, BPE, limit=5, prefixes=True).collect():
+        text = texts[r.doc_id] or ""
+        want = [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+        assert r.prefix_tokens == want and r.fit_chars == max(i for i, n in enumerate(want) if n <= 5)
 
 
 # 3
@@ -399,6 +406,7 @@ def test_search_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(VS, "BLOCK", 200)
     rng = np.random.default_rng(1)
     rows = [(i, list(map(float, rng.normal(size=8) * 0.2 + (i % 7)))) for i in range(1200)] + [(1200 + i, [0.5] * 8) for i in range(600)]
+    rows += [(7200, [2e11, -1e11])]  # scores of more than 53 bits
     rows += [(7001, None), (7000, [1.0, None]), (7050, [float("nan")]), (None, [1.0]), (7100, [0.25, 2.0]), (7101, []), (7150, [3e30, 1.0])][:-1]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rep", F.lit(1))
     assert sorted(tuple(r) for r in VS.top_products(frame).collect()) == brute_top([tuple(r)[:2] for r in frame.collect()])
