@@ -5,9 +5,10 @@ the radius that covers its vectors, and children cover it by smaller radii. For
 and radius r and a data node with centre b and radius s, no pair scores above a.b + |a| s + |b| r + r s;
 where that is below the worst kth score of the node's queries, the pair of nodes is left out.
 
-The upper level of the data's tree is shared: centres from a bounded sample cut all vectors into cells,
-and large cells into blocks that one task can hold. Queries search a block of their own cell first; with
-the kth score found there they go only to the cells whose bound reaches it. Equal vectors are searched
+The upper levels of the data's tree are shared: centres from a bounded sample cut all vectors into cells, and
+centres within each large cell cut it into blocks, each with its own centre and radius. Queries go in groups of
+one block: a group searches its own block first; with the kth scores found there it goes only to blocks whose
+bound reaches the worst of them, and takes along only the queries whose own bound does. Equal vectors are searched
 once.
 """
 
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import cut_lineage, hash_sample, with_package
 
-#: Vectors that the centres are chosen from, centres at most, and vectors of a block, about.
-SAMPLE, CENTRES, BLOCK = 2048, 256, 4096
+#: Vectors that the centres are chosen from; cells, and blocks of a cell, at most; and vectors of a block, about. A
+#: block that comes out larger (beyond CELLS * WITHIN * BLOCK vectors all may) is cut by hash into parts of one radius.
+SAMPLE, CELLS, WITHIN, BLOCK = 16_384, 256, 64, 4096
 #: Vectors of a leaf, children of a node, and how much smaller a child's radius should be.
 LEAF, FANOUT, SHRINK = 96, 8, 0.7
-#: Queries that a task searches for at once.
-TOGETHER = 1024
+#: Queries of a group, about.
+TOGETHER = 512
 
 
 def pack(rows: np.ndarray) -> list[bytes]:
@@ -150,6 +152,54 @@ def parsed(vectors: DataFrame) -> DataFrame:
     return rows.where("vec_id is not null and embedding is not null and not exists(embedding, x -> x is null)").mapInArrow(work, "vec_id long, v binary")
 
 
+class Blocks:
+    """The shared upper levels: centres of cells, and of the blocks of each."""
+
+    def __init__(self, sample: np.ndarray, total: int):
+        self.cells = sample[farthest_first(sample, min(CELLS, -(-total // BLOCK)))]
+        own = nearest(sample, self.cells)
+        each = [sample[own == c] for c in range(len(self.cells))]
+        wanted = [-(-len(rows) * total // (len(sample) * BLOCK)) for rows in each]
+        centres = [rows[farthest_first(rows, max(1, min(WITHIN, n)))] for rows, n in zip(each, wanted, strict=True)]
+        self.first = np.concatenate([[0], np.cumsum([len(c) for c in centres])])
+        self.centres = np.concatenate(centres)
+
+    def place(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's block, and its distance from the block's centre."""
+        rows, cells = widened(rows, self.cells)
+        _, centres = widened(rows, self.centres)
+        block = np.zeros(len(rows), np.int64)
+        cell = nearest(rows, cells)
+        for c in np.unique(cell):
+            at = np.flatnonzero(cell == c)
+            block[at] = self.first[c] + nearest(rows[at], centres[self.first[c] : self.first[c + 1]])
+        return block, np.sqrt(((rows - centres[block]) ** 2).sum(axis=1))
+
+
+def nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    if not len(rows):
+        return np.empty(0, np.int64)
+    return ((rows**2).sum(axis=1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(axis=1)).argmin(axis=1)
+
+
+def reachable(queries: np.ndarray, floors: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Blocks that may hold a score of a query group's, and the queries that each may hold one of.
+
+    A block is left out for the whole group by the two balls' bound and the worst floor, then for queries one by one."""
+    queries, centres = widened(queries, centres)
+    middle = queries.mean(axis=0)
+    reach = float(np.sqrt(((queries - middle) ** 2).sum(axis=1)).max())
+    norms = np.sqrt((centres**2).sum(axis=1))
+    bound = centres @ middle + np.sqrt((middle**2).sum()) * radii + norms * reach + radii * reach
+    some = np.flatnonzero(bound + 1e-9 * np.abs(bound) + 1 >= floors.min())
+    each = queries @ centres[some].T + np.sqrt((queries**2).sum(axis=1))[:, None] * radii[some][None, :]
+    fits = each + 1e-9 * np.abs(each) + 1 >= floors[:, None]
+    for column, k in enumerate(some):
+        own = np.flatnonzero(fits[:, column])
+        if len(own):
+            yield int(k), own
+
+
 def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for each vec_id divisible by ``every``.
 
@@ -158,7 +208,7 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 
     Vectors that are null, hold null or non-finite components or have a null vec_id take no part; shorter
     vectors count as filled up with zeros; rows that repeat vec_id and vector count once, and scores
-    beyond 64 bits as the largest number. Other columns are not read, whatever their names."""
+    beyond 64 bits as the largest number. Other columns are not read, whatever their names; no rows give no rows."""
     spark = vectors.sparkSession
     with_package(spark)
     rows = cut_lineage(parsed(vectors).distinct())
@@ -169,85 +219,90 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     sample = unpack([bytes(r.v) for r in sorted(hash_sample(rows, SAMPLE, "vec_id", "v").collect())])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    centres = spark.sparkContext.broadcast(sample[farthest_first(sample, min(CENTRES, max(1, total // BLOCK)))])
+    upper = spark.sparkContext.broadcast(Blocks(sample, total))
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, middle = widened(unpack(batch.column("v").to_pylist()), centres.value)
-            square = (own**2).sum(axis=1)[:, None] - 2 * own @ middle.T + (middle**2).sum(axis=1)
-            cell = square.argmin(axis=1) if len(own) else np.empty(0, np.int64)
-            distance = np.sqrt(((own - middle[cell]) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(distance)], names=["rep", "ids", "v", "cell", "distance"])
-
-    placed = cut_lineage(ids.select(F.get("ids", F.lit(0)).alias("rep"), "ids", "v").mapInArrow(cells, "rep long, ids array<long>, v binary, cell int, distance double"))
-    # one row per centre
-    summary = {r.cell: (r.n, r.radius) for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}
-    names = sorted(summary)
-    blocks = {c: -(-summary[c][0] // BLOCK) for c in names}
-    radii = np.array([summary[c][1] for c in names])
-    n_blocks = F.try_element_at(F.create_map(*[F.lit(x) for c in names for x in (c, blocks[c])]), F.col("cell"))
-    data = placed.withColumn("sub", F.pmod(F.xxhash64("rep"), n_blocks).cast("int"))
-
-    asked = rows.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id").join(placed.select("v", "rep", "cell"), "v").select("query_id", "rep", "v", "cell")
+            block, distance = upper.value.place(unpack(batch.column("v").to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block.astype(np.int32)), pa.array(distance)], names=["rep", "ids", "v", "block", "distance"])
+
+    placed = cut_lineage(ids.select(F.get("ids", F.lit(0)).alias("rep"), "ids", "v").mapInArrow(placed_in, "rep long, ids array<long>, v binary, block int, distance double"))
+    # one row per block: CELLS * WITHIN at most
+    summary = {r.block: (r.n, r.radius) for r in placed.groupBy("block").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}
+    names = np.array(sorted(summary))
+    parts = np.array([-(-summary[b][0] // (2 * BLOCK)) for b in names])
+    radii = np.array([summary[b][1] for b in names])
+    shape = spark.createDataFrame([(int(b), int(n)) for b, n in zip(names, parts, strict=True)], "block int, parts int")
+    data = placed.join(F.broadcast(shape), "block").withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+
+    asked = rows.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id").join(placed.select("v", "rep", "block"), "v").select("query_id", "rep", "v", "block")
     asked = cut_lineage(asked)
-    distinct = asked.groupBy("rep").agg(F.first("v").alias("v"), F.first("cell").alias("cell")).withColumn("sub", F.pmod(F.xxhash64("rep", F.lit(1)), n_blocks).cast("int"))
-    schema = "rep long, v binary, cell int, sub int, found array<struct<score:long,id:long>>"
-
-    def search(queries: DataFrame) -> DataFrame:
-        left = data.select("cell", "sub", F.lit(0).alias("side"), "rep", "v", F.lit(None).cast("double").alias("floor"))
-        right = queries.select("cell", "sub", F.lit(1).alias("side"), "rep", "v", "floor")
-        return left.union(right).repartition("cell", "sub").sortWithinPartitions("cell", "sub", "side").mapInArrow(blocks_of, schema)
+    distinct = asked.groupBy("rep").agg(F.first("v").alias("v"), F.first("block").alias("block"))
+    # groups of about TOGETHER queries of a block
+    sizes = distinct.groupBy("block").agg((F.count("*") / TOGETHER).cast("int").alias("more"))
+    distinct = distinct.join(F.broadcast(sizes), "block").withColumn("team", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("more") + 1).cast("int")).drop("more")
+    own = distinct.join(F.broadcast(shape), "block").withColumn("part", F.pmod("team", "parts").cast("int"))
+    asking = own.groupBy("block", "part", "team").agg(F.collect_list(F.struct("rep", "v", F.lit(None).cast("double").alias("floor"))).alias("queries"))
+    schema = "rep long, v binary, home int, team int, part int, found array<struct<score:long,id:long>>"
+    query_type = "array<struct<rep:long,v:binary,floor:double>>"
+
+    def search(groups: DataFrame) -> DataFrame:
+        """Groups (block, part, home, team, queries) against the vectors of the block's part."""
+        left = data.select("block", "part", F.lit(0).alias("side"), "rep", "v", F.lit(None).cast("int").alias("home"), F.lit(None).cast("int").alias("team"), F.lit(None).cast(query_type).alias("queries"))
+        right = groups.select("block", "part", F.lit(1).alias("side"), F.lit(None).cast("long").alias("rep"), F.lit(None).cast("binary").alias("v"), "home", "team", "queries")
+        return left.union(right).repartition("block", "part").sortWithinPartitions("block", "part", "side").mapInArrow(blocks_of, schema)
 
     def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, asking = None, [], []
+        key, held, table, numbers = None, [], None, None
         for batch in batches:
-            for cell, sub, side, rep, v, floor in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (cell, sub) != key:
-                    if asking:
-                        yield answers(key, held, asking)
-                    key, held, asking = (cell, sub), [], []
+            for block, part, side, rep, v, home, team, queries in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (block, part) != key:
+                    key, held, table = (block, part), [], None
                 if side == 0:
                     held.append((rep, v))
-                else:
-                    asking.append((rep, v, floor))
-                    if len(asking) == TOGETHER:
-                        yield answers(key, held, asking)
-                        asking = []
-        if asking:
-            yield answers(key, held, asking)
-
-    def answers(key: tuple, held: list, asking: list) -> pa.RecordBatch:
-        floor = np.array([-np.inf if f is None else f for _, _, f in asking])
-        best = dual_search(unpack([v for _, v in held]), np.array([r for r, _ in held], np.int64), unpack([v for _, v, _ in asking]), floor, k + 1)
+                    continue
+                if table is None:
+                    table, numbers = unpack([x for _, x in held]), np.array([r for r, _ in held], np.int64)
+                yield answers(part, table, numbers, home, team, queries)
+
+    def answers(part: int, table: np.ndarray, numbers: np.ndarray, home: int, team: int, queries: list[dict]) -> pa.RecordBatch:
+        floor = np.array([-np.inf if q["floor"] is None else q["floor"] for q in queries])
+        best = dual_search(table, numbers, unpack([q["v"] for q in queries]), floor, k + 1)
         real = best.ids < (1 << 63) - 1
         found = [[{"score": int(s), "id": int(i)} for s, i, ok in zip(*row, strict=True) if ok] for row in zip(best.scores, best.ids, real, strict=True)]
-        n = len(asking)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([a[0] for a in asking], pa.int64()), pa.array([a[1] for a in asking], pa.binary()), pa.array([key[0]] * n, pa.int32()), pa.array([key[1]] * n, pa.int32()), pa.array(found, pa.list_(pa.struct([("score", pa.int64()), ("id", pa.int64())])))],
-            names=["rep", "v", "cell", "sub", "found"],
-        )
+        n = len(queries)
+        columns = [pa.array([q["rep"] for q in queries], pa.int64()), pa.array([q["v"] for q in queries], pa.binary()), pa.array([home] * n, pa.int32()), pa.array([team] * n, pa.int32()), pa.array([part] * n, pa.int32())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.struct([("score", pa.int64()), ("id", pa.int64())])))], names=["rep", "v", "home", "team", "part", "found"])
+
+    near = cut_lineage(search(asking.withColumn("home", F.col("block"))))
 
-    near = cut_lineage(search(distinct.withColumn("floor", F.lit(None).cast("double"))))
+    target = pa.list_(pa.struct([("rep", pa.int64()), ("v", pa.binary()), ("floor", pa.float64())]))
 
     def routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Cells whose bound reaches a query's kth score, but for the block that it has searched."""
+        key, rows = None, []
         for batch in batches:
-            own, middle = widened(unpack(batch.column("v").to_pylist()), centres.value[names])
-            floors = np.array([f[k]["score"] if len(f) > k else -np.inf for f in batch.column("found").to_pylist()])
-            bound = own @ middle.T + np.sqrt((own**2).sum(axis=1))[:, None] * radii[None, :]
-            to = bound + 1e-9 * np.abs(bound) + 1 >= floors[:, None]
-            rows = [
-                (i, c, sub)
-                for i, (row, cell, had) in enumerate(zip(to, batch.column("cell").to_pylist(), batch.column("sub").to_pylist(), strict=True))
-                for c in np.array(names)[row].tolist()
-                for sub in range(blocks[c])
-                if (c, sub) != (cell, had)
-            ]
-            at = pa.array([r[0] for r in rows], pa.int64())
-            part = batch.select(["rep", "v"]).take(at)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()), pa.array(floors[[r[0] for r in rows]] if rows else [], pa.float64())], names=["rep", "v", "cell", "sub", "floor"])
-
-    far = search(near.mapInArrow(routes, "rep long, v binary, cell int, sub int, floor double"))
+            for row in batch.to_pylist():
+                if (row["home"], row["team"]) != key:
+                    if rows:
+                        yield from ways(rows)
+                    key, rows = (row["home"], row["team"]), []
+                rows.append(row)
+        if rows:
+            yield from ways(rows)
+
+    def ways(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        """A group's queries for each block that they may find more in, but for the part that they have searched."""
+        floors = np.array([r["found"][k]["score"] if len(r["found"]) > k else -np.inf for r in rows])
+        home, team, had = rows[0]["home"], rows[0]["team"], rows[0]["part"]
+        for b, fit in reachable(unpack([r["v"] for r in rows]), floors, upper.value.centres[names], radii):
+            to = [part for part in range(parts[b]) if (names[b], part) != (home, had)]
+            packed = [{"rep": rows[i]["rep"], "v": rows[i]["v"], "floor": float(floors[i])} for i in fit]
+            n = len(to)
+            yield pa.RecordBatch.from_arrays([pa.array([int(names[b])] * n, pa.int32()), pa.array(to, pa.int32()), pa.array([home] * n, pa.int32()), pa.array([team] * n, pa.int32()), pa.array([packed] * n, target)], names=["block", "part", "home", "team", "queries"])
+
+    teams = near.repartition("home", "team").sortWithinPartitions("home", "team")
+    routed = teams.mapInArrow(routes, f"block int, part int, home int, team int, queries {query_type}")
+    far = search(routed)
     pairs = near.union(far).select("rep", F.explode("found").alias("x")).select("rep", "x.score", F.col("x.id").alias("other"))
     order = Window.partitionBy("rep").orderBy(F.desc("score"), "other")
     pairs = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
