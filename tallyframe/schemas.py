@@ -24,6 +24,7 @@ CALENDAR = (
 AGE_TIERS = ((18, 24, "18-24", 1), (25, 34, "25-34", 2), (35, 54, "35-54", 3), (55, 64, "55-64", 4), (65, 74, "65-74", 5), (75, 84, "75-84", 6), (85, 200, "85+", 7))
 AGE_BRACKETS = ((18, 24, "18-24"), (25, 34, "25-34"), (35, 44, "35-44"), (45, 54, "45-54"), (55, 64, "55-64"), (65, 74, "65-74"), (75, 999, "75+"))
 
+# Columns of the files, in their order.
 ROSTER_CSV = ("id_voter", "voting_method", "precinct", "county", "election_id", "report_date", "voter_name", "duplicate_flag", "duplicate_type", "also_found_on")
 ENRICHED_CSV = ("in_voterfile", "cd", "hd", "sd", "vf_county", "vf_precinct", "age_bracket", "sex", "hispanic", "status")
 TURNOUT_CSV = {
@@ -40,17 +41,18 @@ TURNOUT_CSV = {
 }
 DAY_ROSTER = ("COUNTY", "VOTER_NAME", "ID_VOTER", "VOTING_METHOD", "PRECINCT")
 
+# Fields of the payloads.
 TURNOUT_JSON = (
-    "date_updated string, election_id string, election_type string, early_voting_date string, early_voting_date_id string, "
+    "election_id string, early_voting_date string, "
     "turnout_by_county array<struct<name: string, id: string, registered_voters: long, in_person_votes_on_date: long, total_in_person_votes_for_election: long, total_mail_votes_for_election: long, voter_details_report: string>>"
 )
 ELECTIONS_JSON = (
-    "date_updated string, elections array<struct<id: string, type: string, election_date: string, election_name: string, certified: boolean, "
+    "elections array<struct<id: string, type: string, election_date: string, election_name: string, certified: boolean, "
     "early_voting_dates array<struct<date: string, date_turnout_id: string>>, counties: array<struct<county_id: string, name: string>>>>"
 )
-CONSTANTS_JSON = "electionInfo map<string, map<string, map<string, struct<ID: string, N: string, O: string, T: string, Y: string>>>>"
-OFFICE_JSON = "OS array<struct<OID: string, ON: string, C: array<struct<N: string, P: string, C: string, T: long, O: long>>>>"
-COUNTY_JSON = "map<string, struct<N: string, Summary: struct<RV: long, VC: long, VT: double>, Races: map<string, struct<OID: string, ON: string, C: map<string, struct<id: string, N: string, P: string, V: long, EV: long>>>>>>"
+CONSTANTS_JSON = "electionInfo map<string, map<string, map<string, struct<ID: string, N: string>>>>"
+OFFICE_JSON = "OS array<struct<OID: string, ON: string, C: array<struct<N: string, P: string, T: long, O: long>>>>"
+COUNTY_JSON = "map<string, struct<N: string, Summary: struct<RV: long>, Races: map<string, struct<C: map<string, struct<N: string, V: long, EV: long>>>>>>"
 GEO_JSON = (
     "areas array<struct<kind: string, code: string, name: string, lat: double, lon: double, south: double, west: double, north: double, east: double>>, "
     "precincts array<struct<pctkey: string, county_fips: string, prec: string, cd: string, sd: string, hd: string, split_cd: boolean, split_sd: boolean, split_hd: boolean>>"
