@@ -27,11 +27,11 @@ BINS, BANDS, ROWS = 256, 40, 5
 #: Partners of one centre that are compared in a task.
 BESIDE = 64
 #: Rounds of stars with other centres in the buckets that the first ones leave open, at most; they save pairs later.
-ROUNDS = 3
+ROUNDS = 1
 #: A shingle is rare if at most so many of the sets at hand have it; the number grows fourfold from round to round.
 RARE = 8
-#: Keys with more than this part of all rows are joined by broadcast: there are fewer than so many.
-HOT = 4096
+#: Shingles with more than this part of all rows are joined by broadcast: there are fewer than so many.
+HOT = 65_536
 
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64) * U64(0xA0761D6478BD642F)) | U64(1)
 
@@ -152,16 +152,6 @@ def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return one.join(needed.select("id").distinct(), "id", "left_semi").select("id", F.array_size("members").cast("long").alias("n"), "members")
 
 
-def joined(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
-    """Inner join of rows with ``values`` (one row per key, with ``rows_of``, how many rows have it; ``total``:
-    all rows). Keys that have more than 1 / HOT of all rows are fewer than HOT, and are joined by broadcast; so no
-    task gets the rows of a hot key."""
-    hot = F.col("rows_of") * HOT > total
-    often = F.broadcast(values.where(hot).drop("rows_of"))
-    others = rows.join(often.select(key), key, "left_anti").join(values.where(~hot).drop("rows_of"), key)
-    return rows.join(often, key).unionByName(others)
-
-
 def possible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     """Pairs (u, v) but for those that can't be linked: by their sizes, or because their sketches show more
     members that just one of them has than a link allows. No linked pair is left out."""
@@ -185,8 +175,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
     A centre's set goes to each task with up to BESIDE of its partners, so a centre with very many of them is
     spread over tasks; a task holds one centre at a time."""
-    counts = pairs.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("more"), F.count("*").alias("rows_of"))
-    placed = joined(pairs, counts, "u", pairs.count()).select("u", "v", F.pmod(F.xxhash64("v"), F.col("more") + 1).alias("part"))
+    counts = pairs.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("more"))
+    placed = pairs.join(counts, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("more") + 1).alias("part"))
     ends = placed.select(F.col("v").alias("id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("id"), "u", "part", F.lit(0).alias("side")).distinct())
     beside = sets.join(ends, "id").repartition("u", "part").sortWithinPartitions("u", "part", "side")
 
@@ -234,8 +224,8 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
         alone = (F.min("component") == F.max("component")).alias("alone")
         counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
         total = counts.agg(F.sum("df")).first()[0] or 0
-        # the most frequent shingles, fewer than 16 * HOT; without them no shingle's rows are many
-        often = F.col("df") * 16 * HOT > total
+        # the most frequent shingles, fewer than HOT; without them no shingle's rows are many
+        often = F.col("df") * HOT > total
         hot = F.broadcast(counts.where(often).select("x", "alone"))
         several = counts.where((F.col("df") > 1) & (F.col("alone") | (F.col("df") <= limit)))
         rank = F.when(F.col("alone"), 0).otherwise(F.col("df")).alias("df")
@@ -317,74 +307,71 @@ def components(edges: DataFrame) -> DataFrame:
     grouped minimum, so no neighbourhood is gathered. Lineage is cut after each round."""
     pairs = cut_lineage(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
     before = None
-    total = pairs.count()
     while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("rows_of"))
-        large = cut_lineage(joined(both, least, "u", 2 * total).where("v > u and v != m").select(F.col("m").alias("u"), "v").distinct())
-        least = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("rows_of"))
-        small = joined(large, least, "v", large.count()).where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v")).union(least.select(F.col("m").alias("u"), "v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u and v != m").select(F.col("m").alias("u"), "v").distinct()
+        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        small = large.join(least, "v").where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v")).union(least.select(F.col("m").alias("u"), "v"))
         pairs = cut_lineage(small.distinct())
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before, total = state, state[0]
+        before = state
     own = pairs.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
     return pairs.select(F.col("v").alias("id"), F.col("u").alias("component")).union(own)
 
 
 def classes(documents: DataFrame, words: int, similarity: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, row, n_shingles, id) and set ids with their component (id, component, rows_of): see ``near_duplicates``."""
+    """Rows (doc_id, row, n_shingles, id) and set ids with their component (id, component): see ``near_duplicates``."""
     base = cut_lineage(sketches(documents, words, row))
     of_sets = base.where("n_shingles > 0").groupBy("id")
-    nodes = cut_lineage(of_sets.agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count("*").alias("rows_of")))
+    nodes = cut_lineage(of_sets.agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
 
     band = nodes.select("id", F.explode("bands").alias("bucket"))
-    centres = band.groupBy("bucket").agg(F.min("id").alias("u"), F.count("*").alias("rows_of")).where("rows_of > 1")
-    stars = cut_lineage(joined(band, centres, "bucket", nodes.count() * BANDS))
+    centres = band.groupBy("bucket").agg(F.min("id").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = cut_lineage(band.join(centres, "bucket"))
     edges = stars.where("u != id").select("u", F.col("id").alias("v")).distinct()
     tried = cut_lineage(possible(edges, nodes, similarity))
     wanted = tried.select(F.col("u").alias("id")).union(tried.select(F.col("v").alias("id")))
     links = cut_lineage(confirmed(tried, full_sets(documents, wanted, words), similarity).select("u", "v"))
     labels = components(links)
 
-    total = nodes.count() * BANDS
-    rest = unsettled(stars.select("bucket", "id"), labels, total)
+    rest = unsettled(stars.select("bucket", "id"), labels)
     if not rest.isEmpty():
         sets = cut_lineage(full_sets(documents, rest, words))
         for _ in range(ROUNDS):
             # of each open bucket the member that has most company is the centre: it is the most central one
-            company = rest.groupBy("id").agg(F.sum("rows_of").alias("company"), F.count("*").alias("rows_of"))
-            weighed = cut_lineage(joined(rest.drop("rows_of"), company, "id", total))
-            centres = weighed.groupBy("bucket").agg(F.max(F.struct("company", "id", "component")).alias("centre"), F.count("*").alias("rows_of"))
-            edges = joined(weighed, centres, "bucket", total).where("component != centre.component").select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
+            company = rest.groupBy("id").agg(F.sum("size").alias("company"))
+            weighed = rest.join(company, "id")
+            centres = weighed.groupBy("bucket").agg(F.max(F.struct("company", "id", "component")).alias("centre"))
+            edges = rest.join(centres, "bucket").where("component != centre.component").select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
             found = cut_lineage(confirmed(cut_lineage(possible(edges, nodes, similarity)), sets, similarity).select("u", "v"))
             if found.isEmpty():
                 break
             links = links.union(found)
             labels = components(links)
-            rest = unsettled(rest.select("bucket", "id"), labels, total)
+            rest = unsettled(rest.select("bucket", "id"), labels)
         left = rest.select("id", "component").distinct()
         labels = components(links.union(rare_links(cut_lineage(sets.join(left, "id")), similarity)))
-    named = nodes.select("id", "rows_of").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "rows_of")
+    named = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     return base.select("doc_id", "row", "n_shingles", "id"), cut_lineage(named)
 
 
-def unsettled(members: DataFrame, labels: DataFrame, total: int) -> DataFrame:
-    """bucket, id, component, rows_of of the members (bucket, id) of buckets with several components. A bucket of two
+def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, id, component, size of the members (bucket, id) of buckets with several components. A bucket of two
     is settled: one is its centre."""
     inside = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows_of")).where("rows_of > 2 and a < b")
-    return cut_lineage(joined(inside, open_.select("bucket", "rows_of", F.col("rows_of").alias("size")), "bucket", total).withColumnRenamed("size", "rows_of"))
+    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size")).where("size > 2 and a < b")
+    return cut_lineage(inside.join(open_.select("bucket", "size"), "bucket"))
 
 
 def spread(rows: DataFrame, named: DataFrame, least: Column) -> DataFrame:
     """``rows`` of ``classes`` that have shingles, with ``first``: the least value of ``least`` in each one's component."""
     own = rows.where("n_shingles > 0").groupBy("id").agg(F.min(least).alias("first")).join(named, "id")
-    counted = own.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("rows_of"))
-    total = named.agg(F.count("*"), F.sum("rows_of")).first()
-    of_sets = cut_lineage(joined(own.select("id", "component", F.col("rows_of").alias("copies")), counted, "component", total[0]))
-    return joined(rows.where("n_shingles > 0"), of_sets.select("id", "first", F.col("copies").alias("rows_of")), "id", total[1] or 0)
+    counted = own.groupBy("component").agg(F.min("first").alias("first"))
+    of_sets = own.select("id", "component").join(counted, "component").select("id", "first")
+    return rows.where("n_shingles > 0").join(of_sets, "id")
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85) -> DataFrame:
