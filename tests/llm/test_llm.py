@@ -369,8 +369,9 @@ def test_shards_are_even_and_mixed(docs, odd):
         assert max(counts) - min(counts) <= 1
         for k in range(16):
             assert sorted(r.slot for r in rows if r.shard == k) == list(range(counts[k]))
+    rows = SH.sharded(docs).collect()
     for source in {r.source for r in docs.collect()}:
-        own = [sum(r.shard == k and r.source == source for r in SH.sharded(docs).collect()) for k in range(16)]
+        own = [sum(r.shard == k and r.source == source for r in rows) for k in range(16)]
         assert max(own) - min(own) <= 2
     assert SH.sharded(docs.limit(0)).count() == 0
 
