@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, cut_lineage, mix, with_package, text_slices, word_hashes
+from tallyframe.llm.common import U64, cut_lineage, mix, text_slices, whole, with_package, word_hashes
 
 #: Buckets of hashed n-grams (2 ** BITS). Weights of so many are all that goes to the driver and back.
 BITS = 16
@@ -217,6 +217,7 @@ def accepted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch):
-                yield part.filter(pa.array(margins(data, offsets, shared.value) >= 0))
+                yield part.select(["row"]).filter(pa.array(margins(data, offsets, shared.value) >= 0))
 
-    return documents.mapInArrow(work, documents.schema)
+    source = documents.select(whole(documents).alias("row"), "text")
+    return source.mapInArrow(work, source.select("row").schema).select("row.*")
