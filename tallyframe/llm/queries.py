@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import read
+from tallyframe.llm.filter_audit import filter_audit
 from tallyframe.llm.fingerprints import fingerprints
+from tallyframe.llm.merkle import document_manifest
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.near_dedup import near_duplicates
 from tallyframe.llm.piece_transducer import encode_pieces
@@ -71,6 +73,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(read(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_url_filter,
@@ -83,6 +93,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_fingerprints,
         op10_quality,
+        op12_merkle_manifest,
+        op13_filter_audit,
     ]
     return {f.__name__: f for f in found}
 
@@ -156,8 +168,79 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
 FROM sharded
 """
 
+_OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE}, shown AS (
+  SELECT doc_id, lang, text, {_crc("coalesce(CAST(doc_id AS VARCHAR), '')")} % 3 = 0 AS tampered,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') ||
+         coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+  FROM documents, crc_steps
+), leaves AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '') AS key, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         CASE WHEN tampered THEN sha256(head || coalesce(octet_length(encode(lowered)) || ':' || lowered, '-')) END AS changed
+  FROM shown
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY key) AS m FROM leaves
+), nodes(key, level, pos, h, m) AS (
+  SELECT key, 0, pos, leaf, m FROM placed
+  UNION ALL
+  SELECT key, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (max(m) + 7) // 8 FROM nodes WHERE m > 1 GROUP BY key, level, pos // 8
+), subroots AS (
+  SELECT key, h AS subroot, row_number() OVER (ORDER BY encode(key)) - 1 AS pos, count(*) OVER () AS m FROM nodes WHERE m = 1
+), upper(level, pos, h, m) AS (
+  SELECT 0, pos, subroot, m FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (max(m) + 7) // 8 FROM upper WHERE m > 1 GROUP BY level, pos // 8
+), folded(key, leaf_pos, level, pos, h, others, m) AS (
+  SELECT key, pos, 0, pos, coalesce(changed, leaf), '', m FROM placed
+  UNION ALL
+  SELECT f.key, f.leaf_pos, f.level + 1, f.pos // 8, sha256(string_agg(CASE WHEN n.pos = f.pos THEN f.h ELSE n.h END, '' ORDER BY n.pos)),
+         f.others || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> f.pos), ''), (f.m + 7) // 8
+  FROM folded f JOIN nodes n ON n.key = f.key AND n.level = f.level AND n.pos // 8 = f.pos // 8 WHERE f.m > 1
+  GROUP BY f.key, f.leaf_pos, f.level, f.pos, f.h, f.others, f.m
+), whole(key, leaf_pos, level, pos, h, others, m) AS (
+  SELECT f.key, leaf_pos, 0, s.pos, h, others, s.m FROM folded f JOIN subroots s USING (key) WHERE f.m = 1
+  UNION ALL
+  SELECT f.key, f.leaf_pos, f.level + 1, f.pos // 8, sha256(string_agg(CASE WHEN n.pos = f.pos THEN f.h ELSE n.h END, '' ORDER BY n.pos)),
+         f.others || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> f.pos), ''), (f.m + 7) // 8
+  FROM whole f JOIN upper n ON n.level = f.level AND n.pos // 8 = f.pos // 8 WHERE f.m > 1
+  GROUP BY f.key, f.leaf_pos, f.level, f.pos, f.h, f.others, f.m
+)
+SELECT p.doc_id, p.leaf, s.subroot, r.h AS root, sha256(o.others) AS proof_sha256, o.h AS folded_root, o.h = r.h AS verified, p.lang
+FROM placed p JOIN whole o ON o.key = p.key AND o.leaf_pos = p.pos AND o.m = 1 JOIN subroots s ON s.key = p.key JOIN upper r ON r.m = 1
+"""
+
+_OP13 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * list_unique(words) < 50 * len(words) THEN 'B' ELSE '' END ||
+         CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END ||
+         CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM texts LEFT JOIN marks USING (doc_id)
+), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier FROM orders, range(1, 6) AS r(step)
+), met AS (
+  SELECT *, contains(fails, own) AS hit, translate(fails, earlier, '') <> fails AS gone FROM failing, steps
+), counted AS (
+  SELECT part, filter_order, step, own, count(*) FILTER (NOT hit AND NOT gone) AS kept, count(*) FILTER (hit AND NOT gone) AS removed,
+         count(*) FILTER (hit AND gone) AS redundant, count(*) FILTER (fails = own) AS unique_fails,
+         count(*) FILTER (good AND hit AND NOT gone) AS good_lost, count(*) FILTER (toxic AND hit AND NOT gone) AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries whose rows it can express. The others are tested against brute force, the
     libraries they must equal, or held-out labels."""
-    return {"op1_url_filter": _OP1, "op6_sharding": _OP6, "op7_vector_search": _OP7}
+    return {"op1_url_filter": _OP1, "op6_sharding": _OP6, "op7_vector_search": _OP7, "op12_merkle_manifest": _OP12, "op13_filter_audit": _OP13}
