@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import read
 from tallyframe.llm.filter_audit import filter_audit
 from tallyframe.llm.fingerprints import fingerprints
+from tallyframe.llm.lang_crf import languages
 from tallyframe.llm.merkle import document_manifest
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.near_dedup import near_duplicates
@@ -73,6 +74,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_manifest(read(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_fingerprints,
         op10_quality,
+        op11_language_id,
         op12_merkle_manifest,
         op13_filter_audit,
     ]
