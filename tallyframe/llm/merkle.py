@@ -108,47 +108,43 @@ def positions(rows: DataFrame, values: Sequence[str]) -> DataFrame:
 
 @dataclass
 class Stage:
-    """Nodes (key, at, digest, of) that are the leaves of one row of blocks, and all their columns."""
+    """Nodes (key, at, digest, of) that are the leaves of one row of blocks of ``height``, and all their columns."""
 
     nodes: DataFrame
+    height: int
 
     def blocks(self):
-        size = WIDTH**HEIGHT
-        return self.nodes.withColumn("block", F.floor(F.col("at") / size)).groupBy("key", "block")
+        return self.nodes.withColumn("block", F.floor(F.col("at") / WIDTH**self.height)).groupBy("key", "block")
 
 
-def height_of(of: int) -> int | None:
-    """Of blocks in a row of several, all HEIGHT levels; a block that is alone ends where one node is left."""
-    return HEIGHT if of > WIDTH**HEIGHT else None
-
-
-def _levels(table: pa.Table) -> tuple[pa.Table, list[Level]]:
+def _levels(table: pa.Table, height: int) -> tuple[pa.Table, list[Level]]:
+    """A block's nodes in order and its levels: of blocks in a row of several all, of one that is alone up to one node."""
     table = table.sort_by("at")
-    return table, built(table.column("digest").to_pylist(), height_of(table.column("of")[0].as_py()))
+    return table, built(table.column("digest").to_pylist(), height if table.column("of")[0].as_py() > WIDTH**height else None)
 
 
-def stages(leaves: DataFrame) -> tuple[list[Stage], DataFrame]:
+def stages(leaves: DataFrame, height: int) -> tuple[list[Stage], DataFrame]:
     """All rows of blocks from the leaves (key, at, of, digest) up, and one node (key, digest) for each key."""
 
     def root(key: tuple, table: pa.Table) -> pa.Table:
-        _, levels = _levels(table)
-        size = WIDTH**HEIGHT
-        of = -(-table.column("of")[0].as_py() // size)
+        _, levels = _levels(table, height)
+        of = -(-table.column("of")[0].as_py() // WIDTH**height)
         return pa.table({"key": [key[0].as_py()], "at": pa.array([key[1].as_py()], pa.int64()), "digest": levels[-1], "of": pa.array([of], pa.int64())})
 
-    done = [Stage(leaves)]
+    done = [Stage(leaves, height)]
     while True:
         above = cut_lineage(done[-1].blocks().applyInArrow(root, "key string, at long, digest string, of long"))
         if above.where("of > 1").isEmpty():
             return done, above.select("key", "digest")
-        done.append(Stage(above))
+        done.append(Stage(above, height))
 
 
 def down(stage: Stage, paths: DataFrame, work: Callable[[pa.Table, list[Level], list[tuple[int, str]]], pa.Table], schema: str) -> DataFrame:
     """``work`` on each block of a stage: its nodes in order, its levels and the path (key, block, path) from its root on."""
+    height = stage.height
 
     def both(key: tuple, nodes: pa.Table, path: pa.Table) -> pa.Table:
-        nodes, levels = _levels(nodes)
+        nodes, levels = _levels(nodes, height)
         return work(nodes, levels, [(step["slot"], step["others"]) for step in path.column("path")[0].as_py()])
 
     return stage.blocks().cogroup(paths.groupBy("key", "block")).applyInArrow(both, schema)
@@ -214,15 +210,15 @@ class Manifest:
         return self._rows(work, "key string, id long, at long, level int, node long, digest string")
 
 
-def manifest(rows: DataFrame) -> Manifest:
+def manifest(rows: DataFrame, height: int = HEIGHT) -> Manifest:
     """The tree of rows (key, id, leaf, changed: the changed leaf or null). Within a key leaves ascend by id, then by leaf;
     equal rows are as many leaves. Keys are in the order of their bytes."""
     with_package(rows.sparkSession)
     counted = rows.groupBy("key", "id", "leaf", "changed").agg(F.count("*").alias("n"))
     leaves = cut_lineage(positions(counted, ["id", "leaf", "changed"]).withColumnRenamed("leaf", "digest"))
-    done, subroots = stages(leaves)
+    done, subroots = stages(leaves, height)
     one = subroots.select(F.lit("").alias("key"), F.col("key").alias("name"), "digest", F.lit(1).cast("long").alias("n"))
-    upper, top = stages(cut_lineage(positions(one, ["name", "digest"])))
+    upper, top = stages(cut_lineage(positions(one, ["name", "digest"])), height)
     root = top.select("digest").first()
     start = top.select("key", F.array().cast(PATH).alias("path"))
     over = cut_lineage(down(upper[0], paths_down(upper, start), _named_paths, f"key string, path {PATH}"))
@@ -250,7 +246,7 @@ def document_rows(documents: DataFrame) -> DataFrame:
     return documents.select(key_of(F.col("lang")).alias("key"), F.col("doc_id").cast("long").alias("id"), leaf_digest(names).alias("leaf"), changed.alias("changed"))
 
 
-def document_manifest(documents: DataFrame) -> DataFrame:
+def document_manifest(documents: DataFrame, height: int = HEIGHT) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified and lang of each row.
 
     leaf: digest of the row's five columns; subroot: that of its lang; proof_sha256: digest of its siblings, level by
@@ -261,7 +257,7 @@ def document_manifest(documents: DataFrame) -> DataFrame:
     null doc_id comes first in its group and isn't tampered with. Rows that share a doc_id are in order of their leaves; equal
     rows are leaves of their own, so that their proofs differ. Columns beside the five aren't read, whatever their names. A
     lone leaf is its subroot, a lone subroot the root; no rows give no rows."""
-    tree = manifest(document_rows(documents))
+    tree = manifest(document_rows(documents), height)
     rows = tree.proofs()
     subroots = tree.subroots.withColumn("root", F.lit(tree.root).cast("string"))
     if tree.subroots.count() <= SMALL:
