@@ -7,11 +7,13 @@ Documents that agree in all bins of a band share a bucket, and a bucket of n doc
 to its smallest member, not n * n / 2. Edges are confirmed on the full sets.
 
 Two documents of a bucket may be linked though neither is with the bucket's centre. Buckets that hold more
-than one component after the stars are settled by ``rare_links``, which never forms all pairs of a bucket.
+than one component after the stars are settled by ``rare_links`` and ``long_band_links``, which never form all pairs
+of a bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,12 @@ from tallyframe.llm.common import U64, cut_lineage, id_bitmap, in_bitmap, matche
 BINS, BANDS, ROWS = 256, 40, 5
 #: Partners of one centre that are compared in a task.
 BESIDE = 64
-#: Rounds of stars with other centres in the buckets that the first ones leave open, at most; they save pairs later.
-ROUNDS = 3
-#: A shingle is rare if at most so many of the sets at hand have it; the number grows fourfold from round to round.
+#: A shingle is rare if at most so many of the sets at hand have it.
 RARE = 8
+#: Bins of a long band.
+LONG = 10
+#: Edges of a task, about, when components are found.
+EDGES = 1 << 20
 #: Keys with more than this part of all rows are joined by broadcast: there are fewer than so many.
 HOT = 4096
 
@@ -67,24 +71,24 @@ def set_ids(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(U64)).view(np.int64)
 
 
-def signatures(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One row of BINS values per set; rows of empty sets are zero."""
+def signatures(sets: np.ndarray, offsets: np.ndarray, bins_of: int = BINS) -> np.ndarray:
+    """One row of ``bins_of`` values (a power of 2) per set; rows of empty sets are zero."""
     n = len(offsets) - 1
-    out = np.zeros((n, BINS), U64)
+    out = np.zeros((n, bins_of), U64)
     row = np.repeat(np.arange(n), np.diff(offsets))
-    cell = row * BINS + (sets >> U64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    cell = row * bins_of + (sets >> U64(64 - bins_of.bit_length() + 1)).astype(np.int64)
     first = np.flatnonzero(np.diff(cell, prepend=-1))  # sets are sorted, so each bin's least comes first
     out.ravel()[cell[first]] = sets[first]
-    filled = np.zeros((n, BINS), bool)
+    filled = np.zeros((n, bins_of), bool)
     filled.ravel()[cell[first]] = True
     rows, bins = np.nonzero(~filled & (np.diff(offsets) > 0)[:, None])
     attempt = 0
     while len(rows):
         attempt += 1
         if attempt < 4096:
-            lender = (mix(bins.astype(U64) * U64(0x9FB21C651E98DF25) + U64(attempt)) & U64(BINS - 1)).astype(np.int64)
+            lender = (mix(bins.astype(U64) * U64(0x9FB21C651E98DF25) + U64(attempt)) & U64(bins_of - 1)).astype(np.int64)
         else:
-            lender = (bins + attempt) % BINS
+            lender = (bins + attempt) % bins_of
         hit = filled[rows, lender]
         out[rows[hit], bins[hit]] = out[rows[hit], lender[hit]]
         rows, bins = rows[~hit], bins[~hit]
@@ -220,59 +224,106 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
     The others are ordered by how many sets have them. A link needs a share of the larger set in common, so two
     linked sets have a shingle in common among the first few of both (a prefix filter). If it is rare, few sets
     have it, and their pairs are compared. If not, they have no rare shingle in common, and only their other
-    shingles count: sets with the same ones are one from there on, and the next round is about those. Its pairs
-    stand for all sets behind them: of each, the smallest is linked first, and any other one to the partner that
-    takes the largest sets. A page template, however many pages have it, is one set after one round."""
-    spark = sets.sparkSession
-    level, limit = sets, RARE
-    behind = sets.select(F.col("id").alias("node"), F.col("n").alias("n_node"), "id")
-    links = spark.createDataFrame([], "u long, v long")
+    shingles count: sets with the same ones are one from there on, and what links those is left to ``long_band_links``.
+    Its pairs stand for all sets behind them: of each, the smallest is linked first, and any other one to the partner that
+    takes the largest sets. A page template, however many pages have it, is one set after this."""
     room = lambda both: F.floor((100 + similarity) * both / similarity)  # noqa: E731  # most members of two linked sets
-    first = True
+    elements = sets.select("id", "component", F.explode("members").alias("x"))
+    alone = (F.min("component") == F.max("component")).alias("alone")
+    counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
+    total = counts.agg(F.sum("df")).first()[0] or 0
+    # the most frequent shingles, fewer than 16 * HOT; without them no shingle's rows are many
+    often = (F.col("df") > 1) & (F.col("df") * 16 * HOT > total)
+    hot = F.broadcast(counts.where(often).select("x", "alone"))
+    several = counts.where((F.col("df") > 1) & (F.col("alone") | (F.col("df") <= RARE)))
+    rank = F.when(F.col("alone"), 0).otherwise(F.col("df")).alias("df")
+    listed = elements.join(hot.select("x"), "x", "left_anti").join(several.where(~often), "x").select("id", "x", rank)
+    listed = listed.union(elements.join(hot.where("alone"), "x").select("id", "x", F.lit(0).cast("long")))
+    listed = listed.union(elements.join(hot.select("x"), "x", "left_semi").join(F.broadcast(several.where(often & ~F.col("alone"))), "x").select("id", "x", "df"))
+    listed = listed.union(counts.where("df = 1").select(F.col("one").alias("id"), "x", F.lit(0).cast("long")))
+    listed = listed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
+    source = sets.join(listed, "id", "left").select("id", "n", "component", "members", "rare")
+    split = cut_lineage(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
+
+    # a rare shingle's sets are RARE at most; shingles of the same sets give their pairs once
+    keyed = split.select(F.struct("id", "n", "m", "component").alias("set"), F.explode("keys").alias("key"))
+    lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
+    pairs = cut_lineage(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
+    links = confirmed(pairs, sets, similarity).select("u", "v")
+
+    left = split.where("rest is not null")
+    groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"), F.min("component").alias("a"), F.max("component").alias("b"))
+    # a group of several components is compared with all others: each of its sets may be linked elsewhere
+    level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members", F.when(F.col("a") == F.col("b"), F.col("a")).alias("component")))
+    into = level.select("rest_id", F.col("id").alias("to"), F.col("n").alias("n_to"), F.array_size("members").alias("size"))
+    behind = cut_lineage(left.select(F.col("id").alias("node"), F.col("n").alias("n_node"), "rest_id").join(into, "rest_id").where("node != to"))
+    found = long_band_links(level.drop("rest_id"), similarity)
+    links = links.union(found.select("u", "v")).union(behind.where(F.col("n_node") + F.col("n_to") <= room(F.col("size"))).select(F.col("node").alias("u"), F.col("to").alias("v")))
+    ends = [(F.col(a).alias("to"), F.struct((room(F.col("both")) - F.col(f"n_{b}")).alias("most"), F.col(b).alias("v")).alias("best")) for a, b in ("uv", "vu")]
+    best = found.select(*ends[0]).union(found.select(*ends[1])).groupBy("to").agg(F.max("best").alias("best"))
+    links = links.union(behind.join(best, "to").where("n_node <= best.most and node != best.v").select(F.col("node").alias("u"), F.col("best.v").alias("v")))
+    return cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+
+
+def long_bands(similarity: int) -> int:
+    """So many bands of LONG bins that a pair of the similarity shares none with probability 1e-10."""
+    return math.ceil(math.log(1e-10) / math.log1p(-((similarity / 100) ** LONG)))
+
+
+def long_band_links(level: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v, both, n_u, n_v) of sets (id, n, members, component) that join whatever their links join; a null component is
+    always compared.
+
+    Buckets of long bands hold hardly any sets but linked ones: of two sets with 17 % in common one pair in 10 million shares
+    one. In a bucket a few members are the centres of stars and are compared with all others of other components; then
+    they are done with. Rounds go on, with four times the centres, until no bucket has two components left."""
+    spark = level.sparkSession
+    bands = long_bands(similarity)
+    width = 1 << (bands * LONG - 1).bit_length()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                lists = part.column("members")
+                sets, ends = lists.flatten().to_numpy().view(U64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                table = signatures(sets, ends, width)[:, : bands * LONG].reshape(-1, bands, LONG)
+                keys = mix((table * _MULTIPLIERS[:LONG]).sum(axis=2, dtype=U64) + np.arange(bands, dtype=U64)).view(np.int64)
+                ids = np.repeat(part.column("id").to_numpy(), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "id"])
+
+    none = spark.createDataFrame([], "u long, v long, both long, n_u long, n_v long")
+    if level.limit(2).count() < 2:
+        return none
+    shared = level.select("id", "members").mapInArrow(work, "bucket long, id long")
+    labels = level.select("id", "component", F.col("n").alias("n"))
+    found, centres = none, 4
+    rest = shared
     while True:
-        elements = level.select("id", "component", F.explode("members").alias("x"))
-        alone = (F.min("component") == F.max("component")).alias("alone")
-        counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
-        total = counts.agg(F.sum("df")).first()[0] or 0
-        # the most frequent shingles, fewer than 16 * HOT; without them no shingle's rows are many
-        often = F.col("df") * 16 * HOT > total
-        hot = F.broadcast(counts.where(often).select("x", "alone"))
-        several = counts.where((F.col("df") > 1) & (F.col("alone") | (F.col("df") <= limit)))
-        rank = F.when(F.col("alone"), 0).otherwise(F.col("df")).alias("df")
-        listed = elements.join(hot.select("x"), "x", "left_anti").join(several.where(~often), "x").select("id", "x", rank)
-        listed = listed.union(elements.join(hot.where("alone"), "x").select("id", "x", F.lit(0).cast("long")))
-        listed = listed.union(elements.join(hot.select("x"), "x", "left_semi").join(F.broadcast(several.where(often & ~F.col("alone"))), "x").select("id", "x", "df"))
-        listed = listed.union(counts.where("df = 1").select(F.col("one").alias("id"), "x", F.lit(0).cast("long")))
-        listed = listed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
-        source = level.join(listed, "id", "left").select("id", "n", "component", "members", "rare")
-        split = cut_lineage(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
-
-        # a rare shingle's sets are ``limit`` at most; shingles of the same sets give their pairs once
-        keyed = split.select(F.struct("id", "n", "m", "component").alias("set"), F.explode("keys").alias("key"))
-        lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
-        pairs = cut_lineage(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
-        found = cut_lineage(confirmed(pairs, level, similarity))
-        links = links.union(found.select("u", "v"))
-        if not first:
-            reach = found.join(level.select(F.col("id").alias("v"), F.col("n").alias("nv")), "v").select(F.col("u").alias("id"), "v", (room(F.col("both")) - F.col("nv")).alias("most"))
-            back = found.join(level.select(F.col("id").alias("u"), F.col("n").alias("nu")), "u").select(F.col("v").alias("id"), F.col("u").alias("v"), (room(F.col("both")) - F.col("nu")).alias("most"))
-            best = reach.union(back).groupBy("id").agg(F.max(F.struct("most", "v")).alias("best"))
-            links = links.union(behind.join(best, "id").where("n_node <= best.most and node != best.v").select(F.col("node").alias("u"), F.col("best.v").alias("v")))
-        first = False
-
-        left = split.where("rest is not null")
-        if left.isEmpty():
-            return cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-        groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"), F.min("component").alias("a"), F.max("component").alias("b"))
-        # a group of several components is one of its own: all that its sets are linked with matters
-        own = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("rest_id"))
-        level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members", own.alias("component")))
-        into = left.select("id", "rest_id").join(level.select("rest_id", F.col("id").alias("to"), F.col("n").alias("n_to"), F.array_size("members").alias("size")), "rest_id")
-        behind = cut_lineage(behind.join(into, "id").select("node", "n_node", F.col("to").alias("id"), "n_to", "size"))
-        links = links.union(behind.where((F.col("node") != F.col("id")) & (F.col("n_node") + F.col("n_to") <= room(F.col("size")))).select(F.col("node").alias("u"), F.col("id").alias("v")))
-        behind = behind.select("node", "n_node", "id")
-        level = level.select("id", "n", "members", "component")
-        limit *= 4
+        inside = rest.join(labels.select("id", "component"), "id")
+        lone = F.coalesce("component", "id")
+        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count("*").alias("rows_of")).where("a < b").select("bucket", "rows_of")
+        rest = cut_lineage(joined(inside, open_, "bucket", level.count() * bands))
+        if rest.isEmpty():
+            return found
+        slot = F.pmod(F.xxhash64("id", "bucket"), F.lit(centres))
+        chosen = rest.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("id"), "id", "component")).alias("centre"), F.count("*").alias("rows_of"))
+        chosen = chosen.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component")).alias("centres"), F.sum("rows_of").alias("rows_of"))
+        stars = cut_lineage(joined(rest, chosen, "bucket", level.count() * bands))
+        other = stars.select("id", "component", F.explode("centres").alias("c")).where("id != c.id and not (c.component <=> component and component is not null)")
+        pairs = other.select(F.least("id", "c.id").alias("u"), F.greatest("id", "c.id").alias("v")).distinct()
+        size = labels.select("id", "n")
+        pairs = pairs.join(size.select(F.col("id").alias("u"), F.col("n").alias("n_u")), "u").join(size.select(F.col("id").alias("v"), F.col("n").alias("n_v")), "v")
+        pairs = cut_lineage(pairs.where(100 * F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")))
+        new = cut_lineage(confirmed(pairs.select("u", "v"), level, similarity).join(pairs, ["u", "v"]).select("u", "v", "both", "n_u", "n_v"))
+        found = found.union(new)
+        rest = stars.where(~F.array_contains(F.transform("centres", lambda c: c["id"]), F.col("id"))).select("bucket", "id")
+        centres *= 4
+        if not new.isEmpty():
+            of = labels.where("component is not null").select("id", "component")
+            met = new.join(of.withColumnsRenamed({"id": "u", "component": "a"}), "u").join(of.withColumnsRenamed({"id": "v", "component": "b"}), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+            merged = components(met).select(F.col("id").alias("component"), F.col("component").alias("to"))
+            labels = cut_lineage(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n"))
 
 
 def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
@@ -310,25 +361,50 @@ def _pairs(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.Re
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), ids[i])), pa.array(other)], names=["u", "v"])
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges (u, v) as stars: each of their ids with the smallest one it is joined to."""
+    parts = [np.stack([b.column(c).to_numpy() for c in ("u", "v")]) for b in batches if b.num_rows]
+    if not parts:
+        return
+    ids, ends = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[u], root[v])
+        before = root.copy()
+        np.minimum.at(root, root[u], low)
+        np.minimum.at(root, root[v], low)
+        while (root[root] != root).any():
+            root = root[root]
+        if (root == before).all():
+            break
+    others = np.flatnonzero(root != np.arange(len(ids)))
+    for at in range(0, len(others), 1 << 16):
+        some = others[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[root[some]]), pa.array(ids[some])], names=["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id, component (its smallest id) of every id in an edge (u, v).
 
-    Alternating large-star and small-star steps; each sends every neighbour to the least one, found by a
-    grouped minimum, so no neighbourhood is gathered. Lineage is cut after each round."""
-    pairs = cut_lineage(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
+    Each task makes stars of the edges it has; then edges meet by their larger end, where several smaller ends of
+    one id join, and an end that has a smaller one itself is replaced by it (pointer jumping), until nothing changes. A
+    task has about EDGES edges at most; hubs have many edges as smaller ends only, by which no task gathers them (the join
+    is one whose large partitions Spark splits)."""
+    ends = edges.select(F.least("u", "v").cast("long").alias("u"), F.greatest("u", "v").cast("long").alias("v")).where("u < v")
+    pairs = cut_lineage(ends.mapInArrow(contracted, "u long, v long"))
     before = None
-    total = pairs.count()
     while True:
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("rows_of"))
-        large = cut_lineage(joined(both, least, "u", 2 * total).where("v > u and v != m").select(F.col("m").alias("u"), "v").distinct())
-        least = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("rows_of"))
-        small = joined(large, least, "v", large.count()).where("u != m").select(F.col("m").alias("u"), F.col("u").alias("v")).union(least.select(F.col("m").alias("u"), "v"))
-        pairs = cut_lineage(small.distinct())
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before, total = state, state[0]
+        before = state
+        # at first ids are still spread over many stars
+        parents = cut_lineage(pairs.groupBy("v").agg(F.min("u").alias("to"))).select(F.col("v").alias("u"), "to")
+        jumped = pairs.join(parents, "u", "left").select(F.coalesce("to", "u").alias("u"), "v")
+        tasks = state[0] // EDGES
+        met = jumped.repartition(tasks, "v") if tasks > int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")) else jumped.repartition("v")
+        pairs = cut_lineage(met.mapInArrow(contracted, "u long, v long"))
     own = pairs.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
     return pairs.select(F.col("v").alias("id"), F.col("u").alias("component")).union(own)
 
@@ -351,21 +427,9 @@ def classes(documents: DataFrame, words: int, similarity: int, row: Column | Non
     total = nodes.count() * BANDS
     rest = unsettled(stars.select("bucket", "id"), labels, total)
     if not rest.isEmpty():
-        sets = cut_lineage(full_sets(documents, rest, words))
-        for _ in range(ROUNDS):
-            # of each open bucket the member that has most company is the centre: it is the most central one
-            company = rest.groupBy("id").agg(F.sum("rows_of").alias("company"), F.count("*").alias("rows_of"))
-            weighed = cut_lineage(joined(rest.drop("rows_of"), company, "id", total))
-            centres = weighed.groupBy("bucket").agg(F.max(F.struct("company", "id", "component")).alias("centre"), F.count("*").alias("rows_of"))
-            edges = joined(weighed, centres, "bucket", total).where("component != centre.component").select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
-            found = cut_lineage(confirmed(cut_lineage(possible(edges, nodes, similarity)), sets, similarity).select("u", "v"))
-            if found.isEmpty():
-                break
-            links = links.union(found)
-            labels = components(links)
-            rest = unsettled(rest.select("bucket", "id"), labels, total)
-        left = rest.select("id", "component").distinct()
-        labels = components(links.union(rare_links(cut_lineage(sets.join(left, "id")), similarity)))
+        left = cut_lineage(rest.select("id", "component").distinct())
+        sets = cut_lineage(full_sets(documents, left, words).join(left, "id"))
+        labels = components(links.union(rare_links(sets, similarity)))
     named = nodes.select("id", "rows_of").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "rows_of")
     return base.select("doc_id", "row", "n_shingles", "id"), cut_lineage(named)
 
