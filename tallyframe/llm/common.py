@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Tables of one computation in the shared folder, which go when it is over.
+
+    Unlike a checkpoint, a table's size is known as it is, while a checkpoint keeps its plan's estimate: a product of
+    sizes for each join, which in loops grows until planning takes longer than the work. Empty parts write no file."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.tables = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4()}", 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.folder}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the tables: whatever is read later must have been written elsewhere."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_package(spark: SparkSession) -> None:
     """Send this package to workers that don't have it."""
     ship_package(spark)

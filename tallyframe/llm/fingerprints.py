@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, hash_sample, mix, powers, prefix_hash, with_package
+from tallyframe.llm.common import cut_lineage, hash_sample, id_bitmap, in_bitmap, mix, powers, prefix_hash, U64, with_package
+from tallyframe.llm.sharding import numbered
 
 #: Bytes of a window, and windows on each side among which a feature is the rarest.
 WINDOW, REACH = 64, 16
@@ -162,11 +163,39 @@ def as_text(bits: dict[int, np.ndarray]) -> str:
 
 
 def ranges(rows: DataFrame, parts: int) -> list[tuple[int, int, int]]:
-    """At most ``parts`` - 1 keys (id, hash, row) that cut all rows into about equal ranges, from a sample of 8 a range."""
-    values = sorted(tuple(r) for r in hash_sample(rows, 8 * parts, "id", "hash", "row").collect())
+    """At most ``parts`` - 1 keys (known, id, hash) that cut all rows into about equal ranges, from a sample of 8 a range."""
+    values = sorted(tuple(r) for r in hash_sample(rows, 8 * parts, *KEY).collect())
     return sorted({values[i * len(values) // parts] for i in range(1, parts)}) if values else []
 
 
+#: Order of rows: those without an id first, then by id and by the text's hash.
+KEY = ("known", "id", "hash")
+
+
+def counted_rows(documents: DataFrame) -> DataFrame:
+    """known, id, hash, text and n: equal rows (by id and hash of the text) are one with their number.
+
+    The keys of repeated rows are found from keys alone; only rows that a bitmap of those lets through are grouped with
+    their texts, which tasks combine before they send them. Nothing here depends on the order in which rows come."""
+    rows = documents.select(F.col("doc_id").isNotNull().cast("int").alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("known", "id", F.xxhash64("text").alias("hash"), "text")
+    again = cut_lineage(rows.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64(*KEY).alias("mark")))
+    one = F.lit(1).cast("long").alias("n")
+    if again.isEmpty():
+        return rows.select(*KEY, "text", one)
+    bits = documents.sparkSession.sparkContext.broadcast(id_bitmap(again, "mark"))
+
+    @F.pandas_udf("boolean")
+    def maybe(marks):
+        import pandas as pd
+
+        return pd.Series(in_bitmap(bits.value, marks.to_numpy()))
+
+    flagged = rows.withColumn("maybe", maybe(F.xxhash64(*KEY)))
+    several = flagged.where("maybe").groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    return flagged.where("not maybe").select(*KEY, "text", one).union(several)
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each row.
 
@@ -175,46 +204,43 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     last comes the first. near_edited and near_next: likeness to the edited text and to the next document.
 
     A null or empty text has an empty digest, which is like another empty one (1) and unlike others (0). A
-    null doc_id comes before all others. Repeated rows follow each other. A single row is its own next.
-    Other columns are not read, whatever their names; no rows give no rows.
+    null doc_id comes before all others. Repeated rows follow each other, so that all but the last of them are their own
+    next. A single row is its own next. Other columns are not read, whatever their names; no rows give no rows.
 
-    Whole texts are dealt out once, by ranges of (doc_id, hash of the text, row's number), so that an id of very
-    many rows is cut into several ranges; only the first document of each range goes to two tasks, since the range
-    before needs it as its next. Equal rows are interchangeable, so numbers of rows decide no result."""
+    Whole texts are dealt out once, by ranges of (doc_id, hash of the text), so that an id of very many rows is cut into
+    several ranges; only the first document of each range goes to two tasks, since the range before needs it as its
+    next. Keys are made of a row's own cells, so a task that runs again deals the same rows to the same ranges."""
     spark = documents.sparkSession
     with_package(spark)
-    null = -(1 << 63)
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("id", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"), "text")
-    edges = ranges(rows.select("id", "hash", "row"), 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    rows = counted_rows(documents)
+    edges = ranges(rows.select(*KEY), 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
     @F.pandas_udf("int")
-    def range_of(ids, hashes, numbers):
+    def range_of(known, ids, hashes):
         import pandas as pd
 
-        return pd.Series([bisect_right(edges, x) for x in zip(ids, hashes, numbers, strict=True)], dtype="int32")
+        return pd.Series([bisect_right(edges, x) for x in zip(known, ids, hashes, strict=True)], dtype="int32")
 
-    rows = rows.withColumn("part", range_of("id", "hash", "row"))
+    rows = rows.withColumn("part", range_of(*KEY))
     # the least key of each range that has rows: at most as many as there are ranges
-    least = F.min(F.struct("id", "hash", "row")).alias("least")
-    heads = sorted((r.part, *r.least) for r in rows.drop("text").groupBy("part").agg(least).collect())
+    heads = sorted((r.part, *r.least) for r in rows.select("part", *KEY).groupBy("part").agg(F.min(F.struct(*KEY)).alias("least")).collect())
     # one row per range: as many as tasks, so that it may be broadcast
-    neighbours = spark.createDataFrame([(*key, heads[i - 1][0]) for i, (_, *key) in enumerate(heads)], "id long, hash long, row long, before int")
-    rows = rows.join(F.broadcast(neighbours), ["id", "hash", "row"], "left")
+    neighbours = spark.createDataFrame([(*key, heads[i - 1][0]) for i, (_, *key) in enumerate(heads)], "known int, id long, hash long, before int")
+    rows = rows.join(F.broadcast(neighbours), list(KEY), "left")
     extra = F.col("before")
     twice = F.array_compact(F.array(F.struct("part", F.lit(0).alias("late")), F.when(extra.isNotNull(), F.struct(extra.alias("part"), F.lit(1).alias("late")))))
-    dealt = rows.withColumn("to", F.explode(twice)).select("to.part", "to.late", "id", "hash", "text")
-    dealt = dealt.repartition("part").sortWithinPartitions("part", "late", "id", "hash", "text")
+    dealt = rows.withColumn("to", F.explode(twice)).select("to.part", "to.late", *KEY, "text", "n")
+    dealt = dealt.repartition("part").sortWithinPartitions("part", "late", *KEY)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, str, int]] = []  # rows of one range whose last one still needs its next
+        waiting: list[tuple] = []  # rows of one range whose last one still needs its next
         size = 0
         for batch in batches:
-            for part, late, id_, text in zip(*(batch.column(c).to_pylist() for c in ("part", "late", "id", "text")), strict=True):
+            for part, known, id_, text, n in zip(*(batch.column(c).to_pylist() for c in ("part", "known", "id", "text", "n")), strict=True):
                 if waiting and waiting[-1][0] != part:
                     yield from compared(waiting)
                     waiting, size = [], 0
-                waiting.append((part, id_, text, late))
+                waiting.append((part, id_ if known else None, text, n))
                 size += len(text)
                 if size > SLICE:
                     yield from compared(waiting)
@@ -225,26 +251,29 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         if len(waiting) < 2:
             return
         texts = [w[2] for w in waiting]
+        # a row, its next and how often: of repeated rows all but the last are followed by themselves
+        pairs = [pair for i, w in enumerate(waiting[:-1]) for pair in (*([(i, i, w[3] - 1)] if w[3] > 1 else []), (i, i + 1, 1))]
         edited = []
-        for own, following in zip(texts, texts[1:], strict=False):
-            half = len(own) // 2
-            edited.append(own[: len(own) - half] + following[:half])
+        for i, j, _ in pairs:
+            half = len(texts[i]) // 2
+            edited.append(texts[i][: len(texts[i]) - half] + texts[j][:half])
         raw = [t.encode() for t in edited]
         digests = [digest(f) for f in features([t.encode() for t in texts] + raw)]
         plain, changed = digests[: len(texts)], digests[len(texts) :]
-        n = len(edited)
-        strings = [as_text(d) for d in digests]
+        own = [as_text(d) for d in plain]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([None if w[1] == null else w[1] for w in waiting[:n]], pa.int64()),
-                pa.array([len(t) for t in texts[:n]], pa.int64()),
+                pa.array([waiting[i][1] for i, _, _ in pairs], pa.int64()),
+                pa.array([len(texts[i]) for i, _, _ in pairs], pa.int64()),
                 pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
-                pa.array(strings[:n], pa.string()),
-                pa.array(strings[n + 1 :], pa.string()),
-                pa.array([likeness(a, b) for a, b in zip(plain, changed, strict=False)], pa.float64()),
-                pa.array([likeness(a, b) for a, b in zip(plain, plain[1:], strict=False)], pa.float64()),
+                pa.array([own[i] for i, _, _ in pairs], pa.string()),
+                pa.array([as_text(d) for d in changed], pa.string()),
+                pa.array([likeness(plain[i], d) for (i, _, _), d in zip(pairs, changed, strict=True)], pa.float64()),
+                pa.array([likeness(plain[i], plain[j]) for i, j, _ in pairs], pa.float64()),
+                pa.array([n for _, _, n in pairs], pa.int64()),
             ],
-            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n"],
         )
 
-    return dealt.mapInArrow(work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = dealt.mapInArrow(work, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n long")
+    return numbered(out, "copy").drop("copy")

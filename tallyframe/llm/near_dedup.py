@@ -14,14 +14,14 @@ of a bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, cut_lineage, id_bitmap, in_bitmap, matched_rows, mix, row_hash, text_slices, with_package, word_hashes
+from tallyframe.llm.common import U64, Scratch, cut_lineage, id_bitmap, in_bitmap, matched_rows, mix, row_hash, text_slices, with_package, word_hashes
 
 #: Bins of a signature, and its bands: 40 of 5 bins. A pair of similarity 0.85 misses all of them with
 #: probability 7e-11, one of 0.8 with 1e-7.
@@ -34,9 +34,11 @@ RARE = 8
 LONG = 10
 #: Edges of a task, about, when components are found.
 EDGES = 1 << 20
-#: Keys with more than this part of all rows are joined by broadcast: there are fewer than so many.
+#: Shingles of more than one part in 16 * HOT of all are joined by broadcast: there are fewer than so many.
 HOT = 4096
 
+Keep = Callable[[DataFrame], DataFrame]
+
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64) * U64(0xA0761D6478BD642F)) | U64(1)
 
 
@@ -156,14 +158,10 @@ def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return one.join(needed.select("id").distinct(), "id", "left_semi").select("id", F.array_size("members").cast("long").alias("n"), "members")
 
 
-def joined(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
-    """Inner join of rows with ``values`` (one row per key, with ``rows_of``, how many rows have it; ``total``:
-    all rows). Keys that have more than 1 / HOT of all rows are fewer than HOT, and are joined by broadcast; so no
-    task gets the rows of a hot key."""
-    hot = F.col("rows_of") * HOT > total
-    often = F.broadcast(values.where(hot).drop("rows_of"))
-    others = rows.join(often.select(key), key, "left_anti").join(values.where(~hot).drop("rows_of"), key)
-    return rows.join(often, key).unionByName(others)
+def joined(rows: DataFrame, values: DataFrame, key: str, keep: Keep) -> DataFrame:
+    """Inner join of rows with ``values`` (one row per key). The values are written first, so that both sides of the join are
+    shuffles, and Spark splits what a hot key has on the side of the rows."""
+    return rows.join(keep(values), key)
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
@@ -183,14 +181,14 @@ def possible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     return both.select("u", "v", "su", "sv", "nu", "nv").mapInArrow(work, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     """The pairs (u, v) whose sets (id, n, members) have (100 + similarity) * both >= similarity * (n of u + n of v),
     with ``both``, the members in common. With n members each this says that intersection over union reaches it.
 
     A centre's set goes to each task with up to BESIDE of its partners, so a centre with very many of them is
     spread over tasks; a task holds one centre at a time."""
-    counts = pairs.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("more"), F.count("*").alias("rows_of"))
-    placed = joined(pairs, counts, "u", pairs.count()).select("u", "v", F.pmod(F.xxhash64("v"), F.col("more") + 1).alias("part"))
+    counts = pairs.groupBy("u").agg((F.count("*") / BESIDE).cast("int").alias("more"))
+    placed = joined(pairs, counts, "u", keep).select("u", "v", F.pmod(F.xxhash64("v"), F.col("more") + 1).alias("part"))
     ends = placed.select(F.col("v").alias("id"), "u", "part", F.lit(1).alias("side")).union(placed.select(F.col("u").alias("id"), "u", "part", F.lit(0).alias("side")).distinct())
     beside = sets.join(ends, "id").repartition("u", "part").sortWithinPartitions("u", "part", "side")
 
@@ -216,7 +214,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return beside.select("u", "part", "side", "id", "n", "members").mapInArrow(compare, "u long, v long, both long")
 
 
-def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
+def rare_links(sets: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     """Links (u, v) of sets (id, n, members, component) that, with the links within components, join whatever all
     links join, without all pairs.
 
@@ -230,7 +228,7 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
     room = lambda both: F.floor((100 + similarity) * both / similarity)  # noqa: E731  # most members of two linked sets
     elements = sets.select("id", "component", F.explode("members").alias("x"))
     alone = (F.min("component") == F.max("component")).alias("alone")
-    counts = cut_lineage(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
+    counts = keep(elements.groupBy("x").agg(F.count("*").alias("df"), F.min("id").alias("one"), alone))
     total = counts.agg(F.sum("df")).first()[0] or 0
     # the most frequent shingles, fewer than 16 * HOT; without them no shingle's rows are many
     often = (F.col("df") > 1) & (F.col("df") * 16 * HOT > total)
@@ -243,26 +241,26 @@ def rare_links(sets: DataFrame, similarity: int) -> DataFrame:
     listed = listed.union(counts.where("df = 1").select(F.col("one").alias("id"), "x", F.lit(0).cast("long")))
     listed = listed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
     source = sets.join(listed, "id", "left").select("id", "n", "component", "members", "rare")
-    split = cut_lineage(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
+    split = keep(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
 
     # a rare shingle's sets are RARE at most; shingles of the same sets give their pairs once
     keyed = split.select(F.struct("id", "n", "m", "component").alias("set"), F.explode("keys").alias("key"))
     lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
-    pairs = cut_lineage(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
-    links = confirmed(pairs, sets, similarity).select("u", "v")
+    pairs = keep(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
+    links = confirmed(pairs, sets, similarity, keep).select("u", "v")
 
     left = split.where("rest is not null")
     groups = left.groupBy("rest_id").agg(F.min(F.struct("n", "id")).alias("least"), F.first("rest").alias("members"), F.min("component").alias("a"), F.max("component").alias("b"))
     # a group of several components is compared with all others: each of its sets may be linked elsewhere
-    level = cut_lineage(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members", F.when(F.col("a") == F.col("b"), F.col("a")).alias("component")))
+    level = keep(groups.select("rest_id", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "members", F.when(F.col("a") == F.col("b"), F.col("a")).alias("component")))
     into = level.select("rest_id", F.col("id").alias("to"), F.col("n").alias("n_to"), F.array_size("members").alias("size"))
-    behind = cut_lineage(left.select(F.col("id").alias("node"), F.col("n").alias("n_node"), "rest_id").join(into, "rest_id").where("node != to"))
-    found = long_band_links(level.drop("rest_id"), similarity)
+    behind = keep(left.select(F.col("id").alias("node"), F.col("n").alias("n_node"), "rest_id").join(into, "rest_id").where("node != to"))
+    found = long_band_links(level.drop("rest_id"), similarity, keep)
     links = links.union(found.select("u", "v")).union(behind.where(F.col("n_node") + F.col("n_to") <= room(F.col("size"))).select(F.col("node").alias("u"), F.col("to").alias("v")))
     ends = [(F.col(a).alias("to"), F.struct((room(F.col("both")) - F.col(f"n_{b}")).alias("most"), F.col(b).alias("v")).alias("best")) for a, b in ("uv", "vu")]
     best = found.select(*ends[0]).union(found.select(*ends[1])).groupBy("to").agg(F.max("best").alias("best"))
     links = links.union(behind.join(best, "to").where("n_node <= best.most and node != best.v").select(F.col("node").alias("u"), F.col("best.v").alias("v")))
-    return cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    return keep(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
 def long_bands(similarity: int) -> int:
@@ -270,7 +268,7 @@ def long_bands(similarity: int) -> int:
     return math.ceil(math.log(1e-10) / math.log1p(-((similarity / 100) ** LONG)))
 
 
-def long_band_links(level: DataFrame, similarity: int) -> DataFrame:
+def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     """Links (u, v, both, n_u, n_v) of sets (id, n, members, component) that join whatever their links join; a null component is
     always compared.
 
@@ -302,28 +300,28 @@ def long_band_links(level: DataFrame, similarity: int) -> DataFrame:
     while True:
         inside = rest.join(labels.select("id", "component"), "id")
         lone = F.coalesce("component", "id")
-        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count("*").alias("rows_of")).where("a < b").select("bucket", "rows_of")
-        rest = cut_lineage(joined(inside, open_, "bucket", level.count() * bands))
+        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b")).where("a < b").select("bucket")
+        rest = keep(joined(inside, open_, "bucket", keep))
         if rest.isEmpty():
             return found
         slot = F.pmod(F.xxhash64("id", "bucket"), F.lit(centres))
-        chosen = rest.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("id"), "id", "component")).alias("centre"), F.count("*").alias("rows_of"))
-        chosen = chosen.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component")).alias("centres"), F.sum("rows_of").alias("rows_of"))
-        stars = cut_lineage(joined(rest, chosen, "bucket", level.count() * bands))
+        chosen = rest.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("id"), "id", "component")).alias("centre"))
+        chosen = chosen.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component")).alias("centres"))
+        stars = keep(joined(rest, chosen, "bucket", keep))
         other = stars.select("id", "component", F.explode("centres").alias("c")).where("id != c.id and not (c.component <=> component and component is not null)")
         pairs = other.select(F.least("id", "c.id").alias("u"), F.greatest("id", "c.id").alias("v")).distinct()
         size = labels.select("id", "n")
         pairs = pairs.join(size.select(F.col("id").alias("u"), F.col("n").alias("n_u")), "u").join(size.select(F.col("id").alias("v"), F.col("n").alias("n_v")), "v")
-        pairs = cut_lineage(pairs.where(100 * F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")))
-        new = cut_lineage(confirmed(pairs.select("u", "v"), level, similarity).join(pairs, ["u", "v"]).select("u", "v", "both", "n_u", "n_v"))
+        pairs = keep(pairs.where(100 * F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")))
+        new = keep(confirmed(pairs.select("u", "v"), level, similarity, keep).join(pairs, ["u", "v"]).select("u", "v", "both", "n_u", "n_v"))
         found = found.union(new)
         rest = stars.where(~F.array_contains(F.transform("centres", lambda c: c["id"]), F.col("id"))).select("bucket", "id")
         centres *= 4
         if not new.isEmpty():
             of = labels.where("component is not null").select("id", "component")
             met = new.join(of.withColumnsRenamed({"id": "u", "component": "a"}), "u").join(of.withColumnsRenamed({"id": "v", "component": "b"}), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
-            merged = components(met).select(F.col("id").alias("component"), F.col("component").alias("to"))
-            labels = cut_lineage(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n"))
+            merged = components(met, keep).select(F.col("id").alias("component"), F.col("component").alias("to"))
+            labels = keep(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n"))
 
 
 def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
@@ -384,7 +382,7 @@ def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids[root[some]]), pa.array(ids[some])], names=["u", "v"])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Keep) -> DataFrame:
     """id, component (its smallest id) of every id in an edge (u, v).
 
     Each task makes stars of the edges it has; then edges meet by their larger end, where several smaller ends of
@@ -392,7 +390,7 @@ def components(edges: DataFrame) -> DataFrame:
     task has about EDGES edges at most; hubs have many edges as smaller ends only, by which no task gathers them (the join
     is one whose large partitions Spark splits)."""
     ends = edges.select(F.least("u", "v").cast("long").alias("u"), F.greatest("u", "v").cast("long").alias("v")).where("u < v")
-    pairs = cut_lineage(ends.mapInArrow(contracted, "u long, v long"))
+    pairs = keep(ends.mapInArrow(contracted, "u long, v long"))
     before = None
     while True:
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -400,55 +398,54 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         # at first ids are still spread over many stars
-        parents = cut_lineage(pairs.groupBy("v").agg(F.min("u").alias("to"))).select(F.col("v").alias("u"), "to")
+        parents = keep(pairs.groupBy("v").agg(F.min("u").alias("to"))).select(F.col("v").alias("u"), "to")
         jumped = pairs.join(parents, "u", "left").select(F.coalesce("to", "u").alias("u"), "v")
         tasks = state[0] // EDGES
         met = jumped.repartition(tasks, "v") if tasks > int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")) else jumped.repartition("v")
-        pairs = cut_lineage(met.mapInArrow(contracted, "u long, v long"))
+        pairs = keep(met.mapInArrow(contracted, "u long, v long"))
     own = pairs.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
     return pairs.select(F.col("v").alias("id"), F.col("u").alias("component")).union(own)
 
 
 def classes(documents: DataFrame, words: int, similarity: int, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, row, n_shingles, id) and set ids with their component (id, component, rows_of): see ``near_duplicates``."""
-    base = cut_lineage(sketches(documents, words, row))
+    """Rows (doc_id, row, n_shingles, id) and set ids with their component (id, component): see ``near_duplicates``."""
+    keep = Scratch(documents.sparkSession)
+    base = keep(sketches(documents, words, row))
     of_sets = base.where("n_shingles > 0").groupBy("id")
-    nodes = cut_lineage(of_sets.agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.count("*").alias("rows_of")))
+    nodes = keep(of_sets.agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
 
     band = nodes.select("id", F.explode("bands").alias("bucket"))
-    centres = band.groupBy("bucket").agg(F.min("id").alias("u"), F.count("*").alias("rows_of")).where("rows_of > 1")
-    stars = cut_lineage(joined(band, centres, "bucket", nodes.count() * BANDS))
+    centres = band.groupBy("bucket").agg(F.min("id").alias("u"), F.count("*").alias("members")).where("members > 1").drop("members")
+    stars = keep(joined(band, centres, "bucket", keep))
     edges = stars.where("u != id").select("u", F.col("id").alias("v")).distinct()
-    tried = cut_lineage(possible(edges, nodes, similarity))
+    tried = keep(possible(edges, nodes, similarity))
     wanted = tried.select(F.col("u").alias("id")).union(tried.select(F.col("v").alias("id")))
-    links = cut_lineage(confirmed(tried, full_sets(documents, wanted, words), similarity).select("u", "v"))
-    labels = components(links)
+    links = keep(confirmed(tried, full_sets(documents, wanted, words), similarity, keep).select("u", "v"))
+    labels = components(links, keep)
 
-    total = nodes.count() * BANDS
-    rest = unsettled(stars.select("bucket", "id"), labels, total)
+    rest = unsettled(stars.select("bucket", "id"), labels, keep)
     if not rest.isEmpty():
-        left = cut_lineage(rest.select("id", "component").distinct())
-        sets = cut_lineage(full_sets(documents, left, words).join(left, "id"))
-        labels = components(links.union(rare_links(sets, similarity)))
-    named = nodes.select("id", "rows_of").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "rows_of")
-    return base.select("doc_id", "row", "n_shingles", "id"), cut_lineage(named)
+        sets = keep(full_sets(documents, rest, words).join(rest, "id"))
+        labels = components(links.union(rare_links(sets, similarity, keep)), keep)
+    named = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    out = cut_lineage(base.select("doc_id", "row", "n_shingles", "id")), cut_lineage(named)
+    keep.drop()
+    return out
 
 
-def unsettled(members: DataFrame, labels: DataFrame, total: int) -> DataFrame:
-    """bucket, id, component, rows_of of the members (bucket, id) of buckets with several components. A bucket of two
-    is settled: one is its centre."""
+def unsettled(members: DataFrame, labels: DataFrame, keep: Keep) -> DataFrame:
+    """id and component of the members (bucket, id) of buckets with several components. A bucket of two is settled: one is
+    its centre."""
     inside = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows_of")).where("rows_of > 2 and a < b")
-    return cut_lineage(joined(inside, open_.select("bucket", "rows_of", F.col("rows_of").alias("size")), "bucket", total).withColumnRenamed("size", "rows_of"))
+    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members")).where("members > 2 and a < b").select("bucket")
+    return keep(joined(inside, open_, "bucket", keep).select("id", "component").distinct())
 
 
 def spread(rows: DataFrame, named: DataFrame, least: Column) -> DataFrame:
     """``rows`` of ``classes`` that have shingles, with ``first``: the least value of ``least`` in each one's component."""
     own = rows.where("n_shingles > 0").groupBy("id").agg(F.min(least).alias("first")).join(named, "id")
-    counted = own.groupBy("component").agg(F.min("first").alias("first"), F.count("*").alias("rows_of"))
-    total = named.agg(F.count("*"), F.sum("rows_of")).first()
-    of_sets = cut_lineage(joined(own.select("id", "component", F.col("rows_of").alias("copies")), counted, "component", total[0]))
-    return joined(rows.where("n_shingles > 0"), of_sets.select("id", "first", F.col("copies").alias("rows_of")), "id", total[1] or 0)
+    counted = own.groupBy("component").agg(F.min("first").alias("first"))
+    return joined(rows.where("n_shingles > 0"), joined(own.select("id", "component"), counted, "component", cut_lineage).select("id", "first"), "id", cut_lineage)
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, similarity: int = 85) -> DataFrame:

@@ -699,3 +699,28 @@ def test_pipeline_stages(spark):
     assert odd_rows.where("not round_trip").isEmpty()
     out = stages["pieces"](spark, mix, base)
     assert out.count() == mix.count() and out.where("not round_trip").isEmpty()
+
+
+def test_fingerprints_of_rows_in_changing_order(spark):
+    """Input whose rows come in another order each time they are computed: no row may be lost or doubled."""
+    base = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 400).alias("doc_id"), F.concat(F.lit("text number "), (F.col("id") % 200).cast("string")).alias("text"))
+
+    def shuffled(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    unstable = base.repartition(8).mapInArrow(shuffled, "doc_id long, text string")
+    found = FP.fingerprints(unstable).collect()
+    assert len(found) == 1000
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r.doc_id) for r in base.collect())
+    assert sorted(map(str, FP.fingerprints(base).collect())) == sorted(map(str, found))
+
+
+def test_fingerprints_of_equal_rows_and_the_least_id(spark):
+    rows = [(-(1 << 63), "least id of all"), (None, "no id"), *[(5, "the same text")] * 200, (6, "the last one")]
+    found = FP.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(found) == 203 and {r.doc_id for r in found} == {None, -(1 << 63), 5, 6}
+    own = [r for r in found if r.doc_id == 5]
+    assert sum(r.near_next == 1 for r in own) == 199 and len({r.edited_sha256 for r in own}) == 2
