@@ -37,9 +37,13 @@ def cumulative_unique_voters(days: DataFrame) -> DataFrame:
 
 
 def repeat_excess(rows: DataFrame) -> DataFrame:
-    """AGG08: ev_date, county, voting_method, n: appearances that aren't a voter's first."""
-    later = first_appearance_rank(rows).where("rank > 1")
-    return later.groupBy("ev_date", F.upper(F.trim("county")).alias("county"), normalize_method("voting_method").alias("voting_method")).agg(F.count("*").alias("n"))
+    """AGG08: ev_date, county, voting_method, n: appearances that aren't a voter's first.
+
+    All appearances less the first ones, both from grouped aggregates: no voter's rows are ranked."""
+    slices = ["ev_date", "county", "voting_method"]
+    every = rows.groupBy("ev_date", F.upper(F.trim("county")).alias("county"), normalize_method("voting_method").alias("voting_method")).agg(F.count("*").alias("n"))
+    both = every.unionByName(first_seen_counts(rows).withColumn("n", -F.col("n")))
+    return both.groupBy(*slices).agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def repeat_voters(rows: DataFrame, removals: DataFrame) -> DataFrame:
@@ -68,8 +72,8 @@ def repeat_appearances(rows: DataFrame, removals: DataFrame) -> DataFrame:
     more than once or were removed."""
     several = rows.groupBy("id_voter").agg(F.count("*").alias("n")).where("n > 1").select("id_voter")
     wanted = several.union(removals.select("id_voter")).distinct()
-    place = F.row_number().over(Window.partitionBy("id_voter").orderBy(*APPEARANCE))
-    return rows.join(wanted, "id_voter", "left_semi").select("id_voter", place.alias("place"), "ev_date", normalize_method("voting_method").alias("method"), F.upper(F.trim("county")).alias("county"))
+    ranked = first_appearance_rank(rows.join(wanted, "id_voter", "left_semi"))
+    return ranked.select("id_voter", F.col("rank").alias("place"), "ev_date", normalize_method("voting_method").alias("method"), F.upper(F.trim("county")).alias("county"))
 
 
 def repeat_summary(rows: DataFrame, removals: DataFrame) -> DataFrame:
@@ -77,3 +81,79 @@ def repeat_summary(rows: DataFrame, removals: DataFrame) -> DataFrame:
     per_voter = rows.groupBy("id_voter").agg(F.count("*").alias("n"))
     counts = per_voter.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"), F.count("*").alias("distinct_voters"), F.count_if(F.col("n") > 1).alias("repeat_voters"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess"))
     return counts.crossJoin(F.broadcast(removals.agg(F.count_distinct("id_voter").alias("removed_voters"))))
+
+
+# Kept up by days: a cell is what one voter's rows of one day say, so a day that is published again replaces its
+# cells, and only voters whose cells differ are looked at anew.
+
+CELL = ("id_voter", "ev_date")
+
+
+def voter_cells(rows: DataFrame) -> DataFrame:
+    """AGG06-AGG10, state: per voter and day n, first (day, row_hash, occ), the county and method of that row, and the
+    least and greatest method. Combined before the shuffle; of a day's size at most."""
+    method = normalize_method("voting_method")
+    named = F.coalesce(method, F.lit(""))
+    at = F.struct(*APPEARANCE)
+    return rows.groupBy(*CELL).agg(
+        F.count("*").alias("n"),
+        F.min(at).alias("first"),
+        F.min_by(F.struct(F.upper(F.trim("county")).alias("county"), method.alias("voting_method")), at).alias("slice"),
+        F.min(named).alias("least_method"),
+        F.max(named).alias("most_method"),
+    )
+
+
+def changed_voters(old: DataFrame, new: DataFrame) -> DataFrame:
+    """id_voter of those whose cells of the changed days differ, come or go; ``old`` and ``new`` hold those days alone."""
+    values = F.struct("n", "first", "slice", "least_method", "most_method")
+    both = old.select(*CELL, values.alias("a")).join(new.select(*CELL, values.alias("b")), list(CELL), "full_outer")
+    return both.where(~F.col("a").eqNullSafe(F.col("b"))).select("id_voter").distinct()
+
+
+def replaced_days(cells: DataFrame, new: DataFrame, days: DataFrame) -> DataFrame:
+    """All cells after the days (ev_date) have been published again. Stored by ev_date, only their partitions change."""
+    return cells.join(F.broadcast(days.select("ev_date").distinct()), "ev_date", "left_anti").unionByName(new)
+
+
+def first_seen_of_cells(cells: DataFrame) -> DataFrame:
+    """AGG06 from cells."""
+    first = cells.groupBy("id_voter").agg(F.min_by(F.struct("ev_date", "slice"), "first").alias("x"))
+    return first.groupBy("x.ev_date", "x.slice.county", "x.slice.voting_method").agg(F.count("*").alias("n"))
+
+
+def excess_of_cells(cells: DataFrame, rows_by_slice: DataFrame) -> DataFrame:
+    """AGG08 from cells and all rows' counts per (ev_date, county, voting_method)."""
+    both = rows_by_slice.unionByName(first_seen_of_cells(cells).withColumn("n", -F.col("n")))
+    return both.groupBy("ev_date", "county", "voting_method").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def updated_first_seen(counts: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """AGG06 kept up: ``counts`` less what the touched voters' cells gave before, with what they give after. ``before`` and
+    ``after`` are the cells of those voters only."""
+    parts = counts.unionByName(first_seen_of_cells(before).withColumn("n", -F.col("n"))).unionByName(first_seen_of_cells(after))
+    return parts.groupBy("ev_date", "county", "voting_method").agg(F.sum("n").alias("n")).where("n != 0")
+
+
+def repeats_of_cells(cells: DataFrame, removals: DataFrame) -> DataFrame:
+    """AGG09 from cells: as ``repeat_voters``."""
+    seen = cells.groupBy("id_voter").agg(F.sum("n").alias("n"), F.array_sort(F.collect_set("ev_date")).alias("days"), (F.min("least_method") != F.max("most_method")).alias("methods"))
+    gone = removals.groupBy("id_voter").agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_set("ev_date")).alias("removed_days"))
+    both = seen.join(gone, "id_voter", "full_outer").where("n > 1 or n_removed is not null")
+    n, days, removed = F.coalesce("n", F.lit(0)).cast("int"), F.coalesce("days", F.array().cast("array<date>")), F.coalesce("n_removed", F.lit(0))
+    flags = pack_bits(F.size(days) < n, F.size(days) > 1, F.coalesce("methods", F.lit(False)), removed > 0)
+    return both.select("id_voter", n.alias("n_counted"), removed.alias("n_removed"), F.get(days, F.lit(0)).alias("first_day"), days.alias("counted_days"), F.coalesce("removed_days", F.array().cast("array<date>")).alias("removed_days"), flags.alias("flags"))
+
+
+def updated_repeats(repeats: DataFrame, touched: DataFrame, after: DataFrame, removals: DataFrame) -> DataFrame:
+    """AGG09 kept up: rows of voters that aren't touched stay as they are; the touched ones' come from their cells
+    (``after``) and all their removals."""
+    own = removals.join(touched, "id_voter", "left_semi")
+    return repeats.join(touched, "id_voter", "left_anti").unionByName(repeats_of_cells(after, own))
+
+
+def updated_summary(cells: DataFrame, removals: DataFrame) -> DataFrame:
+    """AGG10 from cells."""
+    per_voter = cells.groupBy("id_voter").agg(F.sum("n").alias("n"))
+    counts = per_voter.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"), F.count("*").alias("distinct_voters"), F.count_if(F.col("n") > 1).alias("repeat_voters"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess"))
+    return counts.crossJoin(F.broadcast(removals.agg(F.count_distinct("id_voter").alias("removed_voters"))))

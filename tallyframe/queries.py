@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -21,7 +22,7 @@ from tallyframe.plans.series import day_series
 from tallyframe.sources import adapters as T
 from tallyframe.sources import readers as I
 from tallyframe.sources import sinks as K
-from tallyframe.streaming.ingest import current_days, day_changes, day_files, first_appearances, ingest_days, streaming_day_series
+from tallyframe.streaming.ingest import current_days, day_changes, day_files, first_appearances, ingest_days, publish_load, streaming_day_series
 from tallyframe.workers import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +180,18 @@ def src13_read_register(spark, sf_dir):
     return I.read_register(spark, folder, ["VUID", "SEX", "DOB"], T.roster(spark, sf_dir)).withColumn("SEX", F.coalesce("SEX", F.lit("")))
 
 
+@query(" SELECT count(*) AS n_rows, count(*) FILTER (pos % 7 = 0 OR pos % 11 = 1) AS n_bad, count(*) FILTER (pos % 7 <> 0 AND pos % 11 <> 1 AND pos % 5 = 0) AS n_blank_ids FROM register", ("register",))
+def src13_register_bad_rows(spark, sf_dir):
+    """A register with lines that lack a cell or have one more, and blank ids."""
+    folder, header = _folder(spark), "VUID,SEX,DOB"
+    rows = T.register(spark, sf_dir)
+    pos = F.col("pos")
+    line = F.when(pos % 7 == 0, F.concat_ws(",", "VUID", "SEX")).when(pos % 11 == 1, F.concat_ws(",", "VUID", "SEX", "DOB", F.lit("more")))
+    line = F.coalesce(line, F.concat_ws(",", F.when(pos % 5 == 0, F.lit(" ")).otherwise(F.col("VUID")), "SEX", "DOB"))
+    rows.select(line.alias(header)).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(folder)
+    return I.register_bad_rows(spark, folder)
+
+
 @query(
     """, n AS (SELECT county, county_id, registered_voters, total_in_person_votes AS in_person, total_mail_votes AS mail_in, registered_voters % 20 <> 0 AS roster_available FROM turnout)
     SELECT 'e1' AS election_id, '2024-01-30' AS early_voting_date, county, county_id, registered_voters, CAST(0 AS BIGINT) AS in_person_on_date, in_person, mail_in, roster_available FROM n""",
@@ -294,6 +307,31 @@ def prj01_validate_roster_rows(spark, sf_dir):
     return good.select(F.lit("").alias("reason")).union(bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+@query(
+    """, x AS (SELECT *, CASE WHEN row_key % 13 = 0 THEN 'short' WHEN row_key % 17 = 0 THEN 'long' ELSE 'whole' END AS kind FROM roster)
+    SELECT row_key, CASE WHEN kind <> 'whole' THEN 'column_count' ELSE 'voting_method:unknown' END AS reason,
+      CASE WHEN kind = 'short' THEN county || '|' || voter_name || '|' || id_voter ELSE county || '|' || voter_name || '|' || id_voter || '|' || voting_method || '|' || CAST(row_key AS VARCHAR) END AS cells,
+      CASE WHEN kind = 'long' THEN 'a "b", c|' || precinct ELSE '' END AS overflow
+    FROM x WHERE kind <> 'whole' OR upper(trim(voting_method)) NOT IN ('IN-PERSON', 'MAIL-IN')""",
+    ("roster",),
+)
+def prj01_dirty_day_file(spark, sf_dir):
+    """A day's CSV of which some lines lack cells and some have more: the rejects with their cells and overflow."""
+    folder = _folder(spark)
+    rows = T.roster(spark, sf_dir)
+    key, quoted = F.col("row_key").cast("string"), F.lit('"a ""b"", c"')
+    whole = F.concat_ws(",", "county", "voter_name", "id_voter", F.concat(F.lit('"'), F.col("voting_method"), F.lit('"')), key)
+    # a short line can't hold its number as a cell, so its name does
+    line = F.when(F.col("row_key") % 13 == 0, F.concat_ws(",", "county", F.concat_ws(" ", "voter_name", key), "id_voter")).when(F.col("row_key") % 17 == 0, F.concat_ws(",", whole, quoted, "precinct")).otherwise(whole)
+    rows.select(line.alias("COUNTY,VOTER_NAME,ID_VOTER,VOTING_METHOD,PRECINCT")).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(folder)
+    _, bad = O.validate_roster_rows(I.read_day_lines(spark, folder))
+    name = F.col("raw")["voter_name"]
+    number = F.coalesce(F.col("raw")["precinct"], F.regexp_extract(name, "([0-9]+)$", 1)).cast("long")
+    plain = F.when(F.size("raw") == 3, F.regexp_replace(name, " [0-9]+$", "")).otherwise(name)
+    cells = F.concat_ws("|", F.col("raw")["county"], plain, F.col("raw")["id_voter"], F.col("raw")["voting_method"], F.col("raw")["precinct"])
+    return bad.select(number.alias("row_key"), "reason", cells.alias("cells"), F.array_join("overflow", "|").alias("overflow"))
+
+
 @query("""SELECT event_id, '{"event_type":"' || event_type || '","user_id":"' || CAST(user_id AS VARCHAR) || '"}' AS extra FROM events""")
 def prj02_known_and_extra(spark, sf_dir):
     e = T.table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
@@ -671,6 +709,14 @@ def top05_first_points(spark, sf_dir):
     return found.select("county", "precinct", "pctkey").limit(100)
 
 
+@query(f"{GEO} SELECT CAST(k AS VARCHAR) AS county, precinct, pctkey, row_number() OVER (ORDER BY CAST(k AS VARCHAR), precinct, pctkey) AS place FROM resolved WHERE pctkey IS NOT NULL")
+def top05_ordered_points(spark, sf_dir):
+    """Every point with its place in the output order."""
+    resolved = G.resolve_alias(_pairs(spark, sf_dir), _precincts(spark, sf_dir)).withColumn("county", F.col("k").cast("string"))
+    found, _ = G.precinct_points(resolved, _areas(spark, sf_dir))
+    return O.ordinal(found.select("county", "precinct", "pctkey"), [F.col("county"), F.col("precinct"), F.col("pctkey")])
+
+
 @query(
     """WITH a AS (SELECT CAST(c_nationkey AS VARCHAR) AS county, CAST(c_custkey % 40 AS VARCHAR) AS house, min(c_custkey % 80) AS lo, max(c_custkey % 80) AS hi FROM customer GROUP BY ALL)
     SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS id_voter, county, CAST(lo AS DOUBLE) AS lat, CAST(1 AS DOUBLE) AS lon FROM customer JOIN a ON county = CAST(c_nationkey AS VARCHAR) AND house = CAST(c_custkey % 40 AS VARCHAR) WHERE lo = hi"""
@@ -888,6 +934,34 @@ def agg08_repeat_excess(spark, sf_dir):
     return D.repeat_excess(T.roster_big(spark, sf_dir))
 
 
+def _changed_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Cells of a first load, in which odd days miss rows and have voters that go; of the odd days as they are now; all cells
+    after that; and the touched voters."""
+    rows = _keyed(spark, sf_dir)
+    odd = F.dayofmonth("ev_date") % 2 == 1
+    before = rows.where(~odd | (F.col("row_key") % 9 != 0)).withColumn("id_voter", F.when(odd & (F.col("row_key") % 23 == 0), F.concat(F.lit("7"), F.substring("id_voter", 2, 9))).otherwise(F.col("id_voter")))
+    cells, new = D.voter_cells(before), D.voter_cells(rows.where(odd))
+    return cells, new, D.replaced_days(cells, new, new.select("ev_date")), D.changed_voters(cells.where(odd), new)
+
+
+@query(f""", {FIRST} SELECT ev_date, upper(county) AS county, method AS voting_method, count(*) AS n FROM first GROUP BY 1, 2, 3""", ("roster",))
+def agg06_first_seen_kept_up(spark, sf_dir):
+    """Counts of a first load, brought up to date after the odd days were published again: equal to a full build."""
+    cells, _, after, touched = _changed_days(spark, sf_dir)
+    own = lambda df: df.join(touched, "id_voter", "left_semi")
+    return D.updated_first_seen(D.first_seen_of_cells(cells), own(cells), own(after))
+
+
+@query(
+    """, r AS (SELECT *, row_number() OVER (PARTITION BY id_voter ORDER BY day, row_key) AS n FROM roster) SELECT ev_date, upper(county) AS county, method AS voting_method, count(*) AS n FROM r WHERE n > 1 GROUP BY ev_date, 2, 3""",
+    ("roster",),
+)
+def agg08_excess_kept_up(spark, sf_dir):
+    _, _, after, _ = _changed_days(spark, sf_dir)
+    slices = ("ev_date", F.upper(F.trim("county")).alias("county"), S.normalize_method("voting_method").alias("voting_method"))
+    return D.excess_of_cells(after, _keyed(spark, sf_dir).groupBy(*slices).agg(F.count("*").alias("n")))
+
+
 def _removals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.roster(spark, sf_dir).where("row_key % 41 = 0").select(F.when(F.col("row_key") % 2 == 0, F.concat(F.lit("9"), F.substring("id_voter", 2, 9))).otherwise(F.col("id_voter")).alias("id_voter"), "ev_date")
 
@@ -909,6 +983,23 @@ def agg09_repeat_voters(spark, sf_dir):
     return out.select("id_voter", "n_counted", "n_removed", "first_day", days("counted_days").alias("counted_days"), days("removed_days").alias("removed_days"), "flags")
 
 
+@query(
+    f""", {REMOVALS}, s AS (SELECT id_voter, count(*) AS n, list_sort(list(DISTINCT CAST(ev_date AS VARCHAR))) AS d, count(DISTINCT coalesce(method, '')) AS m FROM roster GROUP BY 1),
+    g AS (SELECT id_voter, count(*) AS n_removed, list_sort(list(DISTINCT CAST(ev_date AS VARCHAR))) AS r FROM gone GROUP BY 1),
+    b AS (SELECT coalesce(s.id_voter, g.id_voter) AS id_voter, CAST(coalesce(n, 0) AS INTEGER) AS n_counted, coalesce(n_removed, 0) AS n_removed, coalesce(d, []) AS d, coalesce(m, 0) AS m, coalesce(r, []) AS r FROM s FULL JOIN g ON s.id_voter = g.id_voter WHERE coalesce(n, 0) > 1 OR coalesce(n_removed, 0) > 0)
+    SELECT id_voter, n_counted, n_removed, CAST(d[1] AS DATE) AS first_day, array_to_string(d, ',') AS counted_days, array_to_string(r, ',') AS removed_days,
+      CAST(CASE WHEN len(d) < n_counted THEN 1 ELSE 0 END + CASE WHEN len(d) > 1 THEN 2 ELSE 0 END + CASE WHEN m > 1 THEN 4 ELSE 0 END + CASE WHEN n_removed > 0 THEN 8 ELSE 0 END AS INTEGER) AS flags FROM b""",
+    ("roster",),
+)
+def agg09_repeats_kept_up(spark, sf_dir):
+    """The table of a first load; after the odd days were published again only touched voters are built anew."""
+    days = lambda c: F.array_join(F.transform(c, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")
+    cells, _, after, touched = _changed_days(spark, sf_dir)
+    removals = _removals(spark, sf_dir)
+    out = D.updated_repeats(D.repeats_of_cells(cells, removals), touched, after.join(touched, "id_voter", "left_semi"), removals)
+    return out.select("id_voter", "n_counted", "n_removed", "first_day", days("counted_days").alias("counted_days"), days("removed_days").alias("removed_days"), "flags")
+
+
 @query(
     f""", {REMOVALS}, v AS (SELECT id_voter FROM roster GROUP BY 1 HAVING count(*) > 1 UNION SELECT id_voter FROM gone)
     SELECT id_voter, row_number() OVER (PARTITION BY id_voter ORDER BY day, row_key) AS place, ev_date, method, upper(county) AS county FROM roster WHERE id_voter IN (SELECT id_voter FROM v)""",
@@ -1047,11 +1138,11 @@ def ded06_insert_or_ignore(spark, sf_dir):
 # ---------------------------------------------------------------- pages, sets, versions
 
 
-@query(f"{VERSIONED} SELECT day, row_hash, occ FROM versioned WHERE (row_hash, occ) > (50, 3) ORDER BY row_hash, occ, day LIMIT 100")
+@query(f"{VERSIONED} SELECT min(day) AS day, row_hash, occ FROM versioned WHERE (row_hash, occ) > (50, 3) GROUP BY row_hash, occ ORDER BY row_hash, occ LIMIT 100")
 def top03_keyset_page(spark, sf_dir):
-    """One row per key, as in a day's rows: the least day of each (row_hash, occ) page."""
-    rows = _versioned(spark, sf_dir).select("day", "row_hash", "occ")
-    return V.keyset_page(rows, (50, 3), 1 << 30).orderBy("row_hash", "occ", "day").limit(100)
+    """One row per key, as in a day's rows: the least day of each (row_hash, occ)."""
+    rows = _versioned(spark, sf_dir).groupBy("row_hash", "occ").agg(F.min("day").alias("day"))
+    return V.keyset_page(rows, (50, 3), 100)
 
 
 @query(f"{VERSIONED} SELECT day, row_hash, occ FROM versioned WHERE row_hash BETWEEN 20 AND 60")
@@ -1246,7 +1337,7 @@ def fn11_voter_scores(spark, sf_dir):
 
 
 @query(
-    """SELECT event_id, lpad(right('00' || CAST(event_id AS VARCHAR) || CAST(user_id AS VARCHAR), 10), 10, '0') AS fn01, lpad(CAST(event_id AS VARCHAR), CAST(greatest(3, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') AS fn02, 'LASALLE' AS fn03, lpad(right(CAST(event_id AS VARCHAR), 4), 4, '0') AS fn04,
+    """SELECT event_id, lpad(right('00' || CAST(event_id AS VARCHAR) || CAST(user_id AS VARCHAR), 10), 10, '0') AS fn01, lpad(CAST(event_id AS VARCHAR), CAST(greatest(3, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') AS fn02, regexp_replace(upper('La Salle-' || event_type || ' ' || CAST(event_id AS VARCHAR)), '[^A-Z]', '', 'g') AS fn03, lpad(right(CAST(event_id AS VARCHAR), 4), 4, '0') AS fn04,
       CASE event_type WHEN 'click' THEN 'in_person' WHEN 'view' THEN 'mail_in' END AS fn05, CASE WHEN event_type = 'view' THEN 'MAIL-IN' ELSE 'IN-PERSON' END AS fn06,
       datediff('day', DATE '0001-01-01', CAST(ts AS DATE)) + 1 AS fn16, CAST(ts AS DATE) AS fn16_back, ltrim(lpad(CAST(event_id % 50 AS VARCHAR), 3, '0'), '0') || 'A' AS fn17, CASE event_type WHEN 'click' THEN 'primary_runoff' WHEN 'view' THEN 'primary' WHEN 'purchase' THEN 'general' WHEN 'signup' THEN 'special' ELSE 'unknown' END AS fn19,
       round_even(value / 7, 6) AS fn23, 'A|' || strftime(ts, '%Y-%m-%d') AS fn25, 'a_' || CAST(event_id AS VARCHAR) || '_b' AS fn26, event_type = 'view' AS fn27, CASE WHEN event_id % 2 = 0 THEN 'x' END AS fn22,
@@ -1262,7 +1353,7 @@ def fn_scalars(spark, sf_dir):
     return e.select(
         "event_id",
         S.normalize_vuid(F.concat(F.lit(" 00"), text, F.lit("-"), F.col("user_id").cast("string"))).alias("fn01"),
-        S.zfill(text, 3).alias("fn02"), S.county_key(F.lit("La Salle-1")).alias("fn03"), S.normalize_precinct(F.concat(F.lit("pct 00"), text)).alias("fn04"),
+        S.zfill(text, 3).alias("fn02"), S.county_key(F.concat(F.lit("La Salle-"), kind, F.lit(" "), text)).alias("fn03"), S.normalize_precinct(F.concat(F.lit("pct 00"), text)).alias("fn04"),
         S.normalize_method(of("other", click=" in person ", view="Mail")).alias("fn05"), S.parse_method(of("x", view="by mail")).alias("fn06"),
         S.day_number("ts").cast("long").alias("fn16"), S.day_of_number(S.day_number("ts")).alias("fn16_back"), S.district_key(F.concat(F.lit(" "), F.lpad((k % 50).cast("string"), 3, "0"), F.lit("a "))).alias("fn17"),
         S.election_type(of("x", click="2024 Primary Runoff", view="PRIMARY", purchase="a General one", signup="Special runoff")).alias("fn19"),
@@ -1286,6 +1377,21 @@ def fn09_ymd(spark, sf_dir):
     return T.register(spark, sf_dir).select("VUID", "pos", S.ymd("DOB", 1950, F.lit("2000-01-01").cast("date")).alias("dob"))
 
 
+def _known_hashes() -> str:
+    """SQL: BLAKE2b (8 bytes, big-endian, signed) of the two cells that ``fn15_exact_hashes`` hashes; null is four FF bytes."""
+    prefixed = lambda x: b"\xff" * 4 if x is None else len(x).to_bytes(4, "big") + x.encode()
+    exact = lambda *cells: int.from_bytes(hashlib.blake2b(b"".join(map(prefixed, cells)), digest_size=8).digest(), "big", signed=True)
+    cases = " ".join(f"WHEN l_returnflag = '{a}' AND l_linestatus = '{b}' THEN {exact(None if a == 'N' else a, b * 3)}" for a in "ANR" for b in "FO")
+    return f"CAST(CASE {cases} END AS BIGINT)"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {_known_hashes()} AS hash FROM lineitem")
+def fn15_exact_hashes(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "lineitem")
+    cells = [F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")), F.repeat("l_linestatus", F.lit(3))]
+    return rows.select("l_orderkey", "l_linenumber", S.exact_row_hash(spark, cells).alias("hash"))
+
+
 @query("SELECT count(DISTINCT (l_orderkey, l_linenumber, l_returnflag)) AS n_hashes, count(DISTINCT (l_orderkey, l_linenumber, l_returnflag)) AS n_exact FROM lineitem")
 def fn15_row_hash(spark, sf_dir):
     columns = ["l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))]
@@ -1329,17 +1435,40 @@ def str01_streaming_day_series(spark, sf_dir):
     return out.join(F.broadcast(last), "batch").drop("batch")
 
 
+def _stateful(spark: SparkSession) -> SparkSession:
+    """A session like this one, with the state store that arbitrary state needs; this one's setting stays."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return own
+
+
+@query(
+    """, gone AS (SELECT id_voter, min(ev_date) AS ev_date FROM roster WHERE CAST(id_voter AS BIGINT) % 3 = 0 GROUP BY 1), rest AS (SELECT r.* FROM roster r ANTI JOIN gone g ON r.id_voter = g.id_voter AND r.ev_date = g.ev_date)
+    SELECT id_voter, CAST(min(day) AS INTEGER) AS day, arg_min(row_key, day * 1000000000 + row_key) AS row_hash FROM rest GROUP BY id_voter""",
+    ("roster",),
+)
+def str03_first_appearances_after_removals(spark, sf_dir):
+    """Two loads: all appearances, then removals of a third of the voters' first days, by which later ones move up."""
+    folder = _folder(spark)
+    rows = _keyed(spark, sf_dir).select("id_voter", "ev_date", "day", "row_hash", "occ", F.lit("added").alias("change"))
+    first = rows.where(F.col("id_voter").cast("long") % 3 == 0).groupBy("id_voter").agg(F.min("ev_date").alias("ev_date"))
+    gone = rows.join(first, ["id_voter", "ev_date"], "left_semi").select(*rows.columns).withColumn("change", F.lit("removed"))
+    own = _stateful(spark)
+    for k, load in enumerate((rows, gone)):
+        load.coalesce(2).write.parquet(f"{folder}/in/load={k}")
+    stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/in/load=*")
+    out = _collected_stream(first_appearances(stream), "update")
+    last = out.groupBy("id_voter").agg(F.max_by(F.struct("day", "row_hash"), "batch").alias("x")).where("x.day is not null")
+    return last.select("id_voter", "x.day", "x.row_hash")
+
+
 @query(" SELECT id_voter, CAST(min(day) AS INTEGER) AS day, arg_min(row_key, day * 1000000000 + row_key) AS row_hash FROM roster GROUP BY id_voter", ("roster",))
 def str03_first_appearances(spark, sf_dir):
     """State per voter; later batches give a voter again where its first appearance falls."""
-    # the state store has to be chosen before the stream starts; the session's choice comes back after it
-    key, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, store)
-    try:
-        out = _collected_stream(first_appearances(_event_stream(spark, sf_dir)), "update")
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    out = _collected_stream(first_appearances(_event_stream(_stateful(spark), sf_dir)), "update")
     best = out.groupBy("id_voter").agg(F.min(F.struct("day", "row_hash")).alias("x"))
     return best.select("id_voter", "x.day", "x.row_hash")
 
@@ -1360,10 +1489,11 @@ def str05_republished_days(spark, sf_dir):
     odd = F.dayofmonth("ev_date") % 2 == 1
     changed = rows.where(~odd | (F.col("id_voter").cast("long") % 11 != 4))
     new = rows.where(odd & (F.col("pos") % 10 == 0)).withColumn("id_voter", F.concat(F.lit("8"), F.substring("id_voter", 2, 9)))
-    for k, batch in enumerate((rows, changed.union(new))):
-        batch.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/in/load={k}")
-        stream = day_files(spark, f"{folder}/in/load=*", rows.schema, 1 << 20, "csv")
-        ingest_days(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+    for k, load in enumerate((rows, changed.union(new))):
+        # each load is several files, and a file may be a batch of its own: days are judged when they are whole
+        publish_load(load.repartition(4), f"{folder}/in", f"{k}", "csv")
+        stream = day_files(spark, f"{folder}/in", rows.schema, 3, "csv")
+        ingest_days(stream, f"{folder}/in", f"{folder}/out", f"{folder}/state").awaitTermination()
     days = current_days(spark, f"{folder}/out").groupBy("ev_date").agg(F.count("*").alias("n")).select("ev_date", F.lit("rows").alias("kind"), "n")
     log = day_changes(spark, f"{folder}/out").groupBy("ev_date", F.col("change_kind").alias("kind")).agg(F.count("*").alias("n"))
     return days.union(log)

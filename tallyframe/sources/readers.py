@@ -55,6 +55,49 @@ def read_day_roster(spark: SparkSession, path: str) -> DataFrame:
     return out.toDF(*[c.lower() for c in out.columns])
 
 
+def cells_of(line: Column) -> Column:
+    """The cells of one CSV line; quotes around a cell go, doubled ones in it become one."""
+    # every match takes a comma, so that empty cells are found too
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(raw, lambda c: F.when(F.startswith(c, F.lit('"')), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')).otherwise(c))
+
+
+def marked_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """A CSV's columns as texts, and ``_line``: a line whose cells aren't as many as the header's, else null."""
+    header = text_csv(spark, path, multiline=multiline).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, "_line")])
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("columnPruning", False)
+    return reader.schema(schema).csv(path if isinstance(path, str) else list(path))
+
+
+def read_day_lines(spark: SparkSession, path: str) -> DataFrame:
+    """SRC02 for files with lines of too few or too many cells, which ``validate_roster_rows`` rejects as column_count.
+
+    Columns as ``read_day_roster``, and _expected (cells of the header), _cells (of the line), _raw (of a bad line, the
+    cells that have a name, by name) and _overflow (its cells beyond the header)."""
+    raw = marked_csv(spark, path, multiline=True)
+    names = [c.lstrip("\ufeff").strip().upper() for c in raw.columns[:-1]]
+    names = ["COUNTY" if c == "COUNTY_NAME" else c for c in names]
+    if len(set(names)) < len(names):
+        raise ValueError("repeated header cells")
+    names = [c.lower() for c in names]
+    require_columns(raw.toDF(*[c.upper() for c in names], "_line"), schemas.DAY_ROSTER[:4])
+    out = raw.toDF(*names, "_line").withColumn("__cells", F.when(F.col("_line").isNotNull(), cells_of(F.regexp_replace("_line", "[\\r\\n]+$", ""))))
+    n, width = F.size("__cells"), len(names)
+    there = F.least(n, F.lit(width))
+    kept = F.map_from_arrays(F.slice(F.array(*[F.lit(c) for c in names]), F.lit(1), there), F.slice("__cells", F.lit(1), there))
+    bad = F.col("__cells").isNotNull()
+    out = out.withColumns(
+        {
+            "_expected": F.lit(width),
+            "_cells": F.when(bad, n).otherwise(width),
+            "_raw": F.when(bad, kept),
+            "_overflow": F.when(bad & (n > width), F.slice("__cells", F.lit(width + 1), n)).otherwise(F.array().cast("array<string>")),
+        }
+    ).drop("_line", "__cells")
+    return out if "precinct" in names else out.withColumn("precinct", F.lit(""))
+
+
 def read_turnout_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """SRC03: published counts, typed; an empty county_id is null."""
     raw = text_csv(spark, path)
@@ -187,15 +230,22 @@ def read_county_rosters(spark: SparkSession, files: Sequence[str], county: Colum
 
 
 def read_register(spark: SparkSession, path: str, columns: Sequence[str], targets: DataFrame | None = None, id_column: str = "VUID") -> DataFrame:
-    """SRC13: the chosen columns of a wide register, of the targets (id_voter) if given. Rows that don't
-    parse have a null id and are dropped by the caller, who can count them."""
-    out = text_csv(spark, path).select(*columns)
+    """SRC13: the chosen columns of a wide register, of the targets (id_voter) if given. Lines that don't parse (another
+    number of cells than the header's) are left out; ``register_bad_rows`` counts them."""
+    out = marked_csv(spark, path).where("_line is null").select(*columns)
     if targets is None:
         return out
     ids = targets.select(normalize_vuid("id_voter").alias("__id")).distinct()
     return out.withColumn("__id", normalize_vuid(id_column)).join(ids, "__id", "left_semi").drop("__id")
 
 
+def register_bad_rows(spark: SparkSession, path: str, id_column: str = "VUID") -> DataFrame:
+    """SRC13: in one row n_rows, n_bad (lines that don't parse) and n_blank_ids of a register."""
+    blank = F.trim(F.coalesce(F.col(id_column), F.lit(""))) == ""
+    rows = marked_csv(spark, path).select("_line", id_column)
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(F.col("_line").isNotNull()).alias("n_bad"), F.count_if(F.col("_line").isNull() & blank).alias("n_blank_ids"))
+
+
 def read_geo(df: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame, DataFrame]:
     """SRC14: areas, precincts, and the areas that break a rule: all four edges of a box or none, the box
     in order, the point inside it."""

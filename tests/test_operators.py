@@ -242,16 +242,97 @@ def test_publish_is_atomic(spark, tmp_path):
     assert K.published_version(spark, path)[0] == 2
 
 
+DAY = "id_voter string, ev_date date, county string, voting_method string, precinct string, pos long"
+
+
 def test_stream_loads_changed_days_once(spark, tmp_path):
-    schema = "id_voter string, ev_date date, county string, voting_method string, precinct string, pos long"
     day = dt.date(2024, 1, 1)
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     files = [[("1", day, "A", "IN-PERSON", "1", 0), ("2", day, "A", "IN-PERSON", "1", 1)], [("1", day, "A", "IN-PERSON", "1", 0), ("3", day, "A", "MAIL-IN", "1", 1)]]
     for k, rows in enumerate([files[0], files[0], files[1]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = ST.day_files(spark, source, spark.createDataFrame([], schema).schema)
-        ST.ingest_days(stream, target, str(tmp_path / "checkpoint")).awaitTermination()
+        ST.publish_load(spark.createDataFrame(rows, DAY).coalesce(1), source, f"{k}")
+        stream = ST.day_files(spark, source, spark.createDataFrame([], DAY).schema)
+        ST.ingest_days(stream, source, target, str(tmp_path / "checkpoint")).awaitTermination()
         assert spark.read.parquet(f"{target}/manifest").count() == (1 if k < 2 else 2)
     assert sorted(r.id_voter for r in ST.current_days(spark, target).collect()) == ["1", "3"]
     changes = ST.day_changes(spark, target).collect()
     assert {(r.change_kind, r.id_voter) for r in changes} == {("removed", "0000000002"), ("added", "0000000003")}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_a_day_of_several_files_is_judged_whole(spark, tmp_path, kind):
+    """One file a batch, by default: a day of three files is one version, with nothing logged as removed."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    rows = [(f"{v:010d}", days[v % 2], "A", "IN-PERSON", "1", v) for v in range(60)]
+    again = [r for r in rows if r[5] != 7]
+    for k, load in enumerate((rows, again)):
+        ST.publish_load(spark.createDataFrame(load, DAY).repartition(3), source, f"{k}", kind)
+        ST.ingest_days(ST.day_files(spark, source, spark.createDataFrame([], DAY).schema, kind=kind), source, target, str(tmp_path / "state")).awaitTermination()
+        assert ST.current_days(spark, target).count() == 60 - k
+    assert [(r.change_kind, r.id_voter) for r in ST.day_changes(spark, target).collect()] == [("removed", "0000000007")]
+    assert spark.read.parquet(f"{target}/manifest").count() == 3  # two days, then the changed one
+
+
+def test_loads_wait_for_their_markers(spark, tmp_path):
+    """A load without a marker isn't judged, nor is a later one; once it is there both are, in order."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    day = dt.date(2024, 1, 1)
+    load = lambda ids: spark.createDataFrame([(f"{v:010d}", day, "A", "IN-PERSON", "1", v) for v in ids], DAY)
+    ST.publish_load(load(range(5)), source, "1")
+    (tmp_path / "in" / "markers" / "load=1").rename(tmp_path / "kept")
+    run = lambda: ST.ingest_days(ST.day_files(spark, source, load([]).schema), source, target, str(tmp_path / "state")).awaitTermination()
+    run()
+    assert ST.settle_loads(spark, source, target) == []
+    (tmp_path / "kept").rename(tmp_path / "in" / "markers" / "load=1")
+    ST.publish_load(load(range(2, 7)), source, "2")
+    assert ST.settle_loads(spark, source, target) == ["1"]  # the second load's files aren't in yet
+    run()
+    assert sorted(r.pos for r in ST.current_days(spark, target).collect()) == [2, 3, 4, 5, 6]
+    assert ST.settle_loads(spark, source, target) == []
+
+
+def test_lines_of_wrong_length_are_rejects(spark, tmp_path):
+    path = tmp_path / "day.csv"
+    path.write_text('County,Voter_Name,ID_Voter,Voting_Method,Precinct,Extra\nA,"X, ""Y""",12,IN-PERSON,1,e\nB,Z,13\nC,W,14,MAIL-IN,2,,"o, 1",\n,W,15,MAIL-IN,2,e\n')
+    rows, rejects = O.validate_roster_rows(I.read_day_lines(spark, str(path)))
+    assert [(r.county, r.voter_name, r.id_voter) for r in rows.collect()] == [("A", 'X, "Y"', "0000000012")]
+    found = {r.reason: r for r in rejects.collect() if r.raw["county"] != "C"}
+    assert found["column_count"].raw == {"county": "B", "voter_name": "Z", "id_voter": "13"} and found["column_count"].overflow == []
+    assert found["county:blank"].raw["id_voter"] == "15"
+    over = next(r for r in rejects.collect() if r.raw["county"] == "C")
+    assert over.reason == "column_count" and over.overflow == ["o, 1", ""] and over.raw["extra"] == ""
+
+
+def test_ranks_in_two_levels_equal_one_window(spark):
+    """A voter with a third of all rows, hashes of both signs, and days without some voters."""
+    rnd = random.Random(4)
+    rows = [("hot" if k % 3 == 0 else f"v{rnd.randrange(40)}", rnd.randrange(3), rnd.randrange(-(1 << 63), 1 << 63), 0, k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id_voter string, day int, row_hash long, occ int, k int")
+    want, last = {}, {}
+    for row in sorted(rows, key=lambda r: (r[0], *r[1:4])):
+        last[row[0]] = last.get(row[0], 0) + 1
+        want[row[4]] = last[row[0]]
+    assert {r.k: r["rank"] for r in O.first_appearance_rank(df).collect()} == want
+    places = O.ordinal(df.select("id_voter", "k"), [F.col("id_voter"), F.col("k").desc()]).orderBy("place").collect()
+    assert [(r.id_voter, -r.k) for r in places] == sorted((r[0], -r[4]) for r in rows) and [r.place for r in places] == list(range(1, 3001))
+
+
+def test_tables_kept_up_equal_full_builds(spark):
+    """Days replaced one after the other: first-seen counts and repeats equal those built from all rows."""
+    rows, _ = random_roster(spark, seed=9)
+    removals = rows.where("pos % 17 = 0").select("id_voter", "ev_date")
+    other = rows.withColumn("id_voter", F.when(F.col("pos") % 4 == 0, F.concat(F.lit("9"), F.substring("id_voter", 2, 9))).otherwise(F.col("id_voter")))
+    cells = D.voter_cells(other)
+    counts, repeats = D.first_seen_of_cells(cells), D.repeats_of_cells(cells, removals)
+    day = dt.date(2024, 1, 2)
+    now = other.where(F.col("ev_date") != F.lit(day)).unionByName(rows.where(F.col("ev_date") == F.lit(day)))
+    new = D.voter_cells(rows.where(F.col("ev_date") == F.lit(day)))
+    touched = D.changed_voters(cells.where(F.col("ev_date") == F.lit(day)), new)
+    assert 0 < touched.count() < now.select("id_voter").distinct().count()
+    after = D.replaced_days(cells, new, new)
+    own = lambda df: df.join(touched, "id_voter", "left_semi")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(D.updated_first_seen(counts, own(cells), own(after))) == key(D.first_seen_counts(now).select("ev_date", "county", "voting_method", "n"))
+    assert key(D.updated_repeats(repeats, touched, own(after), removals)) == key(D.repeat_voters(now, removals))
+    assert key(D.updated_summary(after, removals)) == key(D.repeat_summary(now, removals))
