@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tallyframe.llm.common import cut_lineage, row_hash, whole
+from tallyframe.llm.sharding import numbered
 
 #: Documents settled in one row: blocks have about so many, whatever a source's size.
 BLOCK = 128
@@ -22,6 +23,8 @@ BLOCK = 128
 SALTED = 1 << 15
 #: Sources at most: the windows over them hold a row for each.
 SOURCES = 1 << 20
+#: Targets that are broadcast, at most (with names of 64 bytes on average), and tasks for a source's rows where there are more.
+FEW, SALTS = 1 << 14, 64
 #: Fixed value: a word is a run of characters other than these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -119,9 +122,9 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: flo
     if sizes.count() > SOURCES:
         raise ValueError(f"more than {SOURCES} sources")
     targets = cut_lineage(source_targets(sizes, weights, share, most))
-    t = targets.withColumnRenamed("source", "__source")
-    single = counted.withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
-    single = single.join(t, single["source"].eqNullSafe(t["__source"])).drop("__source")
+    least = targets.agg(F.count("*"), F.sum(F.octet_length("source"))).first()
+    few = least[0] <= FEW and (least[1] or 0) <= FEW * 64
+    single = with_targets(numbered(counted, "rep"), targets, "source", few)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     single = single.withColumn("ratio", ratio).withColumn("sure", F.floor("ratio").cast("long")).withColumn("p", F.col("ratio") - F.floor("ratio"))
     single = single.withColumn("u", chance("doc_id", "rep", "size", seed=seed))
@@ -138,11 +141,22 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: flo
     done = leaves.join(bits, ["sid", "block"])
     every = F.sort_array(F.concat("out.bits", F.array(F.struct(F.col("out.ri").alias("i"), F.col("bit")))))
     done = done.select("sid", F.explode(F.arrays_zip("items", every.alias("bits"))).alias("x")).select("sid", "x.items.doc_id", "x.items.size", "x.bits.bit")
-    done = done.join(targets, "sid").withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long") + F.col("bit"))
+    done = with_targets(done, targets, "sid", few).withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long") + F.col("bit"))
     out = certain.select(*columns).union(done.select(*columns))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
+def with_targets(rows: DataFrame, targets: DataFrame, key: str, few: bool) -> DataFrame:
+    """Inner join of rows with their source's target, by ``source`` (null is one) or ``sid``. ``few`` targets, of a size that
+    has been checked, are broadcast; more are dealt out SALTS times, so that a hot source's rows go to as many tasks."""
+    other = targets.withColumnRenamed(key, "__key")
+    if few:
+        return rows.join(F.broadcast(other), rows[key].eqNullSafe(other["__key"])).drop("__key")
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)))
+    other = other.withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(other, salted[key].eqNullSafe(other["__key"]) & (F.col("__salt") == F.col("__other"))).drop("__key", "__salt", "__other")
+
+
 def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 11) -> DataFrame:
     """The rows that the mix takes, whole, each as often as it is taken. Reruns agree.
 

@@ -232,6 +232,29 @@ def test_mixing_settles_over_many_blocks(spark):
     assert all(abs(r.taken - r.target) <= 17 for r in sums)
 
 
+def test_mixing_of_equal_rows_and_many_sources(spark, monkeypatch):
+    """Two million rows alike; and targets that are dealt out, not broadcast, with the same result."""
+    alike = spark.range(2_000_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("a b c").alias("text"))
+    row = M.mixed(alike).agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target")).first()
+    assert row.n == 2_000_000 and abs(row.taken - row.target) <= 3
+    few = spark.createDataFrame([(k % 70, f"s{k % 30}" if k % 9 else None, "w " * (k % 11)) for k in range(900)], "doc_id long, source string, text string")
+    want = sorted(map(str, M.mixed(few).collect()))
+    assert "BroadcastHashJoin" in M.mixed(few)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(M, "FEW", 3)
+    assert sorted(map(str, M.mixed(few).collect())) == want
+
+
+def test_mixing_keeps_each_documents_mean(spark):
+    """Over many seeds a document is taken target / source_size times on average, whatever its size."""
+    rows = spark.createDataFrame([(k, "ab"[k % 2], "w " * (1 + k % 7)) for k in range(60)], "doc_id long, source string, text string")
+    total: dict = {}
+    for seed in range(12):
+        for r in M.mixed(rows, seed=seed).collect():
+            total.setdefault(r.doc_id, []).append((r.copies, r.target / r.source_size))
+    off = [abs(np.mean([c for c, _ in x]) - x[0][1]) for x in total.values()]
+    assert np.mean(off) < 0.15 and max(off) < 0.6
+
+
 def test_mix_of_a_hot_id(spark, monkeypatch):
     """Null and repeated ids: each group's decisions are met, no row is lost, and order doesn't matter."""
     monkeypatch.setattr(M, "SALTED", 100)
