@@ -25,6 +25,8 @@ BITS = 16
 #: The model is fitted on at most about so many labelled rows, chosen by a hash of doc_id, in parts of
 #: about PART rows whose models are averaged.
 MAX_ROWS, PART = 16_384, 2_048
+#: N-grams of a part, about, where parts of PART rows would have more, and the finest cut of such a part.
+GRAMS, CUTS = 1 << 24, 64
 #: Weight of a row's hinge loss, passes over the rows, and the share of the fitted weights beside their
 #: mean size.
 COST, PASSES, OWN = 1.0, 12, 0.75
@@ -116,18 +118,18 @@ def descent(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray) -> np
 
 
 def learnt_rows(documents: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """part, label, text of at most about ``max_rows`` labelled documents: see ``fitted``."""
+    """cell, label, text of at most about ``max_rows`` labelled documents: see ``fitted``. A part has CUTS cells."""
     labels = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("id"), "quality")
     labels = labels.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("quality").alias("label"), F.max("quality").alias("most")).where("label = most").drop("most")
     total = max(1, labels.count())
     share = min(1.0, max_rows / total)
     parts = -(-min(total, max_rows) // PART)
     place = F.shiftrightunsigned(F.xxhash64(F.lit(29), "id"), 11) / F.lit(float(1 << 53))
-    chosen = labels.where(place < share).withColumn("part", F.floor(place / share * parts).cast("int"))
+    chosen = labels.where(place < share).withColumn("cell", F.floor(place / share * parts * CUTS).cast("int"))
     # at most about max_rows ids: bounded whatever the input
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
     least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
-    return texts.groupBy("id", "part", "label").agg(least).select("part", "label", F.col("least.text").alias("text"))
+    return texts.groupBy("id", "cell", "label").agg(least).select("cell", "label", F.col("least.text").alias("text"))
 
 
 def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +145,12 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
                 found = ngrams(data, offsets)
                 cuts = found.searchsorted(np.arange(part.num_rows + 1) << BITS)
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((found & ((1 << BITS) - 1)).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column("part"), part.column("label"), lists], names=["part", "label", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column("cell"), part.column("label"), lists], names=["cell", "label", "grams"])
 
-    rows = cut_lineage(learnt_rows(documents, labels, max_rows).mapInArrow(work, "part int, label int, grams array<int>"))
+    rows = cut_lineage(learnt_rows(documents, labels, max_rows).mapInArrow(work, "cell int, label int, grams array<int>"))
+    # long texts make parts of fewer rows, so that a task holds about GRAMS n-grams
+    grams, parts = rows.agg(F.sum(F.array_size("grams")), F.count_distinct(F.floor(F.col("cell") / CUTS))).first()
+    more = min(CUTS, -(-(grams or 0) // (GRAMS * max(1, parts))) or 1)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << BITS), np.int64)
@@ -164,13 +169,13 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
     def fit(table: pa.Table) -> pa.Table:
         grams = [g.values.to_numpy() for g in table.column("grams")]
         weights = descent(grams, np.where(table.column("label").to_numpy() == 1, 1.0, -1.0), shared.value)
-        return pa.table({"rows": pa.array([len(grams)], pa.int64()), "weights": pa.array([weights])})
+        return pa.table({"rows": pa.array([len(grams)], pa.int64()), "weights": pa.array([weights.tobytes()])})
 
     total, weights = 0, np.zeros((1 << BITS) + 1)
-    # one row of weights per part, of which there are max_rows / PART at most
-    for row in rows.groupBy("part").applyInArrow(fit, "rows long, weights array<double>").collect():
+    # one row of weights per part, of which there are CUTS * max_rows / PART at most
+    for row in rows.groupBy(F.floor(F.col("cell") * more / CUTS).alias("part")).applyInArrow(fit, "rows long, weights binary").collect():
         total += row["rows"]
-        weights += row["rows"] * np.array(row["weights"])
+        weights += row["rows"] * np.frombuffer(row["weights"])
     return ratio, weights / max(1, total)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import hash_sample, with_package
+from tallyframe.llm.sharding import numbered
 
 #: Sampled keys per range.
 SAMPLE = 16
@@ -90,8 +91,10 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     spark = pages.sparkSession
     with_package(spark)
     host, path = host_and_path(F.col("url"))
-    urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("h"), path.alias("p"), F.xxhash64("page_id", "url").alias("salt"))
-    urls = urls.select("page_id", F.coalesce("h", F.lit("")).alias("host"), F.coalesce("p", F.lit("")).alias("path"), "salt")
+    # rows alike are one with their number, so that no key of the sweep is shared by very many
+    counted = pages.select(F.col("page_id").cast("long").alias("page_id"), "url").groupBy("page_id", "url").agg(F.count("*").alias("n"))
+    urls = counted.select("page_id", host.alias("h"), path.alias("p"), F.xxhash64("page_id", "url").alias("salt"), "n")
+    urls = urls.select("page_id", F.coalesce("h", F.lit("")).alias("host"), F.coalesce("p", F.lit("")).alias("path"), "salt", "n")
     urls = urls.withColumn("key", F.concat(reversed_host(F.col("host")), F.lit(".")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     sample = sorted((r.key, r.salt) for r in hash_sample(urls, SAMPLE * parts, "key", "salt").collect())
@@ -121,8 +124,8 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
     known = rules.where("host is not null and host != '' and path is not null and verdict is not null").select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict")
     known = known.withColumn("key", F.concat(reversed_host(F.col("host")), F.lit("."))).withColumn("end", F.concat(reversed_host(F.col("host")), F.lit("/")))
     known = known.withColumn("part", F.explode(ranges_of("key", "end")))
-    columns = ["part", "key", "kind", "end", "host", "path", "verdict", "page_id"]
-    left = known.withColumn("kind", F.lit(0)).withColumn("page_id", F.lit(None).cast("long")).select(*columns)
+    columns = ["part", "key", "kind", "end", "host", "path", "verdict", "page_id", "n"]
+    left = known.withColumn("kind", F.lit(0)).withColumn("page_id", F.lit(None).cast("long")).withColumn("n", F.lit(0).cast("long")).select(*columns)
     right = urls.withColumn("part", range_of("key", "salt")).withColumn("kind", F.lit(1)).withColumn("end", F.lit(None).cast("string")).withColumn("verdict", F.lit(None).cast("string")).select(*columns)
     merged = left.union(right).repartition("part").sortWithinPartitions("part", "key", "kind")
 
@@ -130,15 +133,16 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
         part, active = None, ActiveRules()
         for batch in batches:
             found: list[tuple] = []
-            for at, key, kind, end, host, path, verdict, page_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for at, key, kind, end, host, path, verdict, page_id, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != part:
                     part, active = at, ActiveRules()
                 active.leave(key)
                 if kind == 0:
                     active.enter(end, host, path, verdict)
                 else:
-                    found.append((page_id, host, path, *(active.longest(path) or (None, default))))
-            columns = list(zip(*found, strict=True)) if found else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.string()) for c in columns[1:])], names=["page_id", "host", "path", "rule", "verdict"])
+                    found.append((page_id, n, host, path, *(active.longest(path) or (None, default))))
+            columns = list(zip(*found, strict=True)) if found else [[]] * 6
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.string()) for c in columns[2:])], names=["page_id", "n", "host", "path", "rule", "verdict"])
 
-    return merged.mapInArrow(sweep, "page_id long, host string, path string, rule string, verdict string")
+    out = merged.mapInArrow(sweep, "page_id long, n long, host string, path string, rule string, verdict string")
+    return numbered(out, "copy").drop("copy")

@@ -26,6 +26,8 @@ from tallyframe.llm.common import cut_lineage, hash_sample, with_package
 #: Vectors that the centres are chosen from; cells, and blocks of a cell, at most; and vectors of a block, about. A
 #: block that comes out larger (beyond CELLS * WITHIN * BLOCK vectors all may) is cut by hash into parts of one radius.
 SAMPLE, CELLS, WITHIN, BLOCK = 16_384, 256, 64, 4096
+#: Parts of the rows that share a vector.
+SALTS = 64
 #: Vectors of a leaf, children of a node, and how much smaller a child's radius should be.
 LEAF, FANOUT, SHRINK = 96, 8, 0.7
 #: Queries of a group, about.
@@ -213,9 +215,11 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     with_package(spark)
     rows = cut_lineage(parsed(vectors).distinct())
     total = rows.count()
-    first = Window.partitionBy("v").orderBy("vec_id")
+    # a vector that very many rows share is looked through in SALTS parts first
+    first, part = Window.partitionBy("v").orderBy("vec_id"), Window.partitionBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))).orderBy("vec_id")
     # k + 1 ids of equal vectors are enough: any more would rank behind them
-    ids = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    least = rows.withColumn("n", F.row_number().over(part)).where(F.col("n") <= k + 1)
+    ids = least.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     sample = unpack([bytes(r.v) for r in sorted(hash_sample(rows, SAMPLE, "vec_id", "v").collect())])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -308,7 +312,8 @@ def top_products(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     pairs = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     every_id = pairs.join(placed.select(F.col("rep").alias("other"), "ids"), "other").select("rep", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
-    every_id = every_id.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
+    # written, so that both sides of the join are shuffles, of which Spark splits what a much asked vector's queries fill
+    every_id = cut_lineage(every_id.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n"))
     own = asked.select("query_id", "rep").join(every_id, "rep").where("query_id != vec_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

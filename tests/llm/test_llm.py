@@ -747,3 +747,24 @@ def test_fingerprints_of_equal_rows_and_the_least_id(spark):
     assert len(found) == 203 and {r.doc_id for r in found} == {None, -(1 << 63), 5, 6}
     own = [r for r in found if r.doc_id == 5]
     assert sum(r.near_next == 1 for r in own) == 199 and len({r.edited_sha256 for r in own}) == 2
+
+
+def test_urls_of_equal_rows(spark):
+    """Very many rows alike, with a null id: each keeps its row."""
+    pages = spark.range(50_000).select(F.lit(None).cast("long").alias("page_id"), F.lit("http://a.example.net/en/x").alias("url"))
+    found = UF.judged(pages, UF.rules_frame(spark, queries.URL_RULES)).groupBy("page_id", "host", "path", "rule", "verdict").count().collect()
+    assert [tuple(r) for r in found] == [(None, "a.example.net", "/en/x", "example.net/en/", "allow", 50_000)]
+
+
+def test_search_of_one_vector_that_many_rows_share(spark):
+    rows = [(k, [1.0, 2.0]) for k in range(0, 3000)] + [(k, [float(k % 7), 1.0]) for k in range(3000, 3300)]
+    found = VS.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(map(tuple, found)) == sorted(brute_top(rows))
+
+
+def test_quality_of_one_class_and_of_contradicting_labels(spark):
+    docs = spark.createDataFrame([(k, f"text number {k}") for k in range(60)], "doc_id long, text string")
+    one = spark.createDataFrame([(k, 1) for k in range(60)], "doc_id long, quality int")
+    both = one.union(one.withColumn("quality", F.lit(0)))
+    assert {r.predicted for r in QL.quality_scores(docs, one).collect()} == {1}
+    assert {r.score for r in QL.quality_scores(docs, both).collect()} == {0.5}
