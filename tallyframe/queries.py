@@ -22,6 +22,7 @@ from tallyframe.plans.series import day_series
 from tallyframe.sources import adapters as T
 from tallyframe.sources import readers as I
 from tallyframe.sources import sinks as K
+from tallyframe.sources import stored as SD
 from tallyframe.streaming.ingest import current_days, day_changes, day_files, first_appearances, ingest_days, publish_load, streaming_day_series
 from tallyframe.workers import shared_folder
 
@@ -1145,6 +1146,21 @@ def top03_keyset_page(spark, sf_dir):
     return V.keyset_page(rows, (50, 3), 100)
 
 
+@query(f"{VERSIONED} SELECT min(day) AS day, row_hash, occ FROM versioned WHERE (row_hash, occ) > (50, 3) GROUP BY row_hash, occ ORDER BY row_hash, occ LIMIT 100")
+def top03_stored_page(spark, sf_dir):
+    """The page from files in ranges of the key, of which it opens a few."""
+    folder = _folder(spark)
+    SD.store_pages(_versioned(spark, sf_dir).groupBy("row_hash", "occ").agg(F.min("day").alias("day")), folder, 16)
+    return SD.stored_page(spark, folder, (50, 3), 100).select("day", "row_hash", "occ")
+
+
+@query(f"{VERSIONED} SELECT day, row_hash, occ FROM versioned WHERE row_hash BETWEEN 20 AND 60")
+def top04_stored_range(spark, sf_dir):
+    folder = _folder(spark)
+    SD.store_pages(_versioned(spark, sf_dir).select("day", "row_hash", "occ"), folder, 16)
+    return SD.stored_range(spark, folder, 20, 60)
+
+
 @query(f"{VERSIONED} SELECT day, row_hash, occ FROM versioned WHERE row_hash BETWEEN 20 AND 60")
 def top04_hash_page(spark, sf_dir):
     return V.hash_page(_versioned(spark, sf_dir), 20, 60).select("day", "row_hash", "occ")
@@ -1209,6 +1225,16 @@ def ver05_publish_check(spark, sf_dir):
     return V.publish_check(rows, 2, 3, lines).union(V.publish_check(rows.where("day % 100 != 0"), 2, 3, lines))
 
 
+@query(f"{LOADED} SELECT day, row_hash, occ, added_in, CAST(CASE WHEN removed_in IS NULL AND added_in = 2 THEN 3 ELSE removed_in END AS INTEGER) AS removed_in FROM loaded UNION ALL SELECT day, row_hash, occ, 3, NULL FROM loaded WHERE removed_in = 2")
+def ver01_stored_loads(spark, sf_dir):
+    """Three loads of bucketed files, the first one's rows coming back in the third: stored rows are merged where they are."""
+    folder = _folder(spark)
+    first = _stored(spark, sf_dir).select("day", "row_hash", "occ")
+    for file in (first, _new_file(spark, sf_dir), first):
+        SD.load_stored_day(spark, folder, 1, file, 8)
+    return SD.stored_day(spark, folder, 1)
+
+
 @query(f"{LOADED} SELECT day, row_hash, occ, added_in, CAST(CASE WHEN removed_in IS NULL AND added_in = 2 THEN 3 ELSE removed_in END AS INTEGER) AS removed_in FROM loaded UNION ALL SELECT day, row_hash, occ, 3, NULL FROM loaded WHERE removed_in = 2")
 def ver03_revived_keys(spark, sf_dir):
     """The first file comes back as the third: keys that were closed get rows of their own again."""

@@ -17,6 +17,7 @@ from tallyframe.operators import versions as V
 from tallyframe.plans.series import day_series, ingest_day
 from tallyframe.sources import readers as I
 from tallyframe.sources import sinks as K
+from tallyframe.sources import stored as SD
 from tallyframe.streaming import ingest as ST
 
 
@@ -336,3 +337,46 @@ def test_tables_kept_up_equal_full_builds(spark):
     assert key(D.updated_first_seen(counts, own(cells), own(after))) == key(D.first_seen_counts(now).select("ev_date", "county", "voting_method", "n"))
     assert key(D.updated_repeats(repeats, touched, own(after), removals)) == key(D.repeat_voters(now, removals))
     assert key(D.updated_summary(after, removals)) == key(D.repeat_summary(now, removals))
+
+
+def test_stored_days_merge_without_shuffling_stored_rows(spark, tmp_path):
+    """Loads of a day equal the model's; the stored side has no exchange; other days' files stay as they are."""
+    path = f"file://{tmp_path}/days"
+    rnd = random.Random(2)
+    file = lambda ids: spark.createDataFrame([(1, i, 0, f"c{i}") for i in ids], "day int, row_hash long, occ int, county string")
+    model = None
+    SD.load_stored_day(spark, path, 2, file(range(5)), 4)
+    other = sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "days" / "day=2").rglob("part-*"))
+    for version in range(4):
+        ids = rnd.sample(range(60), 40)
+        assert SD.load_stored_day(spark, path, 1, file(ids), 4) == version + 1
+        if model is None:
+            model = V.replace_day(file([]).selectExpr("*", "cast(null as int) added_in", "cast(null as int) removed_in"), file(ids), 0)
+        else:
+            model = V.load_day_version(model, file(ids), version)
+        stored = SD.stored_day(spark, path, 1)
+        assert sorted(map(str, stored.select(*model.columns).collect())) == sorted(map(str, model.collect()))
+    plan = SD.merged_day(stored, file(range(9)), 9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert other == sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "days" / "day=2").rglob("part-*"))
+    files = [p for p in (tmp_path / "days" / "day=1" / "v=4").rglob("part-*")]
+    assert len(files) <= 4  # a file per bucket
+    assert SD.on_stored_day(spark, path, 1, lambda df: V.collected(df, 3)) == 5
+    assert SD.stored_day(spark, path, 1).where("removed_in <= 3").count() == 0
+
+
+def test_stored_pages_read_few_files(spark, tmp_path):
+    path = f"file://{tmp_path}/pages"
+    rnd = random.Random(3)
+    rows = sorted({(rnd.randrange(-(1 << 63), 1 << 63), rnd.randrange(3)) for _ in range(2000)})
+    SD.store_pages(spark.createDataFrame([(*r, "x") for r in rows], "row_hash long, occ int, county string"), path, 20)
+    seen, after = [], None
+    while page := [(r.row_hash, r.occ) for r in SD.stored_page(spark, path, after, 300).collect()]:
+        seen += page
+        after = page[-1]
+    assert seen == rows
+    assert len(SD.stored_page(spark, path, rows[1000], 50).inputFiles()) <= 3
+    low, high = rows[200][0], rows[400][0]
+    part = SD.stored_range(spark, path, low, high)
+    assert sorted((r.row_hash, r.occ) for r in part.collect()) == [r for r in rows if low <= r[0] <= high]
+    assert len(part.inputFiles()) <= 4
