@@ -30,6 +30,8 @@ BINS, BANDS, ROWS = 256, 40, 5
 BESIDE = 64
 #: A shingle is rare if at most so many of the sets at hand have it.
 RARE = 8
+#: Rounds of stars with the most central members in the buckets that the first ones leave open, at most.
+ROUNDS = 2
 #: Bins of a long band.
 LONG = 10
 #: Edges of a task, about, when components are found.
@@ -273,8 +275,8 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     always compared.
 
     Buckets of long bands hold hardly any sets but linked ones: of two sets with 17 % in common one pair in 10 million shares
-    one. In a bucket a few members are the centres of stars and are compared with all others of other components; then
-    they are done with. Rounds go on, with four times the centres, until no bucket has two components left."""
+    one. In a bucket the member with most company is the centre of a star and is compared with all others of other components; then
+    it is done with. Rounds go on, with four times the centres, until no bucket has two components left."""
     spark = level.sparkSession
     bands = long_bands(similarity)
     width = 1 << (bands * LONG - 1).bit_length()
@@ -295,17 +297,17 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
         return none
     shared = level.select("id", "members").mapInArrow(work, "bucket long, id long")
     labels = level.select("id", "component", F.col("n").alias("n"))
-    found, centres = none, 4
+    found, centres = none, 1
     rest = shared
     while True:
         inside = rest.join(labels.select("id", "component"), "id")
         lone = F.coalesce("component", "id")
-        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b")).where("a < b").select("bucket")
+        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count("*").alias("members")).where("a < b").select("bucket", "members")
         rest = keep(joined(inside, open_, "bucket", keep))
         if rest.isEmpty():
             return found
         slot = F.pmod(F.xxhash64("id", "bucket"), F.lit(centres))
-        chosen = rest.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("id"), "id", "component")).alias("centre"))
+        chosen = with_company(rest, keep).groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("company", "id", "component")).alias("centre"))
         chosen = chosen.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component")).alias("centres"))
         stars = keep(joined(rest, chosen, "bucket", keep))
         other = stars.select("id", "component", F.explode("centres").alias("c")).where("id != c.id and not (c.component <=> component and component is not null)")
@@ -425,8 +427,19 @@ def classes(documents: DataFrame, words: int, similarity: int, row: Column | Non
 
     rest = unsettled(stars.select("bucket", "id"), labels, keep)
     if not rest.isEmpty():
-        sets = keep(full_sets(documents, rest, words).join(rest, "id"))
-        labels = components(links.union(rare_links(sets, similarity, keep)), keep)
+        sets = keep(full_sets(documents, rest, words))
+        for _ in range(ROUNDS):
+            weighed = with_company(rest, keep)
+            centres = weighed.groupBy("bucket").agg(F.max(F.struct("company", "id", "component")).alias("centre"))
+            edges = joined(weighed, centres, "bucket", keep).where("component != centre.component").select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
+            found = keep(confirmed(keep(possible(edges, nodes, similarity)), sets, similarity, keep).select("u", "v"))
+            if found.isEmpty():
+                break
+            links = links.union(found)
+            labels = components(links, keep)
+            rest = unsettled(rest.select("bucket", "id"), labels, keep)
+        left = rest.select("id", "component").distinct()
+        labels = components(links.union(rare_links(keep(sets.join(left, "id")), similarity, keep)), keep)
     named = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     out = cut_lineage(base.select("doc_id", "row", "n_shingles", "id")), cut_lineage(named)
     keep.drop()
@@ -434,11 +447,17 @@ def classes(documents: DataFrame, words: int, similarity: int, row: Column | Non
 
 
 def unsettled(members: DataFrame, labels: DataFrame, keep: Keep) -> DataFrame:
-    """id and component of the members (bucket, id) of buckets with several components. A bucket of two is settled: one is
-    its centre."""
+    """bucket, id, component and members (how many the bucket has) of the members (bucket, id) of buckets with several
+    components. A bucket of two is settled: one is its centre."""
     inside = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members")).where("members > 2 and a < b").select("bucket")
-    return keep(joined(inside, open_, "bucket", keep).select("id", "component").distinct())
+    open_ = inside.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members")).where("members > 2 and a < b").select("bucket", "members")
+    return keep(joined(inside, open_, "bucket", keep))
+
+
+def with_company(rest: DataFrame, keep: Keep) -> DataFrame:
+    """``rest`` (bucket, id, members) with each id's company: the members of all its buckets. The text that many others
+    are edited from has most, and is the one that they are linked with, though they needn't be with each other."""
+    return joined(rest, rest.groupBy("id").agg(F.sum("members").alias("company")), "id", keep)
 
 
 def spread(rows: DataFrame, named: DataFrame, least: Column) -> DataFrame:
