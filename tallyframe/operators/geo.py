@@ -123,27 +123,50 @@ def address_point_match(voters: DataFrame, addresses: DataFrame) -> DataFrame:
     return voters.withColumn("__key", key("address")).where("__key != ''").join(one, ["county", "__key"]).select("id_voter", "county", F.col("a.lat").alias("lat"), F.col("a.lon").alias("lon"))
 
 
+def polygon_cells(districts: DataFrame, cell: float) -> DataFrame:
+    """district, cx, cy, edges of the grid cells that a district's ring meets or encloses (``ring``: array of structs x, y, not
+    closed). Cells that no edge passes through are whole: inside ones have null edges, outside ones aren't there. An edge
+    cell has the edges of its row of cells that don't end left of it: all that a ray to the right can cross."""
+    after = F.concat(F.slice("ring", F.lit(2), F.size("ring")), F.slice("ring", F.lit(1), F.lit(1)))
+    edges = districts.select("district", F.explode(F.zip_with("ring", after, lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))).alias("e"))
+    at = lambda c: F.floor(c / cell)
+    low, high = F.least("e.ay", "e.by"), F.greatest("e.ay", "e.by")
+    rows = edges.withColumn("cy", F.explode(F.sequence(at(low), at(high))))
+    # where the edge is inside its row of cells; a margin makes up for rounding
+    slope = (F.col("e.bx") - F.col("e.ax")) / F.nullif(F.col("e.by") - F.col("e.ay"), F.lit(0.0))
+    x_at = lambda y: F.col("e.ax") + (y - F.col("e.ay")) * slope
+    ends = [F.coalesce(x_at(F.greatest(low, F.col("cy") * cell)), F.col("e.ax")), F.coalesce(x_at(F.least(high, (F.col("cy") + 1) * cell)), F.col("e.bx"))]
+    rows = rows.withColumn("from", at(F.least(*ends) - cell * 1e-6)).withColumn("to", at(F.greatest(*ends) + cell * 1e-6))
+    bands = rows.groupBy("district", "cy").agg(F.collect_list("e").alias("band"), F.min("from").alias("from"), F.max("to").alias("to"))
+    touched = rows.select("district", "cy", F.explode(F.sequence("from", "to")).alias("cx")).distinct().withColumn("edge", F.lit(True))
+    cells = bands.withColumn("cx", F.explode(F.sequence("from", "to"))).join(touched, ["district", "cy", "cx"], "left")
+    cells = cells.withColumn("lon", (F.col("cx") + 0.5) * cell).withColumn("lat", (F.col("cy") + 0.5) * cell)
+    near = F.filter("band", lambda e: F.greatest(e["ax"], e["bx"]) >= F.col("cx") * cell)
+    kept = cells.where(F.col("edge") | _inside(F.col("band"), F.col("lon"), F.col("lat")))
+    return kept.select("district", "cx", "cy", F.when(F.col("edge"), near).alias("edges"))
+
+
+def _inside(edges: Column, lon: Column, lat: Column) -> Column:
+    """Whether a ray to the right crosses an odd number of edges."""
+
+    def crosses(n: Column, e: Column) -> Column:
+        over = (e["ay"] > lat) != (e["by"] > lat)
+        at = (e["bx"] - e["ax"]) * (lat - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0)) + e["ax"]
+        return n + F.when(over & (lon < at), 1).otherwise(0)
+
+    return F.aggregate(edges, F.lit(0), crosses) % 2 == 1
+
+
 def point_in_polygon(points: DataFrame, districts: DataFrame, cell: float = 0.25) -> DataFrame:
     """JON19: id_voter and district (the least, if several) of each point (lat, lon) in ``districts``
     (district, ring: array of structs x, y, not closed).
 
-    Rings and points meet by an equi-join on grid cells of ``cell`` degrees that a ring's box covers; then a
-    ray to the right counts edges. A point on a lower or left edge is inside, on an upper or right one
-    outside."""
-    low = lambda f: F.floor(F.array_min(F.transform("ring", f)) / cell)
-    high = lambda f: F.floor(F.array_max(F.transform("ring", f)) / cell)
-    xs, ys = (lambda p: p["x"]), (lambda p: p["y"])
-    cells = districts.withColumn("cx", F.explode(F.sequence(low(xs), high(xs)))).withColumn("cy", F.explode(F.sequence(low(ys), high(ys))))
+    Points meet the cells of ``polygon_cells`` by an equi-join; edges are counted in edge cells only, and there only those of
+    the cell's row. A point on a lower or left edge is inside, on an upper or right one outside."""
     spots = points.withColumn("cx", F.floor(F.col("lon") / cell)).withColumn("cy", F.floor(F.col("lat") / cell))
-    pairs = spots.join(cells, ["cx", "cy"])
-    after = F.concat(F.slice("ring", F.lit(2), F.size("ring")), F.slice("ring", F.lit(1), F.lit(1)))
-    def crosses(a: Column, b: Column) -> Column:
-        over = (a["y"] > F.col("lat")) != (b["y"] > F.col("lat"))
-        at = (b["x"] - a["x"]) * (F.col("lat") - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"]
-        return F.when(over & (F.col("lon") < at), 1).otherwise(0)
-
-    inside = F.aggregate(F.zip_with("ring", after, crosses), F.lit(0), lambda n, x: n + x) % 2 == 1
-    return pairs.where(inside).groupBy("id_voter").agg(F.min("district").alias("district"))
+    pairs = spots.join(polygon_cells(districts, cell), ["cx", "cy"])
+    found = pairs.where(F.col("edges").isNull() | _inside(F.col("edges"), F.col("lon"), F.col("lat")))
+    return found.groupBy("id_voter").agg(F.min("district").alias("district"))
 
 
 def largest_overlap(overlaps: DataFrame, totals: DataFrame) -> DataFrame:

@@ -198,6 +198,33 @@ def test_point_in_polygon_on_edges(spark):
     assert got == {"a": 1, "b": 2, "c": 1}
 
 
+def test_point_in_polygon_of_many_edges(spark):
+    """Rings of hundreds of edges, concave, small and large against the cells: equal to a ray through the whole ring."""
+    import math
+
+    rnd = random.Random(8)
+    rings = {}
+    for d, (x, y, r) in enumerate([(0, 0, 3), (1, 1, 0.1), (-2.5, 2.5, 1.25), (4, -4, 0.6)]):
+        n = rnd.choice([5, 60, 300])
+        rings[d] = [(x + r * rnd.uniform(0.5, 1) * math.cos(2 * math.pi * k / n), y + r * rnd.uniform(0.5, 1) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    rings[9] = [(0.0, -2.0), (2.0, -2.0), (2.0, -1.0), (1.0, -1.0), (1.0, -1.5), (0.0, -1.5)]
+    points = [(f"p{k}", rnd.uniform(-5, 5), rnd.uniform(-5, 5)) for k in range(3000)] + [(f"q{k}", -2 + k % 9 * 0.25, k // 9 * 0.25) for k in range(81)]
+
+    def inside(ring, lat, lon):
+        crossed = False
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if (ay > lat) != (by > lat) and lon < (bx - ax) * (lat - ay) / (by - ay) + ax:
+                crossed = not crossed
+        return crossed
+
+    want = {name: min(own) for name, lat, lon in points if (own := [d for d, ring in rings.items() if inside(ring, lat, lon)])}
+    frame = spark.createDataFrame(list(rings.items()), "district int, ring array<struct<x:double,y:double>>")
+    got = {r.id_voter: r.district for r in G.point_in_polygon(spark.createDataFrame(points, "id_voter string, lat double, lon double"), frame).collect()}
+    assert got == want
+    cells = G.polygon_cells(frame, 0.25).where("district = 0").agg(F.count_if(F.col("edges").isNull()).alias("whole"), F.max(F.size("edges")).alias("most")).first()
+    assert cells.whole > 20 and cells.most < len(rings[0]) or len(rings[0]) < 10
+
+
 def test_csv_files_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("1", "IN-PERSON", '1"x', "A,B", "e", dt.date(2024, 1, 1), "N\nM", True, "multiple_dates", "A|2024-01-02")], "id_voter string, voting_method string, precinct string, county string, election_id string, report_date date, voter_name string, duplicate_flag boolean, duplicate_type string, also_found_on string")
     K.write_roster_csv(rows.withColumn("voter_name", F.lit("N")), str(tmp_path / "r"))
