@@ -21,7 +21,7 @@ from tallyframe.llm.piece_transducer import encode_pieces
 from tallyframe.llm.quality import accepted
 from tallyframe.llm.queries import tokenizer_path
 from tallyframe.llm.secret_scan import redacted
-from tallyframe.workers import shared_folder
+from tallyframe.workers import remove_folder, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``. What each keeps is written as Parquet in the shared folder of
     ``spark.checkpoint.dir`` and read as the next one's input."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:  # nothing reads it any more
+            remove_folder(spark, f"{folder}/{before}")
+        before = name
     return docs

@@ -31,6 +31,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of files wherever Spark can write."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once for a context, through Spark's own file server."""
     context = spark.sparkContext
