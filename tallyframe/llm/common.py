@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.workers import shared_folder, ship_package
+from tallyframe.workers import cut_lineage, remove_folder, shared_folder, ship_package
 
 #: Bytes of text and rows that a task works on at once.
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
@@ -21,14 +21,6 @@ BITMAP_BITS = 1 << 26
 U64 = np.uint64
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the context's checkpoint folder, or that of ``spark.checkpoint.dir``."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 class Scratch:
     """Tables of one computation in the shared folder, which go when it is over.
 
@@ -46,9 +38,7 @@ class Scratch:
 
     def drop(self) -> None:
         """Remove the tables: whatever is read later must have been written elsewhere."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(self.spark, self.folder)
 
 
 def with_package(spark: SparkSession) -> None:
