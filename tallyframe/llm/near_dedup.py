@@ -34,6 +34,8 @@ RARE = 8
 ROUNDS = 2
 #: Bins of a long band.
 LONG = 10
+#: So many times the centres are chosen in a long band's bucket with each round, up to so many in one list.
+FURTHER, CENTRES = 32, 1 << 15
 #: Edges of a task, about, when components are found.
 EDGES = 1 << 20
 #: Shingles of more than one part in 16 * HOT of all are joined by broadcast: there are fewer than so many.
@@ -276,7 +278,12 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
 
     Buckets of long bands hold hardly any sets but linked ones: of two sets with 17 % in common one pair in 10 million shares
     one. In a bucket the member with most company is the centre of a star and is compared with all others of other components; then
-    it is done with. Rounds go on, with four times the centres, until no bucket has two components left."""
+    it is done with. Rounds go on, with FURTHER times the centres, CENTRES at most, until no bucket has two components left.
+
+    ``members`` may be fewer than n: the others are in no two sets. A link needs (100 + similarity) * both >= similarity * (n of u +
+    n of v), so the smaller set of a linked pair has (100 + similarity) * members >= 2 * similarity * n. Only such ``low`` sets
+    are centres, and a bucket without one is settled: edits of one text that each have too many shingles of their own are never
+    compared with each other."""
     spark = level.sparkSession
     bands = long_bands(similarity)
     width = 1 << (bands * LONG - 1).bit_length()
@@ -293,37 +300,40 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "id"])
 
     none = spark.createDataFrame([], "u long, v long, both long, n_u long, n_v long")
-    if level.limit(2).count() < 2:
+    size = F.array_size("members").cast("long")
+    low = (100 + similarity) * size >= 2 * similarity * F.col("n")
+    if level.limit(2).count() < 2 or level.where(low).isEmpty():
         return none
-    shared = level.select("id", "members").mapInArrow(work, "bucket long, id long")
-    labels = level.select("id", "component", F.col("n").alias("n"))
+    rest = keep(level.select("id", "members").mapInArrow(work, "bucket long, id long"))
+    labels = keep(level.select("id", "component", "n", size.alias("m"), low.alias("low")))
+    fits = lambda c: (
+        (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & ((100 + similarity) * F.least("m", c["m"]) >= similarity * (F.col("n") + c["n"]))
+    )
     found, centres = none, 1
-    rest = shared
     while True:
-        inside = rest.join(labels.select("id", "component"), "id")
+        inside = rest.join(labels, "id")
         lone = F.coalesce("component", "id")
-        open_ = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count("*").alias("members")).where("a < b").select("bucket", "members")
-        rest = keep(joined(inside, open_, "bucket", keep))
+        counted = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count_if("low").alias("lows"), F.count("*").alias("members"))
+        rest = keep(joined(inside, counted.where("a < b and lows > 0").select("bucket", "lows", "members"), "bucket", keep))
         if rest.isEmpty():
             return found
-        slot = F.pmod(F.xxhash64("id", "bucket"), F.lit(centres))
-        chosen = with_company(rest, keep).groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("company", "id", "component")).alias("centre"))
-        chosen = chosen.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component")).alias("centres"))
-        stars = keep(joined(rest, chosen, "bucket", keep))
-        other = stars.select("id", "component", F.explode("centres").alias("c")).where("id != c.id and not (c.component <=> component and component is not null)")
-        pairs = other.select(F.least("id", "c.id").alias("u"), F.greatest("id", "c.id").alias("v")).distinct()
-        size = labels.select("id", "n")
-        pairs = pairs.join(size.select(F.col("id").alias("u"), F.col("n").alias("n_u")), "u").join(size.select(F.col("id").alias("v"), F.col("n").alias("n_v")), "v")
-        pairs = keep(pairs.where(100 * F.least("n_u", "n_v") >= similarity * F.greatest("n_u", "n_v")))
+        slot = F.when(F.col("lows") <= centres, F.col("id")).otherwise(F.pmod(F.xxhash64("id", "bucket"), F.lit(centres)))
+        best = with_company(rest.where("low"), keep).groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("company", "id", "component", "n", "m")).alias("centre"))
+        chosen = keep(best.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component", "centre.n", "centre.m")).alias("centres")))
+        other = rest.join(chosen, "bucket").select("id", "n", F.explode(F.filter("centres", fits)).alias("c"))
+        ends = F.when(F.col("id") < F.col("c.id"), F.struct(F.col("id").alias("u"), F.col("c.id").alias("v"), F.col("n").alias("n_u"), F.col("c.n").alias("n_v")))
+        ends = ends.otherwise(F.struct(F.col("c.id").alias("u"), F.col("id").alias("v"), F.col("c.n").alias("n_u"), F.col("n").alias("n_v")))
+        pairs = keep(other.select(ends.alias("pair")).select("pair.*").distinct())
         new = keep(confirmed(pairs.select("u", "v"), level, similarity, keep).join(pairs, ["u", "v"]).select("u", "v", "both", "n_u", "n_v"))
         found = found.union(new)
-        rest = stars.where(~F.array_contains(F.transform("centres", lambda c: c["id"]), F.col("id"))).select("bucket", "id")
-        centres *= 4
+        done = chosen.select("bucket", F.explode("centres.id").alias("id"))
+        rest = rest.select("bucket", "id").join(done, ["bucket", "id"], "left_anti")
+        centres = min(centres * FURTHER, CENTRES)
         if not new.isEmpty():
             of = labels.where("component is not null").select("id", "component")
             met = new.join(of.withColumnsRenamed({"id": "u", "component": "a"}), "u").join(of.withColumnsRenamed({"id": "v", "component": "b"}), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
             merged = components(met, keep).select(F.col("id").alias("component"), F.col("component").alias("to"))
-            labels = keep(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n"))
+            labels = keep(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n", "m", "low"))
 
 
 def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:

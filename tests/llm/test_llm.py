@@ -359,6 +359,29 @@ def test_sketches_bound_what_sets_have_apart():
             assert ND.bins_apart(*(np.frombuffer(ND.sketch(a), np.uint8),) * 2) == 0
 
 
+def test_near_duplicates_edits_below_the_threshold(spark, monkeypatch):
+    """Edits of one text, no two of them linked but for a few: they aren't compared with each other."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for j in rnd.sample(range(400), 9):
+            words[j] = f"e{i}_{j}"
+        rows.append((i, " ".join(words)))
+    rows += [(150 + i, rows[i][1] + f" end{i}") for i in range(3)]
+    compared, confirmed = [], ND.confirmed
+
+    def counted(pairs, sets, similarity, keep):
+        compared.append(pairs.count())
+        return confirmed(pairs, sets, similarity, keep)
+
+    monkeypatch.setattr(ND, "confirmed", counted)
+    got = ND.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == brute_groups(rows)
+    assert sum(compared) < 8 * len(rows)
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id or -1, r.kept) for r in ND.near_duplicates(odd).collect())
     assert len(got) == len(ODD)
