@@ -278,7 +278,8 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
 
     Buckets of long bands hold hardly any sets but linked ones: of two sets with 17 % in common one pair in 10 million shares
     one. In a bucket the member with most company is the centre of a star and is compared with all others of other components; then
-    it is done with. Rounds go on, with FURTHER times the centres, CENTRES at most, until no bucket has two components left.
+    it is done with, and so is a bucket whose ``low`` members have all been centres. Rounds go on, with FURTHER times the centres,
+    CENTRES at most, until no bucket has two components left.
 
     ``members`` may be fewer than n: the others are in no two sets. A link needs (100 + similarity) * both >= similarity * (n of u +
     n of v), so the smaller set of a linked pair has (100 + similarity) * members >= 2 * similarity * n. Only such ``low`` sets
@@ -326,8 +327,11 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
         pairs = keep(other.select(ends.alias("pair")).select("pair.*").distinct())
         new = keep(confirmed(pairs.select("u", "v"), level, similarity, keep).join(pairs, ["u", "v"]).select("u", "v", "both", "n_u", "n_v"))
         found = found.union(new)
+        # where all low members have been centres nothing is left to compare
         done = chosen.select("bucket", F.explode("centres.id").alias("id"))
-        rest = rest.select("bucket", "id").join(done, ["bucket", "id"], "left_anti")
+        rest = keep(rest.where(F.col("lows") > centres).select("bucket", "id").join(done, ["bucket", "id"], "left_anti"))
+        if rest.isEmpty():
+            return found
         centres = min(centres * FURTHER, CENTRES)
         if not new.isEmpty():
             of = labels.where("component is not null").select("id", "component")

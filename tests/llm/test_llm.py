@@ -791,3 +791,22 @@ def test_quality_of_one_class_and_of_contradicting_labels(spark):
     both = one.union(one.withColumn("quality", F.lit(0)))
     assert {r.predicted for r in QL.quality_scores(docs, one).collect()} == {1}
     assert {r.score for r in QL.quality_scores(docs, both).collect()} == {0.5}
+
+
+def test_long_bands_leave_buckets_whose_centres_are_all_done(spark):
+    # three sets of 1,000 members, 900 of which all have: no two are linked at 85, and all meet in long bands
+    rng = np.random.default_rng(7)
+    common, own = rng.integers(0, 1 << 63, 900, np.uint64) * 2, rng.integers(0, 1 << 63, (3, 100), np.uint64) * 2
+    rows = [(k, 1000, np.sort(np.concatenate([common, own[k]])).view(np.int64).tolist(), k) for k in range(3)]
+    level = spark.createDataFrame(rows, "id long, n long, members array<long>, component long")
+    rounds, keep = [], C.Scratch(spark)
+
+    def kept(df):
+        out = keep(df)
+        if "lows" in df.columns and "id" in df.columns:
+            rounds.append(out.count())
+        return out
+
+    assert ND.long_band_links(level, 85, kept).count() == 0
+    assert len(rounds) == 2 and all(rounds)  # one centre, then all: no round for an empty rest
+    keep.drop()
