@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, cut_lineage, mix, text_slices, whole, with_package, word_hashes
+from tallyframe.llm.common import U64, cut_lineage, mix, text_slices, with_package, word_hashes
 
 #: Buckets of hashed n-grams (2 ** BITS). Weights of so many are all that goes to the driver and back.
 BITS = 16
@@ -30,6 +30,8 @@ GRAMS, CUTS = 1 << 24, 64
 #: Weight of a row's hinge loss, passes over the rows, and the share of the fitted weights beside their
 #: mean size.
 COST, PASSES, OWN = 1.0, 12, 0.75
+#: Bytes of text that n-grams are found in at once: marks of (row, bucket) take up to 2 ** BITS bytes a row.
+SLICE = 1 << 18
 
 # Classes of bytes: 0 other marks, 1 lower case, 2 upper case, 3 digits, 4 beyond ASCII, 5 closing marks.
 _CLASS = np.zeros(256, np.int64)
@@ -141,7 +143,7 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in text_slices(batch):
+            for part, data, offsets in text_slices(batch, limit=SLICE):
                 found = ngrams(data, offsets)
                 cuts = found.searchsorted(np.arange(part.num_rows + 1) << BITS)
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((found & ((1 << BITS) - 1)).astype(np.int32)))
@@ -204,7 +206,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in text_slices(batch):
+            for part, data, offsets in text_slices(batch, limit=SLICE):
                 score = 1 / (1 + np.exp(-2 * np.clip(margins(data, offsets, shared.value), -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
@@ -219,10 +221,12 @@ def accepted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     together; columns may have any names; no rows give no rows."""
     shared = shared_model(documents, labels, max_rows)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in text_slices(batch):
-                yield part.select(["row"]).filter(pa.array(margins(data, offsets, shared.value) >= 0))
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for own in texts:
+            batch = pa.RecordBatch.from_arrays([own], names=["text"])
+            kept = [margins(data, offsets, shared.value) >= 0 for _, data, offsets in text_slices(batch, limit=SLICE)]
+            yield pa.array(np.concatenate(kept) if kept else np.empty(0, bool))
 
-    source = documents.select(whole(documents).alias("row"), "text")
-    return source.mapInArrow(work, source.select("row").schema).select("row.*")
+    # only texts go to Python; rows wait for the answer in Spark's own queue
+    return documents.where(good("text"))

@@ -793,6 +793,16 @@ def test_quality_of_one_class_and_of_contradicting_labels(spark):
     assert {r.score for r in QL.quality_scores(docs, both).collect()} == {0.5}
 
 
+def test_accepted_sends_only_texts_to_python(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    kept = QL.accepted(documents, labels)
+    plan = kept._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython [good(text#" in plan
+    scores = {r.doc_id: r.predicted for r in QL.quality_scores(documents, labels).collect()}
+    assert sorted(kept.toPandas().doc_id) == sorted(k for k, v in scores.items() if v == 1)
+    assert kept.join(documents, documents.columns).count() == kept.count()
+
+
 def test_long_bands_leave_buckets_whose_centres_are_all_done(spark):
     # three sets of 1,000 members, 900 of which all have: no two are linked at 85, and all meet in long bands
     rng = np.random.default_rng(7)
