@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.versions import KEY
 
+#: Rows of a bucket, about, at most: what a task merges and sorts.
+BUCKET_ROWS = 1 << 20
+
 DAYS = "day int, version int, folder string, buckets int, n_rows long"
 
 
@@ -75,15 +78,27 @@ def merged_day(stored: DataFrame, new: DataFrame, version: int) -> DataFrame:
     return both.select(F.when(F.col("own").isNotNull(), kept).otherwise(F.col("other")).alias("x")).select("x.*")
 
 
+def enough_buckets(buckets: int, n_rows: int) -> int:
+    """``buckets``, doubled until each has BUCKET_ROWS rows at most."""
+    while n_rows > buckets * BUCKET_ROWS:
+        buckets *= 2
+    return buckets
+
+
 def load_stored_day(spark: SparkSession, path: str, day: int, new: DataFrame, buckets: int = 32) -> int:
     """VER01-VER03 on stored files: the day's next version from the rows (key and content) of a new file; gives its
-    number. The first load of a day decides its buckets. The manifest's row comes last; other days' files aren't touched."""
-    row = _latest(spark, path, day)
+    number. The first load of a day decides its buckets, at least ``buckets`` and enough for twice its rows; where a later file may
+    make them too large, stored rows are shuffled once, into more. The manifest's row comes last; other days' files aren't touched."""
+    row, n_new = _latest(spark, path, day), new.count()
     if row is None:
-        _write(new.withColumn("added_in", F.lit(1)).withColumn("removed_in", F.lit(None).cast("int")), path, day, 1, buckets)
+        buckets = enough_buckets(buckets, 2 * n_new)
+        first = new.withColumn("added_in", F.lit(1)).withColumn("removed_in", F.lit(None).cast("int"))
+        _write(first.repartition(buckets, *KEY), path, day, 1, buckets)  # a file for each bucket
         return 1
-    stored = bucketed(spark, row["folder"], row["buckets"])
-    _write(merged_day(stored, new, row["version"]), path, day, row["version"] + 1, row["buckets"])
+    stored, buckets = bucketed(spark, row["folder"], row["buckets"]), enough_buckets(row["buckets"], row["n_rows"] + n_new)
+    if buckets > row["buckets"]:
+        stored = stored.repartition(buckets, *KEY)
+    _write(merged_day(stored, new, row["version"]), path, day, row["version"] + 1, buckets)
     return row["version"] + 1
 
 

@@ -407,3 +407,15 @@ def test_stored_pages_read_few_files(spark, tmp_path):
     part = SD.stored_range(spark, path, low, high)
     assert sorted((r.row_hash, r.occ) for r in part.collect()) == [r for r in rows if low <= r[0] <= high]
     assert len(part.inputFiles()) <= 4
+
+
+def test_stored_days_get_buckets_by_their_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SD, "BUCKET_ROWS", 10)
+    path = f"file://{tmp_path}/days"
+    file = lambda n: spark.range(n).selectExpr("1 day", "id row_hash", "0 occ").selectExpr("cast(day as int) day", "row_hash", "occ")
+    versions = [SD.load_stored_day(spark, path, 1, file(n), 2) for n in (35, 35, 300)]
+    rows = {r.version: (r.buckets, r.n_rows) for r in SD.stored_days(spark, path).collect()}
+    assert versions == [1, 2, 3] and rows == {1: (8, 35), 2: (8, 35), 3: (64, 300)}
+    stored = SD.stored_day(spark, path, 1)
+    assert {(r.added_in, r["count"]) for r in stored.groupBy("added_in").count().collect()} == {(1, 35), (3, 265)}
+    assert len(list((tmp_path / "days" / "day=1" / "v=1").glob("part-*"))) <= 8
