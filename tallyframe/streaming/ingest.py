@@ -15,6 +15,8 @@ from tallyframe.operators.aggregates import by_day_series
 from tallyframe.operators.changes import diff_rosters
 
 
+#: A voter's appearances that are one value of state; of a voter of more each is an entry of a map.
+SMALL = 1 << 16
 #: Rows of a day's file, about.
 FILE_ROWS = 1 << 20
 MANIFEST = "ev_date date, sha256 string, n_rows long, load string"
@@ -139,16 +141,20 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def first_appearances(stream: DataFrame) -> DataFrame:
+def first_appearances(stream: DataFrame, small: int = SMALL) -> DataFrame:
     """STR03: a stream of first appearances per voter, each replacing the one before. ``change``, where the stream has
     it, is ``removed`` for appearances that a re-published day takes back.
 
-    State is a map of a voter's appearances (day, row_hash, occ) with how often each is there, so that when the first one
+    State is a voter's appearances (day, row_hash, occ) with how often each is there, so that when the first one
     goes the next one takes its place; a voter without any is given with nulls. Additions and removals may come in any
-    order. There is no watermark: the horizon is the whole election."""
+    order. There is no watermark: the horizon is the whole election.
+
+    Each call to the state store is a round trip, so up to ``small`` appearances are one value, read and written once
+    for a voter and batch; only a voter of more has a map, so that no value grows without bound."""
 
     class FirstAppearance(StatefulProcessor):  # local, so that it reaches the state's worker by value
         def init(self, handle: StatefulProcessorHandle) -> None:
+            self.few = handle.getValueState("few", "large boolean, day array<int>, row_hash array<long>, occ array<int>, n array<int>")
             self.first = handle.getValueState("first", "day int, row_hash long, occ int")
             self.seen = handle.getMapState("seen", "day int, row_hash long, occ int", "n int")
 
@@ -157,9 +163,34 @@ def first_appearances(stream: DataFrame) -> DataFrame:
 
             deltas: dict[tuple, int] = {}
             for batch in rows:
-                for *own, change in batch[["day", "row_hash", "occ", "change"]].itertuples(index=False, name=None):
-                    at = tuple(map(int, own))
+                ats = zip(*(batch[c].tolist() for c in ("day", "row_hash", "occ")), strict=True)
+                for at, change in zip(ats, batch["change"].tolist(), strict=True):
                     deltas[at] = deltas.get(at, 0) + (-1 if change == "removed" else 1)
+            stored = self.few.get() or (False, [], [], [], [])
+            best, least = self.in_map(deltas) if stored[0] else self.in_value(stored, deltas)
+            if least != best:
+                yield pd.DataFrame({"id_voter": [key[0]], **{c: pd.array([None if least is None else least[k]], dtype=t) for k, (c, t) in enumerate((("day", "Int32"), ("row_hash", "Int64"), ("occ", "Int32")))}})
+
+        def in_value(self, stored: tuple, deltas: dict[tuple, int]) -> tuple:
+            """The first appearances before and after these changes."""
+            seen = dict(zip(zip(*stored[1:4], strict=True), stored[4], strict=True))
+            best = min((at for at, n in seen.items() if n > 0), default=None)
+            for at, delta in deltas.items():
+                seen[at] = seen.get(at, 0) + delta
+            seen = {at: n for at, n in seen.items() if n}
+            least = min((at for at, n in seen.items() if n > 0), default=None)
+            if len(seen) <= small:
+                columns = zip(*seen, strict=True) if seen else ((), (), ())
+                self.few.update((False, *map(list, columns), list(seen.values())))
+            else:
+                for at, n in seen.items():
+                    self.seen.updateValue(at, (n,))
+                if least is not None:
+                    self.first.update(least)
+                self.few.update((True, [], [], [], []))
+            return best, least
+
+        def in_map(self, deltas: dict[tuple, int]) -> tuple:
             best = tuple(self.first.get()) if self.first.exists() else None
             least = best
             for at, delta in deltas.items():
@@ -172,12 +203,11 @@ def first_appearances(stream: DataFrame) -> DataFrame:
                     least = at
                 elif n <= 0 and at == least:
                     least = min((tuple(k) for k, v in self.seen.iterator() if v[0] > 0), default=None)
-            if least != best:
-                if least is None:
-                    self.first.clear()
-                else:
-                    self.first.update(least)
-                yield pd.DataFrame({"id_voter": [key[0]], **{c: pd.array([None if least is None else least[k]], dtype=t) for k, (c, t) in enumerate((("day", "Int32"), ("row_hash", "Int64"), ("occ", "Int32")))}})
+            if least is None:
+                self.first.clear()
+            elif least != best:
+                self.first.update(least)
+            return best, least
 
         def close(self) -> None:
             pass

@@ -419,3 +419,25 @@ def test_stored_days_get_buckets_by_their_rows(spark, tmp_path, monkeypatch):
     stored = SD.stored_day(spark, path, 1)
     assert {(r.added_in, r["count"]) for r in stored.groupBy("added_in").count().collect()} == {(1, 35), (3, 265)}
     assert len(list((tmp_path / "days" / "day=1" / "v=1").glob("part-*"))) <= 8
+
+
+def test_first_appearances_of_voters_beyond_one_value(spark, tmp_path):
+    """Additions and removals over batches, with state in one value (small = 100) and moved to a map (small = 3)."""
+    from tallyframe.queries import _collected_stream, _stateful
+
+    rnd, live, loads = random.Random(5), [], []
+    for k in range(4):
+        gone = [live.pop(rnd.randrange(len(live))) for _ in range(min(len(live), 8 * (k > 0)))]
+        new = [(f"v{rnd.randrange(4)}", rnd.randrange(6), rnd.randrange(3), 0) for _ in range(10 if k < 3 else 0)]
+        live += new
+        loads.append([(*r, "added") for r in new] + [(*r, "removed") for r in gone])
+    own = _stateful(spark)
+    schema = "id_voter string, day int, row_hash long, occ int, change string"
+    for k, rows in enumerate(loads):
+        own.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/load={k}")
+    expected = {v: min(r[1:] for r in live if r[0] == v) for v in {r[0] for r in live}}
+    for small in (100, 3):
+        stream = own.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/load=*")
+        out = _collected_stream(ST.first_appearances(stream, small), "update")
+        last = out.groupBy("id_voter").agg(F.max_by(F.struct("day", "row_hash", "occ"), "batch").alias("x")).where("x.day is not null")
+        assert {r.id_voter: tuple(r.x) for r in last.collect()} == expected
