@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, Scratch, cut_lineage, id_bitmap, in_bitmap, matched_rows, mix, row_hash, text_slices, with_package, word_hashes
+from tallyframe.llm.common import U64, Scratch, cut_lineage, id_bitmap, in_bitmap, matched_rows, mix, row_hash, text_slices, tidy, with_package, word_hashes
 
 #: Bins of a signature, and its bands: 40 of 5 bins. A pair of similarity 0.85 misses all of them with
 #: probability 7e-11, one of 0.8 with 1e-7.
@@ -140,7 +140,7 @@ def sketches(documents: DataFrame, words: int, row: Column | None = None) -> Dat
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(size), pa.array(set_ids(sets, at)), bands, small], names=["doc_id", "row", "n_shingles", "id", "bands", "sketch"])
 
     named = [F.col("doc_id").cast("long").alias("doc_id"), (F.lit(None).cast("long") if row is None else row).alias("row"), "text"]
-    return documents.select(*named).mapInArrow(work, schema)
+    return documents.select(*named).mapInArrow(tidy(work), schema)
 
 
 def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
@@ -157,7 +157,7 @@ def full_sets(documents: DataFrame, needed: DataFrame, words: int) -> DataFrame:
                 members = pa.array([sets[at[i] : at[i + 1]].view(np.int64) for i in some], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[some]), members], names=["id", "members"])
 
-    every = documents.select("text").mapInArrow(sets_of, "id long, members array<long>")
+    every = documents.select("text").mapInArrow(tidy(sets_of), "id long, members array<long>")
     one = every.groupBy("id").agg(F.first("members").alias("members"))
     return one.join(needed.select("id").distinct(), "id", "left_semi").select("id", F.array_size("members").cast("long").alias("n"), "members")
 
@@ -182,7 +182,7 @@ def possible(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
             keep = (100 + similarity) * (total - np.array(apart, np.int64)) >= 2 * similarity * total
             yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    return both.select("u", "v", "su", "sv", "nu", "nv").mapInArrow(work, "u long, v long")
+    return both.select("u", "v", "su", "sv", "nu", "nv").mapInArrow(tidy(work), "u long, v long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, keep: Keep) -> DataFrame:
@@ -215,7 +215,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, keep: Keep) ->
                     found.append((u, own_id, both))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["u", "v", "both"])
 
-    return beside.select("u", "part", "side", "id", "n", "members").mapInArrow(compare, "u long, v long, both long")
+    return beside.select("u", "part", "side", "id", "n", "members").mapInArrow(tidy(compare), "u long, v long, both long")
 
 
 def rare_links(sets: DataFrame, similarity: int, keep: Keep) -> DataFrame:
@@ -245,12 +245,12 @@ def rare_links(sets: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     listed = listed.union(counts.where("df = 1").select(F.col("one").alias("id"), "x", F.lit(0).cast("long")))
     listed = listed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("rare"))
     source = sets.join(listed, "id", "left").select("id", "n", "component", "members", "rare")
-    split = keep(source.mapInArrow(lambda batches: _split(batches, similarity), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
+    split = keep(source.mapInArrow(tidy(lambda batches: _split(batches, similarity)), "id long, n long, m long, component long, keys array<long>, rest_id long, rest array<long>"))
 
     # a rare shingle's sets are RARE at most; shingles of the same sets give their pairs once
     keyed = split.select(F.struct("id", "n", "m", "component").alias("set"), F.explode("keys").alias("key"))
     lists = keyed.groupBy("key").agg(F.array_sort(F.collect_list("set")).alias("sets")).where(F.size("sets") > 1).select("sets").distinct()
-    pairs = keep(lists.mapInArrow(lambda batches: _pairs(batches, similarity), "u long, v long").distinct())
+    pairs = keep(lists.mapInArrow(tidy(lambda batches: _pairs(batches, similarity)), "u long, v long").distinct())
     links = confirmed(pairs, sets, similarity, keep).select("u", "v")
 
     left = split.where("rest is not null")
@@ -300,12 +300,13 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
                 ids = np.repeat(part.column("id").to_numpy(), bands)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "id"])
 
-    none = spark.createDataFrame([], "u long, v long, both long, n_u long, n_v long")
+    # no createDataFrame: its rows come from a Python RDD, whose workers stay beside those of the Arrow steps
+    none = spark.range(0).select(*[F.lit(0).cast("long").alias(c) for c in ("u", "v", "both", "n_u", "n_v")])
     size = F.array_size("members").cast("long")
     low = (100 + similarity) * size >= 2 * similarity * F.col("n")
     if level.limit(2).count() < 2 or level.where(low).isEmpty():
         return none
-    rest = keep(level.select("id", "members").mapInArrow(work, "bucket long, id long"))
+    rest = keep(level.select("id", "members").mapInArrow(tidy(work), "bucket long, id long"))
     labels = keep(level.select("id", "component", "n", size.alias("m"), low.alias("low")))
     fits = lambda c: (
         (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & ((100 + similarity) * F.least("m", c["m"]) >= similarity * (F.col("n") + c["n"]))
@@ -406,7 +407,7 @@ def components(edges: DataFrame, keep: Keep) -> DataFrame:
     task has about EDGES edges at most; hubs have many edges as smaller ends only, by which no task gathers them (the join
     is one whose large partitions Spark splits)."""
     ends = edges.select(F.least("u", "v").cast("long").alias("u"), F.greatest("u", "v").cast("long").alias("v")).where("u < v")
-    pairs = keep(ends.mapInArrow(contracted, "u long, v long"))
+    pairs = keep(ends.mapInArrow(tidy(contracted), "u long, v long"))
     before = None
     while True:
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -418,7 +419,7 @@ def components(edges: DataFrame, keep: Keep) -> DataFrame:
         jumped = pairs.join(parents, "u", "left").select(F.coalesce("to", "u").alias("u"), "v")
         tasks = state[0] // EDGES
         met = jumped.repartition(tasks, "v") if tasks > int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")) else jumped.repartition("v")
-        pairs = keep(met.mapInArrow(contracted, "u long, v long"))
+        pairs = keep(met.mapInArrow(tidy(contracted), "u long, v long"))
     own = pairs.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()
     return pairs.select(F.col("v").alias("id"), F.col("u").alias("component")).union(own)
 

@@ -25,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import quoted, text_slices, texts_of, with_package
+from tallyframe.llm.common import quoted, text_slices, texts_of, tidy, with_package
 from tallyframe.llm.prefix_bpe import PrefixTable
 
 SPACE = "▁"
 # Marks that often end a word.
 CLOSING = (",", ".", ";", ":", "!", "?")
-#: Words whose paths a worker remembers, and the longest of them in characters.
-REMEMBERED, LONG = 600_000, 48
+#: Words whose paths a worker remembers in each of its two dictionaries, and the longest of them in characters. They stay in the
+#: worker, in which later stages run too.
+REMEMBERED, LONG = 1 << 17, 48
+#: Marks (bytes) that tell words that come again.
+SEEN = 1 << 22
 
 
 def message_fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -93,10 +96,7 @@ class SpacedWords(dict):
         if len(cut) > 1:
             return self[cut[0]] + b"".join(map(self.of.rest, cut[1:]))
         out = self.of.path(SPACE + word)
-        if len(word) <= LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = out
+        self.of.remember(self, word, out)
         return out
 
 
@@ -147,6 +147,8 @@ class PieceTransducer(dict):
         alone = [c for c in map(chr, range(32)) if not any(c in p for p in self.ids)]
         self.barrier = re.compile("([" + "".join(map(re.escape, alone)) + "])") if alone else None
         self.spaced = SpacedWords(self)
+        #: A mark for words seen before, by their hash, and how many there are.
+        self.seen, self.marks = bytearray(SEEN), 0
         #: What each id decodes to: bytes, with nothing for control pieces.
         self.outputs = [b""] * len(pieces)
         for p, i in self.ids.items():
@@ -245,12 +247,24 @@ class PieceTransducer(dict):
         if self.by_word and word[-1:] in self.loose and word[-2:-1].isalpha():
             return self[word[:-1]] + self[word[-1]]
         out = self.path(word)
-        if len(word) <= LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = out
+        self.remember(self, word, out)
         return out
 
+    def remember(self, words: dict, word: str, path: bytes) -> None:
+        """Keep a word's path in ``words`` if the word comes again: most come once."""
+        at = hash(word) % SEEN
+        if len(word) > LONG:
+            return
+        if not self.seen[at]:
+            self.marks += 1
+            if self.marks > SEEN // 2:
+                self.seen, self.marks = bytearray(SEEN), 1
+            self.seen[at] = 1
+            return
+        if len(words) >= REMEMBERED:
+            words.clear()
+        words[word] = path
+
     def encode(self, text: str) -> bytes:
         """The ids of a text, as int32 bytes."""
         text = self.normalised(text)
@@ -332,7 +346,7 @@ def encode_pieces(documents: DataFrame, model: str, keep: tuple[str, ...] = ("do
                     columns.append(pa.array([machine.decode(values[ends[i] : ends[i + 1]]) == t for i, t in enumerate(texts)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    out = source.mapInArrow(work, schema)
+    out = source.mapInArrow(tidy(work), schema)
     return out.select("kept.*", *schema.names[1:])
 
 
@@ -358,4 +372,4 @@ def decode_pieces(encoded: DataFrame, model: str, column: str = "ids", keep: tup
                 texts.append(machine.decode(ids))
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], names=schema.names)
 
-    return source.mapInArrow(work, schema).select("kept.*", "text")
+    return source.mapInArrow(tidy(work), schema).select("kept.*", "text")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import U64, cut_lineage, mix, text_slices, with_package, word_hashes
+from tallyframe.llm.common import U64, cut_lineage, mix, text_slices, tidy, with_package, word_hashes
 
 #: Buckets of hashed n-grams (2 ** BITS). Weights of so many are all that goes to the driver and back.
 BITS = 16
@@ -149,7 +149,7 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((found & ((1 << BITS) - 1)).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("cell"), part.column("label"), lists], names=["cell", "label", "grams"])
 
-    rows = cut_lineage(learnt_rows(documents, labels, max_rows).mapInArrow(work, "cell int, label int, grams array<int>"))
+    rows = cut_lineage(learnt_rows(documents, labels, max_rows).mapInArrow(tidy(work), "cell int, label int, grams array<int>"))
     # long texts make parts of fewer rows, so that a task holds about GRAMS n-grams
     grams, parts = rows.agg(F.sum(F.array_size("grams")), F.count_distinct(F.floor(F.col("cell") / CUTS))).first()
     more = min(CUTS, -(-(grams or 0) // (GRAMS * max(1, parts))) or 1)
@@ -163,7 +163,7 @@ def fitted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[0, some]), pa.array(counts[1, some])], names=["gram", "bad", "good"])
 
     counts = np.ones((2, 1 << BITS))
-    for row in rows.select("label", "grams").mapInArrow(tally, "gram int, bad long, good long").groupBy("gram").agg(F.sum("bad"), F.sum("good")).collect():
+    for row in rows.select("label", "grams").mapInArrow(tidy(tally), "gram int, bad long, good long").groupBy("gram").agg(F.sum("bad"), F.sum("good")).collect():
         counts[:, row[0]] += row[1:]
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     shared = documents.sparkSession.sparkContext.broadcast(ratio)
@@ -210,7 +210,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_
                 score = 1 / (1 + np.exp(-2 * np.clip(margins(data, offsets, shared.value), -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
-    scored = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, score double")
+    scored = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(work), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -221,12 +221,15 @@ def accepted(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     together; columns may have any names; no rows give no rows."""
     shared = shared_model(documents, labels, max_rows)
 
-    @F.arrow_udf("boolean")
-    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for own in texts:
             batch = pa.RecordBatch.from_arrays([own], names=["text"])
             kept = [margins(data, offsets, shared.value) >= 0 for _, data, offsets in text_slices(batch, limit=SLICE)]
             yield pa.array(np.concatenate(kept) if kept else np.empty(0, bool))
 
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidy(judged)(texts)
+
     # only texts go to Python; rows wait for the answer in Spark's own queue
     return documents.where(good("text"))

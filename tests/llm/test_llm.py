@@ -747,6 +747,51 @@ def test_pipeline_stages(spark):
     assert out.count() == mix.count() and out.where("not round_trip").isEmpty()
 
 
+def anonymous_mb() -> float:
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(n) for n in re.findall(r"\nAnonymous:\s+(\d+)", f.read())) / 1024
+
+
+def test_worker_gives_memory_back_when_its_task_is_over():
+    """Small arrays below one that stays: their memory is free, but an allocator keeps it until it is asked."""
+    stays = []
+
+    def work(batches):
+        for n in batches:
+            small = [np.ones(12_000) for _ in range(n)]
+            stays.append(np.ones(12_000))
+            yield len(small)
+            del small
+            yield anonymous_mb()
+
+    sizes = list(C.tidy(work)(iter([1_500])))
+    assert sizes[0] == 1_500 and anonymous_mb() < sizes[1] - 80
+    short = C.tidy(work)(iter([1, 1]))
+    assert next(short) == 1
+    short.close()
+
+
+def test_pieces_remember_words_that_come_again():
+    import sentencepiece
+
+    machine, library = PT.PieceTransducer(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    choice = random.Random(5)
+    often = ["often", "again", "Wörter", "and"]
+    text = " ".join("".join(choice.choices("abcdefgh", k=9)) if i % 2 else often[i // 2 % 4] for i in range(8_000))
+    for _ in range(2):
+        assert np.frombuffer(machine.encode(text[: len(text) // 2]), np.int32).tolist() == library.encode(text[: len(text) // 2])
+        text = text[len(text) // 2 :] * 2
+    assert set(often) <= set(machine.spaced)
+    assert len(machine) + len(machine.spaced) < 100
+
+
+def test_no_links_without_python_workers(spark):
+    level = spark.range(1).select("id", F.lit(1).cast("long").alias("n"), F.array(F.lit(7).cast("long")).alias("members"), F.lit(None).cast("long").alias("component"))
+    found = ND.long_band_links(level, 80, lambda df: df)
+    assert found.dtypes == [(c, "bigint") for c in ("u", "v", "both", "n_u", "n_v")] and found.count() == 0
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+
+
 def test_fingerprints_of_rows_in_changing_order(spark):
     """Input whose rows come in another order each time they are computed: no row may be lost or doubled."""
     base = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 400).alias("doc_id"), F.concat(F.lit("text number "), (F.col("id") % 200).cast("string")).alias("text"))
