@@ -36,6 +36,8 @@ ROUNDS = 2
 LONG = 10
 #: So many times the centres are chosen in a long band's bucket with each round, up to so many in one list.
 FURTHER, CENTRES = 32, 1 << 15
+#: Classes of sizes in a long band's bucket, for each doubling of the size.
+CLASSES = 4
 #: Edges of a task, about, when components are found.
 EDGES = 1 << 20
 #: Shingles of more than one part in 16 * HOT of all are joined by broadcast: there are fewer than so many.
@@ -284,7 +286,8 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     ``members`` may be fewer than n: the others are in no two sets. A link needs (100 + similarity) * both >= similarity * (n of u +
     n of v), so the smaller set of a linked pair has (100 + similarity) * members >= 2 * similarity * n. Only such ``low`` sets
     are centres, and a bucket without one is settled: edits of one text that each have too many shingles of their own are never
-    compared with each other."""
+    compared with each other. For the same reason members go before each round that by size fit no low set of another
+    component in their bucket (none of a class of sizes, by what its sets are at least and at most)."""
     spark = level.sparkSession
     bands = long_bands(similarity)
     width = 1 << (bands * LONG - 1).bit_length()
@@ -311,12 +314,23 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     fits = lambda c: (
         (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & ((100 + similarity) * F.least("m", c["m"]) >= similarity * (F.col("n") + c["n"]))
     )
+    # a null component is none of the others; by their sizes two sets fit if the reach of each is the other's share of n
+    lone = F.coalesce("component", F.xxhash64("id"))
+    reach = (100 + similarity) * F.col("m") - similarity * F.col("n")
+    partner = lambda c: ((c["first"] < c["last"]) | (c["first"] != lone)) & (reach >= similarity * c["least"]) & (c["reach"] >= similarity * F.col("n"))
     found, centres = none, 1
     while True:
         inside = rest.join(labels, "id")
-        lone = F.coalesce("component", "id")
-        counted = inside.groupBy("bucket").agg(F.min(lone).alias("a"), F.max(lone).alias("b"), F.count_if("low").alias("lows"), F.count("*").alias("members"))
-        rest = keep(joined(inside, counted.where("a < b and lows > 0").select("bucket", "lows", "members"), "bucket", keep))
+        by_size = inside.groupBy("bucket", F.floor(CLASSES * F.log2("n")).alias("class")).agg(
+            *[f(lone).alias(a) for f, a in ((F.min, "a"), (F.max, "b"))],
+            *[f(F.when(F.col("low"), value)).alias(a) for f, value, a in ((F.min, lone, "first"), (F.max, lone, "last"), (F.min, F.col("n"), "least"), (F.max, reach, "reach"))],
+            F.count_if("low").alias("lows"),
+            F.count("*").alias("members"),
+        )
+        sizes = F.collect_list(F.when(F.col("lows") > 0, F.struct("first", "last", "least", "reach"))).alias("sizes")
+        counted = by_size.groupBy("bucket").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("lows").alias("lows"), F.sum("members").alias("members"), sizes)
+        open_ = counted.where("a < b and lows > 0").select("bucket", "lows", "members", "sizes")
+        rest = keep(joined(inside, open_, "bucket", keep).where(F.exists("sizes", partner)).drop("sizes"))
         if rest.isEmpty():
             return found
         slot = F.when(F.col("lows") <= centres, F.col("id")).otherwise(F.pmod(F.xxhash64("id", "bucket"), F.lit(centres)))

@@ -865,3 +865,30 @@ def test_long_bands_leave_buckets_whose_centres_are_all_done(spark):
     assert ND.long_band_links(level, 85, kept).count() == 0
     assert len(rounds) == 2 and all(rounds)  # one centre, then all: no round for an empty rest
     keep.drop()
+
+
+def test_long_bands_drop_members_that_fit_no_low_set(spark):
+    """One text in sets of several sizes: what fits no other component's low set by size leaves before the first round."""
+    rng = np.random.default_rng(3)
+    common = np.sort(rng.integers(0, 1 << 63, 2_000, np.uint64) * 2).view(np.int64)
+
+    def row(k, n, size, component):
+        return k, n, common[:size].tolist(), component
+
+    # 2 and 3 are low and near in size but of one component, 4 and 5 have too many members of their own for any of them
+    rows = [row(2, 1000, 1000, 2), row(3, 1010, 1000, 2), row(4, 1400, 1000, 4), row(5, 1400, 1000, 5), row(6, 2000, 2000, 6), row(7, 2000, 1990, 7)]
+    # an open group that has the number of a component is still compared with that one
+    rows += [row(8, 500, 500, None), row(9, 505, 500, 8)]
+    level = spark.createDataFrame(rows, "id long, n long, members array<long>, component long")
+    rounds, keep = [], C.Scratch(spark)
+
+    def kept(df):
+        out = keep(df)
+        if "lows" in df.columns and "id" in df.columns:
+            rounds.append({r.id for r in out.select("id").distinct().collect()})
+        return out
+
+    found = {(r.u, r.v) for r in ND.long_band_links(level, 85, kept).collect()}
+    assert found == {(6, 7), (8, 9)}
+    assert rounds[0] == {6, 7, 8, 9}
+    keep.drop()
