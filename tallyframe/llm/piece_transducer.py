@@ -16,6 +16,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,32 +186,51 @@ class PieceTransducer(dict):
     def shortest(self, word: str) -> list[str]:
         """The pieces of the shortest path.
 
-        Finite weights of merged pairs are all 0, so states are taken in any order: the last one found first.
+        Finite weights of merged pairs are all 0, so states are taken in any order: the last one found first. Whether
+        an arc's weight is finite is asked when its end is taken, which most arcs' ends never are.
         Merging gives each prefix one encoding, so a place has one state of finite weight."""
         if not self.merges:
             return self.shortest_by_places(word)
-        n, fits, beside = len(word), self.table.known, self.table.beside
-        waiting: list[tuple] = [(0, None, None)]  # place, last piece, path before it
+        n, known, beside = len(word), self.table.known, self.table.beside
+        after, out = self.arcs.next, self.arcs.out
+        first = after[0]
+        pieces: list[str] = []
+        waiting: list[list[str]] = []  # for each place of the path the arcs from it that are left, by their pieces
         taken = set()
-        while waiting:
-            state = waiting.pop()
-            at, last, _ = state
-            if at == n:
-                break
-            if at in taken:
-                continue
+        at = 0
+        while at < n:
+            # the arcs from here as in ``arcs_from``, the shortest first
+            end, c = at + 1, word[at]
+            node = first.get(c)
+            left = [c] if node is None or out[node] is None else []
+            while node is not None:
+                arc = out[node]
+                if arc is not None:
+                    left.append(arc[0])
+                if end == n:
+                    break
+                node = after[node].get(word[end])
+                end += 1
+            waiting.append(left)
+            last = pieces[-1] if pieces else None
+            while True:
+                while not left:  # all infinite: a place back
+                    waiting.pop()
+                    at -= len(pieces.pop())
+                    left = waiting[-1]
+                    last = pieces[-1] if pieces else None
+                piece = left.pop()
+                if at + len(piece) in taken:
+                    continue
+                if last is None:
+                    break
+                zero = known.get((last, piece))
+                if beside(last, piece) if zero is None else zero:
+                    break
+            pieces.append(piece)
+            at += len(piece)
             taken.add(at)
-            for end, piece, _ in self.arcs_from(word, at):
-                if last is not None:
-                    zero = fits.get((last, piece))
-                    if not (beside(last, piece) if zero is None else zero):
-                        continue  # infinite
-                waiting.append((end, piece, state))
-        path: list[str] = []
-        while state[1] is not None:
-            path.append(state[1])
-            state = state[2]
-        return path[::-1]
+        return pieces
 
     def shortest_by_places(self, word: str) -> list[str]:
         """The shortest path where weights are sums of scores: states are places, relaxed from left to right. Sums are
@@ -235,7 +255,11 @@ class PieceTransducer(dict):
 
     def path(self, word: str) -> bytes:
         """The ids of a word's shortest path, as int32 bytes."""
-        return np.array([i for piece in self.shortest(word) for i in self.ids_of(piece)], np.int32).tobytes()
+        pieces = self.shortest(word)
+        ids = list(map(self.ids.get, pieces))
+        if None in ids:
+            ids = [i for piece in pieces for i in self.ids_of(piece)]
+        return array("i", ids).tobytes()
 
     def rest(self, word: str) -> bytes:
         return self[word] if word else b""

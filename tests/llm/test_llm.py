@@ -892,3 +892,16 @@ def test_long_bands_drop_members_that_fit_no_low_set(spark):
     assert found == {(6, 7), (8, 9)}
     assert rounds[0] == {6, 7, 8, 9}
     keep.drop()
+
+
+def test_pieces_judge_only_the_arcs_that_are_taken(monkeypatch):
+    import sentencepiece
+
+    machine, library = PT.PieceTransducer(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    choice, judged, beside = random.Random(8), [], machine.table.beside
+    monkeypatch.setattr(machine.table, "beside", lambda a, b: judged.append((a, b)) or beside(a, b))
+    words = ["".join(choice.choices("etaoinshrdlué漢\x01", k=choice.randrange(1, 14))) for _ in range(3_000)]
+    ids = [np.frombuffer(machine.path(PT.SPACE + w), np.int32).tolist() for w in words]
+    assert ids == [library.encode(w) for w in words]
+    # neighbours are judged once each; judging all arcs took 0.64 times the ids, those taken 0.52
+    assert len(judged) < 0.58 * sum(map(len, ids))
