@@ -274,6 +274,22 @@ def long_bands(similarity: int) -> int:
     return math.ceil(math.log(1e-10) / math.log1p(-((similarity / 100) ** LONG)))
 
 
+def own_bands(n: np.ndarray, m: np.ndarray, similarity: int) -> np.ndarray:
+    """The long bands that a set of n shingles needs, of which m are ``members``: so many that it shares none with a set that it is
+    linked with, by those, with probability 1e-10.
+
+    By the link's terms (see ``long_band_links``) the other set has n * similarity / 100 to reach / similarity shingles, with
+    reach = (100 + similarity) * m - similarity * n. The members of the two are least alike if the other one is the largest of these and has
+    all m among its members: m * similarity / reach, which is 1 for a set that has the fewest members of any linked one, below which it has no
+    band. Both sets of a pair are in the bands that the pair's own likeness asks for."""
+    reach = (100 + similarity) * m - similarity * n
+    some = 100 * m >= similarity * n
+    alike = np.minimum(1, similarity * m / np.where(some, reach, 1))
+    with np.errstate(divide="ignore"):
+        needed = np.ceil(math.log(1e-10) / np.log1p(-(alike**LONG)))
+    return np.where(some, np.clip(needed, 1, long_bands(similarity)), 0).astype(np.int64)
+
+
 def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     """Links (u, v, both, n_u, n_v) of sets (id, n, members, component) that join whatever their links join; a null component is
     always compared.
@@ -287,7 +303,8 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     n of v), so the smaller set of a linked pair has (100 + similarity) * members >= 2 * similarity * n. Only such ``low`` sets
     are centres, and a bucket without one is settled: edits of one text that each have too many shingles of their own are never
     compared with each other. For the same reason members go before each round that by size fit no low set of another
-    component in their bucket (none of a class of sizes, by what its sets are at least and at most)."""
+    component in their bucket (none of a class of sizes, by what its sets are at least and at most), and a set is only in the
+    bands that its members need (``own_bands``): the fewer of its shingles are members, the more alike are those of linked sets."""
     spark = level.sparkSession
     bands = long_bands(similarity)
     width = 1 << (bands * LONG - 1).bit_length()
@@ -300,8 +317,9 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
                 sets, ends = lists.flatten().to_numpy().view(U64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
                 table = signatures(sets, ends, width)[:, : bands * LONG].reshape(-1, bands, LONG)
                 keys = mix((table * _MULTIPLIERS[:LONG]).sum(axis=2, dtype=U64) + np.arange(bands, dtype=U64)).view(np.int64)
-                ids = np.repeat(part.column("id").to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "id"])
+                own = own_bands(part.column("n").to_numpy(), np.diff(ends), similarity)
+                ids = np.repeat(part.column("id").to_numpy(), own)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[np.arange(bands) < own[:, None]]), pa.array(ids)], names=["bucket", "id"])
 
     # no createDataFrame: its rows come from a Python RDD, whose workers stay beside those of the Arrow steps
     none = spark.range(0).select(*[F.lit(0).cast("long").alias(c) for c in ("u", "v", "both", "n_u", "n_v")])
@@ -309,7 +327,7 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     low = (100 + similarity) * size >= 2 * similarity * F.col("n")
     if level.limit(2).count() < 2 or level.where(low).isEmpty():
         return none
-    rest = keep(level.select("id", "members").mapInArrow(tidy(work), "bucket long, id long"))
+    rest = keep(level.select("id", "n", "members").mapInArrow(tidy(work), "bucket long, id long"))
     labels = keep(level.select("id", "component", "n", size.alias("m"), low.alias("low")))
     fits = lambda c: (
         (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & ((100 + similarity) * F.least("m", c["m"]) >= similarity * (F.col("n") + c["n"]))

@@ -905,3 +905,43 @@ def test_pieces_judge_only_the_arcs_that_are_taken(monkeypatch):
     assert ids == [library.encode(w) for w in words]
     # neighbours are judged once each; judging all arcs took 0.64 times the ids, those taken 0.52
     assert len(judged) < 0.58 * sum(map(len, ids))
+
+
+def test_sets_are_in_the_long_bands_that_their_members_need(spark):
+    """A linked pair shares no band with probability 1e-10 at most, whatever its sizes, and sets with shingles of their own take few bands."""
+    rng = np.random.default_rng(9)
+    for similarity in (80, 85):
+        n = rng.integers(20, 3_000, (2, 20_000))
+        least = -(-similarity * n.sum(axis=0) // (100 + similarity))  # what linked sets have in common
+        n, least = n[:, least <= n.min(axis=0)], least[least <= n.min(axis=0)]
+        m = rng.integers(least, n + 1)
+        both = rng.integers(least, m.min(axis=0) + 1)
+        shared = np.minimum(*(ND.own_bands(n[k], m[k], similarity) for k in range(2)))
+        alike = both / (m.sum(axis=0) - both)
+        assert len(both) > 1_000 and ((1 - alike**ND.LONG) ** shared < 1.001e-10).all()
+        assert ND.own_bands(np.array([500, 1000, 1000]), np.array([500, similarity * 10, similarity * 10 - 1]), similarity).tolist() == [ND.long_bands(similarity), 1, 0]
+
+    # edits of one text, each with shingles of its own, a tenth of them linked with an edit that has few
+    common = np.sort(rng.integers(0, 1 << 63, 1_000, np.uint64) * 2).view(np.int64)
+    sets = [np.delete(common, rng.choice(1_000, size, replace=False)) for size in [70] * 90 + [20] * 10]
+    rows = [(k, 1_000, x.tolist(), k) for k, x in enumerate(sets)]
+    level, made, keep = spark.createDataFrame(rows, "id long, n long, members array<long>, component long"), [], C.Scratch(spark)
+
+    def kept(df):
+        out = keep(df)
+        if df.columns == ["bucket", "id"] or "lows" in df.columns and "id" in df.columns:
+            made.append(out.count())
+        return out
+
+    found = {(r.u, r.v) for r in ND.long_band_links(level, 80, kept).collect()}
+    linked = [(a, b) for a, b in itertools.combinations(range(100), 2) if 180 * len(np.intersect1d(sets[a], sets[b])) >= 160 * 1_000]
+    assert linked and found <= set(linked)
+    roots = []
+    for edges in (found, linked):
+        group = list(range(100))
+        for a, b in edges:
+            group = [min(group[a], group[b]) if g in (group[a], group[b]) else g for g in group]
+        roots.append(group)
+    assert roots[0] == roots[1]
+    assert made[0] < 0.6 * ND.long_bands(80) * len(rows)  # all sets were in all bands
+    keep.drop()
