@@ -38,6 +38,8 @@ LONG = 10
 FURTHER, CENTRES = 32, 1 << 15
 #: Classes of sizes in a long band's bucket, for each doubling of the size.
 CLASSES = 4
+#: Cells in which a set's members are counted (a power of 2), before long bands' pairs are made.
+CELLS = 32
 #: Edges of a task, about, when components are found.
 EDGES = 1 << 20
 #: Shingles of more than one part in 16 * HOT of all are joined by broadcast: there are fewer than so many.
@@ -304,7 +306,9 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     are centres, and a bucket without one is settled: edits of one text that each have too many shingles of their own are never
     compared with each other. For the same reason members go before each round that by size fit no low set of another
     component in their bucket (none of a class of sizes, by what its sets are at least and at most), and a set is only in the
-    bands that its members need (``own_bands``): the fewer of its shingles are members, the more alike are those of linked sets."""
+    bands that its members need (``own_bands``): the fewer of its shingles are members, the more alike are those of linked sets.
+    A pair is only made, bucket by bucket, if its members by CELLS ranges of their hashes allow a link, which edits of one text in
+    different places mostly don't."""
     spark = level.sparkSession
     bands = long_bands(similarity)
     width = 1 << (bands * LONG - 1).bit_length()
@@ -321,6 +325,15 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
                 ids = np.repeat(part.column("id").to_numpy(), own)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[np.arange(bands) < own[:, None]]), pa.array(ids)], names=["bucket", "id"])
 
+    def in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("members")
+            sets, m = lists.flatten().to_numpy().view(U64), lists.value_lengths().to_numpy().astype(np.int64)
+            cell = np.repeat(np.arange(len(m)) * CELLS, m) + (sets >> U64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+            counts = pa.array(np.bincount(cell, minlength=len(m) * CELLS).astype(np.int32))
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * CELLS), counts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "component", "n")), pa.array(m), batch.column("low"), cells], names=["id", "component", "n", "m", "low", "cells"])
+
     # no createDataFrame: its rows come from a Python RDD, whose workers stay beside those of the Arrow steps
     none = spark.range(0).select(*[F.lit(0).cast("long").alias(c) for c in ("u", "v", "both", "n_u", "n_v")])
     size = F.array_size("members").cast("long")
@@ -328,9 +341,13 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
     if level.limit(2).count() < 2 or level.where(low).isEmpty():
         return none
     rest = keep(level.select("id", "n", "members").mapInArrow(tidy(work), "bucket long, id long"))
-    labels = keep(level.select("id", "component", "n", size.alias("m"), low.alias("low")))
+    labels = level.select("id", "component", "n", "members", low.alias("low")).mapInArrow(tidy(in_cells), "id long, component long, n long, m long, low boolean, cells array<int>")
+    labels = keep(labels)
+    # two sets have no more in common in a cell than the one with fewer members there
+    most = lambda c: F.aggregate(F.zip_with("cells", c["cells"], lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, x: a + x)
+    enough = lambda both, c: (100 + similarity) * both >= similarity * (F.col("n") + c["n"])
     fits = lambda c: (
-        (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & ((100 + similarity) * F.least("m", c["m"]) >= similarity * (F.col("n") + c["n"]))
+        (c["id"] != F.col("id")) & (F.col("component").isNull() | ~c["component"].eqNullSafe(F.col("component"))) & enough(F.least("m", c["m"]), c) & enough(most(c), c)
     )
     # a null component is none of the others; by their sizes two sets fit if the reach of each is the other's share of n
     lone = F.coalesce("component", F.xxhash64("id"))
@@ -352,8 +369,8 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
         if rest.isEmpty():
             return found
         slot = F.when(F.col("lows") <= centres, F.col("id")).otherwise(F.pmod(F.xxhash64("id", "bucket"), F.lit(centres)))
-        best = with_company(rest.where("low"), keep).groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("company", "id", "component", "n", "m")).alias("centre"))
-        chosen = keep(best.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component", "centre.n", "centre.m")).alias("centres")))
+        best = with_company(rest.where("low"), keep).groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("company", "id", "component", "n", "m", "cells")).alias("centre"))
+        chosen = keep(best.groupBy("bucket").agg(F.collect_list(F.struct("centre.id", "centre.component", "centre.n", "centre.m", "centre.cells")).alias("centres")))
         other = rest.join(chosen, "bucket").select("id", "n", F.explode(F.filter("centres", fits)).alias("c"))
         ends = F.when(F.col("id") < F.col("c.id"), F.struct(F.col("id").alias("u"), F.col("c.id").alias("v"), F.col("n").alias("n_u"), F.col("c.n").alias("n_v")))
         ends = ends.otherwise(F.struct(F.col("c.id").alias("u"), F.col("id").alias("v"), F.col("c.n").alias("n_u"), F.col("n").alias("n_v")))
@@ -370,7 +387,7 @@ def long_band_links(level: DataFrame, similarity: int, keep: Keep) -> DataFrame:
             of = labels.where("component is not null").select("id", "component")
             met = new.join(of.withColumnsRenamed({"id": "u", "component": "a"}), "u").join(of.withColumnsRenamed({"id": "v", "component": "b"}), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
             merged = components(met, keep).select(F.col("id").alias("component"), F.col("component").alias("to"))
-            labels = keep(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n", "m", "low"))
+            labels = keep(labels.join(merged, "component", "left").select("id", F.coalesce("to", "component").alias("component"), "n", "m", "low", "cells"))
 
 
 def _split(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:

@@ -945,3 +945,23 @@ def test_sets_are_in_the_long_bands_that_their_members_need(spark):
     assert roots[0] == roots[1]
     assert made[0] < 0.6 * ND.long_bands(80) * len(rows)  # all sets were in all bands
     keep.drop()
+
+
+def test_long_bands_make_no_pairs_that_cells_rule_out(spark):
+    """Edits of one text in different places, all of them near enough by size: hardly a pair is made, and the linked ones are found."""
+    rng = np.random.default_rng(10)
+    common = np.sort(rng.integers(0, 1 << 63, 1_000, np.uint64) * 2).view(np.int64)
+    gone = [rng.choice(1_000, 100, replace=False) for _ in range(40)]
+    gone += [np.concatenate([gone[0][:95], np.setdiff1d(np.arange(1_000), gone[0])[:5]])]  # linked with the first
+    rows = [(k, 1_000, np.delete(common, x).tolist(), k) for k, x in enumerate(gone)]
+    level, made, keep = spark.createDataFrame(rows, "id long, n long, members array<long>, component long"), [], C.Scratch(spark)
+
+    def kept(df):
+        out = keep(df)
+        if df.columns == ["u", "v", "n_u", "n_v"]:
+            made.append(out.count())
+        return out
+
+    assert {(r.u, r.v) for r in ND.long_band_links(level, 80, kept).collect()} == {(0, 40)}
+    assert 1 <= sum(made) < 80  # of 820 that are near enough by size
+    keep.drop()
